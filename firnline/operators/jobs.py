@@ -179,7 +179,7 @@ def stuck_jobs(last: DataFrame, now: Column) -> DataFrame:
         limit = F.when(F.col("status") == status, F.lit(minutes)).otherwise(limit)
     waited = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("time").cast("timestamp"))
     return last.withColumn("limit_minutes", limit).where(
-        waited > F.col("limit_minutes") * F.lit(60_000_000)
+        waited > F.col("limit_minutes").cast("long") * F.lit(60_000_000)
     )
 
 

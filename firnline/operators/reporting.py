@@ -39,7 +39,9 @@ def turnaround_hist(df: DataFrame, hours: str, minutes: int = 5) -> DataFrame:
     counts = known.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n_jobs"))
     top = known.agg(F.greatest(F.lit(codes.KPI_HOURS), F.ceil(F.max(hours)).cast("int")).alias("top"))
     bins = top.select(
-        F.explode(F.sequence(F.lit(0), F.coalesce("top", F.lit(codes.KPI_HOURS)) * per_hour)).cast("long").alias("bin")
+        F.explode(
+            F.sequence(F.lit(0).cast("long"), (F.coalesce("top", F.lit(codes.KPI_HOURS)) * per_hour).cast("long"))
+        ).alias("bin")
     )
     return bins.join(counts, "bin", "left").select(
         "bin",

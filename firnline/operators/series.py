@@ -329,7 +329,7 @@ def backward_lists(
         return df.select("tile_id", "id", epoch_us("measurement_date").alias("m"), epoch_us("creation_date").alias("c"))
 
     n = required - 1
-    nexts = next_n(flat(asking), flat(degraded(jobs)), 7)
+    nexts = next_n(flat(asking), flat(degraded(jobs)), n)
     own = flat(asking).select(
         "tile_id", "id", F.lit(-1).alias("position"), F.col("id").alias("next_id"), F.col("m").alias("next_m")
     )
