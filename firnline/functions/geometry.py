@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firnline.schemas import RING
+
 
 def _points(xs, ys) -> np.ndarray:
     pts = np.column_stack([np.asarray(xs, float), np.asarray(ys, float)])
@@ -129,7 +131,7 @@ def overlap_with_convex(ax: pd.Series, ay: pd.Series, wx: pd.Series, wy: pd.Seri
     )
 
 
-@F.pandas_udf("array<struct<x:double,y:double>>")
+@F.pandas_udf(RING)
 def clipped_ring(ax: pd.Series, ay: pd.Series, wx: pd.Series, wy: pd.Series) -> pd.Series:
     return pd.Series(
         [

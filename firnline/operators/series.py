@@ -6,127 +6,142 @@ crowded tile is spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from typing import Any
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firnline import codes
 from firnline.operators.filters import in_range
-from firnline.scale import carry, epoch_us, latest_by, running_sum, time_chunk
+from firnline.scale import carry, epoch_us, latest_by, running_sum, stream_groups, time_chunk
 
 CHUNK_SECONDS = 30 * 86400
 US = 1_000_000
 
 
 # --- previous usable job ---------------------------------------------------------
-_ROW = "tile_id string, chunk long, kind string, id long, m long, c long, chg long, source string"
-_FOUND = "tile_id string, chunk long, id long, m long, c long, source string, prev_id long, prev_m long"
-_TARGET = "tile_id string, chunk long, kind string, id long, m long, c long, chg long, source string"
-
-
-def _latest_created_before(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For each asking row the last candidate measured no later and created
-    strictly earlier, from another source."""
-    cand = pdf[pdf.kind == "cand"].sort_values(["m", "c", "chg", "id"])
-    asks = pdf[pdf.kind == "ask"]
-    m, c, src, ids = (cand[k].to_numpy() for k in ("m", "c", "source", "id"))
-    link = np.full(len(cand), -1)
-    for j in range(1, len(cand)):
-        k = j - 1
-        while k >= 0 and c[k] >= c[j]:
-            k = link[k]
-        link[j] = k
-    prev_id, prev_m = [], []
-    starts = np.searchsorted(m, asks.m.to_numpy(), side="right") - 1
-    for j, created, source in zip(starts, asks.c.to_numpy(), asks.source.to_numpy()):
-        while j >= 0:
-            if c[j] >= created:
-                j = link[j]
-            elif src[j] == source:
-                j -= 1
-            else:
-                break
-        prev_id.append(ids[j] if j >= 0 else None)
-        prev_m.append(m[j] if j >= 0 else None)
-    return pd.DataFrame(
-        {
-            "tile_id": asks.tile_id, "chunk": asks.chunk, "id": asks.id, "m": asks.m, "c": asks.c,
-            "source": asks.source,
-            "prev_id": pd.array(prev_id, dtype="Int64"), "prev_m": pd.array(prev_m, dtype="Int64"),
-        }
-    )
+# Rows of one ordered pass: candidates (side 0) and asking rows (side 1).
+_LINE = ["tile_id", "rule", "chunk", "m", "side", "c", "chg", "id", "source"]
+_FOUND = "tile_id string, rule int, chunk long, id long, m long, c long, source string, prev_id long, prev_m long"
+_MOVED = "tile_id string, rule int, chunk long, id long, m long, c long, source string"
+_FAR = (1 << 63) - 1
 
 
-def _target_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sends each open question to the last earlier chunk that can answer it.
+def _look_back(created: int, source: str, low: list, source_of: list, link: list, second: list | None) -> int:
+    """Last position whose creation time is before ``created`` and whose source
+    differs; -1 when there is none.
 
-    Chunk rows carry the two smallest creation times of different sources.
+    ``link[j]`` is the last earlier position with a smaller time than ``j``, so
+    everything between may be skipped once ``j`` is too late.  ``second`` holds
+    the smallest time of any other source where positions stand for many rows.
     """
-    ends = pdf[pdf.kind == "end"].sort_values("chunk")
-    asks = pdf[pdf.kind == "ask"]
-    chunk, low, second, src = (ends[k].to_numpy() for k in ("chunk", "c", "chg", "source"))
-    out = []
-    starts = np.searchsorted(chunk, asks.chunk.to_numpy(), side="left") - 1
-    for j, created, source in zip(starts, asks.c.to_numpy(), asks.source.to_numpy()):
-        while j >= 0 and not ((second[j] if src[j] == source else low[j]) < created):
+    j = len(low) - 1
+    while j >= 0:
+        if low[j] >= created:
+            j = link[j]
+        elif source_of[j] != source or (second is not None and second[j] < created):
+            return j
+        else:
             j -= 1
-        out.append(chunk[j] if j >= 0 else None)
-    moved = asks.assign(chunk=pd.array(out, dtype="Int64"), m=np.iinfo(np.int64).max)
-    return moved[moved.chunk.notna()][list(pdf.columns)]
+    return -1
+
+
+def _append(low: list, link: list, created: int) -> None:
+    j = len(low) - 1
+    while j >= 0 and low[j] >= created:
+        j = link[j]
+    low.append(created)
+    link.append(j)
+
+
+def _within_chunk(key: tuple, rows: Iterable[tuple]) -> Iterator[tuple]:
+    """Answers asking rows from the candidates read so far."""
+    low: list = []
+    link: list = []
+    source_of: list = []
+    seen: list = []
+    for _, _, _, m, side, c, _, rid, source in rows:
+        if side == 0:
+            _append(low, link, c)
+            source_of.append(source)
+            seen.append((rid, m))
+        else:
+            j = _look_back(c, source, low, source_of, link, None)
+            yield (*key, rid, m, c, source, *(seen[j] if j >= 0 else (None, None)))
+
+
+def _across_chunks(key: tuple, rows: Iterable[tuple]) -> Iterator[tuple]:
+    """Sends open questions to the last earlier chunk able to answer; a chunk row
+    carries its two smallest creation times of different sources."""
+    low: list = []
+    link: list = []
+    source_of: list = []
+    second: list = []
+    chunks: list = []
+    for _, _, chunk, _, side, c, other, rid, source in rows:
+        if side == 1:
+            _append(low, link, c)
+            source_of.append(source)
+            second.append(other)
+            chunks.append(chunk)
+        else:
+            j = _look_back(c, source, low, source_of, link, second)
+            if j >= 0:
+                yield (*key, chunks[j], rid, _FAR, c, source)
 
 
 def latest_created_before(candidates: DataFrame, asking: DataFrame) -> DataFrame:
-    """``id, prev_id, prev_m`` for every asking row that has a predecessor.
-
-    Both inputs: ``tile_id, id, m, c, chg, source`` (times in microseconds).
-    First answered inside the row's own chunk; what stays open is sent to the
-    one earlier chunk whose summary says it can answer.
+    """``id, prev_id, prev_m`` for every asking row that has a predecessor: the
+    last candidate measured no later, created strictly earlier, from another
+    source.
+
+    Both inputs: ``tile_id, rule, id, m, c, chg, source`` (times in
+    microseconds); rows meet within a tile and rule.  First answered inside the
+    row's own time chunk; what stays open is sent to the one earlier chunk whose
+    summary says it can answer.
     """
 
-    def rows(df: DataFrame, kind: str) -> DataFrame:
-        return df.select(
-            "tile_id",
-            F.floor(F.col("m") / F.lit(CHUNK_SECONDS * US)).alias("chunk"),
-            F.lit(kind).alias("kind"),
-            "id", "m", "c", "chg", "source",
+    def rows(df: DataFrame, side: int) -> DataFrame:
+        chunk = F.floor(F.col("m") / F.lit(CHUNK_SECONDS * US))
+        return df.withColumn("chunk", chunk).withColumn("side", F.lit(side)).select(*_LINE)
+
+    def answer(line: DataFrame) -> DataFrame:
+        return stream_groups(
+            line, ["tile_id", "rule", "chunk"], ["m", "side", "c", "chg", "id"], _FOUND, _within_chunk
         )
 
-    cand, asks = rows(candidates, "cand"), rows(asking, "ask")
-    own = (
-        cand.unionByName(asks)
-        .groupBy("tile_id", "chunk")
-        .applyInPandas(_latest_created_before, _FOUND)
-    )
-    per_source = cand.groupBy("tile_id", "chunk", "source").agg(F.min("c").alias("c"))
-    best = per_source.groupBy("tile_id", "chunk").agg(
+    zero = F.lit(0).cast("long")
+    where = ["tile_id", "rule", "chunk"]
+    cand = rows(candidates, 0)
+    own = answer(cand.unionByName(rows(asking, 1)))
+    per_source = cand.groupBy(*where, "source").agg(F.min("c").alias("c"))
+    best = per_source.groupBy(*where).agg(
         F.min_by("source", F.struct("c", "source")).alias("source"), F.min("c").alias("c")
     )
-    second = (
+    other = (
         per_source.alias("p")
-        .join(best.alias("b"), ["tile_id", "chunk"])
+        .join(best.alias("b"), where)
         .where(F.col("p.source") != F.col("b.source"))
-        .groupBy("tile_id", "chunk")
+        .groupBy(*where)
         .agg(F.min("p.c").alias("chg"))
     )
-    far = np.iinfo(np.int64).max
-    ends = best.join(second, ["tile_id", "chunk"], "left").select(
-        "tile_id", "chunk", F.lit("end").alias("kind"), F.lit(0).cast("long").alias("id"),
-        F.lit(0).cast("long").alias("m"), "c", F.coalesce("chg", F.lit(far)).alias("chg"), "source",
+    ends = best.join(other, where, "left").select(
+        *where, zero.alias("m"), F.lit(1).alias("side"), "c", F.coalesce("chg", F.lit(_FAR)).alias("chg"),
+        zero.alias("id"), "source",
     )
     still_open = own.where(F.col("prev_id").isNull()).select(
-        "tile_id", "chunk", F.lit("ask").alias("kind"), "id", "m", "c", F.lit(0).cast("long").alias("chg"), "source"
+        *where, "m", F.lit(0).alias("side"), "c", zero.alias("chg"), "id", "source"
+    )
+    moved = stream_groups(
+        ends.unionByName(still_open), ["tile_id", "rule"], ["chunk", "side", "m", "id"], _MOVED, _across_chunks
     )
-    moved = ends.unionByName(still_open).groupBy("tile_id").applyInPandas(_target_chunk, _TARGET)
-    later = (
-        cand.unionByName(moved)
-        .groupBy("tile_id", "chunk")
-        .applyInPandas(_latest_created_before, _FOUND)
+    later = answer(
+        cand.unionByName(
+            moved.withColumn("side", F.lit(1)).withColumn("chg", zero).select(*_LINE)
+        )
     )
-    answered = own.where(F.col("prev_id").isNotNull()).unionByName(later.where(F.col("prev_id").isNotNull()))
-    return answered.select("id", "prev_id", "prev_m")
+    return own.unionByName(later).where(F.col("prev_id").isNotNull()).select("id", "prev_id", "prev_m")
 
 
 def previous_usable(jobs: DataFrame, allow_codated: bool = False, asking: Column | None = None) -> DataFrame:
@@ -155,13 +170,14 @@ def previous_usable(jobs: DataFrame, allow_codated: bool = False, asking: Column
         backward.alias("backward"),
         (F.lit(True) if asking is None else asking).alias("ask"),
     )
-    cols = ["tile_id", "id", "m", "c", "chg", "source"]
-    asks = flat.where("ask")
-    plain = latest_created_before(flat.where("ok").select(*cols), asks.where("not backward").select(*cols))
-    rerun = latest_created_before(flat.where("ok_backward").select(*cols), asks.where("backward").select(*cols))
-    found = plain.unionByName(rerun)
-    own = asks.select("id", "m")
-    return own.join(found, "id").where(F.col("prev_m") < F.col("m")).select("id", "prev_id")
+    # rule 0: plain jobs; rule 1: re-run jobs, which may also build on failed ones
+    cols = ["tile_id", "rule", "id", "m", "c", "chg", "source"]
+    usable = flat.withColumn(
+        "rule", F.explode(F.filter(F.array(F.when(F.col("ok"), 0), F.when(F.col("ok_backward"), 1)), lambda r: r.isNotNull()))
+    )
+    asks = flat.where("ask").withColumn("rule", F.col("backward").cast("int"))
+    found = latest_created_before(usable.select(*cols), asks.select(*cols))
+    return asks.select("id", "m").join(found, "id").where(F.col("prev_m") < F.col("m")).select("id", "prev_id")
 
 
 # --- following jobs ------------------------------------------------------------------

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firnline.operators.products import duplicate_slices
-from firnline.scale import epoch_us
+from firnline.scale import epoch_us, stream_groups
 
 _OUT = (
     "stripe_id string, assembly_no int, position int, product_id string, "
@@ -21,41 +22,30 @@ def _seconds(delta_us: int) -> int:
     return int(delta_us % DAY_US) // 1_000_000
 
 
-def _chain(stripe: str, rows: list[tuple], longest: int) -> list[tuple]:
-    """Assembly rows of one stripe.
+def _chain(key: tuple, rows: Iterable[tuple], longest: int) -> Iterator[tuple]:
+    """Assembly rows of one stripe, read in order of start.
 
-    ``rows``: (product_id, start, stop, slice, total) in order of start.  A
-    missing slice number or a pause above a second starts a new assembly; the
+    A missing slice number or a pause above a second starts a new assembly; the
     slice that fills an assembly closes it and opens the next one as well.  A
     tile may not cross the outer border lines of the assembly it belongs to.
     """
-    out: list[tuple] = []
     number, count, place, before = 1, 0, 0, None
-
-    def add(product: str, first: bool, last: bool) -> None:
-        nonlocal place
-        out.append((stripe, number, place, product, first, last))
-        place += 1
-
-    for row in rows:
-        product, start, stop, piece, total = row
-        if before is not None and _seconds(abs(start - before[1])) <= 1:
+    for _, product, start, stop, piece, total in rows:
+        if before is not None and _seconds(abs(start - before[0])) <= 1:
             continue
         count += 1
-        closes = piece != 0 and piece == total
         first = count == 1 and piece != 1
-        last = not closes
-        gap = before is not None and (
-            (piece != 0 and before[3] != 0 and piece - before[3] != 1) or _seconds(start - before[2]) > 1
-        )
-        if gap:
-            number, count, place, first = number + 1, 1, 0, True
-        elif before is not None and count >= longest:
-            add(product, first, last)
-            number, count, place, first = number + 1, 1, 0, True
-        add(product, first, last)
-        before = row
-    return out
+        last = not (piece != 0 and piece == total)
+        if before is not None:
+            jump = piece != 0 and before[2] != 0 and piece - before[2] != 1
+            if jump or _seconds(start - before[1]) > 1:
+                number, count, place, first = number + 1, 1, 0, True
+            elif count >= longest:
+                yield (*key, number, place, product, first, last)
+                number, count, place, first = number + 1, 1, 0, True
+        yield (*key, number, place, product, first, last)
+        place += 1
+        before = (start, stop, piece)
 
 
 def assemble_slices(acquisitions: DataFrame, longest: int = 2) -> DataFrame:
@@ -63,24 +53,17 @@ def assemble_slices(acquisitions: DataFrame, longest: int = 2) -> DataFrame:
 
     ``acquisitions``: ``stripe_id, product_id, platform, take_id, slice,
     total_slices, start_ts, stop_ts``.  Repeated slices are removed by an
-    aggregate first, so a stripe holds one row per slice of one data take, and
-    only six narrow columns reach the grouped step.
+    aggregate first, so a stripe holds one row per slice of one data take; its
+    rows then pass in order, six narrow columns each.
     """
     narrow = acquisitions.select(
-        "stripe_id", "product_id",
+        F.col("stripe_id").cast("string").alias("stripe_id"), F.col("product_id").cast("string").alias("product_id"),
         epoch_us("start_ts").alias("start"), epoch_us("stop_ts").alias("stop"),
         F.col("slice").cast("int").alias("slice"), F.col("total_slices").cast("int").alias("total"),
     )
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values(["start", "product_id"])
-        rows = list(ordered[["product_id", "start", "stop", "slice", "total"]].itertuples(index=False, name=None))
-        return pd.DataFrame(
-            _chain(pdf.stripe_id.iloc[0], rows, longest),
-            columns=["stripe_id", "assembly_no", "position", "product_id", "exclude_first", "exclude_last"],
-        )
-
-    return narrow.groupBy("stripe_id").applyInPandas(run, _OUT)
+    return stream_groups(
+        narrow, ["stripe_id"], ["start", "product_id"], _OUT, lambda key, rows: _chain(key, rows, longest)
+    )
 
 
 def stripes(acquisitions: DataFrame, tiles_of: DataFrame) -> DataFrame:

@@ -84,7 +84,7 @@ def box_candidates(
         "_salt", F.pmod(F.xxhash64(*[F.col(f"a_{c}") for c in a.columns if c != ring_a]), F.lit(salts))
     )
     right = _cells(right, "_b_", cell).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
     )
     meet = (
         (F.col("_a_minx") <= F.col("_b_maxx"))
@@ -180,8 +180,9 @@ def border_lines(acqs: DataFrame, ring: str = "ring", direction: str = "orbit_di
     pts = F.col(ring)
 
     def extreme(axis: str, largest: bool) -> Column:
-        def keyed(p: Column) -> Column:
-            return F.struct(p[axis].alias("k"), p.alias("p"))
+        def keyed(p: Column, i: Column) -> Column:
+            # of equal corners the first listed counts
+            return F.struct(p[axis].alias("k"), (-i if largest else i).alias("i"), p.alias("p"))
 
         ordered = F.transform(pts, keyed)
         return (F.array_max(ordered) if largest else F.array_min(ordered))["p"]

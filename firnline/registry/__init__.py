@@ -4,6 +4,7 @@ from importlib import import_module
 
 _MODULES = (
     "job_queries", "product_queries", "pixel_queries", "series_queries", "spatial_queries", "source_queries",
+    "stream_queries",
 )
 
 

@@ -132,7 +132,7 @@ def border_lines(t: Tables):
     """J-23: scan lines of an ascending footprint"""
     acq = t.squares().withColumn("orbit_dir", F.lit("ascending"))
     out = sp.border_lines(acq)
-    first, last = F.element_at("line_first", 1), F.element_at("line_last", 1)
+    first, last = F.element_at("line_first", 1), F.element_at("line_last", 2)
     return out.select(
         "id", first["x"].alias("first_x"), first["y"].alias("first_y"), last["x"].alias("last_x"), last["y"].alias("last_y")
     )
@@ -180,7 +180,7 @@ def _laea_targets(t: Tables):
     return t.raw("region").select(
         k.alias("target_id"),
         (F.floor(centre["x"] / 1000) * 1000 + k * 1000 - 16000).alias("ulx"),
-        (F.floor(centre["y"] / 1000) * 1000 - 8000).alias("uly"),
+        (F.floor(centre["y"] / 1000) * 1000 - 1000).alias("uly"),
     ).select(
         "target_id", "ulx", "uly", F.lit(20).alias("nrows"), F.lit(20).alias("ncols"),
         sp.box_ring(F.col("ulx"), F.col("uly") - 1000, F.col("ulx") + 1000, F.col("uly")).alias("ring"),

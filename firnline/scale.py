@@ -11,8 +11,10 @@ whole key in one task:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import groupby
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,3 +151,39 @@ def running_sum(
 def distinct_days(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     """One row per key and calendar day, so a key holds at most one row a day."""
     return df.select(*keys, day).distinct()
+
+
+def stream_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    schema: str,
+    fn: Callable[[tuple, Iterable[tuple]], Iterable[tuple]],
+    out_rows: int = 20_000,
+) -> DataFrame:
+    """Ordered pass over each group for rules that depend on the row before.
+
+    Spark shuffles by ``keys`` and sorts; ``fn(key, rows)`` then reads a group's
+    rows (tuples in column order) one by one and yields output tuples.  Rows flow
+    through Arrow batches, so no group is held whole.
+    """
+    columns = df.columns
+    at = [columns.index(k) for k in keys]
+    names = [part.split()[0] for part in schema.split(",")]
+
+    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        for pdf in batches:
+            yield from zip(*(pdf[c].tolist() for c in columns))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+        for key, rows in groupby(rows_of(batches), key=lambda r: tuple(r[i] for i in at)):
+            for made in fn(key, rows):
+                out.append(made)
+                if len(out) >= out_rows:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)

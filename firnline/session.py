@@ -6,8 +6,11 @@ import os
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import firnline
+
 RUNTIME_CONF = {
     # Every time in the data model is naive UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -23,6 +26,7 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package()
     return spark
 
 
@@ -67,3 +71,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(shared_folder(spark, "lineage"))
     return df.checkpoint(eager=True)
+
+
+def ship_package() -> None:
+    """Let tasks carry this package's functions with them.
+
+    Python workers, those of stateful streams on the driver included, then need
+    no copy of the package on their import path.
+    """
+    cloudpickle.register_pickle_by_value(firnline)

@@ -61,7 +61,7 @@ def _sorted(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
 
 
 def _ms(ts: pd.Timestamp) -> int:
-    return int(pd.Timestamp(ts).timestamp() * 1000)
+    return pd.Timestamp(ts).value // 1_000_000
 
 
 class _Replace(StatefulProcessor):
@@ -81,19 +81,19 @@ class _Replace(StatefulProcessor):
             if not self.ref.exists():
                 self.ref.update((r.product_id, created))
                 self.handle.registerTimer(_ms(r.measurement_date) + self.valid_ms)
-                out.append((key[0], r.measurement_date, r.product_id, None))
+                out.append((key[0], _ms(r.measurement_date), r.product_id, None))
                 continue
             known, known_created = self.ref.get()
             late = _ms(r.publication_date) - _ms(r.measurement_date) <= self.valid_ms
             if known != r.product_id and created != known_created and late:
                 self.ref.update((r.product_id, created))
-                out.append((key[0], r.measurement_date, r.product_id, known))
-        yield pd.DataFrame(out, columns=["tile_id", "measurement_date", "product_id", "replaces"])
+                out.append((key[0], _ms(r.measurement_date), r.product_id, known))
+        yield pd.DataFrame(out, columns=["tile_id", "measured_ms", "product_id", "replaces"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # past the valid time no version may replace the reference any more
         self.ref.clear()
-        yield pd.DataFrame({"tile_id": [], "measurement_date": [], "product_id": [], "replaces": []})
+        yield pd.DataFrame([], columns=["tile_id", "measured_ms", "product_id", "replaces"])
 
     def close(self) -> None:
         pass
@@ -111,10 +111,11 @@ def replace_codated(stream: DataFrame, valid_hours: float = 24.0, watermark: str
         .groupBy("tile_id", "measurement_date")
         .transformWithStateInPandas(
             _Replace(valid_hours),
-            "tile_id string, measurement_date timestamp, product_id string, replaces string",
+            "tile_id string, measured_ms long, product_id string, replaces string",
             "Append",
             "EventTime",
         )
+        .select("tile_id", F.timestamp_millis("measured_ms").alias("measurement_date"), "product_id", "replaces")
     )
 
 

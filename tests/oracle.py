@@ -80,7 +80,7 @@ def main() -> None:
         try:
             state, n, note = compare(spark, con, folder, name, fn, oracle.get(name))
         except Exception as e:  # noqa: BLE001
-            state, n, note = "ERROR", 0, str(e)[:600]
+            state, n, note = "ERROR", 0, str(e)[:6000] if wanted else str(e)[:300]
         bad += state in ("FAIL", "ERROR")
         if state != "ok" or note or n == 0 or time.time() - t > 8 or wanted:
             print(f"{state:9} {name} rows={n} {time.time() - t:.1f}s {note}", flush=True)
