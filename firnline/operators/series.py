@@ -305,8 +305,9 @@ def chain_quality(jobs: DataFrame, n: int = codes.BACKWARD_JOBS) -> DataFrame:
 
 
 # --- readiness and mode ---------------------------------------------------------------------
-def readiness(jobs: DataFrame, previous: DataFrame) -> DataFrame:
-    """``ready``, ``configured`` or ``internal_error`` from the job built upon."""
+def readiness(jobs: DataFrame, previous: DataFrame, asking: Column | None = None) -> DataFrame:
+    """``ready``, ``configured`` or ``internal_error`` from the job built upon,
+    for all jobs or those ``asking``."""
     prev = jobs.select(
         F.col("id").alias("prev_id"),
         F.col("last_status_id").alias("prev_status"),
@@ -321,7 +322,8 @@ def readiness(jobs: DataFrame, previous: DataFrame) -> DataFrame:
         .when(F.col("prev_output") == "generated", "ready")
         .otherwise("configured")
     )
-    return jobs.join(previous, "id", "left").join(prev, "prev_id", "left").withColumn("readiness", state)
+    asked = jobs if asking is None else jobs.where(asking)
+    return asked.join(previous, "id", "left").join(prev, "prev_id", "left").withColumn("readiness", state)
 
 
 def degraded(jobs: DataFrame) -> DataFrame:

@@ -252,16 +252,13 @@ def plan_optical(
 
 def configure_optical(jobs: DataFrame, allow_backward: bool = True, required: int = codes.BACKWARD_JOBS) -> dict[str, DataFrame]:
     """Predecessor, readiness, mode and backward plan of the open jobs."""
-    previous = series.previous_usable(jobs, asking=F.col("run_mode").isNull())
-    state = series.readiness(jobs.where(F.col("run_mode").isNull()).select(*jobs.columns), previous_of(jobs, previous))
-    ready = state.where(F.col("readiness") == "ready").select(*jobs.columns)
+    is_open = F.col("run_mode").isNull()
+    previous = series.previous_usable(jobs, asking=is_open)
+    state = series.readiness(jobs, previous, is_open)
+    # waiting jobs are left out; every other row may serve as predecessor or follower
+    waiting = state.where(F.col("readiness") != "ready").select("id")
     modes = series.assign_mode(
-        jobs.join(ready.select("id").withColumn("_ready", F.lit(True)), "id", "left")
-        .where(F.col("run_mode").isNotNull() | F.col("_ready") | (F.col("output_status") == "generated"))
-        .drop("_ready"),
-        previous,
-        required,
-        allow_backward=allow_backward,
+        jobs.join(waiting, "id", "left_anti"), previous, required, allow_backward=allow_backward
     )
     long_enough = modes.where(F.col("n_l2a_produced_since_last_init") >= required).join(
         jobs.select("id", F.col("measurement_date").alias("trigger_measurement")), "id"
@@ -269,7 +266,3 @@ def configure_optical(jobs: DataFrame, allow_backward: bool = True, required: in
     issued, replaced = series.backward_plan(jobs, long_enough.select("tile_id", "trigger_measurement"), required)
     return {"state": state, "modes": modes, "reissued": issued, "replaced": replaced}
 
-
-def previous_of(jobs: DataFrame, previous: DataFrame) -> DataFrame:
-    """Predecessor ids of the open jobs."""
-    return previous.join(jobs.select("id"), "id", "left_semi")
