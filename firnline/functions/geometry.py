@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firnline.functions import projections
 from firnline.schemas import RING
 
 
@@ -22,28 +23,31 @@ def _points(xs, ys) -> np.ndarray:
 
 
 def inside(points: np.ndarray, ring: np.ndarray) -> np.ndarray:
-    """Which points lie in the ring; its border counts as inside."""
-    if len(ring) < 3:
-        return np.zeros(len(points), bool)
-    a, b = ring, np.roll(ring, -1, axis=0)
-    px, py = points[:, :1], points[:, 1:]
-    cross = (b[:, 0] - a[:, 0]) * (py - a[:, 1]) - (b[:, 1] - a[:, 1]) * (px - a[:, 0])
+    """Which points lie in the ring; its border counts as inside.
+
+    Shapes ``(..., p, 2)`` and ``(..., r, 2)`` with equal leading dimensions, so
+    one call serves a single ring or a whole batch of rings.
+    """
+    if ring.shape[-2] < 3:
+        return np.zeros(points.shape[:-1], bool)
+    a, b = ring[..., None, :, :], np.roll(ring, -1, axis=-2)[..., None, :, :]
+    px, py = points[..., :, None, 0], points[..., :, None, 1]
+    ax, ay, bx, by = a[..., 0], a[..., 1], b[..., 0], b[..., 1]
+    cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
     between = (
-        (px >= np.minimum(a[:, 0], b[:, 0]))
-        & (px <= np.maximum(a[:, 0], b[:, 0]))
-        & (py >= np.minimum(a[:, 1], b[:, 1]))
-        & (py <= np.maximum(a[:, 1], b[:, 1]))
+        (px >= np.minimum(ax, bx)) & (px <= np.maximum(ax, bx)) & (py >= np.minimum(ay, by)) & (py <= np.maximum(ay, by))
     )
-    on_border = ((cross == 0) & between).any(axis=1)
-    spans = (a[:, 1] > py) != (b[:, 1] > py)
-    to_right = np.where(b[:, 1] > a[:, 1], cross > 0, cross < 0)
-    return on_border | ((spans & to_right).sum(axis=1) % 2 == 1)
+    on_border = ((cross == 0) & between).any(axis=-1)
+    spans = (ay > py) != (by > py)
+    to_right = np.where(by > ay, cross > 0, cross < 0)
+    return on_border | ((spans & to_right).sum(axis=-1) % 2 == 1)
 
 
-def segments_cross(p: np.ndarray, q: np.ndarray, closed_p: bool, closed_q: bool) -> bool:
-    """Whether any segment of one chain touches a segment of the other."""
-    a, b = (p, np.roll(p, -1, axis=0)) if closed_p else (p[:-1], p[1:])
-    c, d = (q, np.roll(q, -1, axis=0)) if closed_q else (q[:-1], q[1:])
+def segments_cross(p: np.ndarray, q: np.ndarray, closed_p: bool, closed_q: bool) -> np.ndarray:
+    """Whether any segment of one chain touches a segment of the other (batched
+    like :func:`inside`)."""
+    a, b = (p, np.roll(p, -1, axis=-2)) if closed_p else (p[..., :-1, :], p[..., 1:, :])
+    c, d = (q, np.roll(q, -1, axis=-2)) if closed_q else (q[..., :-1, :], q[..., 1:, :])
 
     def side(o, s, t):
         return np.sign(
@@ -51,20 +55,31 @@ def segments_cross(p: np.ndarray, q: np.ndarray, closed_p: bool, closed_q: bool)
             - (s[..., 1] - o[..., 1]) * (t[..., 0] - o[..., 0])
         )
 
-    a, b = a[:, None, :], b[:, None, :]
-    c, d = c[None, :, :], d[None, :, :]
+    a, b = a[..., :, None, :], b[..., :, None, :]
+    c, d = c[..., None, :, :], d[..., None, :, :]
     s1, s2 = side(a, b, c), side(a, b, d)
     s3, s4 = side(c, d, a), side(c, d, b)
     overlap = (
         (np.minimum(a, b) <= np.maximum(c, d)) & (np.minimum(c, d) <= np.maximum(a, b))
     ).all(axis=-1)
-    return bool(((s1 * s2 <= 0) & (s3 * s4 <= 0) & overlap).any())
+    return ((s1 * s2 <= 0) & (s3 * s4 <= 0) & overlap).any(axis=(-2, -1))
 
 
-def touches(p: np.ndarray, q: np.ndarray) -> bool:
-    if segments_cross(p, q, len(p) > 2, len(q) > 2):
-        return True
-    return bool(inside(p[:1], q)[0] or inside(q[:1], p)[0])
+def touches(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether two geometries share a point (batched)."""
+    crossing = segments_cross(p, q, p.shape[-2] > 2, q.shape[-2] > 2)
+    return crossing | inside(p[..., :1, :], q)[..., 0] | inside(q[..., :1, :], p)[..., 0]
+
+
+def _batches(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series):
+    """Row numbers and stacked rings of rows with equal vertex counts."""
+    rings_a = [_points(x, y) for x, y in zip(ax, ay)]
+    rings_b = [_points(x, y) for x, y in zip(bx, by)]
+    groups: dict[tuple[int, int], list[int]] = {}
+    for i, (a, b) in enumerate(zip(rings_a, rings_b)):
+        groups.setdefault((len(a), len(b)), []).append(i)
+    for rows in groups.values():
+        yield np.array(rows), np.stack([rings_a[i] for i in rows]), np.stack([rings_b[i] for i in rows])
 
 
 def clip_convex(subject: np.ndarray, window: np.ndarray) -> np.ndarray:
@@ -87,11 +102,12 @@ def clip_convex(subject: np.ndarray, window: np.ndarray) -> np.ndarray:
     return out
 
 
-def ring_area(ring: np.ndarray) -> float:
-    if len(ring) < 3:
-        return 0.0
-    x, y = ring[:, 0] - ring[0, 0], ring[:, 1] - ring[0, 1]
-    return float(abs(np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y)) / 2)
+def ring_area(ring: np.ndarray) -> np.ndarray:
+    """Area of one ring or of a batch of rings."""
+    if ring.shape[-2] < 3:
+        return np.zeros(ring.shape[:-2])
+    x, y = ring[..., 0] - ring[..., :1, 0], ring[..., 1] - ring[..., :1, 1]
+    return np.abs(np.sum(x * np.roll(y, -1, axis=-1) - np.roll(x, -1, axis=-1) * y, axis=-1)) / 2
 
 
 def convex_hull(points: np.ndarray) -> np.ndarray:
@@ -117,18 +133,22 @@ def convex_hull(points: np.ndarray) -> np.ndarray:
 
 @F.pandas_udf(T.BooleanType())
 def rings_intersect(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
-    return pd.Series(
-        [touches(_points(a, b), _points(c, d)) for a, b, c, d in zip(ax, ay, bx, by)], dtype=bool
-    )
+    out = np.zeros(len(ax), bool)
+    for rows, p, q in _batches(ax, ay, bx, by):
+        out[rows] = touches(p, q)
+    return pd.Series(out)
 
 
 @F.pandas_udf(T.DoubleType())
 def overlap_with_convex(ax: pd.Series, ay: pd.Series, wx: pd.Series, wy: pd.Series) -> pd.Series:
-    """Area of a ring within a convex window."""
-    return pd.Series(
-        [ring_area(clip_convex(_points(a, b), _points(c, d))) for a, b, c, d in zip(ax, ay, wx, wy)],
-        dtype=float,
-    )
+    """Area of a ring within a convex window; only rings leaving it are clipped."""
+    out = np.zeros(len(ax), float)
+    for rows, p, w in _batches(ax, ay, wx, wy):
+        out[rows] = ring_area(p)
+        leaves = ~inside(p, w).all(axis=-1)
+        for k in np.flatnonzero(leaves):
+            out[rows[k]] = ring_area(clip_convex(p[k], w[k]))
+    return pd.Series(out)
 
 
 @F.pandas_udf(RING)
@@ -141,12 +161,40 @@ def clipped_ring(ax: pd.Series, ay: pd.Series, wx: pd.Series, wy: pd.Series) ->
     )
 
 
-@F.pandas_udf(T.BooleanType())
-def point_in_ring(px: pd.Series, py: pd.Series, rx: pd.Series, ry: pd.Series) -> pd.Series:
+@F.pandas_udf(T.DoubleType())
+def overlap_in_utm(ax: pd.Series, ay: pd.Series, wx: pd.Series, wy: pd.Series, epsg: pd.Series) -> pd.Series:
+    """Square metres shared by a ring and a convex window given in degrees,
+    measured in the UTM zone of ``epsg``."""
+
+    def flat(xs, ys, zone: int) -> np.ndarray:
+        pts = _points(xs, ys)
+        return np.column_stack(projections.utm_forward(np, pts[:, 0], pts[:, 1], zone))
+
     return pd.Series(
         [
-            bool(inside(np.array([[x, y]], float), _points(a, b))[0])
-            for x, y, a, b in zip(px, py, rx, ry)
+            float(ring_area(clip_convex(flat(a, b, e), flat(c, d, e))))
+            for a, b, c, d, e in zip(ax, ay, wx, wy, epsg)
         ],
-        dtype=bool,
+        dtype=float,
     )
+
+
+def utm_box_ring(points_per_edge: int, laea: bool):
+    """Ring of a UTM box with extra points on its edges, in degrees or on the
+    European equal-area grid."""
+
+    @F.pandas_udf(RING)
+    def ring(ulx: pd.Series, uly: pd.Series, lrx: pd.Series, lry: pd.Series, epsg: pd.Series) -> pd.Series:
+        step = np.arange(points_per_edge) / points_per_edge
+        out = []
+        for x0, y1, x1, y0, zone in zip(ulx, uly, lrx, lry, epsg):
+            xs, ys = np.array([x0, x1, x1, x0]), np.array([y0, y0, y1, y1])
+            px = (xs[:, None] + (np.roll(xs, -1) - xs)[:, None] * step).ravel()
+            py = (ys[:, None] + (np.roll(ys, -1) - ys)[:, None] * step).ravel()
+            x, y = projections.utm_inverse(np, px, py, zone)
+            if laea:
+                x, y = projections.laea_forward(np, x, y)
+            out.append([{"x": float(u), "y": float(v)} for u, v in zip(x, y)])
+        return pd.Series(out)
+
+    return ring

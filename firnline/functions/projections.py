@@ -46,126 +46,110 @@ def utm_zone(lon: Column) -> Column:
     return F.least(F.lit(60), F.floor((lon + F.lit(180.0)) / F.lit(6.0)) + F.lit(1))
 
 
-def _central_meridian(epsg: Column) -> Column:
-    return F.radians((epsg % F.lit(100)) * F.lit(6.0) - F.lit(183.0))
+# The formulas take the function set as a parameter: ``pyspark.sql.functions``
+# for columns, ``numpy`` for whole arrays of pixels inside a task.
+def _zone_offsets(m, epsg):
+    """Central meridian in radians and false northing of 326zz / 327zz."""
+    return m.radians((epsg % 100) * 6.0 - 183.0), (m.floor((epsg % 1000) / 100) - 6.0) * UTM_FALSE_NORTHING_SOUTH
 
 
-def _false_northing(epsg: Column) -> Column:
-    return F.when(epsg >= 32700, F.lit(UTM_FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
-
-
-def lonlat_to_utm(lon: Column, lat: Column, epsg: Column) -> Column:
-    """Struct x, y in the UTM zone of ``epsg`` (326zz north, 327zz south)."""
-    phi = F.radians(lat)
-    lam = F.radians(lon) - _central_meridian(epsg)
+def utm_forward(m, lon, lat, epsg):
+    meridian, northing = _zone_offsets(m, epsg)
+    s = m.sin(m.radians(lat))
+    lam = m.radians(lon) - meridian
     c = 2 * math.sqrt(_N) / (1 + _N)
-    t = F.sinh(F.atanh(F.sin(phi)) - F.lit(c) * F.atanh(F.lit(c) * F.sin(phi)))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(F.lit(1.0) + t * t))
+    t = m.sinh(m.atanh(s) - c * m.atanh(c * s))
+    xi = m.atan2(t, m.cos(lam))
+    eta = m.atanh(m.sin(lam) / m.sqrt(1.0 + t * t))
     x, y = eta, xi
     for j, a in enumerate(_ALPHA, start=1):
-        x = x + F.lit(a) * F.cos(F.lit(2.0 * j) * xi) * F.sinh(F.lit(2.0 * j) * eta)
-        y = y + F.lit(a) * F.sin(F.lit(2.0 * j) * xi) * F.cosh(F.lit(2.0 * j) * eta)
-    scale = F.lit(UTM_SCALE * _RADIUS)
-    return F.struct(
-        (F.lit(UTM_FALSE_EASTING) + scale * x).alias("x"),
-        (_false_northing(epsg) + scale * y).alias("y"),
-    )
+        x = x + a * m.cos(2.0 * j * xi) * m.sinh(2.0 * j * eta)
+        y = y + a * m.sin(2.0 * j * xi) * m.cosh(2.0 * j * eta)
+    scale = UTM_SCALE * _RADIUS
+    return UTM_FALSE_EASTING + scale * x, northing + scale * y
 
 
-def utm_to_lonlat(x: Column, y: Column, epsg: Column) -> Column:
-    """Struct lon, lat in degrees."""
-    scale = F.lit(UTM_SCALE * _RADIUS)
-    xi = (y - _false_northing(epsg)) / scale
-    eta = (x - F.lit(UTM_FALSE_EASTING)) / scale
+def utm_inverse(m, x, y, epsg):
+    meridian, northing = _zone_offsets(m, epsg)
+    scale = UTM_SCALE * _RADIUS
+    xi = (y - northing) / scale
+    eta = (x - UTM_FALSE_EASTING) / scale
     xi2, eta2 = xi, eta
     for j, b in enumerate(_BETA, start=1):
-        xi2 = xi2 - F.lit(b) * F.sin(F.lit(2.0 * j) * xi) * F.cosh(F.lit(2.0 * j) * eta)
-        eta2 = eta2 - F.lit(b) * F.cos(F.lit(2.0 * j) * xi) * F.sinh(F.lit(2.0 * j) * eta)
-    chi = F.asin(F.sin(xi2) / F.cosh(eta2))
+        xi2 = xi2 - b * m.sin(2.0 * j * xi) * m.cosh(2.0 * j * eta)
+        eta2 = eta2 - b * m.cos(2.0 * j * xi) * m.sinh(2.0 * j * eta)
+    chi = m.asin(m.sin(xi2) / m.cosh(eta2))
     phi = chi
     for j, d in enumerate(_DELTA, start=1):
-        phi = phi + F.lit(d) * F.sin(F.lit(2.0 * j) * chi)
-    lam = _central_meridian(epsg) + F.atan2(F.sinh(eta2), F.cos(xi2))
-    return F.struct(F.degrees(lam).alias("lon"), F.degrees(phi).alias("lat"))
+        phi = phi + d * m.sin(2.0 * j * chi)
+    return m.degrees(meridian + m.atan2(m.sinh(eta2), m.cos(xi2))), m.degrees(phi)
 
 
 _E2 = GRS80_FLATTENING * (2 - GRS80_FLATTENING)
 _E = math.sqrt(_E2)
 
 
-def _authalic(sin_phi: float) -> float:
-    return (1 - _E2) * (
-        sin_phi / (1 - _E2 * sin_phi**2)
-        - math.log((1 - _E * sin_phi) / (1 + _E * sin_phi)) / (2 * _E)
-    )
+def _authalic(m, s):
+    return (1 - _E2) * (s / (1 - _E2 * s * s) - m.log((1 - _E * s) / (1 + _E * s)) / (2 * _E))
 
 
-_QP = _authalic(1.0)
+_QP = _authalic(math, 1.0)
 _RQ = SEMI_MAJOR * math.sqrt(_QP / 2)
 _SIN0 = math.sin(math.radians(LAEA_LAT0))
 _COS0 = math.cos(math.radians(LAEA_LAT0))
-_BETA0 = math.asin(_authalic(_SIN0) / _QP)
-_D = SEMI_MAJOR * _COS0 / math.sqrt(1 - _E2 * _SIN0**2) / (_RQ * math.cos(_BETA0))
+_BETA0 = math.asin(_authalic(math, _SIN0) / _QP)
+_SB0, _CB0 = math.sin(_BETA0), math.cos(_BETA0)
+_D = SEMI_MAJOR * _COS0 / math.sqrt(1 - _E2 * _SIN0**2) / (_RQ * _CB0)
+
+
+def laea_forward(m, lon, lat):
+    beta = m.asin(_authalic(m, m.sin(m.radians(lat))) / _QP)
+    lam = m.radians(lon - LAEA_LON0)
+    b = _RQ * m.sqrt(2.0 / (1.0 + _SB0 * m.sin(beta) + _CB0 * m.cos(beta) * m.cos(lam)))
+    x = b * _D * m.cos(beta) * m.sin(lam)
+    y = (b / _D) * (_CB0 * m.sin(beta) - _SB0 * m.cos(beta) * m.cos(lam))
+    return LAEA_FALSE_EASTING + x, LAEA_FALSE_NORTHING + y
+
+
+def laea_inverse(m, x, y):
+    dx, dy = x - LAEA_FALSE_EASTING, y - LAEA_FALSE_NORTHING
+    # the tiny term keeps the origin itself defined
+    rho = m.sqrt(dx * dx / _D**2 + dy * dy * _D**2 + 1e-18)
+    c = 2.0 * m.asin(rho / (2 * _RQ))
+    beta = m.asin(m.cos(c) * _SB0 + _D * dy * m.sin(c) * _CB0 / rho)
+    e2, e4, e6 = _E2, _E2**2, _E2**3
+    phi = (
+        beta
+        + (e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) * m.sin(2.0 * beta)
+        + (23 * e4 / 360 + 251 * e6 / 3780) * m.sin(4.0 * beta)
+        + (761 * e6 / 45360) * m.sin(6.0 * beta)
+    )
+    lam = m.atan2(dx * m.sin(c), _D * rho * _CB0 * m.cos(c) - _D**2 * dy * _SB0 * m.sin(c))
+    return LAEA_LON0 + m.degrees(lam), m.degrees(phi)
+
+
+def _pair(values: tuple[Column, Column], first: str, second: str) -> Column:
+    return F.struct(values[0].alias(first), values[1].alias(second))
+
+
+def lonlat_to_utm(lon: Column, lat: Column, epsg: Column) -> Column:
+    """Struct x, y in the UTM zone of ``epsg`` (326zz north, 327zz south)."""
+    return _pair(utm_forward(F, lon, lat, epsg), "x", "y")
+
+
+def utm_to_lonlat(x: Column, y: Column, epsg: Column) -> Column:
+    """Struct lon, lat in degrees."""
+    return _pair(utm_inverse(F, x, y, epsg), "lon", "lat")
 
 
 def lonlat_to_laea(lon: Column, lat: Column) -> Column:
     """Struct x, y on the European equal-area grid."""
-    s = F.sin(F.radians(lat))
-    q = F.lit(1 - _E2) * (
-        s / (F.lit(1.0) - F.lit(_E2) * s * s)
-        - F.log((F.lit(1.0) - F.lit(_E) * s) / (F.lit(1.0) + F.lit(_E) * s)) / F.lit(2 * _E)
-    )
-    beta = F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), q / F.lit(_QP))))
-    lam = F.radians(lon - F.lit(LAEA_LON0))
-    b = F.lit(_RQ) * F.sqrt(
-        F.lit(2.0)
-        / (
-            F.lit(1.0)
-            + F.lit(math.sin(_BETA0)) * F.sin(beta)
-            + F.lit(math.cos(_BETA0)) * F.cos(beta) * F.cos(lam)
-        )
-    )
-    x = b * F.lit(_D) * F.cos(beta) * F.sin(lam)
-    y = (b / F.lit(_D)) * (
-        F.lit(math.cos(_BETA0)) * F.sin(beta)
-        - F.lit(math.sin(_BETA0)) * F.cos(beta) * F.cos(lam)
-    )
-    return F.struct(
-        (F.lit(LAEA_FALSE_EASTING) + x).alias("x"), (F.lit(LAEA_FALSE_NORTHING) + y).alias("y")
-    )
+    return _pair(laea_forward(F, lon, lat), "x", "y")
 
 
 def laea_to_lonlat(x: Column, y: Column) -> Column:
     """Struct lon, lat in degrees."""
-    dx = x - F.lit(LAEA_FALSE_EASTING)
-    dy = y - F.lit(LAEA_FALSE_NORTHING)
-    rho = F.sqrt(F.pow(dx / F.lit(_D), F.lit(2.0)) + F.pow(F.lit(_D) * dy, F.lit(2.0)))
-    c = F.lit(2.0) * F.asin(rho / F.lit(2 * _RQ))
-    origin = rho < F.lit(1e-9)
-    beta = F.when(origin, F.lit(_BETA0)).otherwise(
-        F.asin(
-            F.cos(c) * F.lit(math.sin(_BETA0))
-            + F.lit(_D) * dy * F.sin(c) * F.lit(math.cos(_BETA0)) / rho
-        )
-    )
-    e2, e4, e6 = _E2, _E2**2, _E2**3
-    phi = (
-        beta
-        + F.lit(e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) * F.sin(F.lit(2.0) * beta)
-        + F.lit(23 * e4 / 360 + 251 * e6 / 3780) * F.sin(F.lit(4.0) * beta)
-        + F.lit(761 * e6 / 45360) * F.sin(F.lit(6.0) * beta)
-    )
-    lam = F.when(origin, F.lit(0.0)).otherwise(
-        F.atan2(
-            dx * F.sin(c),
-            F.lit(_D) * rho * F.lit(math.cos(_BETA0)) * F.cos(c)
-            - F.lit(_D**2) * dy * F.lit(math.sin(_BETA0)) * F.sin(c),
-        )
-    )
-    return F.struct(
-        (F.lit(LAEA_LON0) + F.degrees(lam)).alias("lon"), F.degrees(phi).alias("lat")
-    )
+    return _pair(laea_inverse(F, x, y), "lon", "lat")
 
 
 def densify(ring: Column, points_per_edge: int) -> Column:

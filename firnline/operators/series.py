@@ -23,7 +23,9 @@ US = 1_000_000
 # --- previous usable job ---------------------------------------------------------
 # Rows of one ordered pass: candidates (side 0) and asking rows (side 1).
 _LINE = ["tile_id", "rule", "chunk", "m", "side", "c", "chg", "id", "source"]
-_FOUND = "tile_id string, rule int, chunk long, id long, m long, c long, source string, prev_id long, prev_m long"
+_FOUND = (
+    "tile_id string, rule int, chunk long, kind int, id long, m long, c long, source string, prev_id long, prev_m long"
+)
 _MOVED = "tile_id string, rule int, chunk long, id long, m long, c long, source string"
 _FAR = (1 << 63) - 1
 
@@ -56,19 +58,29 @@ def _append(low: list, link: list, created: int) -> None:
 
 
 def _within_chunk(key: tuple, rows: Iterable[tuple]) -> Iterator[tuple]:
-    """Answers asking rows from the candidates read so far."""
+    """Answers asking rows (kind 0) from the candidates read so far, and closes
+    with the chunk's two smallest creation times of different sources (kind 1)."""
     low: list = []
     link: list = []
     source_of: list = []
     seen: list = []
+    first, first_source, second = _FAR, None, _FAR
     for _, _, _, m, side, c, _, rid, source in rows:
         if side == 0:
             _append(low, link, c)
             source_of.append(source)
             seen.append((rid, m))
+            if source == first_source:
+                first = min(first, c)
+            elif c < first:
+                first, first_source, second = c, source, first
+            else:
+                second = min(second, c)
         else:
             j = _look_back(c, source, low, source_of, link, None)
-            yield (*key, rid, m, c, source, *(seen[j] if j >= 0 else (None, None)))
+            yield (*key, 0, rid, m, c, source, *(seen[j] if j >= 0 else (None, None)))
+    if low:
+        yield (*key, 1, 0, 0, first, first_source, second, None)
 
 
 def _across_chunks(key: tuple, rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -112,36 +124,21 @@ def latest_created_before(candidates: DataFrame, asking: DataFrame) -> DataFrame
         )
 
     zero = F.lit(0).cast("long")
-    where = ["tile_id", "rule", "chunk"]
     cand = rows(candidates, 0)
     own = answer(cand.unionByName(rows(asking, 1)))
-    per_source = cand.groupBy(*where, "source").agg(F.min("c").alias("c"))
-    best = per_source.groupBy(*where).agg(
-        F.min_by("source", F.struct("c", "source")).alias("source"), F.min("c").alias("c")
-    )
-    other = (
-        per_source.alias("p")
-        .join(best.alias("b"), where)
-        .where(F.col("p.source") != F.col("b.source"))
-        .groupBy(*where)
-        .agg(F.min("p.c").alias("chg"))
-    )
-    ends = best.join(other, where, "left").select(
-        *where, zero.alias("m"), F.lit(1).alias("side"), "c", F.coalesce("chg", F.lit(_FAR)).alias("chg"),
-        zero.alias("id"), "source",
-    )
-    still_open = own.where(F.col("prev_id").isNull()).select(
-        *where, "m", F.lit(0).alias("side"), "c", zero.alias("chg"), "id", "source"
-    )
-    moved = stream_groups(
-        ends.unionByName(still_open), ["tile_id", "rule"], ["chunk", "side", "m", "id"], _MOVED, _across_chunks
+    is_end = F.col("kind") == 1
+    line = own.where(is_end | F.col("prev_id").isNull()).select(
+        "tile_id", "rule", "chunk", "m", F.col("kind").alias("side"), "c",
+        F.when(is_end, F.col("prev_id")).otherwise(zero).alias("chg"), "id", "source",
     )
+    moved = stream_groups(line, ["tile_id", "rule"], ["chunk", "side", "m", "id"], _MOVED, _across_chunks)
     later = answer(
         cand.unionByName(
             moved.withColumn("side", F.lit(1)).withColumn("chg", zero).select(*_LINE)
         )
     )
-    return own.unionByName(later).where(F.col("prev_id").isNotNull()).select("id", "prev_id", "prev_m")
+    answers = own.unionByName(later).where((F.col("kind") == 0) & F.col("prev_id").isNotNull())
+    return answers.select("id", "prev_id", "prev_m")
 
 
 def previous_usable(jobs: DataFrame, allow_codated: bool = False, asking: Column | None = None) -> DataFrame:

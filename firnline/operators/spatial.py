@@ -24,7 +24,9 @@ from firnline.functions.geometry import (
     inside,
     overlap_with_convex,
     rings_intersect,
+    utm_box_ring,
 )
+from firnline.scale import python_partitions
 
 SALTS = 8
 
@@ -281,16 +283,25 @@ def burn(polys: DataFrame, grid: DataFrame, cell: float) -> DataFrame:
 
     def rasterise(batches):
         for pdf in batches:
+            tiles, rows, cols, held = [], [], [], 0
             for t in pdf.itertuples(index=False):
                 rr, cc = np.meshgrid(np.arange(t.r0, t.r1 + 1), np.arange(t.c0, t.c1 + 1), indexing="ij")
                 centres = np.column_stack(
                     [t.ulx + (cc.ravel() + 0.5) * t.size, t.uly - (rr.ravel() + 0.5) * t.size]
                 )
                 hit = inside(centres, np.column_stack([t.xs, t.ys]))
-                yield pd.DataFrame({"tile_id": t.tile_id, "row": rr.ravel()[hit], "col": cc.ravel()[hit]})
+                rows.append(rr.ravel()[hit])
+                cols.append(cc.ravel()[hit])
+                tiles.append(np.full(len(rows[-1]), t.tile_id))
+                held += len(rows[-1])
+                if held > 500_000:
+                    yield pd.DataFrame({"tile_id": np.concatenate(tiles), "row": np.concatenate(rows), "col": np.concatenate(cols)})
+                    tiles, rows, cols, held = [], [], [], 0
+            if rows:
+                yield pd.DataFrame({"tile_id": np.concatenate(tiles), "row": np.concatenate(rows), "col": np.concatenate(cols)})
 
     tile_type = grid.schema["tile_id"].dataType.simpleString()
-    spread = blocks.repartition("tile_id", "r0", "c0")
+    spread = blocks.repartition(python_partitions(blocks), "tile_id", "r0", "c0", "xs")
     return (
         spread.mapInPandas(rasterise, f"tile_id {tile_type}, row int, col int")
         .distinct()
@@ -392,27 +403,15 @@ def aoi_cover(tiles: DataFrame, step: float = 1.0, split: float = 5.0) -> DataFr
 
 # --- reprojection ----------------------------------------------------------------------
 def tile_ring_lonlat(tiles: DataFrame, points_per_edge: int = 1) -> DataFrame:
-    """Tile corners of a UTM grid as a densified ring in degrees."""
-    corner = box_ring(F.col("ulx"), F.col("lry"), F.col("lrx"), F.col("uly"))
-    dense = P.densify(corner, points_per_edge)
-    ring = F.transform(
-        dense,
-        lambda p: F.struct(
-            P.utm_to_lonlat(p["x"], p["y"], F.col("epsg"))["lon"].alias("x"),
-            P.utm_to_lonlat(p["x"], p["y"], F.col("epsg"))["lat"].alias("y"),
-        ),
-    )
-    return tiles.withColumn("ring", ring)
+    """Tile outline of a UTM grid as a densified ring in degrees."""
+    ring = utm_box_ring(points_per_edge, laea=False)
+    return tiles.withColumn("ring", ring("ulx", "uly", "lrx", "lry", "epsg"))
 
 
 def tile_ring_laea(tiles: DataFrame, points_per_edge: int = 1) -> DataFrame:
-    """The same ring on the European equal-area grid."""
-    lonlat = tile_ring_lonlat(tiles, points_per_edge)
-    ring = F.transform(
-        F.col("ring"),
-        lambda p: P.lonlat_to_laea(p["x"], p["y"]),
-    )
-    return lonlat.withColumn("ring", ring)
+    """The same outline on the European equal-area grid."""
+    ring = utm_box_ring(points_per_edge, laea=True)
+    return tiles.withColumn("ring", ring("ulx", "uly", "lrx", "lry", "epsg"))
 
 
 def target_sources(targets: DataFrame, sources: DataFrame, cell: float = 200_000.0, points_per_edge: int = 10) -> DataFrame:
@@ -420,30 +419,73 @@ def target_sources(targets: DataFrame, sources: DataFrame, cell: float = 200_000
 
     ``targets``: ``target_id`` and a LAEA ``ring``; ``sources``: tile grid.
     """
-    s = tile_ring_laea(sources, points_per_edge).select("tile_id", "epsg", "ulx", "uly", "ring")
-    return intersecting(targets, s, cell).select(
+    s = tile_ring_laea(sources, points_per_edge).select("tile_id", "epsg", "ulx", "uly", "lrx", "lry", "ring")
+    return intersecting(targets.select("target_id", "ring"), s, cell).select(
         F.col("a_target_id").alias("target_id"), F.col("b_tile_id").alias("tile_id"),
-        F.col("b_epsg").alias("epsg"), F.col("b_ulx").alias("ulx"), F.col("b_uly").alias("uly"),
+        *[F.col(f"b_{c}").alias(c) for c in ("epsg", "ulx", "uly", "lrx", "lry")],
     )
 
 
+def target_pixels(targets: DataFrame, size: float) -> DataFrame:
+    """Pixel centres of equal-area grids; the other columns are kept.
+
+    ``targets``: ``target_id, t_ulx, t_uly`` or ``ulx, uly``, with ``nrows,
+    ncols``.  Grid rows are spread over the tasks before columns are added.
+    """
+    ulx, uly = (f"t_{c}" if f"t_{c}" in targets.columns else c for c in ("ulx", "uly"))
+    lines = targets.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("nrows") - 1)))
+    lines = lines.repartition(python_partitions(targets), "target_id", "row")
+    cells = lines.withColumn("col", F.explode(F.sequence(F.lit(0), F.col("ncols") - 1)))
+    centre = P.pixel_centre(F.col("row"), F.col("col"), F.col(ulx), F.col(uly), F.lit(float(size)))
+    return cells.withColumn("x", centre["x"]).withColumn("y", centre["y"]).drop("nrows", "ncols", "ring")
+
+
 def regrid_nearest(
-    target_pixels: DataFrame, source_pixels: DataFrame, pairs: DataFrame, size: float
+    targets: DataFrame, source_pixels: DataFrame, pairs: DataFrame, source_size: float, target_size: float
 ) -> DataFrame:
     """Nearest source pixel of each target pixel centre.
 
-    ``target_pixels``: ``target_id, row, col, x, y`` (LAEA centre).  ``pairs``:
-    output of :func:`target_sources`.  One row per target pixel and source tile
-    that covers it.
+    ``targets``: ``target_id, ulx, uly, nrows, ncols``; ``pairs``: output of
+    :func:`target_sources`.  The small pair table is joined first; one grid line
+    at a time is then projected as an array, so the only large shuffle is the one
+    on the source pixel.
     """
-    # each target pixel meets the few sources of its target
-    t = target_pixels.join(pairs, "target_id")
-    lonlat = P.laea_to_lonlat(F.col("x"), F.col("y"))
-    t = t.withColumn("_ll", lonlat)
-    t = t.withColumn("_xy", P.lonlat_to_utm(F.col("_ll.lon"), F.col("_ll.lat"), F.col("epsg")))
-    index = P.pixel_index(F.col("_xy.x"), F.col("_xy.y"), F.col("ulx"), F.col("uly"), F.lit(float(size)))
-    t = t.withColumn("_i", index).select(
-        "target_id", F.col("row").alias("target_row"), F.col("col").alias("target_col"), "tile_id",
-        F.col("_i.row").alias("row"), F.col("_i.col").alias("col"),
+    grids = targets.select(
+        "target_id", F.col("ulx").alias("t_ulx"), F.col("uly").alias("t_uly"), "nrows", "ncols"
+    )
+    lines = (
+        pairs.join(grids, "target_id")
+        .withColumn("target_row", F.explode(F.sequence(F.lit(0), F.col("nrows") - 1)))
+        .repartition(python_partitions(targets), "target_id", "tile_id", "target_row")
+    )
+
+    def project(batches):
+        for pdf in batches:
+            made = []
+            for t in pdf.itertuples(index=False):
+                col = np.arange(t.ncols)
+                lon, lat = P.laea_inverse(
+                    np, t.t_ulx + (col + 0.5) * target_size, np.full(t.ncols, t.t_uly - (t.target_row + 0.5) * target_size)
+                )
+                x, y = P.utm_forward(np, lon, lat, t.epsg)
+                ok = (x >= t.ulx) & (x < t.lrx) & (y <= t.uly) & (y > t.lry)
+                n = int(ok.sum())
+                if n:
+                    made.append(
+                        pd.DataFrame(
+                            {
+                                "target_id": [t.target_id] * n, "tile_id": [t.tile_id] * n,
+                                "target_row": np.full(n, t.target_row), "target_col": col[ok],
+                                "row": np.floor((t.uly - y[ok]) / source_size).astype("int32"),
+                                "col": np.floor((x[ok] - t.ulx) / source_size).astype("int32"),
+                            }
+                        )
+                    )
+            if made:
+                yield pd.concat(made, ignore_index=True)
+
+    kind = {c: pairs.schema[c].dataType.simpleString() for c in ("target_id", "tile_id")}
+    schema = (
+        f"target_id {kind['target_id']}, tile_id {kind['tile_id']}, target_row int, target_col int, row int, col int"
     )
-    return t.join(source_pixels, ["tile_id", "row", "col"])
+    return lines.mapInPandas(project, schema).join(source_pixels, ["tile_id", "row", "col"])

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firnline import codes
-from firnline.functions.geometry import overlap_with_convex
+from firnline.functions.geometry import overlap_in_utm
 from firnline.functions.ids import id_token
-from firnline.functions.projections import lonlat_to_utm
 from firnline.functions.rules import priority
 from firnline.operators import products as pr
 from firnline.operators import series, slices, spatial
 from firnline.operators.filters import split_reprocessed
 from firnline.scale import earliest_by, epoch_us
+from firnline.session import cut_lineage
 
 OPTICAL_TYPE = "FSC"  # fixed value: product type of the optical snow product
 
@@ -129,12 +129,15 @@ def plan_wet_snow(
     """
     lines = spatial.border_lines(slices.duplicate_slices(acquisitions))
     slices_ok = lines.where("valid").drop("valid")
-    meets = spatial.intersecting(slices_ok.select("product_id", "ring"), tiles, cell).select(
-        F.col("a_product_id").alias("product_id"), F.col("b_tile_id").alias("tile_id"), F.col("b_epsg").alias("epsg")
+    # two narrow tables many steps read: kept once in the shared folder
+    meets = cut_lineage(
+        spatial.intersecting(slices_ok.select("product_id", "ring"), tiles, cell).select(
+            F.col("a_product_id").alias("product_id"), F.col("b_tile_id").alias("tile_id"), F.col("b_epsg").alias("epsg")
+        )
     )
     parts = slices.assemble_slices(slices.stripes(slices_ok, meets))
     names = slices.assembly_names(parts, slices_ok)
-    keyed = parts.join(names, ["stripe_id", "assembly_no"])
+    keyed = cut_lineage(parts.join(names, ["stripe_id", "assembly_no"]))
 
     # tiles of every part, minus those crossing a border line of their part
     part_tiles = (
@@ -158,9 +161,6 @@ def plan_wet_snow(
     ).select("assembly_id", "tile_id").distinct()
 
     # overlap in metres over all slices of the assembly meeting the tile
-    def to_utm(ring: Column, epsg: Column) -> Column:
-        return F.transform(ring, lambda p: lonlat_to_utm(p["x"], p["y"], epsg))
-
     source = slices_ok.select("product_id", F.col("ring").alias("_slice"), "start_ts", "stop_ts", "published", "rel_orbit", "platform", "take_id")
     members = keyed.select("assembly_id", "product_id").distinct()
     pairs = (
@@ -169,10 +169,9 @@ def plan_wet_snow(
         .join(source, "product_id")
         .join(tiles.select("tile_id", F.col("ring").alias("_tile")), "tile_id")
     )
-    a, b = to_utm(F.col("_slice"), F.col("epsg")), to_utm(F.col("_tile"), F.col("epsg"))
+    a, b = F.col("_slice"), F.col("_tile")
     grouped = (
-        pairs.withColumn("_a", a).withColumn("_b", b)
-        .withColumn("area", overlap_with_convex(F.col("_a")["x"], F.col("_a")["y"], F.col("_b")["x"], F.col("_b")["y"]))
+        pairs.withColumn("area", overlap_in_utm(a["x"], a["y"], b["x"], b["y"], F.col("epsg")))
         .groupBy("assembly_id", "tile_id", "platform", "take_id")
         .agg(
             F.sum("area").alias("area"), F.min("start_ts").alias("measurement_date"), F.max("stop_ts").alias("stop"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firnline import codes
-from firnline.functions import projections as P
+from firnline.functions.bits import set_bit
 from firnline.functions.quality import expert_flags, snow_quality
 from firnline.operators import pixels as px
 from firnline.operators import spatial
@@ -33,7 +33,6 @@ def gap_filled_day(
     water mask; ``previous``: earlier gap-filled pixels at the coarse size;
     ``obsolete``: product ids already inside ``previous``.
     """
-    keys = ["tile_id", "day", "row", "col"]
     day_col = F.lit(day).cast("date")
     if obsolete is not None:
         snow = drop_obsolete(snow, obsolete, ["product_id"])
@@ -44,18 +43,16 @@ def gap_filled_day(
         dated = df.withColumn("day", F.to_date("product_ts"))
         return dated.where((F.col("day") >= first_day) & (F.col("day") <= day_col))
 
-    coarse = px.upscale_layers(
-        in_window(snow), scale, ["tile_id", "day", "product_id"], carry=["product_ts", "acq_epoch"]
-    )
-    per_day = px.daily_fill(coarse, keys)
-    wet_day = px.daily_fill(
-        in_window(wet), keys, codes.WET_SNOW_GAPS, payload=("value", "qc", "acq_epoch")
-    )
-    filled = fill_days(per_day, wet_day, keys)
-    flagged = flag_days(filled, water, keys)
+    snow = in_window(snow)
+    if scale > 1:
+        snow = px.upscale_layers(snow, scale, ["tile_id", "day", "product_id"], carry=["product_ts", "acq_epoch"])
+    # From here on every step is keyed by the pixel or by pixel and day: placed by
+    # pixel once, the daily fill, the water join and the window fill move nothing.
+    daily = fill_days(snow, in_window(wet))
+    flagged = px.flag_water(daily, water.repartition(*px.PIXEL))
     # a day's own result is stamped at midnight, an earlier gap-filled product at its date
     stack = flagged.select(
-        "tile_id", "row", "col", F.col("day").cast("timestamp").alias("product_ts"),
+        *px.PIXEL, F.col("day").cast("timestamp").alias("product_ts"),
         F.concat(F.lit("day-"), F.col("day").cast("string")).alias("product_id"),
         "value", "qc", "flags", "acq_epoch",
     )
@@ -69,22 +66,45 @@ def gap_filled_day(
     }
 
 
-def fill_days(snow: DataFrame, wet: DataFrame, keys: list[str]) -> DataFrame:
-    """Wet-snow evidence into the daily gaps; a day with radar only starts empty."""
-    both = snow.select(*keys).unionByName(wet.select(*keys)).distinct()
-    base = both.join(snow, keys, "left").select(
-        *keys,
-        F.coalesce("value", F.lit(codes.NODATA)).alias("value"),
-        F.coalesce("qc", F.lit(codes.NODATA)).alias("qc"),
-        F.coalesce("flags", F.lit(0)).alias("flags"),
-        F.coalesce("acq_epoch", F.lit(0).cast("long")).alias("acq_epoch"),
-    )
-    return px.fill_from_wet(base, wet, keys)
+def fill_days(snow: DataFrame, wet: DataFrame) -> DataFrame:
+    """Daily fill of both sources, then wet-snow evidence into the snow gaps.
+
+    The sources are stacked and read by one aggregate per pixel and day; a day
+    with radar only starts from an empty snow layer.
+    """
+    keys = ["tile_id", "day", "row", "col"]
 
+    def tagged(df: DataFrame, radar: bool, flags: Column) -> DataFrame:
+        return df.select(
+            *keys, F.lit(radar).alias("radar"), "product_ts", F.col("product_id").cast("string").alias("product_id"),
+            F.col("value").cast("int").alias("value"), F.col("qc").cast("int").alias("qc"),
+            flags.cast("int").alias("flags"), F.col("acq_epoch").cast("long").alias("acq_epoch"),
+        )
 
-def flag_days(filled: DataFrame, water: DataFrame, keys: list[str]) -> DataFrame:
-    """Water bit from a mask without a day."""
-    return px.flag_water(filled, water, [k for k in keys if k != "day"])
+    rows = tagged(snow, False, F.col("flags")).unionByName(tagged(wet, True, F.lit(0)))
+    payload = F.struct("value", "qc", "flags", "acq_epoch")
+
+    def newest(radar: bool, gaps: tuple[int, ...]) -> Column:
+        valid = (~px.is_gap(F.col("value"), gaps)).cast("int")
+        mine = F.col("radar") if radar else ~F.col("radar")
+        return F.max_by(payload, F.when(mine, F.struct(valid, "product_ts", "product_id")))
+
+    both = rows.repartition(*px.PIXEL).groupBy(*keys).agg(
+        newest(False, codes.SNOW_GAPS).alias("_s"), newest(True, codes.WET_SNOW_GAPS).alias("_w")
+    )
+    empty = F.struct(
+        F.lit(codes.NODATA).alias("value"), F.lit(codes.NODATA).alias("qc"), F.lit(0).alias("flags"),
+        F.lit(0).cast("long").alias("acq_epoch"),
+    )
+    snow_px = F.coalesce(F.col("_s"), empty)
+    take = px.is_gap(snow_px["value"]) & F.coalesce(F.col("_w.value") == codes.WET, F.lit(False))
+    return both.select(
+        *keys,
+        F.when(take, F.lit(100)).otherwise(snow_px["value"]).alias("value"),
+        F.when(take, F.col("_w.qc")).otherwise(snow_px["qc"]).alias("qc"),
+        F.when(take, set_bit(snow_px["flags"], 6, F.lit(1))).otherwise(snow_px["flags"]).alias("flags"),
+        F.when(take, F.col("_w.acq_epoch")).otherwise(snow_px["acq_epoch"]).alias("acq_epoch"),
+    )
 
 
 def gap_fill_metadata(edges: DataFrame, result: DataFrame, extents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -184,30 +204,23 @@ def season_map(snow: DataFrame, start: Column, end: Column, strict: bool = True)
 
 
 def season_mosaic(
-    tiles_map: DataFrame, sources: DataFrame, target_pixels: DataFrame, targets: DataFrame, size: float = 20.0
+    tiles_map: DataFrame, sources: DataFrame, targets: DataFrame, source_size: float = 20.0, target_size: float = 20.0
 ) -> DataFrame:
     """Equal-area mosaic of the tile maps: 1 beats 0 beats nodata.
 
-    Target pixels no source covers come out as nodata.
+    ``targets``: ``target_id, ulx, uly, nrows, ncols`` and the LAEA ``ring``.
+    The empty target grid takes part as the weakest source, so pixels no tile
+    covers come out as nodata without a join back.
     """
-    pairs = spatial.target_sources(targets, sources)
-    hits = spatial.regrid_nearest(target_pixels, tiles_map, pairs, size)
+    pairs = spatial.target_sources(targets.select("target_id", "ring"), sources)
+    hits = spatial.regrid_nearest(targets, tiles_map, pairs, source_size, target_size)
     ordered = hits.select(
         "target_id", F.col("target_row").alias("row"), F.col("target_col").alias("col"), "value", "qc",
         # sources are taken in the order of their names
         F.conv(F.hex(F.col("tile_id").cast("string")), 16, 10).cast("long").alias("source_order"),
     )
-    merged = px.mosaic(ordered, keys=("target_id", "row", "col"))
-    return target_pixels.select("target_id", "row", "col").join(merged, ["target_id", "row", "col"], "left").select(
-        "target_id", "row", "col",
-        F.coalesce("value", F.lit(codes.NODATA)).alias("value"),
-        F.coalesce("qc", F.lit(codes.NODATA)).alias("qc"),
+    nodata = spatial.target_pixels(targets, target_size).select(
+        "target_id", "row", "col", F.lit(codes.NODATA).alias("value"), F.lit(codes.NODATA).alias("qc"),
+        F.lit(-1).cast("long").alias("source_order"),
     )
-
-
-def target_pixel_grid(targets: DataFrame, size: float) -> DataFrame:
-    """Pixel centres of equal-area targets (``target_id, ulx, uly, nrows, ncols``)."""
-    rows = targets.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("nrows") - 1)))
-    cells = rows.withColumn("col", F.explode(F.sequence(F.lit(0), F.col("ncols") - 1)))
-    centre = P.pixel_centre(F.col("row"), F.col("col"), F.col("ulx"), F.col("uly"), F.lit(float(size)))
-    return cells.select("target_id", "row", "col", centre["x"].alias("x"), centre["y"].alias("y"))
+    return px.mosaic(ordered.unionByName(nodata), keys=("target_id", "row", "col"))

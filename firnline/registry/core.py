@@ -30,6 +30,13 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for work that is heavy per row: one small file is one task, so
+        it is spread over the cores; a table of many files is left alone."""
+        df = self.raw(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     def events(self) -> DataFrame:
         return self.raw("events").withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -116,7 +123,7 @@ class Tables:
         """Footprints: one square per part."""
         x, y = F.col("p_partkey") % 50, F.col("p_size")
         side = 1 + F.col("p_partkey") % 3
-        return self.raw("part").select(
+        return self.spread("part").select(
             F.col("p_partkey").alias("id"),
             x.cast("double").alias("x0"), y.cast("double").alias("y0"), side.cast("double").alias("side"),
             box_ring(x, y, x + side, y + side).alias("ring"),

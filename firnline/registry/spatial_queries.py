@@ -197,7 +197,6 @@ def target_sources(t: Tables):
 def season_mosaic(t: Tables):
     """JOB-4 and JOB-12: persistent snow regridded and merged on the target grid"""
     from firnline.plans.snow import season_mosaic as merge
-    from firnline.plans.snow import target_pixel_grid
 
     v = t.volume_pixels()
     snow = v.select(
@@ -205,9 +204,7 @@ def season_mosaic(t: Tables):
         (F.col("product_id") % 90).cast("int").alias("row"), (F.col("row") * 10 + F.col("col")).cast("int").alias("col"), "value",
     )
     tiles_map = px.persistent_snow(snow)
-    targets = _laea_targets(t)
-    grid = target_pixel_grid(targets, 50.0)
-    return merge(tiles_map, _utm_tiles(t), grid, targets.select("target_id", "ring"))
+    return merge(tiles_map, _utm_tiles(t), _laea_targets(t), 20.0, 50.0)
 
 
 @query("plan_wet_snow")

@@ -153,6 +153,12 @@ def distinct_days(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     return df.select(*keys, day).distinct()
 
 
+def python_partitions(df: DataFrame) -> int:
+    """Partitions for work done in Python: as configured, because merging small
+    ones by their bytes would leave few tasks for work heavy per row."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stream_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -186,4 +192,5 @@ def stream_groups(
         if out:
             yield pd.DataFrame(out, columns=names)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    spread = df.repartition(python_partitions(df), *keys)
+    return spread.sortWithinPartitions(*keys, *order).mapInPandas(run, schema)

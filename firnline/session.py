@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Tables placed by pixel may be joined by pixel and day without moving again.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

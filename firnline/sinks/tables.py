@@ -9,21 +9,19 @@ from pyspark.sql import functions as F
 
 from firnline.functions.ids import preview_path
 from firnline.functions.times import packed_day
+from firnline.scale import carry, epoch_us, time_chunk
 from firnline.sources.catalogue import ring_wkt
 
 
 # --- layers and products -----------------------------------------------------
-def write_pixels(df: DataFrame, root: str, rows_per_file: int = 20_000_000, salts: int = 1) -> None:
+def write_pixels(df: DataFrame, root: str, rows_per_file: int = 20_000_000) -> None:
     """Layers partitioned by tile and day.
 
-    Rows are gathered per (tile, day) before writing, so a partition gets a few
-    files; ``salts`` spreads a partition too large for one task.
+    Rebalancing gathers each (tile, day) into few files, and lets the runtime
+    split one that is too large for a task and merge small ones.
     """
-    salt = F.pmod(F.xxhash64("row", "col"), F.lit(salts))
     (
-        df.withColumn("_salt", salt)
-        .repartition("tile_id", "day", "_salt")
-        .drop("_salt")
+        df.hint("rebalance", F.col("tile_id"), F.col("day"))
         .sortWithinPartitions("tile_id", "day", "row", "col")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", rows_per_file)
@@ -38,7 +36,7 @@ def write_products(df: DataFrame, root: str, date: str = "measurement_date") ->
         df.withColumn("year", F.year(date))
         .withColumn("month", F.month(date))
         .withColumn("day", F.dayofmonth(date))
-        .repartition("year", "month", "day", F.pmod(F.xxhash64("product_id"), F.lit(4)))
+        .hint("rebalance", F.col("year"), F.col("month"), F.col("day"))
         .write.mode("overwrite")
         .partitionBy("year", "month", "day")
         .parquet(root)
@@ -159,14 +157,10 @@ def clear_family(tables: dict[str, DataFrame], family: str) -> dict[str, DataFra
 
 
 def param_history(changes: DataFrame, key: Sequence[str] = (), time: str = "time") -> DataFrame:
-    """Parameter versions with the time each stopped being valid.
-
-    Parameter changes are made by hand: the history of a key is small.
-    """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*key).orderBy(time)
-    return changes.withColumn("valid_to", F.lead(time).over(w)).withColumnRenamed(time, "valid_from")
+    """Parameter versions with the time each stopped being valid."""
+    line = changes.withColumn("_us", epoch_us(time))
+    out = carry(line, list(key), time_chunk(time, 30 * 86400), ["_us"], F.col(time), "valid_to", backward=True)
+    return out.drop("_us").withColumnRenamed(time, "valid_from")
 
 
 def params_at(history: DataFrame, at: Column) -> DataFrame:

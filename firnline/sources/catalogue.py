@@ -15,31 +15,30 @@ from firnline.schemas import FEATURE_PAGE
 _TIME = "yyyyMMdd'T'HHmmss"
 
 
-def _token(name: Column, pattern: str, group: int) -> Column:
-    value = F.regexp_extract(name, pattern, group)
-    return F.when(value != "", value)
-
-
 def catalogue_from_paths(paths: DataFrame, path: str = "path") -> tuple[DataFrame, DataFrame]:
     """Typed catalogue rows, and the paths whose name fits no known pattern.
 
     Three name families: optical scenes, radar scenes, snow and ice products.
-    A name that fits but holds an impossible date is rejected too.
+    A name that fits but holds an impossible date is rejected too.  The pattern
+    only decides the family; the fields then come from one split of the name.
     """
-    name = base_name(F.col(path))
-    opt, rad, prod = codes.OPTICAL_SCENE, codes.RADAR_SCENE, codes.SNOW_ICE_PRODUCT
+    named = paths.withColumn("name", base_name(F.col(path)))
+    n = F.col("name")
     kind = (
-        F.when(name.rlike(opt), "optical_scene")
-        .when(name.rlike(rad), "radar_scene")
-        .when(name.rlike(prod), "product")
-    )
-    start = (
-        F.when(F.col("kind") == "optical_scene", F.try_to_timestamp(_token(F.col("name"), opt, 4), F.lit(_TIME)))
-        .when(F.col("kind") == "radar_scene", F.try_to_timestamp(_token(F.col("name"), rad, 8), F.lit(_TIME)))
-        .otherwise(id_time(F.col("name")))
+        F.when(n.rlike(codes.OPTICAL_SCENE), "optical_scene")
+        .when(n.rlike(codes.RADAR_SCENE), "radar_scene")
+        .when(n.rlike(codes.SNOW_ICE_PRODUCT), "product")
     )
+    cut = named.select(
+        *paths.columns,
+        kind.alias("kind"),
+        F.regexp_replace(n, r"(?i)\.SAFE$", "").alias("product_id"),
+    ).withColumn("t", F.split("product_id", "_"))
 
-    def by_kind(optical: Column | None, radar: Column | None, product: Column | None) -> Column:
+    def token(i: int) -> Column:
+        return F.get("t", F.lit(i))
+
+    def by_kind(optical: Column | None = None, radar: Column | None = None, product: Column | None = None) -> Column:
         none = F.lit(None).cast("string")
         return (
             F.when(F.col("kind") == "optical_scene", none if optical is None else optical)
@@ -47,37 +46,30 @@ def catalogue_from_paths(paths: DataFrame, path: str = "path") -> tuple[DataFram
             .when(F.col("kind") == "product", none if product is None else product)
         )
 
-    n = F.col("name")
-    rows = (
-        paths.withColumn("name", name)
-        .withColumn("kind", kind)
-        .select(
-            *paths.columns,
-            "kind",
-            F.regexp_replace("name", r"\.SAFE$", "").alias("product_id"),
-            by_kind(
-                F.concat(_token(n, opt, 2), _token(n, opt, 3)),
-                F.concat(_token(n, rad, 2), F.lit("_"), _token(n, rad, 3), _token(n, rad, 4)),
-                _token(n, prod, 1),
-            ).alias("product_type"),
-            by_kind(_token(n, opt, 1), _token(n, rad, 1), _token(n, prod, 3)).alias("mission"),
-            start.alias("sensing_start"),
-            F.when(
-                F.col("kind") == "radar_scene", F.try_to_timestamp(_token(n, rad, 9), F.lit(_TIME))
-            ).alias("sensing_stop"),
-            by_kind(_token(n, opt, 7), None, _token(n, prod, 4)).alias("tile_id"),
-            by_kind(_token(n, opt, 6), _token(n, rad, 10), None).alias("orbit"),
-            by_kind(_token(n, opt, 5), None, _token(n, prod, 5)).alias("version"),
-            by_kind(None, _token(n, rad, 2), _token(n, prod, 6)).alias("mode"),
-            by_kind(None, _token(n, rad, 7), None).alias("polarisation"),
-            by_kind(None, _token(n, rad, 11), None).alias("take_id"),
-            by_kind(_token(n, opt, 8), _token(n, rad, 12), None).alias("discriminator"),
-        )
+    def time(text: Column) -> Column:
+        return F.try_to_timestamp(text, F.lit(_TIME))
+
+    rows = cut.select(
+        *paths.columns,
+        "kind",
+        "product_id",
+        by_kind(token(1), F.concat_ws("_", token(1), token(2)), token(0)).alias("product_type"),
+        by_kind(token(0), token(0), token(2)).alias("mission"),
+        F.when(F.col("kind") == "radar_scene", time(token(4)))
+        .when(F.col("kind") == "optical_scene", time(token(2)))
+        .when(F.col("kind") == "product", id_time(F.col("product_id")))
+        .alias("sensing_start"),
+        F.when(F.col("kind") == "radar_scene", time(token(5))).alias("sensing_stop"),
+        by_kind(F.right(token(5), F.lit(5)), None, F.regexp_replace(token(3), r"^T(?=.{5}$)", "")).alias("tile_id"),
+        by_kind(F.right(token(4), F.lit(3)), token(6)).alias("orbit"),
+        by_kind(F.right(token(3), F.lit(4)), None, F.substring(token(4), 2, 9)).alias("version"),
+        by_kind(None, token(1), token(5)).alias("mode"),
+        by_kind(None, F.right(token(3), F.lit(2))).alias("polarisation"),
+        by_kind(None, token(7)).alias("take_id"),
+        by_kind(token(6), token(8)).alias("discriminator"),
     )
     bad_stop = (F.col("kind") == "radar_scene") & F.col("sensing_stop").isNull()
-    bad_second = (F.col("kind") == "optical_scene") & F.try_to_timestamp(
-        F.col("discriminator"), F.lit(_TIME)
-    ).isNull()
+    bad_second = (F.col("kind") == "optical_scene") & time(F.col("discriminator")).isNull()
     ok = F.coalesce(
         F.col("kind").isNotNull() & F.col("sensing_start").isNotNull() & ~bad_stop & ~bad_second,
         F.lit(False),

@@ -35,10 +35,11 @@ def lineage_from_metadata(docs: DataFrame, product: str = "product_id", xml: str
     The series is declared as an array, so one or many inputs read alike.
     """
     parsed = docs.select(product, F.from_xml(F.col(xml), _SCHEMA).alias("d"))
+    # the outer form infers no filter, which would parse every document again
     item = parsed.select(
-        product, F.explode("d.`gmd:series`.`gmd:DS_OtherAggregate`.`gmd:seriesMetadata`").alias("s")
+        product, F.explode_outer("d.`gmd:series`.`gmd:DS_OtherAggregate`.`gmd:seriesMetadata`").alias("s")
     ).select(product, F.col("s.`gmd:MD_Metadata`").alias("m"))
-    return item.select(
+    return item.where(F.col("m").isNotNull()).select(
         product,
         F.col("m.`gmd:fileIdentifier`.`gco:CharacterString`").alias("input_id"),
         parse_time(F.col(f"m.{_PERIOD}.`gml:beginPosition`")).alias("begin"),

@@ -162,10 +162,10 @@ def test_align_grid_needs_overlap(spark):
 
 def test_radar_only_day_is_filled(spark):
     """A day without optical data takes wet snow into an empty layer."""
-    keys = ["tile_id", "day", "row", "col"]
-    none = spark.createDataFrame([], "tile_id int, day date, row int, col int, value int, qc int, flags int, acq_epoch long")
-    wet = spark.sql("select 1 tile_id, date'2024-01-01' day, 0 row, 0 col, 110 value, 2 qc, 99L acq_epoch")
-    r = sn.fill_days(none, wet, keys).collect()[0]
+    schema = "tile_id int, day date, row int, col int, product_ts timestamp, product_id string, value int, qc int, flags int, acq_epoch long"
+    none = spark.createDataFrame([], schema)
+    wet = spark.sql("select 1 tile_id, date'2024-01-01' day, 0 row, 0 col, current_timestamp() product_ts, 'w' product_id, 110 value, 2 qc, 99L acq_epoch")
+    r = sn.fill_days(none, wet).collect()[0]
     assert (r.value, r.qc, r.flags, r.acq_epoch) == (100, 2, 64, 99)
 
 

@@ -131,6 +131,6 @@ def test_parameter_history(spark):
 
 def test_write_pixels_round_trip(spark, tmp_path):
     df = spark.range(100).select(F.lit("32TLR").alias("tile_id"), F.lit("2024-01-01").cast("date").alias("day"), F.lit("p").alias("product_id"), F.lit(None).cast("timestamp").alias("product_ts"), (F.col("id") % 10).cast("int").alias("row"), F.floor(F.col("id") / 10).cast("int").alias("col"), F.lit(1).alias("value"))
-    st.write_pixels(df, str(tmp_path / "px"), salts=3)
+    st.write_pixels(df, str(tmp_path / "px"))
     back = store.read_pixels(spark, str(tmp_path / "px"), layers=("value",), tiles=["32TLR"], start=dt.date(2024, 1, 1), end=dt.date(2024, 1, 2))
     assert back.count() == 100

@@ -115,11 +115,13 @@ def test_regrid_nearest(spark):
     pix = spark.range(100 * 100).select(F.lit("32TLS").alias("tile_id"), F.floor(F.col("id") / 100).cast("int").alias("row"), (F.col("id") % 100).cast("int").alias("col"), (F.col("id") % 3 == 0).cast("int").alias("value"), F.lit(1).alias("qc"))
     mid = spark.range(1).select(P.utm_to_lonlat(F.lit(481000.0), F.lit(5201000.0), F.lit(32632)).alias("p")).select(P.lonlat_to_laea(F.col("p.lon"), F.col("p.lat")).alias("q")).collect()[0].q
     ux, uy = mid.x - 200, mid.y + 200
-    targets = spark.createDataFrame([("E", ux, uy, 20, 20)], "target_id string, ulx double, uly double, nrows int, ncols int")
-    grid = snow.target_pixel_grid(targets, 20.0)
     foot = rings(spark, [("E", [(ux, uy - 400), (ux + 400, uy - 400), (ux + 400, uy), (ux, uy)])], "target_id")
-    out = snow.season_mosaic(pix, src, grid, foot, 20.0)
+    targets = foot.select("target_id", "ring", F.lit(ux).alias("ulx"), F.lit(uy).alias("uly"), F.lit(20).alias("nrows"), F.lit(20).alias("ncols"))
+    grid = sp.target_pixels(targets, 20.0)
+    out = snow.season_mosaic(pix, src, targets)
     assert out.count() == 400 and out.where("value = 255").count() == 0
     check = grid.withColumn("ll", P.laea_to_lonlat(F.col("x"), F.col("y"))).withColumn("u", P.lonlat_to_utm(F.col("ll.lon"), F.col("ll.lat"), F.lit(32632)))
     want = {(r.row, r.col): int((int((5202000 - r.u.y) // 20) * 100 + int((r.u.x - 480000) // 20)) % 3 == 0) for r in check.collect()}
     assert {(r.row, r.col): r.value for r in out.collect()} == want
+    away = targets.withColumn("ulx", F.col("ulx") - 100000)
+    assert snow.season_mosaic(pix, src, away).where("value = 255 and qc = 255").count() == 400
