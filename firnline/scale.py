@@ -14,9 +14,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 ColumnLike = Column | str
 
@@ -175,22 +177,27 @@ def stream_groups(
     """
     columns = df.columns
     at = [columns.index(k) for k in keys]
-    names = [part.split()[0] for part in schema.split(",")]
+    # explicit Arrow types keep large ids exact beside nulls
+    target = to_arrow_schema(T.StructType.fromDDL(schema))
 
-    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        for pdf in batches:
-            yield from zip(*(pdf[c].tolist() for c in columns))
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(c.to_pylist() for c in batch.columns))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def table(out: list[tuple]) -> pa.RecordBatch:
+        arrays = [pa.array(c, type=f.type) for c, f in zip(zip(*out), target)]
+        return pa.RecordBatch.from_arrays(arrays, schema=target)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for key, rows in groupby(rows_of(batches), key=lambda r: tuple(r[i] for i in at)):
             for made in fn(key, rows):
                 out.append(made)
                 if len(out) >= out_rows:
-                    yield pd.DataFrame(out, columns=names)
+                    yield table(out)
                     out = []
         if out:
-            yield pd.DataFrame(out, columns=names)
+            yield table(out)
 
     spread = df.repartition(python_partitions(df), *keys)
-    return spread.sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    return spread.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
