@@ -462,7 +462,14 @@ def gap_filled_day(t: Tables):
     return out.select("tile_id", "row", "col", "value", "qc", "flags", "acq_epoch")
 
 
-@query("gap_filled_clouds")
+@query("gap_filled_clouds", "px", """CTE:f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tile_id, day
+  ORDER BY CAST(value NOT IN (205, 255) AS INTEGER) DESC, ts DESC, CAST(product_id AS VARCHAR) DESC) AS rn FROM px WHERE day BETWEEN DATE '2024-01-19' AND DATE '2024-01-25') WHERE rn = 1),
+cut AS (SELECT CAST(epoch_us(TIMESTAMP '2024-01-25 23:59:59') // 1000000 - 7 * 86400 AS BIGINT) AS c),
+r AS (SELECT f.*, c, row_number() OVER (PARTITION BY tile_id ORDER BY day DESC) AS n FROM f, cut),
+o AS (SELECT *, CASE WHEN n = 1 AND acq_epoch >= c AND value NOT IN (205, 255) THEN 0 WHEN acq_epoch > c AND value NOT IN (205, 255) THEN 1
+    WHEN acq_epoch > c AND value = 205 THEN 2 WHEN n = 1 AND acq_epoch >= c THEN 3 WHEN n = 1 THEN 4 ELSE 9 END AS k FROM r),
+b AS (SELECT *, row_number() OVER (PARTITION BY tile_id ORDER BY k, CASE WHEN k = 2 THEN -n ELSE n END) AS rn2 FROM o)
+SELECT tile_id, CASE WHEN k <> 4 AND value = 205 THEN 100 ELSE 0 END AS cloud_percent FROM b WHERE rn2 = 1""")
 def gap_filled_clouds(t: Tables):
     """JOB-1 with 3 x 3 blocks: cloud share of each tile's result."""
     p = t.pixels()

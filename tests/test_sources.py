@@ -134,3 +134,35 @@ def test_write_pixels_round_trip(spark, tmp_path):
     st.write_pixels(df, str(tmp_path / "px"))
     back = store.read_pixels(spark, str(tmp_path / "px"), layers=("value",), tiles=["32TLR"], start=dt.date(2024, 1, 1), end=dt.date(2024, 1, 2))
     assert back.count() == 100
+
+
+def test_operations_report(spark):
+    from firnline.plans.operations import operations_report
+
+    t0 = dt.datetime(2024, 1, 10)
+    h = lambda x: t0 + dt.timedelta(hours=x)
+    jobs = spark.createDataFrame(
+        [
+            (1, 1, "A", True, "nominal", "p1", h(0), h(1), h(2), h(2.5), "32TLR"),
+            (2, 2, "A.SAFE", True, "nominal", "p1", h(0), h(1), h(9), h(9), "32TLR"),  # same source, dropped
+            (3, 3, "B", True, "nominal", None, h(1), h(2), None, None, "32TLS"),
+            (4, 4, "C", False, "nominal", "p4", h(-99), h(-98), h(3), h(4), "32TLS"),
+        ],
+        "id long, fk_parent_job_id long, l1c_id string, nrt boolean, run_mode string, snow_path string, source_publication_date timestamp,"
+        " hub_publication_date timestamp, completion_date timestamp, product_publication_date timestamp, tile_id string",
+    )
+    parents = spark.createDataFrame([(1, 12, "32TLR"), (2, 14, "32TLR"), (3, 4, "32TLS"), (4, None, "32TLS")], "id long, last_status_id int, tile_id string")
+    log = spark.createDataFrame([(1, 3, h(0), 4, None), (2, 1, h(0), 12, None)], "id long, fk_parent_job_id long, time timestamp, job_status int, error_subtype string")
+    tiles = spark.createDataFrame([("32TLR",), ("32TLS",), ("32TLT",)], "tile_id string")
+    low, high = (F.lit(x).cast("timestamp") for x in ("2024-01-10", "2024-01-11"))
+    r = operations_report(jobs, parents, log, tiles, low, high, F.lit("2024-01-10 02:00:00").cast("timestamp"))
+    assert {x.id: x.request_selection for x in r["monthly"].collect()} == {1: "both", 3: "l1c_tracking", 4: "generated_within_period"}
+    kpi = r["kpi"].first()
+    assert (kpi.n_jobs, kpi.n_made, kpi.share_total) == (2, 1, 1.0)
+    assert {x.n_products: x.n_tiles for x in r["coverage"].collect()} == {2: 2, 0: 1}
+    status = {x.id: x.simple_status_parent for x in r["all_products"].collect()}
+    assert status == {1: "successful", 2: "system_error", 3: "in_progress", 4: "in_progress"}
+    assert [x.snow_path for x in r["duplicates"].collect()] == ["p1"]
+    assert [x.parent_job_id for x in r["stuck"].collect()] == [3]
+    hist = r["turnaround_hist"]
+    assert hist.count() == 37 and hist.where("n_jobs = 1").first().from_minute == 150
