@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from firnline import codes
 from firnline.operators.filters import in_range
-from firnline.scale import carry, epoch_us, latest_by, running_sum, stream_groups, time_chunk
+from firnline.scale import carry, epoch_us, latest_by, running_sum, running_sums, stream_groups, time_chunk
 
-CHUNK_SECONDS = 30 * 86400
+# An hour keeps the rows of one crowded tile and chunk few, and the chunks of a
+# tile below a few hundred thousand over decades.
+CHUNK_SECONDS = 3600
 US = 1_000_000
 
 
@@ -239,7 +241,7 @@ def next_n(anchors: DataFrame, rows: DataFrame, n: int, keys: tuple[str, ...] =
 
 
 def asof_previous(
-    left: DataFrame, right: DataFrame, keys: list[str], time: str, value: list[str], chunk_seconds: int = 86400
+    left: DataFrame, right: DataFrame, keys: list[str], time: str, value: list[str], chunk_seconds: int = CHUNK_SECONDS
 ) -> DataFrame:
     """Latest ``right`` row at or before each ``left`` row of the key.
 
@@ -287,8 +289,7 @@ def chain_quality(jobs: DataFrame, n: int = codes.BACKWARD_JOBS) -> DataFrame:
     order = ["_us", "id"]
     run = F.when(start, F.lit(0)).otherwise(F.lit(1))
     made = F.when(~start & F.coalesce("produced", F.lit(False)), F.lit(1)).otherwise(F.lit(0))
-    line = running_sum(line, ["tile_id"], chunk, order, run, "_runs")
-    line = running_sum(line, ["tile_id"], chunk, order, made, "_made")
+    line = running_sums(line, ["tile_id"], chunk, order, {"_runs": run, "_made": made})
     mark = F.when(start, F.struct(F.col("_runs").alias("r"), F.col("_made").alias("p"), base.alias("b")))
     line = carry(line, ["tile_id"], chunk, order, mark, "_mark", inclusive=True)
     runs = F.col("_runs") - F.coalesce("_mark.r", F.lit(0)) + F.coalesce("_mark.b", F.lit(0))

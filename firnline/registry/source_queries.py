@@ -333,7 +333,7 @@ def condition_lists(t: Tables):
 
 
 # --- river ice query, planning -----------------------------------------------------------
-def _arlie(t: Tables):
+def _river(t: Tables):
     i = F.col("event_id")
     values = t.events().select(
         F.col("user_id").alias("river_km_id"), F.col("ts").alias("datetime"), (i % 101).cast("int").alias("water_perc"), (i % 7).cast("int").alias("ice_perc"),
@@ -354,20 +354,20 @@ FROM {RIVER}""")
 def river_ice(t: Tables):
     """JOB-6, J-15, PF-14"""
     start, end = (F.lit(d).cast("timestamp") for d in ("2024-01-05", "2024-01-20"))
-    return ice.river_ice(*_arlie(t), start, end, hydro_id="BUILDING", cloud_max=40)
+    return ice.river_ice(*_river(t), start, end, hydro_id="BUILDING", cloud_max=40)
 
 
 @query("river_ice_size", "", f"SELECT count(*) AS n_rows FROM {RIVER}")
 def river_ice_size(t: Tables):
     """A-02"""
     start, end = (F.lit(d).cast("timestamp") for d in ("2024-01-05", "2024-01-20"))
-    return ice.river_ice(*_arlie(t), start, end, hydro_id="BUILDING", cloud_max=40, only_size=True)
+    return ice.river_ice(*_river(t), start, end, hydro_id="BUILDING", cloud_max=40, only_size=True)
 
 
 @query("reaches_by_id", "", "SELECT c_custkey AS id, c_mktsegment AS eu_hydro_id FROM customer WHERE c_custkey IN (1, 5, 9)")
 def reaches_by_id(t: Tables):
     """J-14"""
-    return rc.reaches_by_id(_arlie(t)[0], "1,5,9")
+    return rc.reaches_by_id(_river(t)[0], "1,5,9")
 
 
 @query("id_list", "", "SELECT list(c_custkey ORDER BY c_custkey) AS ids FROM customer WHERE c_nationkey = 3")

@@ -41,7 +41,7 @@ def id_chunk(c: ColumnLike, bits: int = 20) -> Column:
     return F.shiftright(_col(c).cast("long"), bits)
 
 
-def time_chunk(c: ColumnLike, seconds: int = 86400) -> Column:
+def time_chunk(c: ColumnLike, seconds: int = 3600) -> Column:
     """Chunk of a timestamp, ``seconds`` wide."""
     return F.floor(epoch_s(c) / F.lit(seconds))
 
@@ -116,40 +116,39 @@ def carry(
     )
 
 
-def running_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    chunk: Column,
-    order: Sequence[str],
-    value: Column,
-    name: str,
+def running_sums(
+    df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], values: dict[str, Column]
 ) -> DataFrame:
-    """Sum of ``value`` over the rows of the key up to and including this one."""
-    keyed = df.withColumn("_chunk", chunk).withColumn("_value", value)
+    """Sum of each value over the rows of the key up to and including this one."""
+    keyed = df.withColumn("_chunk", chunk)
+    for name, value in values.items():
+        keyed = keyed.withColumn(f"_v_{name}", value)
     across = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        keyed.groupBy(*keys, "_chunk")
-        .agg(F.sum("_value").alias("_total"))
-        .select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-            F.col("_chunk").alias("_kc"),
-            F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_base"),
-        )
-    )
     within = (
-        Window.partitionBy(*keys, "_chunk")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    totals = keyed.groupBy(*keys, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
+    bases = totals.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col("_chunk").alias("_kc"),
+        *[F.coalesce(F.sum(f"_t_{n}").over(across), F.lit(0)).alias(f"_b_{n}") for n in values],
     )
-    local = keyed.withColumn("_local", F.sum("_value").over(within))
+    local = keyed.select("*", *[F.sum(f"_v_{n}").over(within).alias(f"_l_{n}") for n in values])
     cond = F.col("_chunk") == F.col("_kc")
     for i, k in enumerate(keys):
         cond = cond & (F.col(k) == F.col(f"_k{i}"))
-    return local.join(totals, cond, "left").select(
-        *df.columns, (F.coalesce("_local", F.lit(0)) + F.col("_base")).alias(name)
+    return local.join(bases, cond, "left").select(
+        *df.columns, *[(F.coalesce(f"_l_{n}", F.lit(0)) + F.col(f"_b_{n}")).alias(n) for n in values]
     )
 
 
+def running_sum(
+    df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], value: Column, name: str
+) -> DataFrame:
+    """One running sum, see :func:`running_sums`."""
+    return running_sums(df, keys, chunk, order, {name: value})
+
+
 def distinct_days(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     """One row per key and calendar day, so a key holds at most one row a day."""
     return df.select(*keys, day).distinct()

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a crowded join key even where that costs one more exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Tables placed by pixel may be joined by pixel and day without moving again.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",

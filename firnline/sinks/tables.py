@@ -159,7 +159,7 @@ def clear_family(tables: dict[str, DataFrame], family: str) -> dict[str, DataFra
 def param_history(changes: DataFrame, key: Sequence[str] = (), time: str = "time") -> DataFrame:
     """Parameter versions with the time each stopped being valid."""
     line = changes.withColumn("_us", epoch_us(time))
-    out = carry(line, list(key), time_chunk(time, 30 * 86400), ["_us"], F.col(time), "valid_to", backward=True)
+    out = carry(line, list(key), time_chunk(time), ["_us"], F.col(time), "valid_to", backward=True)
     return out.drop("_us").withColumnRenamed(time, "valid_from")
 
 
@@ -181,7 +181,11 @@ def retag_version(products: DataFrame, old: str, new: str, columns: Sequence[str
     return products
 
 
-def fix_span_ids(products: DataFrame, column: str = "product_id", season_type: str = "PSA") -> DataFrame:
+# fixed value: product type of the season maps
+SEASON_TYPE = "PSA"
+
+
+def fix_span_ids(products: DataFrame, column: str = "product_id", season_type: str = SEASON_TYPE) -> DataFrame:
     """Season ids whose span is in hours (four digits) get it in days, rounded up."""
     parts = F.split(F.col(column), "_")
     span = F.split(F.get(parts, F.lit(1)), "-")

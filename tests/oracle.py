@@ -1,6 +1,8 @@
 """Compare registered queries with their SQL on DuckDB.
 
-    python tests/oracle.py FOLDER [name ...]
+    python tests/oracle.py FOLDER [name ...] [-prefix ...]
+
+A name keeps only the queries named, a prefix leaves out those starting with it.
 """
 
 from __future__ import annotations
@@ -68,13 +70,15 @@ def main() -> None:
     from firnline.session import local_session
 
     folder, wanted = sys.argv[1], sys.argv[2:]
+    skipped = [w for w in wanted if w.startswith("-")]
+    wanted = [w for w in wanted if not w.startswith("-")]
     spark = local_session("8")
     spark.sparkContext.setLogLevel("OFF")
     con = connect(folder)
     queries, oracle = load()
     bad = 0
     for name, fn in queries.items():
-        if wanted and name not in wanted:
+        if wanted and name not in wanted or f"-{name.split('_')[0]}" in skipped:
             continue
         t = time.time()
         try:
