@@ -212,6 +212,22 @@ def pairing_days(
     return out
 
 
+def walk_back(start: DataFrame, made: DataFrame, min_days: int, max_days: int) -> DataFrame:
+    """Days visited when walking back from ``start_day``: the walk stops beyond
+    ``min_days`` as soon as the day visited before gave nothing.
+
+    ``start``: one row with ``start_day``; ``made``: one row per day that gave
+    something.  At most ``max_days + 1`` rows are handled.
+    """
+    line = start.select("start_day", F.explode(F.sequence(F.lit(0), F.lit(max_days))).alias("back"))
+    line = line.withColumn("day", F.date_sub("start_day", F.col("back")))
+    line = line.join(made.select("day").distinct().withColumn("_made", F.lit(True)), "day", "left")
+    ends = F.when(F.col("_made").isNull() & (F.col("back") + 1 > min_days), F.col("back") + 1)
+    stop = F.min(ends).over(Window.partitionBy(F.lit(1)))
+    line = line.withColumn("_stop", F.coalesce(stop, F.lit(max_days + 1)))
+    return line.where(F.col("back") < F.col("_stop")).select("day", "start_day", "back")
+
+
 def inputs_in_window(
     triggers: DataFrame,
     products: DataFrame,
@@ -268,13 +284,14 @@ def idle_tiles(
 ) -> DataFrame:
     """Tiles without input, with their newest gap-filled product.
 
-    Skipped when that product is ``span`` days old or already of the day.
+    Skipped when that product is at least ``span`` days older than the start of
+    the day, or already of the day.
     """
     idle = tiles.select("tile_id").join(inputs.select("tile_id"), "tile_id", "left_anti")
     newest = newest_by_curation(gap_filled.join(idle, "tile_id", "left_semi"))
     day_col = F.lit(day).cast("date")
-    fresh = F.datediff(day_col, F.to_date("measurement_date"))
-    return newest.where((fresh < span) & (fresh != 0)).withColumn("product_date", day_col)
+    recent = epoch_us(day_col) < epoch_us("measurement_date") + F.lit(span * DAY_US)
+    return newest.where(recent & (F.to_date("measurement_date") != day_col)).withColumn("product_date", day_col)
 
 
 def add_publication(

@@ -14,6 +14,7 @@ from firnline.functions.ids import id_day, id_time, id_token
 from firnline.operators import products as pr
 from firnline.operators import reaches as rc
 from firnline.operators import spatial
+from firnline.scale import epoch_us
 from firnline.sources.store import scan_products
 
 
@@ -27,33 +28,42 @@ def pair_radar_optical(
     max_search_days: int = 30,
     min_delay_hours: int | None = None,
     max_wait_hours: int = 48,
+    min_search_days: int | None = None,
     literal_delay: bool = True,
 ) -> dict[str, DataFrame]:
     """Pair radar and optical ice products of a tile-day.
 
     Both: ``job_id, tile_id, day, sensing_time, path, published, status``, radar
     with ``satellite``.  A day with unfinished radar jobs is skipped until
-    ``max_wait_hours`` after its end.  Gives ``pairs`` (one row per tile-day)
+    ``max_wait_hours`` after its end.  With ``min_search_days`` the search walks
+    back from the newest day and stops, beyond that many days, after a day that
+    gave no pair.  Gives ``pairs`` (one row per tile-day)
     and ``inputs`` in long form.
     """
     usable = ~F.col("status").isin(13, 16)
     radar, optical = radar.where(usable), optical.where(usable)
-    days = pr.pairing_days(
+    candidates = pr.pairing_days(
         radar, optical, now, earliest, max_search_days, min_delay_hours, literal_delay
     )
     pending = radar.groupBy("day").agg(
         F.count_if(F.col("path").isNull() | F.col("published").isNull()).alias("_pending")
     )
-    end_offset = 1 if literal_delay else -1
-    waited = F.datediff(F.to_date(now), F.col("day")) * 24 + F.hour(now) + F.lit(24 * end_offset)
-    settled = pending.where((F.col("_pending") == 0) | (waited > max_wait_hours)).select("day")
-    days = days.select("day").join(settled, "day", "left_semi")
+    end_offset = pr.DAY_US if literal_delay else -pr.DAY_US
+    waited = epoch_us(now) - epoch_us(F.col("day")) + F.lit(end_offset)
+    settled = pending.where(
+        (F.col("_pending") == 0) | (waited > F.lit(max_wait_hours * 3_600_000_000))
+    ).select("day")
+    days = candidates.select("day").join(settled, "day", "left_semi")
     ok = F.col("path").isNotNull() & F.col("published").isNotNull()
     open_tiles = tiles.select("tile_id").distinct()
     r = radar.where(ok).join(days, "day", "left_semi").join(open_tiles, "tile_id", "left_semi")
     o = optical.where(ok).join(days, "day", "left_semi").join(open_tiles, "tile_id", "left_semi")
     r = pr.missing(r, done.select("tile_id", "day").distinct(), ["tile_id", "day"])
     pairs = pr.nearest_satellite(r, o)
+    if min_search_days is not None:
+        newest = candidates.groupBy().agg(F.max("start_day").alias("start_day"))
+        visited = pr.walk_back(newest, pairs.select("day"), min_search_days, max_search_days)
+        pairs = pairs.join(visited.select("day"), "day", "left_semi")
     inputs = (
         r.join(pairs.select("tile_id", "day", "satellite"), ["tile_id", "day", "satellite"])
         .select("tile_id", "day", F.lit("radar").alias("kind"), "path", "published")

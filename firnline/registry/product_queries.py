@@ -263,7 +263,7 @@ def allowed_tracks(t: Tables):
 WITH g AS (SELECT user_id AS tile_id, max(event_id) AS stamp, arg_max(ts, event_id) AS m FROM events WHERE event_type = 'purchase' GROUP BY 1)
 SELECT c_custkey AS tile_id, 'GFSC_20240101-007_S1-S2_T' || c_custkey || '_V100_' || stamp AS product_id FROM customer JOIN g ON tile_id = c_custkey
 WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'view' AND CAST(ts AS DATE) = DATE '2024-01-28')
-  AND DATE '2024-01-28' - CAST(m AS DATE) < 7 AND CAST(m AS DATE) <> DATE '2024-01-28'""")
+  AND TIMESTAMP '2024-01-28' < m + INTERVAL 7 DAY AND CAST(m AS DATE) <> DATE '2024-01-28'""")
 def idle_tiles(t: Tables):
     """J-20"""
     tiles = t.raw("customer").select(F.col("c_custkey").alias("tile_id"))

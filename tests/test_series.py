@@ -260,3 +260,35 @@ def test_priority_cases(spark):
     df = spark.createDataFrame(rows, "n boolean, m timestamp, s timestamp, h timestamp")
     got = [r.p for r in df.select(priority(F.col("n"), F.col("m"), F.col("s"), F.col("h")).alias("p")).collect()]
     assert got == ["reprocessing"] + ["delayed"] * 5 + ["nrt"]
+
+
+def test_walk_back_stops_after_an_empty_day(spark):
+    day = lambda d: dt.date(2024, 1, d)
+    start = spark.createDataFrame([(day(20),)], "start_day date")
+    made = spark.createDataFrame([(day(d),) for d in (20, 19, 17, 12)], "day date")
+    got = lambda low, high: sorted(r.day.day for r in pr.walk_back(start, made, low, high).collect())
+    assert got(0, 9) == [18, 19, 20]  # 18 gave nothing, so 17 is not visited
+    assert got(3, 9) == [16, 17, 18, 19, 20]  # 17 gave something, 16 did not
+    assert got(4, 9) == [16, 17, 18, 19, 20]
+    assert got(9, 9) == list(range(11, 21))
+
+
+def test_pairing_waits_for_unfinished_radar(spark):
+    from firnline.plans.ice import pair_radar_optical
+
+    schema = "job_id long, tile_id string, day date, sensing_time timestamp, path string, published timestamp, status int, satellite string"
+    d = dt.date(2024, 1, 10)
+    at = lambda h: dt.datetime(2024, 1, 10) + dt.timedelta(hours=h)
+    radar = spark.createDataFrame(
+        [(1, "A", d, at(5), "r1", at(6), 12, "S1A"), (2, "A", d, at(9), "r2", at(10), 12, "S1B"), (3, "B", d, at(5), None, None, 7, "S1A")], schema)
+    optical = spark.createDataFrame([(4, "A", d, at(10), "o1", at(12), 12, None)], schema)
+    tiles = spark.createDataFrame([("A",)], "tile_id string")
+    done = spark.createDataFrame([], "tile_id string, day date")
+    run = lambda now, **k: pair_radar_optical(
+        radar, optical, done, tiles, F.lit(now).cast("timestamp"), F.lit("2024-01-01").cast("timestamp"), **k)
+    assert run("2024-01-11 00:00:00")["pairs"].count() == 0  # 48 h by the published count, radar pending
+    late = run("2024-01-11 00:00:01", min_search_days=1)
+    r = late["pairs"].collect()
+    assert [(x.tile_id, x.satellite) for x in r] == [("A", "S1B")]
+    assert sorted(x.path for x in late["inputs"].collect()) == ["o1", "r2"]
+    assert run("2024-01-11 12:00:00", literal_delay=False)["pairs"].count() == 0
