@@ -393,12 +393,12 @@ def bandmath(t: Tables):
 
 
 @query("bit_functions", "px", """
-SELECT product_id, (flags >> 3) & 1 AS bit3, CASE WHEN value > 100 THEN flags | 4 ELSE flags & ~4 END AS set2, [flags & 1, (flags >> 1) & 1, (flags >> 2) & 1] AS low3 FROM px""")
+SELECT product_id, (flags >> 3) & 1 AS bit3, CASE WHEN value > 100 THEN flags | 4 ELSE flags & ~4 END AS set2, concat_ws('', flags & 1, (flags >> 1) & 1, (flags >> 2) & 1) AS low3 FROM px""")
 def bit_functions(t: Tables):
     """F-08"""
     f = F.col("flags")
     return t.pixels().select(
-        "product_id", fb.get_bit(f, 3).alias("bit3"), fb.set_bit(f, 2, F.col("value") > 100).alias("set2"), fb.unpack_bits(f, 3).alias("low3")
+        "product_id", fb.get_bit(f, 3).alias("bit3"), fb.set_bit(f, 2, F.col("value") > 100).alias("set2"), F.array_join(fb.unpack_bits(f, 3).cast("array<string>"), "").alias("low3")
     )
 
 

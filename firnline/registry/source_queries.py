@@ -370,10 +370,11 @@ def reaches_by_id(t: Tables):
     return rc.reaches_by_id(_river(t)[0], "1,5,9")
 
 
-@query("id_list", "", "SELECT list(c_custkey ORDER BY c_custkey) AS ids FROM customer WHERE c_nationkey = 3")
+@query("id_list", "", "SELECT string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY c_custkey) AS ids FROM customer WHERE c_nationkey = 3")
 def id_list(t: Tables):
     """A-33: size-checked list"""
-    return rc.id_list(t.raw("customer").where("c_nationkey = 3").select(F.col("c_custkey").alias("id")))
+    ids = rc.id_list(t.raw("customer").where("c_nationkey = 3").select(F.col("c_custkey").alias("id")))
+    return ids.select(F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
 
 
 @query("missed_inputs", "products", """
