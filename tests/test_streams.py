@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from firnline import codes
 from firnline.scale import latest_by
 from firnline.streaming import intake as si
@@ -81,4 +79,3 @@ def test_stuck_alarm_fires_once(spark, tmp_path):
     out = run(spark, ss.stuck_alarm(stream(spark, tmp_path / "in", LOG)), tmp_path)
     got = sorted((r.parent_job_id, r.status) for r in out.collect())
     assert got == [(1, 4), (2, 5)]
-    assert F is not None
