@@ -16,7 +16,7 @@ WITH d AS (
     SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram
     FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w))
 ), r AS (
-  SELECT rid, count(DISTINCT at) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS at FROM g WHERE times > 1) GROUP BY rid
+  SELECT rid, count(DISTINCT pos) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS pos FROM g WHERE times > 1) GROUP BY rid
 ), c AS (
   SELECT doc_id, len(ws) AS n_words,
     length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from firnline.llm import bpe, decontaminate, jaccard, oracles, quality, secrets
+from firnline.llm import (
+    bpe, decontaminate, html_extract, jaccard, licenses, oracles, pii, quality, secrets, suffix_dedup, url_filters,
+)
 from firnline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +45,30 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(table(spark, folder, "documents"))
+
+
+@query
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, folder, "pages"))
+
+
+@query
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    captures = pages.select("page_id", "url", url_filters.fetched_on(F.col("page_id")).alias("fetched"))
+    return url_filters.url_verdicts(captures, url_filters.entries_from_pages(pages))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.dedup_report(table(spark, folder, "documents"))
+
+
+@query
+def op9_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymised(table(spark, folder, "documents"), "registered query")
+
+
+@query
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"))
