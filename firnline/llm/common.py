@@ -27,7 +27,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage, survives
     lost executors, and lets several readers use one computation."""
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -30,7 +30,7 @@ PERIOD = 133
 COVER = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 #: Bytes hashed at once, entries of a flush, entries of a part, and the share of
 #: the text's bytes whose suffixes are sorted in one block.
-CHUNK, FLUSH, PART, SHARE = 1 << 21, 1 << 21, 1 << 20, 1 / 16
+CHUNK, FLUSH, PART, SHARE = 1 << 18, 1 << 21, 1 << 20, 1 / 10
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -126,8 +126,9 @@ class Sender:
                 blobs.append(pack(t[new], np.diff(np.append(new, len(t))), pos[at], hashes[at]))
             lo = hi
         own, places = _per_text(tids[known], pos[known])
+        # what is known travels with some part, so that one pass answers all
         yield pa.RecordBatch.from_arrays([
-            pa.array(names + [-1] * len(own), pa.int64()), pa.array(blobs + [None] * len(own), pa.binary()),
+            pa.array(names + [t % self.parts for t in own], pa.int64()), pa.array(blobs + [None] * len(own), pa.binary()),
             pa.array([None] * len(names) + own, pa.int64()), pa.array([None] * len(names) + places, pa.binary()),
         ], names=["part", "blob", "tid", "pos"])
 
@@ -141,7 +142,11 @@ def _pieces(data: bytes, width: int) -> Iterator[tuple[int, np.ndarray]]:
 def _repeated(entries: DataFrame) -> DataFrame:
     """Rows ``(tid, pos)``: packed positions whose string occurs elsewhere too."""
     def find(table: pa.Table) -> pa.Table:
-        tids, pos, hashes = (np.concatenate(x) for x in zip(*(unpack(b.as_py()) for b in table.column("blob"))))
+        known = table.filter(table.column("tid").is_valid()).select(["tid", "pos"])
+        blobs = [unpack(b.as_py()) for b in table.column("blob") if b.is_valid]
+        if not blobs:
+            return known
+        tids, pos, hashes = (np.concatenate(x) for x in zip(*blobs))
         order = np.argsort(hashes, kind="stable")
         h = hashes[order]
         same = h[1:] == h[:-1]
@@ -149,11 +154,10 @@ def _repeated(entries: DataFrame) -> DataFrame:
         hit[1:] |= same
         hit[:-1] |= same
         own, places = _per_text(tids[order[hit]], pos[order[hit]])
-        return pa.Table.from_arrays([pa.array(own, pa.int64()), pa.array(places, pa.binary())], names=["tid", "pos"])
+        found = pa.Table.from_arrays([pa.array(own, pa.int64()), pa.array(places, pa.binary())], names=["tid", "pos"])
+        return pa.concat_tables([known, found.cast(known.schema)])
 
-    sent = written(entries, "entries")
-    found = sent.where("part >= 0").select("part", "blob").groupBy("part").applyInArrow(find, "tid long, pos binary")
-    return found.unionByName(sent.where("part < 0").select("tid", "pos"))
+    return entries.groupBy("part").applyInArrow(find, "tid long, pos binary")
 
 
 def _entries(texts: DataFrame, columns: list[str], parts: int, take: Callable) -> DataFrame:
@@ -189,6 +193,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kind = dict(docs.dtypes)[doc_id]
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
+    cover = np.tile(cover, (CHUNK + width) // PERIOD + 2)
     short = width - PERIOD + 1
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     key = F.unhex(F.sha2("text", 256)).alias("key")
@@ -203,7 +208,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def marks(tid: pa.Scalar, t: pa.Scalar) -> Iterator[tuple]:
         data = t.as_py().encode("utf-8", "surrogatepass")
         for base, piece in _pieces(data, short):
-            at = np.flatnonzero(cover[(np.arange(base, base + len(piece) - short + 1)) % PERIOD])
+            at = np.flatnonzero(cover[base % PERIOD :][: max(0, len(piece) - short + 1)])
             yield tid.as_py(), at + base, string_hashes(piece, short)[at]
 
     ranked = _repeated(_entries(texts, ["tid", "text"], parts_for(total * len(COVER) / PERIOD), marks))
