@@ -20,11 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firnline.llm.common import worker_cache
+
 #: Code points of a leaf, of the first window on either side of a cut, and of a
 #: text whose leaves become rows.
 LEAF, WINDOW, SPREAD = 4096, 32, 1 << 20
 #: Words kept in a task's memory.
-MEMO = 200_000
+MEMO = 500_000
+#: Punctuation that ends a word often; behind a letter it is a piece of its own.
+TAIL = ".,;:!?%#*$&"
 
 
 class Encoded:
@@ -113,8 +117,13 @@ class Codec:
         """Packed ids of a word and its decoded text."""
         known = self.memo.get(word)
         if known is None:
-            parts = leaves_of(word, self.leaf)
-            known = self.packed((self.plain(word) if len(parts) == 1 else self.tree([self.plain(p) for p in parts])).ids)
+            core = word.rstrip(TAIL)
+            if core and len(core) < len(word) and len(core[-1].lower()) == 1 and core[-1].isalpha() and core[-1].lower().isalpha():
+                (a, x), (b, y) = self.word(core), self.word(word[len(core) :])
+                known = (a + b, f"{x} {y}")
+            else:
+                parts = leaves_of(word, self.leaf)
+                known = self.packed((self.plain(word) if len(parts) == 1 else self.tree([self.plain(p) for p in parts])).ids)
             if len(word) <= 64:
                 if len(self.memo) >= MEMO:
                     self.memo.clear()
@@ -131,16 +140,13 @@ class Codec:
         return b"".join([x[0] for x in found]), " ".join([x[1] for x in found if x[0]])
 
 
-_codecs: dict[tuple, Codec] = {}
-
-
 def codec_for(source: str, leaf: int, window: int) -> Codec:
     """One codec per worker and vocabulary."""
     key = (hashlib.sha256(source.encode()).digest(), leaf, window)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(source, leaf, window)
-    return _codecs[key]
+    kept = worker_cache()
+    if kept.get("codec", (None,))[0] != key:
+        kept["codec"] = (key, Codec(source, leaf, window))
+    return kept["codec"][1]
 
 
 def _units(text: str, leaf: int) -> list[tuple[int, str]]:

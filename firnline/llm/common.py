@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,12 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def worker_cache() -> dict:
+    """What a Python worker keeps between its tasks.  Functions reach tasks by value,
+    so variables of their modules would start anew with each task."""
+    return sys.modules.setdefault("_firnline_cache", types.ModuleType("_firnline_cache")).__dict__
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 

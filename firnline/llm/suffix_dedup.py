@@ -71,20 +71,45 @@ def unpack(blob: bytes) -> tuple[np.ndarray, ...]:
     tids = np.frombuffer(blob, np.int64, docs, at)
     counts = np.frombuffer(blob, np.uint32, docs, at + 8 * docs)
     pos = np.frombuffer(blob, np.uint32, n, at + 12 * docs)
-    hashes = np.frombuffer(blob, np.uint64, n, at + 12 * docs + 4 * n)
+    hashes = np.frombuffer(blob, np.uint64, -1, at + 12 * docs + 4 * n) if len(blob) > at + 12 * docs + 4 * n else np.zeros(0, np.uint64)
     return np.repeat(tids, counts), pos, hashes
 
 
-def _per_text(tids: np.ndarray, pos: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Positions of each text, packed."""
+#: Texts whose places travel in one row: ``2 ** BUCKET``.
+BUCKET = 9
+
+
+def _by_bucket(tids: np.ndarray, pos: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Places packed by bucket of texts."""
     order = np.argsort(tids, kind="stable")
-    tids, pos = tids[order], pos[order].astype(np.uint32)
-    cut = np.flatnonzero(np.diff(tids)) + 1
-    starts = np.concatenate([[0], cut]) if len(tids) else np.zeros(0, np.int64)
-    return [int(tids[s]) for s in starts], [p.tobytes() for p in np.split(pos, cut)] if len(tids) else []
+    tids, pos = tids[order], pos[order]
+    names, out = [], []
+    if len(tids):
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(tids >> BUCKET)) + 1, [len(tids)]])
+        for lo, hi in zip(edge[:-1], edge[1:]):
+            t = tids[lo:hi]
+            new = np.concatenate([[0], np.flatnonzero(np.diff(t)) + 1])
+            names.append(int(t[0]) >> BUCKET)
+            out.append(pack(t[new], np.diff(np.append(new, len(t))), pos[lo:hi], np.zeros(0, np.uint64)))
+    return names, out
+
+
+def _places(found: DataFrame) -> DataFrame:
+    """Rows ``(tid, pos)``: all packed positions found in each text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blobs in batch.column(0):
+                tids, pos = (np.concatenate(x) for x in list(zip(*(unpack(b.as_py()) for b in blobs)))[:2])
+                order = np.argsort(tids, kind="stable")
+                tids, pos = tids[order], pos[order].astype(np.uint32)
+                cut = np.flatnonzero(np.diff(tids)) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tids[np.concatenate([[0], cut])]), pa.array([p.tobytes() for p in np.split(pos, cut)], pa.binary())], names=["tid", "pos"])
+
+    return found.groupBy("bucket").agg(F.collect_list("pos").alias("pos")).select("pos").mapInArrow(run, "tid long, pos binary")
 
 
-ROWS = "part long, blob binary, tid long, pos binary"
+ROWS = "part long, blob binary, bucket long, pos binary"
 
 
 class Sender:
@@ -125,12 +150,12 @@ class Sender:
                 names.append(p)
                 blobs.append(pack(t[new], np.diff(np.append(new, len(t))), pos[at], hashes[at]))
             lo = hi
-        own, places = _per_text(tids[known], pos[known])
+        own, places = _by_bucket(tids[known], pos[known])
         # what is known travels with some part, so that one pass answers all
         yield pa.RecordBatch.from_arrays([
             pa.array(names + [t % self.parts for t in own], pa.int64()), pa.array(blobs + [None] * len(own), pa.binary()),
             pa.array([None] * len(names) + own, pa.int64()), pa.array([None] * len(names) + places, pa.binary()),
-        ], names=["part", "blob", "tid", "pos"])
+        ], names=["part", "blob", "bucket", "pos"])
 
 
 def _pieces(data: bytes, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -140,9 +165,9 @@ def _pieces(data: bytes, width: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _repeated(entries: DataFrame) -> DataFrame:
-    """Rows ``(tid, pos)``: packed positions whose string occurs elsewhere too."""
+    """Rows ``(bucket, pos)``: packed places whose string occurs elsewhere too."""
     def find(table: pa.Table) -> pa.Table:
-        known = table.filter(table.column("tid").is_valid()).select(["tid", "pos"])
+        known = table.filter(table.column("bucket").is_valid()).select(["bucket", "pos"])
         blobs = [unpack(b.as_py()) for b in table.column("blob") if b.is_valid]
         if not blobs:
             return known
@@ -153,11 +178,11 @@ def _repeated(entries: DataFrame) -> DataFrame:
         hit = np.zeros(len(h), bool)
         hit[1:] |= same
         hit[:-1] |= same
-        own, places = _per_text(tids[order[hit]], pos[order[hit]])
-        found = pa.Table.from_arrays([pa.array(own, pa.int64()), pa.array(places, pa.binary())], names=["tid", "pos"])
+        own, places = _by_bucket(tids[order[hit]], pos[order[hit]])
+        found = pa.Table.from_arrays([pa.array(own, pa.int64()), pa.array(places, pa.binary())], names=["bucket", "pos"])
         return pa.concat_tables([known, found.cast(known.schema)])
 
-    return entries.groupBy("part").applyInArrow(find, "tid long, pos binary")
+    return entries.groupBy("part").applyInArrow(find, "bucket long, pos binary")
 
 
 def _entries(texts: DataFrame, columns: list[str], parts: int, take: Callable) -> DataFrame:
@@ -212,7 +237,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield tid.as_py(), at + base, string_hashes(piece, short)[at]
 
     ranked = _repeated(_entries(texts, ["tid", "text"], parts_for(total * len(COVER) / PERIOD), marks))
-    ranked = written(ranked.groupBy("tid").agg(F.collect_list("pos").alias("pos")), "marks")
+    ranked = written(_places(written(ranked, "ranks")), "marks")
 
     def open_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,7 +245,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for t, pos in zip(batch.column(1), batch.column(2)):
                 n = len(t.as_py().encode("utf-8", "surrogatepass"))
                 hit = np.zeros(n + PERIOD + 1, np.int32)
-                hit[np.concatenate([np.frombuffer(p.as_buffer(), np.uint32) for p in pos]) + 1] = 1
+                hit[np.frombuffer(pos.as_buffer(), np.uint32) + 1] = 1
                 hit = np.cumsum(hit)
                 runs = runs_of(hit[PERIOD : PERIOD + n - width + 1] > hit[: n - width + 1])
                 opened.append(runs.tobytes())
@@ -254,7 +279,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 if copies.as_py() < 2:
                     step = np.zeros(len(data) + 1, np.int32)
                     if pos.is_valid:
-                        at = np.concatenate([np.frombuffer(p.as_buffer(), np.uint32) for p in pos])
+                        at = np.frombuffer(pos.as_buffer(), np.uint32)
                         np.add.at(step, at, 1)
                         np.add.at(step, at + width, -1)
                     gone = np.cumsum(step)[:-1] > 0
@@ -267,8 +292,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.binary()), pa.array(kept, pa.binary())],
                 names=["key", "n_bytes", "n_removed", "spans", "kept"])
 
-    places = found.groupBy("tid").agg(F.collect_list("pos").alias("pos"))
-    judged = texts.join(places, "tid", "left").select("key", "text", "copies", "pos").mapInArrow(
+    judged = texts.join(_places(found), "tid", "left").select("key", "text", "copies", "pos").mapInArrow(
         judge, "key binary, n_bytes long, n_removed long, spans binary, kept binary")
     judged = written(judged.where("n_removed > 0"), "judged")
     return rows.select("doc_id", key, "text").join(judged, "key", "left").select(
