@@ -254,14 +254,14 @@ def high_water_mark(jobs: DataFrame, date: str, now: Column, default_days: int)
 
 
 def ready_queue(jobs: DataFrame, date: str = "publication_date") -> DataFrame:
-    """Execution order: by priority, then publication date, then id."""
+    """The queue in execution order: by priority (``urgency``), then publication date, then id."""
     rank = (
         F.when(F.col("priority") == "nrt", 0)
         .when(F.col("priority") == "delayed", 1)
         .when(F.col("priority") == "reprocessing", 2)
         .otherwise(3)
     )
-    return jobs.orderBy(rank, F.col(date), F.col("id"))
+    return jobs.withColumn("urgency", rank).orderBy("urgency", F.col(date), F.col("id"))
 
 
 def dedup_jobs(jobs: DataFrame) -> DataFrame:

@@ -83,19 +83,19 @@ def new_jobs(
 
     A candidate passes when its tile and measurement are unknown, or when it is
     another version (new id, other creation date) published within
-    ``valid_hours`` of its measurement.  Each source id is kept once.
+    ``valid_hours`` of its measurement.  Each source id is kept once: its first row
+    that passes, so a row refused before does not hide it.
     """
-    first = earliest_by(candidates, [source], [order])
     known = existing.groupBy(tile, measured).agg(
         F.min(created).alias("_c0"), F.max(created).alias("_c1")
     )
     known_ids = existing.select(source).distinct().withColumn("_same_id", F.lit(True))
-    joined = first.join(known, [tile, measured], "left").join(known_ids, source, "left")
+    joined = candidates.join(known, [tile, measured], "left").join(known_ids, source, "left")
     fresh = F.col("_c0").isNull()
     late = hours_between(F.col(measured), F.col(published)) <= valid_hours
     other = (F.col("_c0") != F.col(created)) | (F.col("_c1") != F.col(created))
     version = ~fresh & F.col("_same_id").isNull() & late & other
-    kept = joined.withColumn("_version", version).where(fresh | version)
+    kept = earliest_by(joined.withColumn("_version", version).where(fresh | version), [source], [order])
     new = kept.select(*candidates.columns)
     versions = (
         kept.where("_version")

@@ -62,16 +62,26 @@ def turnaround_kpi(df: DataFrame, hours: int = codes.KPI_HOURS) -> DataFrame:
 
 
 def production_bands(jobs: DataFrame, bands: DataFrame | None = None, family: str = "family", time: str = "created") -> DataFrame:
-    """Jobs created per family and day against the nominal band."""
+    """Jobs created per family and day against the nominal band.
+
+    Every family of the bands has a row for every day from the first to the last
+    of ``jobs``, so a day on which it made nothing is reported too.  Families
+    without a band have rows for their own days.
+    """
     daily = jobs.groupBy(family, F.to_date(time).alias("day")).agg(F.count("*").alias("n_jobs"))
+    days = daily.agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
     if bands is None:
-        low, high = F.lit(None).cast("int"), F.lit(None).cast("int")
-        for name, lo, hi in codes.PRODUCTION_BANDS:
-            low = F.when(F.col(family) == name, F.lit(lo)).otherwise(low)
-            high = F.when(F.col(family) == name, F.lit(hi)).otherwise(high)
-        daily = daily.withColumn("lower", low).withColumn("upper", high)
+        rows = [F.struct(F.lit(n).alias("family"), F.lit(lo).alias("lower"), F.lit(hi).alias("upper")) for n, lo, hi in codes.PRODUCTION_BANDS]
+        listed = days.select("d0", "d1", F.explode(F.array(*rows)).alias("b"))
     else:
-        daily = daily.join(bands, family, "left")
+        # one row each, so this makes no pairs
+        row = F.struct(F.col(family).alias("family"), F.col("lower"), F.col("upper"))
+        every = bands.agg(F.collect_list(row).alias("bs"), F.lit(1).alias("one"))
+        listed = days.withColumn("one", F.lit(1)).join(every, "one").select("d0", "d1", F.explode("bs").alias("b"))
+    calendar = listed.where("d0 is not null").select(
+        F.col("b.family").alias(family), "b.lower", "b.upper", F.explode(F.sequence("d0", "d1")).alias("day")
+    )
+    daily = daily.join(calendar, [family, "day"], "full").withColumn("n_jobs", F.coalesce("n_jobs", F.lit(0)).cast("long"))
     return daily.withColumn(
         "verdict",
         F.when(F.col("n_jobs") < F.col("lower"), "below")

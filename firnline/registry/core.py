@@ -130,12 +130,11 @@ class Tables:
         )
 
     def grid_tiles(self, size: float = 10.0) -> DataFrame:
-        """Square tiles laid over the footprints, one per supplier number below
-        the number of cells."""
+        """Square tiles in rows of six, one per supplier."""
         n = F.col("s_suppkey")
-        x, y = (n % 6) * size, (F.floor(n / 6) % 6) * size
+        x, y = (n % 6) * size, F.floor(n / 6) * size
         return (
-            self.raw("supplier").where(n < 36)
+            self.raw("supplier")
             .select(n.alias("tile_id"), box_ring(x, y, x + size, y + size).alias("ring"),
                     x.cast("double").alias("x0"), y.cast("double").alias("y0"))
         )
@@ -164,7 +163,7 @@ CTE = {
     "squares": """squares AS (SELECT p_partkey AS id, CAST(p_partkey % 50 AS DOUBLE) AS x0,
       CAST(p_size AS DOUBLE) AS y0, CAST(1 + p_partkey % 3 AS DOUBLE) AS side FROM part)""",
     "tiles": """tiles AS (SELECT s_suppkey AS tile_id, CAST((s_suppkey % 6) * 10 AS DOUBLE) AS x0,
-      CAST(((s_suppkey // 6) % 6) * 10 AS DOUBLE) AS y0 FROM supplier WHERE s_suppkey < 36)""",
+      CAST((s_suppkey // 6) * 10 AS DOUBLE) AS y0 FROM supplier)""",
 }
 
 

@@ -257,19 +257,12 @@ def high_water_mark(t: Tables):
 
 
 @query("ready_queue", "", """
-SELECT event_id AS id, row_number() OVER (ORDER BY CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, ts, event_id) AS place
-FROM events ORDER BY place LIMIT 100""")
+SELECT event_id AS id, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END AS urgency, epoch_us(ts) AS published_us FROM events""")
 def ready_queue(t: Tables):
-    """T-01, T-05: the head of the queue (top 100 is the report)."""
+    """T-01, T-05: the whole queue with its order keys"""
     p = F.when(F.col("event_type") == "view", "nrt").when(F.col("event_type") == "click", "delayed").otherwise("reprocessing")
     rows = t.events().select(F.col("event_id").alias("id"), p.alias("priority"), F.col("ts").alias("publication_date"))
-    head = jb.ready_queue(rows).limit(100)
-    # numbering the hundred rows of the head only
-    from pyspark.sql import Window
-
-    rank = F.when(F.col("priority") == "nrt", 0).when(F.col("priority") == "delayed", 1).otherwise(2)
-    w = Window.orderBy(rank, "publication_date", "id")
-    return head.select("id", F.row_number().over(w).cast("long").alias("place"))
+    return jb.ready_queue(rows).select("id", "urgency", us("publication_date", "published_us"))
 
 
 @query("dedup_jobs", "", """
@@ -383,10 +376,13 @@ def monthly_report(t: Tables):
 
 
 @query("production_bands", "", """
-SELECT family, strftime(day, '%Y-%m-%d') AS day, n_jobs, CASE WHEN n_jobs < lower THEN 'below' WHEN n_jobs > upper THEN 'above' ELSE 'nominal' END AS verdict
-FROM (SELECT CASE event_type WHEN 'view' THEN 'optical' WHEN 'click' THEN 'radar_ice' WHEN 'purchase' THEN 'paired_ice'
-    WHEN 'signup' THEN 'wet_snow' ELSE 'gap_filled' END AS family, CAST(ts AS DATE) AS day, count(*) AS n_jobs FROM events GROUP BY 1, 2)
-JOIN (VALUES ('optical', 400, 600), ('radar_ice', 80, 120), ('paired_ice', 80, 150), ('wet_snow', 150, 300), ('gap_filled', 850, 1150)) b(family, lower, upper) USING (family)""")
+WITH n AS (SELECT CASE event_type WHEN 'view' THEN 'optical' WHEN 'click' THEN 'radar_ice' WHEN 'purchase' THEN 'paired_ice'
+    WHEN 'signup' THEN 'wet_snow' ELSE 'gap_filled' END AS family, CAST(ts AS DATE) AS day, count(*) AS n_jobs FROM events GROUP BY 1, 2),
+b(family, lower, upper) AS (VALUES ('optical', 400, 600), ('radar_ice', 80, 120), ('paired_ice', 80, 150), ('wet_snow', 150, 300), ('gap_filled', 850, 1150)),
+d AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM n)
+SELECT family, strftime(d.day, '%Y-%m-%d') AS day, coalesce(n_jobs, 0) AS n_jobs,
+  CASE WHEN coalesce(n_jobs, 0) < lower THEN 'below' WHEN n_jobs > upper THEN 'above' ELSE 'nominal' END AS verdict
+FROM d CROSS JOIN b LEFT JOIN n USING (family, day)""")
 def production_bands(t: Tables):
     """A-24"""
     kinds = {"view": "optical", "click": "radar_ice", "purchase": "paired_ice", "signup": "wet_snow"}

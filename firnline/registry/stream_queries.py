@@ -31,7 +31,7 @@ def log_stream(t: Tables) -> DataFrame:
 
 
 def run(t: Tables, stream: DataFrame, mode: str = "append") -> DataFrame:
-    with sr.state_partitions(t.spark, min(8, t.spark.sparkContext.defaultParallelism)):
+    with sr.state_partitions(t.spark, int(t.spark.conf.get("spark.sql.shuffle.partitions"))):
         return sr.run_to_table(stream, mode)
 
 

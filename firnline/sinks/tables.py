@@ -18,12 +18,14 @@ def write_pixels(df: DataFrame, root: str, rows_per_file: int = 20_000_000) -> N
     """Layers partitioned by tile and day.
 
     Rebalancing gathers each (tile, day) into few files, and lets the runtime
-    split one that is too large for a task and merge small ones.
+    split one that is too large for a task and merge small ones.  Only the tile-days
+    that ``df`` holds are replaced; all others stay.
     """
     (
         df.hint("rebalance", F.col("tile_id"), F.col("day"))
         .sortWithinPartitions("tile_id", "day", "row", "col")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("tile_id", "day")
         .parquet(root)
@@ -31,13 +33,15 @@ def write_pixels(df: DataFrame, root: str, rows_per_file: int = 20_000_000) -> N
 
 
 def write_products(df: DataFrame, root: str, date: str = "measurement_date") -> None:
-    """Product rows in ``year=/month=/day=`` folders."""
+    """Product rows in ``year=/month=/day=`` folders; only the days that ``df`` holds
+    are replaced."""
     (
         df.withColumn("year", F.year(date))
         .withColumn("month", F.month(date))
         .withColumn("day", F.dayofmonth(date))
         .hint("rebalance", F.col("year"), F.col("month"), F.col("day"))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "day")
         .parquet(root)
     )

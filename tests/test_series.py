@@ -291,3 +291,23 @@ def test_pairing_waits_for_unfinished_radar(spark):
     assert [(x.tile_id, x.satellite) for x in r] == [("A", "S1B")]
     assert sorted(x.path for x in late["inputs"].collect()) == ["o1", "r2"]
     assert run("2024-01-11 12:00:00", literal_delay=False)["pairs"].count() == 0
+
+
+def test_refused_row_does_not_hide_a_later_valid_one(spark):
+    day, hour = dt.datetime(2024, 1, 1), dt.timedelta(hours=1)
+    kind = "seq long, source_id string, tile_id string, measurement_date timestamp, creation_date timestamp, publication_date timestamp"
+    existing = spark.createDataFrame([(0, "old", "T", day, day, day)], kind)
+    cands = spark.createDataFrame([(1, "s", "T", day, day + hour, day + 30 * hour), (2, "s", "T", day, day + hour, day + 3 * hour),
+                                   (3, "s", "T", day, day + hour, day + 4 * hour)], kind)
+    assert [r.seq for r in pr.new_jobs(cands, existing)[0].collect()] == [2]
+
+
+def test_silent_days_are_below_their_band(spark):
+    from firnline.operators import reporting as rp
+
+    rows = [("a", dt.datetime(2024, 1, d, 3)) for d in (1, 1, 3)] + [("x", dt.datetime(2024, 1, 2))]
+    jobs = spark.createDataFrame(rows, "family string, created timestamp")
+    bands = spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], "family string, lower int, upper int")
+    got = sorted((r.family, r.day.day, r.n_jobs, r.verdict) for r in rp.production_bands(jobs, bands).collect())
+    assert got == [("a", 1, 2, "above"), ("a", 2, 0, "below"), ("a", 3, 1, "nominal"), ("b", 1, 0, "below"), ("b", 2, 0, "below"),
+                   ("b", 3, 0, "below"), ("x", 2, 1, "nominal")]

@@ -166,3 +166,22 @@ def test_operations_report(spark):
     assert [x.parent_job_id for x in r["stuck"].collect()] == [3]
     hist = r["turnaround_hist"]
     assert hist.count() == 37 and hist.where("n_jobs = 1").first().from_minute == 150
+
+
+def test_stores_accumulate(spark, tmp_path):
+    """A later write replaces its own days only."""
+    def px(day, value):
+        return spark.createDataFrame([(1, day, 0, 0, value), (2, day, 0, 0, value)], "tile_id long, day date, row int, col int, value int").where("true")
+
+    root = str(tmp_path / "layers")
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    st.write_pixels(px(d1, 1), root)
+    st.write_pixels(px(d2, 2), root)
+    st.write_pixels(px(d2, 3), root)
+    got = sorted((r.tile_id, r.day, r.value) for r in spark.read.parquet(root).collect())
+    assert got == [(1, d1, 1), (1, d2, 3), (2, d1, 1), (2, d2, 3)]
+    rows = lambda *ts: spark.createDataFrame([(str(t), t) for t in ts], "product_id string, measurement_date timestamp")
+    t1, t2 = dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 2, 6)
+    st.write_products(rows(t1), str(tmp_path / "p"))
+    st.write_products(rows(t2), str(tmp_path / "p"))
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 2
