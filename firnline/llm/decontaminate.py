@@ -26,11 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from firnline.llm.common import worker_cache
+
 #: Least edit similarity, least words of an item that is searched with edits.
 SIMILARITY, EDIT_WORDS, MIN_WORDS = 0.8, 6, 4
 #: Sampled steps of a repetition, recall to reach, most repetitions, and bytes of
 #: benchmark text in a block.
 SAMPLED, RECALL, MOST, BLOCK_BYTES = 2, 0.9999, 64, 4 << 20
+#: Windows embedded at once.
+PIECE = 2048
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -186,25 +190,33 @@ class Matcher:
         first, last = hits[: len(hits) - need + 1], hits[need - 1 :]
         close = np.flatnonzero(last - first < w + d)
         best = None
-        done = -1
-        for c in close:
-            lo, hi = max(0, int(last[c]) + 3 - w - d), int(first[c]) + d
-            lo = max(lo, done + 1)
-            if lo > hi:
-                continue
-            done = hi
-            starts = np.arange(lo, min(hi, len(words) - 1) + 1)
-            if not len(starts):
-                continue
-            padded = np.concatenate([words[lo : hi + w], np.zeros(w, np.uint64)])
-            windows = np.lib.stride_tricks.sliding_window_view(padded, w)[: len(starts)]
-            if (item.walks.buckets(windows) == item.buckets).any():
-                edits, end = fit_distance(item.words, words[max(0, lo - d) : hi + w + d])
-                if edits <= d and (best is None or edits < best[1]):
-                    best = (item.key, edits, w, max(0, lo - d) + end)
+        # ranges of possible starts, overlapping ones merged, cut to bounded pieces
+        los, his = np.maximum(0, last[close] + 3 - w - d), np.minimum(first[close] + d, len(words) - 1)
+        fine = los <= his
+        los, his = los[fine], np.maximum.accumulate(his[fine])
+        new = np.flatnonzero(np.concatenate([[True], los[1:] > his[:-1] + 1])) if len(los) else []
+        ends = np.append(new[1:], len(los)) if len(los) else []
+        for k, e in zip(new, ends):
+            for lo in range(int(los[k]), int(his[e - 1]) + 1, PIECE):
+                hi = min(lo + PIECE - 1, int(his[e - 1]))
+                padded = np.concatenate([words[lo : hi + w], np.zeros(w, np.uint64)])
+                windows = np.lib.stride_tricks.sliding_window_view(padded, w)[: hi - lo + 1]
+                if (item.walks.buckets(windows) == item.buckets).any():
+                    edits, end = fit_distance(item.words, words[max(0, lo - d) : hi + w + d])
+                    if edits <= d and (best is None or edits < best[1]):
+                        best = (item.key, edits, w, max(0, lo - d) + end)
         return best
 
 
+def _matcher(block, similarity: float) -> Matcher:
+    """The matcher of a broadcast block, built once per worker."""
+    items, repeats = block.value
+    kept, key = worker_cache(), (hash(tuple(items)), similarity)
+    if kept.get("leaks", (None,))[0] != key or kept["leaks"][1] != items:
+        kept["leaks"] = (key, items, Matcher(items, repeats, similarity))
+    return kept["leaks"][2]
+
+
 def _blocks(benchmark: DataFrame, item_id: str, text: str, similarity: float, recall: float):
     """Items and repetitions, block by block; a block's size is bounded."""
     b = benchmark.select(F.col(item_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -243,7 +255,7 @@ def find_leaks(
         block = spark.sparkContext.broadcast((items, repeats))
 
         def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(*block.value, similarity)
+            matcher = _matcher(block, similarity)
             id_type = pa.int64() if kinds[1] == "bigint" else pa.int32() if kinds[1] == "int" else pa.string()
             for batch in batches:
                 at, found = [], []
@@ -273,7 +285,7 @@ def drop_leaks(
         block = docs.sparkSession.sparkContext.broadcast((items, repeats))
 
         def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(*block.value, similarity)
+            matcher = _matcher(block, similarity)
             for batch in batches:
                 yield batch.filter(pa.array([not matcher.matches(t.as_py()) for t in batch.column(at)], pa.bool_()))
 
