@@ -34,6 +34,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of tables made by :func:`written` that nothing reads again."""
+    for df in frames:
+        for file in df.inputFiles()[:1]:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def worker_cache() -> dict:
     """What a Python worker keeps between its tasks.  Functions reach tasks by value,
     so variables of their modules would start anew with each task."""
@@ -69,6 +77,8 @@ def components(edges: DataFrame) -> DataFrame:
         )
         new = written(new, "labels")
         changed = new.where("_new <> label").limit(1).count()
+        discard(labels)
         labels = new.select("node", F.col("_new").alias("label"))
         if not changed:
+            discard(both)
             return labels

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firnline.llm.common import components, prepare, written
+from firnline.llm.common import components, discard, prepare, written
 
 #: Growth of the size bands, cost of a candidate in index rows.
 BAND, CANDIDATE_COST = 1.25, 4.0
@@ -310,7 +310,9 @@ def similar_sets(
         first.alias("p").join(side.alias("x"), F.col("p.a") == F.col("x.f1")).join(side.alias("y"), F.col("p.b") == F.col("y.f1"))
         .where(_may_link("x", "y", percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "pairs",
     )
-    links = written(_verified(first, _whole(docs, doc_id, text, n, nodes, first), percent), "links")
+    whole = _whole(docs, doc_id, text, n, nodes, first)
+    links = written(_verified(first, whole, percent), "links")
+    discard(whole)
     labels = components(links)
     # then only members of different components
     named = (
@@ -318,6 +320,7 @@ def similar_sets(
         .select("key", "node", "n", *parity, F.coalesce("label", "node").alias("label"))
     )
     named = written(named, "named")
+    discard(members, ends)
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     open_ = named.join(mixed, "key", "left_semi")
     rest = (
@@ -327,11 +330,16 @@ def similar_sets(
         .join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
     rest = written(rest, "pairs")
-    more = written(_verified(rest, _whole(docs, doc_id, text, n, nodes, rest), percent), "links")
+    discard(named, first)
+    whole = _whole(docs, doc_id, text, n, nodes, rest)
+    more = written(_verified(rest, whole, percent), "links")
+    discard(whole, rest)
     labels = components(links.unionByName(more)) if more.limit(1).count() else labels
     placed = nodes.join(labels, "node", "left").select("f1", "f2", "least_id", F.coalesce("label", "node").alias("label"))
     least = placed.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    return sets.select("doc_id", "th", "n", "f1", "f2"), placed.select("f1", "f2", "label").join(least, "label")
+    rows = written(sets.select("doc_id", "th", "n", "f1", "f2"), "rows")
+    discard(sets)
+    return rows, placed.select("f1", "f2", "label").join(least, "label")
 
 
 def _whole(docs: DataFrame, doc_id: str, text: str, n: int, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -374,13 +382,14 @@ def keep_one_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n
     rows, sets = similar_sets(docs, doc_id, text, n, percent)
     ranked = rows.where("n > 0").join(sets, ["f1", "f2"])
     best = ranked.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("best"))
-    best = best.select(F.col("best.th").alias("_th"), F.col("best.doc_id").alias("_id"))
+    # the id as text and whether it is null: plain keys, so that finding and
+    # counting equal rows once share one exchange
+    plain_id = lambda c: [c.isNull().alias("_no_id"), F.coalesce(c.cast("string"), F.lit("")).alias("_id")]
+    best = written(best.select(F.col("best.th").alias("_th"), *plain_id(F.col("best.doc_id"))), "best")
+    discard(rows)
     names = docs.columns
-    whole = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), F.xxhash64(docs[text]).alias("_th"), docs[doc_id].alias("_id"))
+    whole = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), F.xxhash64(docs[text]).alias("_th"), *plain_id(docs[doc_id]))
     blank = ~F.coalesce(F.col(f"_row.`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    b = best.alias("b")
-    chosen = (
-        whole.where(~blank).alias("w").join(b, (F.col("w._th") == F.col("b._th")) & F.col("w._id").eqNullSafe(F.col("b._id")), "left_semi")
-        .dropDuplicates(["_th", "_id"])
-    )
+    keys = ["_th", "_no_id", "_id"]
+    chosen = whole.where(~blank).join(best, keys, "left_semi").dropDuplicates(keys)
     return chosen.select("_row").unionByName(whole.where(blank).select("_row")).select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
