@@ -2,10 +2,14 @@
 
 A pair with ``100 * |A & B| >= t * |A | B|`` differs in at most
 ``H = (|A| + |B|) * (100 - t) / (100 + t)`` shingles.  For each size band the
-hash range is cut into ``H + 1`` segments: some segment of a linked pair is equal
-(pigeonhole).  Where equal segments are costly, allocation by cost skips the
-costliest and lets the cheapest differ by one shingle instead (its one-deletion
-neighbourhood is indexed), which keeps the sum of allowances.
+hash range is cut into somewhat more than ``H + 1`` segments, and a set indexes the
+``H + 1`` of them that come first by size and key.  Of the linked pair's set whose
+last indexed segment ranks higher, one indexed segment is equal in the other
+(pigeonhole), and ranks high enough there to be indexed too.  So empty and small
+segments, which unlike sets share, are not indexed.  Where equal segments are
+costly, allocation by cost skips the costliest and lets the cheapest differ by one
+shingle instead (its one-deletion neighbourhood is indexed), which keeps the sum of
+allowances.
 
 Only connectivity is asked for, so buckets emit no pairs of all members: members
 meet two members of their bucket first; the links found give components; then only
@@ -16,6 +20,7 @@ thus verified on whole sets.  Sets compare by 64-bit shingle hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +31,8 @@ from pyspark.sql import functions as F
 
 from firnline.llm.common import components, discard, prepare, written
 
-#: Growth of the size bands, cost of a candidate in index rows.
-BAND, CANDIDATE_COST = 1.25, 4.0
+#: Growth of the size bands, segments per one needed, cost of a candidate in index rows.
+BAND, SPARE, CANDIDATE_COST = 1.25, 1.3, 4.0
 #: 64-bit words of the parity filter.
 PARITY = 8
 
@@ -97,7 +102,21 @@ class Plan:
 
     def segments(self, band: int) -> int:
         hi = self.known[band][1]
-        return self.difference(hi, hi * 100 // self.percent) + 1
+        most = self.difference(hi, hi * 100 // self.percent)
+        return math.ceil(SPARE * (most + 1)) if most else 1
+
+    def needed(self, n: int, band: int) -> int:
+        """Segments a set of ``n`` indexes: one more than it may differ from a partner
+        where the smaller of the two is of the band."""
+        smaller = min(n, self.known[band][1])
+        return self.difference(smaller, max(n, smaller * 100 // self.percent)) + 1
+
+    def chosen(self, keys: np.ndarray, ends: np.ndarray, count: int, but: np.ndarray | None = None) -> np.ndarray:
+        """The first ``count`` segments by size and key, without those in ``but``."""
+        rank = np.lexsort((keys, ends[:-1] - ends[1:]))
+        if but is not None:
+            rank = rank[~np.isin(rank, but)]
+        return np.sort(rank[: max(count, 0)])
 
     def posted(self, n: int) -> list[int]:
         """Bands whose smaller partner a set of ``n`` may have."""
@@ -141,27 +160,31 @@ def _sets(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> Data
                     x = shingles.of(t.as_py())
                     f1 = int(mix(x + _A).sum(dtype=np.uint64).astype(np.int64)) if len(x) else 0
                     f2 = int(mix(x ^ _C).sum(dtype=np.uint64).astype(np.int64)) if len(x) else 0
-                    keys, at = [], []
+                    keys, codes, at = [], [], []
                     if (f1, f2) not in seen:
                         if len(seen) > 500_000:
                             seen.clear()
                         seen.add((f1, f2))
                         for band in plan.posted(len(x)) if len(x) else []:
-                            _, sums = plan.signatures(x, band)
-                            keys.append(plan.key(sums, band, np.arange(len(sums))))
+                            ends, sums = plan.signatures(x, band)
+                            key = plan.key(sums, band, np.arange(len(sums)))
+                            pick = plan.chosen(key, ends, plan.needed(len(x), band))
+                            keys.append(key[pick])
+                            codes.append(pick + (band << 32))
                             at.append((band, len(sums)))
-                    rows.append((f1, f2, len(x), _parity(x), np.concatenate(keys) if keys else np.zeros(0, np.int64), [v for p in at for v in p]))
-                f1, f2, size, parity, keys, at = zip(*rows) if rows else ((),) * 6
+                    none = np.zeros(0, np.int64)
+                    rows.append((f1, f2, len(x), _parity(x), np.concatenate([none, *keys]), np.concatenate([none, *codes]), [v for p in at for v in p]))
+                f1, f2, size, parity, keys, codes, at = zip(*rows) if rows else ((),) * 7
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(size, pa.int64()),
                      *[pa.array([p[k] for p in parity], pa.int64()) for k in range(PARITY)],
-                     pa.array(keys, _LISTS), pa.array(at, _LISTS)],
-                    names=["doc_id", "th", "f1", "f2", "n", *[f"p{k}" for k in range(PARITY)], "keys", "at"],
+                     pa.array(keys, _LISTS), pa.array(codes, _LISTS), pa.array(at, _LISTS)],
+                    names=["doc_id", "th", "f1", "f2", "n", *[f"p{k}" for k in range(PARITY)], "keys", "codes", "at"],
                 )
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("text"))
     parity = ", ".join(f"p{k} long" for k in range(PARITY))
-    return rows.mapInArrow(run, f"doc_id {kind}, th long, f1 long, f2 long, n long, {parity}, keys array<long>, at array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, th long, f1 long, f2 long, n long, {parity}, keys array<long>, codes array<long>, at array<long>")
 
 
 def _nodes(sets: DataFrame) -> DataFrame:
@@ -198,18 +221,18 @@ def allocation(costs: DataFrame) -> DataFrame:
 
 def _postings(sets: DataFrame) -> DataFrame:
     """Rows ``(key, f1, band, segment)``."""
-    flat = sets.where(F.size("keys") > 0).select("f1", "keys", F.posexplode("keys").alias("pos", "key"), "at")
-    first = F.col("at")[1]
-    here = F.col("pos") < first
-    return flat.select(
-        "key", "f1", F.when(here, F.col("at")[0]).otherwise(F.col("at")[0] + 1).alias("band"),
-        F.when(here, F.col("pos")).otherwise(F.col("pos") - first).alias("segment"),
-    )
+    flat = sets.where(F.size("keys") > 0).select("f1", F.inline(F.arrays_zip("keys", "codes")).alias("key", "code"))
+    return flat.select("key", "f1", F.shiftright("code", 32).alias("band"), F.col("code").bitwiseAND(0xFFFFFFFF).alias("segment"))
 
 
 def _widened(docs: DataFrame, text: str, n: int, percent: int, allow: dict[tuple[int, int], int]) -> DataFrame:
-    """Keys ``(key, f1)`` of the one-deletion neighbourhoods of widened segments."""
-    wide = {k for k, v in allow.items() if v == 1}
+    """Keys ``(key, f1)`` of the bands with an allocation: equal segments, chosen from
+    those neither skipped nor widened, and one-deletion neighbourhoods of widened ones,
+    each of which stands for two equal ones."""
+    wide: dict[int, list[int]] = {}
+    off: dict[int, list[int]] = {}
+    for (band, segment), a in allow.items():
+        (wide if a == 1 else off).setdefault(band, []).append(segment)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, plan = Shingles(n), Plan(percent)
@@ -220,10 +243,16 @@ def _widened(docs: DataFrame, text: str, n: int, percent: int, allow: dict[tuple
                     f1 = int(mix(x + _A).sum(dtype=np.uint64).astype(np.int64)) if len(x) else 0
                     out = []
                     for band in plan.posted(len(x)) if len(x) else []:
+                        if band not in wide and band not in off:
+                            continue
+                        near = wide.get(band, [])
                         ends, sums = plan.signatures(x, band)
-                        for s in range(len(sums)):
-                            if (band, s) in wide:
-                                out.append(plan.key(sums[s] - x[ends[s] : ends[s + 1]], band, np.array([s])))
+                        key = plan.key(sums, band, np.arange(len(sums)))
+                        but = np.array([*near, *off.get(band, [])], np.int64)
+                        out.append(key[plan.chosen(key, ends, plan.needed(len(x), band) - 2 * len(near), but)])
+                        out.append(key[near])
+                        for s in near:
+                            out.append(plan.key(sums[s] - x[ends[s] : ends[s + 1]], band, np.array([s])))
                     if out:
                         keys = np.unique(np.concatenate(out))
                         yield pa.RecordBatch.from_pydict({"key": keys, "f1": np.full(len(keys), f1, np.int64)})
@@ -280,8 +309,9 @@ def similar_sets(
     nodes = written(_nodes(sets), "nodes")
     postings = _postings(sets)
     ends = written(
-        postings.groupBy("key", "band", "segment").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi"), F.count("*").alias("members"))
-        .where("lo < hi"), "buckets",
+        postings.groupBy("key").agg(
+            F.min("f1").alias("lo"), F.max("f1").alias("hi"), F.count("*").alias("members"), F.min("band").alias("band"), F.min("segment").alias("segment")
+        ).where("lo < hi"), "buckets",
     )
     # cost of equal segments against that of their one-deletion neighbourhoods
     sizes = sets.where(F.size("keys") > 0).select(F.explode(F.array(
@@ -294,8 +324,7 @@ def similar_sets(
     )
     allow = {(r["band"], r["segment"]): r["allow"] for r in allocation(costs).collect()}
     if allow:
-        skip = allocation(costs).where("allow = -1")
-        keys = postings.join(F.broadcast(skip.select("band", "segment")), ["band", "segment"], "left_anti").select("key", "f1")
+        keys = postings.where(~F.col("band").isin(sorted({band for band, _ in allow}))).select("key", "f1")
         keys = written(keys.union(_widened(docs, text, n, percent, allow)), "postings")
         ends = written(keys.groupBy("key").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi")).where("lo < hi"), "buckets")
     else:
