@@ -35,13 +35,15 @@ def run(t: Tables, stream: DataFrame, mode: str = "append") -> DataFrame:
         return sr.run_to_table(stream, mode)
 
 
-@query("stream_intake", "", "SELECT event_id // 2 AS product_id, epoch_us(min(ts)) AS published_us FROM events WHERE event_type <> 'error' GROUP BY 1 HAVING count(*) = 1 UNION ALL SELECT event_id // 2, NULL FROM events WHERE event_type <> 'error' GROUP BY 1 HAVING count(*) > 1")
+@query("stream_intake", "", "SELECT event_id // 2 AS product_id, epoch_us(min(ts)) AS published_us FROM events WHERE event_type <> 'error' GROUP BY 1")
 def stream_intake(t: Tables):
-    """ST-01: repeats are dropped (which of two is kept depends on arrival)"""
+    """ST-01: each product once, the first published of a batch's repeats"""
+    out = shared_folder(t.spark, "intake")
     s = event_stream(t).where("event_type <> 'error'").select(F.floor(F.col("event_id") / 2).alias("product_id"), F.col("ts").alias("publication_date"))
-    kept = run(t, si.intake(s))
-    n = t.raw("events").where("event_type <> 'error'").groupBy(F.floor(F.col("event_id") / 2).alias("product_id")).agg(F.count("*").alias("n"))
-    return kept.join(n, "product_id").select("product_id", F.when(F.col("n") == 1, us("publication_date", "x")).alias("published_us"))
+    q = sr.start(s, si.intake(f"{out}/t"), f"{out}/checkpoint")
+    q.awaitTermination()
+    kept = t.spark.read.schema(s.schema).option("recursiveFileLookup", True).parquet(f"{out}/t")
+    return kept.select("product_id", us("publication_date", "published_us"))
 
 
 @query("stream_late", "", "SELECT event_id, ts < TIMESTAMP '2024-01-15' AS late FROM events")

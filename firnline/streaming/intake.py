@@ -17,11 +17,27 @@ from firnline.operators.filters import split_reprocessed
 HOUR_MS = 3_600_000
 
 
-def intake(stream: DataFrame, overlap: str = "1 second", keep: str = "1 day", published: str = "publication_date") -> DataFrame:
-    """New products once each: sources are polled with a small overlap, repeats
-    are dropped while the watermark may still see them."""
-    del overlap  # the overlap is the source's; repeats within ``keep`` are dropped here
-    return stream.withWatermark(published, keep).dropDuplicatesWithinWatermark(["product_id"])
+def intake(out: str, published: str = "publication_date") -> Callable[[DataFrame, int], None]:
+    """Batch writer adding each new product to ``out`` once, whenever it arrives.
+
+    Sources are polled with an overlap, so products come again, also much later or
+    behind newer ones; those stored by an earlier batch are left out, and of repeats
+    within a batch the first published counts.  No row is dropped for its age.  A
+    replayed batch replaces itself.  Only stored ids are read, and only those of the
+    batch meet it.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        names = batch.columns
+        first = batch.groupBy("product_id").agg(F.min_by(F.struct(*names), F.struct(published, *[c for c in names if c != published])).alias("_row"))
+        if batch_id:
+            stored = batch.sparkSession.read.schema(batch.schema.add("batch_id", "long")).parquet(out)
+            stored = stored.where(F.col("batch_id") < batch_id).select("product_id")
+            known = stored.join(batch.select("product_id").distinct(), "product_id", "left_semi")
+            first = first.join(known, "product_id", "left_anti")
+        first.select("_row.*").write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+
+    return write
 
 
 def route_late(start: Any, out: str, measured: str = "measurement_date") -> Callable[[DataFrame, int], None]:
@@ -65,10 +81,12 @@ def _ms(ts: pd.Timestamp) -> int:
 
 
 class _Replace(StatefulProcessor):
-    """Keeps the reference product of a (tile, measurement)."""
+    """Keeps the reference product of a (tile, measurement), also after the valid
+    time, so that a version published too late does not become a second one."""
 
-    def __init__(self, valid_hours: float):
+    def __init__(self, valid_hours: float, remember_hours: float):
         self.valid_ms = int(valid_hours * HOUR_MS)
+        self.forget_ms = self.valid_ms + int(remember_hours * HOUR_MS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -80,7 +98,7 @@ class _Replace(StatefulProcessor):
             created = _ms(r.creation_date)
             if not self.ref.exists():
                 self.ref.update((r.product_id, created))
-                self.handle.registerTimer(_ms(r.measurement_date) + self.valid_ms)
+                self.handle.registerTimer(max(_ms(r.measurement_date), _ms(r.publication_date)) + self.forget_ms)
                 out.append((key[0], _ms(r.measurement_date), r.product_id, None))
                 continue
             known, known_created = self.ref.get()
@@ -91,7 +109,6 @@ class _Replace(StatefulProcessor):
         yield pd.DataFrame(out, columns=["tile_id", "measured_ms", "product_id", "replaces"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # past the valid time no version may replace the reference any more
         self.ref.clear()
         yield pd.DataFrame([], columns=["tile_id", "measured_ms", "product_id", "replaces"])
 
@@ -99,9 +116,13 @@ class _Replace(StatefulProcessor):
         pass
 
 
-def replace_codated(stream: DataFrame, valid_hours: float = 24.0, watermark: str = "1 hour") -> DataFrame:
+def replace_codated(
+    stream: DataFrame, valid_hours: float = 24.0, watermark: str = "1 hour", remember_hours: float = 24.0 * 365
+) -> DataFrame:
     """Reference product per tile and measurement; a version made at another
     time and published within ``valid_hours`` of the measurement replaces it.
+    State ends ``remember_hours`` of event time after that; only a version still
+    later would count as new.
 
     ``stream``: ``product_id, tile_id string, measurement_date, creation_date,
     publication_date``.
@@ -110,7 +131,7 @@ def replace_codated(stream: DataFrame, valid_hours: float = 24.0, watermark: str
         stream.withWatermark("publication_date", watermark)
         .groupBy("tile_id", "measurement_date")
         .transformWithStateInPandas(
-            _Replace(valid_hours),
+            _Replace(valid_hours, remember_hours),
             "tile_id string, measured_ms long, product_id string, replaces string",
             "Append",
             "EventTime",

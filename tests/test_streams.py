@@ -79,3 +79,26 @@ def test_stuck_alarm_fires_once(spark, tmp_path):
     out = run(spark, ss.stuck_alarm(stream(spark, tmp_path / "in", LOG)), tmp_path)
     got = sorted((r.parent_job_id, r.status) for r in out.collect())
     assert got == [(1, 4), (2, 5)]
+
+
+def test_intake_of_several_files_out_of_order(spark, tmp_path):
+    schema = "product_id string, publication_date timestamp"
+    h = lambda x: T0 + dt.timedelta(hours=x)
+    files = [[("p", h(0)), ("p", h(1))], [("q", h(100))], [("p", h(100)), ("r", h(20))], [("r", h(20)), ("s", h(101))]]
+    for k, rows in enumerate(files):
+        write(spark, tmp_path / "in", str(k), rows, schema)
+        q = sr.start(stream(spark, tmp_path / "in", schema), si.intake(str(tmp_path / "out")), str(tmp_path / "cp"))
+        q.awaitTermination()
+        assert q.exception() is None
+    got = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "out")).collect()
+    assert sorted(map(tuple, got)) == [("p", h(0)), ("q", h(100)), ("r", h(20)), ("s", h(101))]
+
+
+def test_late_version_is_no_second_reference(spark, tmp_path):
+    schema = "product_id string, tile_id string, measurement_date timestamp, creation_date timestamp, publication_date timestamp"
+    h = lambda x: T0 + dt.timedelta(hours=x)
+    files = [[("a", "t", h(0), h(1), h(2))], [("b", "t", h(0), h(3), h(4))], [("x", "u", h(50), h(51), h(58))], [("y", "u", h(50), h(52), h(59))], [("c", "t", h(0), h(5), h(60))]]
+    for k, rows in enumerate(files):
+        write(spark, tmp_path / "in", str(k), rows, schema)
+        out = run(spark, si.replace_codated(stream(spark, tmp_path / "in", schema)), tmp_path)
+    assert sorted((r.product_id, r.replaces) for r in out.collect()) == [("a", None), ("b", "a"), ("x", None), ("y", "x")]
