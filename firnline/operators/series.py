@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firnline import codes
 from firnline.operators.filters import in_range
 from firnline.scale import carry, epoch_us, latest_by, running_sum, running_sums, stream_groups, time_chunk
+from firnline.session import cut_lineage
 
 # An hour keeps the rows of one crowded tile and chunk few, and the chunks of a
 # tile below a few hundred thousand over decades.
@@ -196,47 +197,76 @@ def following(
     )
 
 
+#: Children of a block in the search tree of :func:`next_n`.
+FANOUT = 16
+
+
 def next_n(anchors: DataFrame, rows: DataFrame, n: int, keys: tuple[str, ...] = ("tile_id",)) -> DataFrame:
     """First ``n`` rows measured from each anchor's time on and created after it.
 
-    Both: keys, ``id, m, c`` in microseconds, with ``c >= m`` (a product is
-    created after it is sensed).  Rows are numbered along their key; an anchor
-    then asks for the numbers it can need, so the join is an equi-join on (key,
-    number) and spreads a crowded key.  Rows created too early lie between the
-    anchor's own two dates, so asking for that many more keeps it exact.
+    Both: keys, ``id, m, c`` in microseconds.  Rows are numbered along their key.
+    An anchor first asks for the next ``2 * n`` numbers, which answers nearly all.
+    The others search blocks of numbers from the largest down, each with its latest
+    creation: a block after the anchor whose latest creation is later holds a hit,
+    so the first ``n + 1`` such blocks of a level hold all answers.  An anchor thus
+    meets a bounded number of blocks per level, however many rows between its
+    dates were created too early; the levels grow with the logarithm of the rows.
     """
-    def marks(df: DataFrame, time: str, side: int, weight: int) -> DataFrame:
+    def marks(df: DataFrame, side: int, weight: int) -> DataFrame:
         return df.select(
-            *keys, F.col("id"), F.col(time).alias("t"), F.col("m"), F.col("c"),
-            F.lit(side).alias("side"), F.lit(weight).alias("weight"),
+            *keys, "id", F.col("m").alias("t"), "m", "c", F.lit(side).alias("side"), F.lit(weight).alias("weight")
         )
 
-    line = (
-        marks(anchors, "m", -1, 0)
-        .unionByName(marks(rows, "m", 0, 1))
-        .unionByName(marks(anchors, "c", 1, 0))
-    )
+    line = marks(anchors, -1, 0).unionByName(marks(rows, 0, 1))
     chunk = F.floor(F.col("t") / F.lit(CHUNK_SECONDS * US))
-    numbered = running_sum(line, keys, chunk, ["t", "side", "id"], F.col("weight"), "number")
-    numbers = numbered.where("side = 0").select(
-        *keys, "number", F.col("id").alias("next_id"), F.col("m").alias("next_m"), F.col("c").alias("next_c")
+    # read by every step below, so kept once in the shared folder
+    numbered = cut_lineage(running_sum(line, keys, chunk, ["t", "side", "id"], F.col("weight"), "number"))
+    leaves = numbered.where("side = 0").select(
+        *keys, "number", F.col("id").alias("next_id"), F.col("m").alias("next_m"), F.col("c").alias("latest")
     )
-    spans = (
-        numbered.where("side <> 0")
-        .groupBy(*keys, "id", "m", "c")
-        .agg(F.min("number").alias("before"), F.max("number").alias("upto"))
+    asked = numbered.where("side = -1").select(*keys, "id", "c", F.col("number").alias("before"))
+    order = Window.partitionBy(*keys, "id", "c", "before").orderBy("number")
+
+    def hits(wanted: DataFrame) -> DataFrame:
+        return wanted.join(leaves, [*keys, "number"]).where((F.col("latest") > F.col("c")) & (F.col("number") > F.col("before")))
+
+    near = hits(asked.withColumn("number", F.explode(F.sequence(F.col("before") + 1, F.col("before") + 2 * n))))
+    full = near.groupBy(*keys, "id", "c", "before").agg(F.count("*").alias("_hits")).where(F.col("_hits") >= n)
+    count = numbered.groupBy(*keys).agg(F.max("number").alias("_last"))
+    last = numbered.agg(F.max("number")).first()[0] or 0
+    far = (
+        asked.join(count, list(keys)).where(F.col("before") + 2 * n < F.col("_last")).drop("_last")
+        .join(full, [*keys, "id", "c", "before"], "left_anti")
     )
-    wanted = spans.withColumn(
-        "number", F.explode(F.sequence(F.col("before") + 1, F.col("upto") + F.lit(n)))
-    ).drop("before", "upto")
-    hits = wanted.join(numbers, [*keys, "number"]).where(F.col("next_c") > F.col("c"))
-    first = F.slice(F.array_sort(F.collect_list(F.struct("next_m", "number", "next_id"))), 1, n)
-    # each anchor gathers at most n plus the rows between its own two dates
+
+    # levels of blocks: block k of a level covers the numbers under floor(number / width) = k
+    levels, width = [], 1
+    below = leaves.select(*keys, "number", "latest")
+    while True:
+        level = below.groupBy(*keys, F.floor(F.col("number") / FANOUT).alias("block")).agg(
+            F.max("latest").alias("latest"), F.collect_list(F.struct("number", "latest")).alias("children")
+        )
+        levels.append((level.select(*keys, "block", "children"), width))
+        below = level.select(*keys, F.col("block").alias("number"), "latest")
+        width *= FANOUT
+        if last < width:
+            break
+    front = far.withColumn("block", F.lit(0).cast("long"))
+    for level, width in reversed(levels):
+        later = F.filter(
+            "children",
+            lambda k: (k["latest"] > F.col("c")) & ((k["number"] + 1) * width - 1 > F.col("before")),
+        )
+        found = front.join(level, [*keys, "block"]).select(*keys, "id", "c", "before", F.explode(later).alias("_k"))
+        found = found.select(*keys, "id", "c", "before", F.col("_k.number").alias("number"))
+        front = (
+            found.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= n + 1).drop("_nth")
+            .withColumnRenamed("number", "block")
+        )
+    answers = near.join(far, [*keys, "id", "c", "before"], "left_anti").unionByName(hits(front.withColumnRenamed("block", "number")))
     return (
-        hits.groupBy(*keys, "id")
-        .agg(first.alias("_next"))
-        .select(*keys, "id", F.posexplode("_next").alias("position", "_r"))
-        .select(*keys, "id", "position", F.col("_r.next_id").alias("next_id"), F.col("_r.next_m").alias("next_m"))
+        answers.withColumn("position", (F.row_number().over(order) - 1).cast("int")).where(F.col("position") < n)
+        .select(*keys, "id", "position", "next_id", "next_m")
     )
 
 

@@ -3,7 +3,7 @@
 Rings are ``ARRAY<STRUCT<x,y>>``.  Each side is cut into square cells; an
 equi-join on the cell finds candidates, the cell of the lower-left corner of
 the common box keeps each pair once (no distinct afterwards), and an exact test
-runs on the survivors in Arrow batches.  A salt on the larger side spreads a
+runs on the survivors in Arrow batches.  The adaptive skew join splits a
 crowded cell.
 """
 
@@ -28,8 +28,6 @@ from firnline.functions.geometry import (
 )
 from firnline.scale import python_partitions
 
-SALTS = 8
-
 
 def box_ring(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
     def pt(x: Column, y: Column) -> Column:
@@ -73,21 +71,23 @@ def _cells(df: DataFrame, side: str, cell: float) -> DataFrame:
 
 
 def box_candidates(
-    a: DataFrame, b: DataFrame, cell: float, ring_a: str = "ring", ring_b: str = "ring", salts: int = SALTS
+    a: DataFrame, b: DataFrame, cell: float, ring_a: str = "ring", ring_b: str = "ring", salts: int = 1
 ) -> DataFrame:
     """Pairs whose bounding boxes meet, each once.
 
     Columns of ``a`` come out with prefix ``a_`` and of ``b`` with ``b_``.
-    ``b`` is copied once per salt, so give the smaller side as ``b``.
+    A crowded cell is split by the adaptive skew join.  With ``salts`` the caller
+    splits every cell instead; ``b`` is then copied once per salt.
     """
     left = with_bounds(a.select([F.col(c).alias(f"a_{c}") for c in a.columns]), f"a_{ring_a}", "_a_")
     right = with_bounds(b.select([F.col(c).alias(f"b_{c}") for c in b.columns]), f"b_{ring_b}", "_b_")
-    left = _cells(left, "_a_", cell).withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(f"a_{c}") for c in a.columns if c != ring_a]), F.lit(salts))
-    )
-    right = _cells(right, "_b_", cell).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    )
+    left, right = _cells(left, "_a_", cell), _cells(right, "_b_", cell)
+    on = ["_cx", "_cy"]
+    if salts > 1:
+        own = F.xxhash64(*[F.col(f"a_{c}") for c in a.columns if c != ring_a])
+        left = left.withColumn("_salt", F.pmod(own, F.lit(salts)).cast("int"))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = [*on, "_salt"]
     meet = (
         (F.col("_a_minx") <= F.col("_b_maxx"))
         & (F.col("_b_minx") <= F.col("_a_maxx"))
@@ -97,12 +97,12 @@ def box_candidates(
     once = (
         F.floor(F.greatest("_a_minx", "_b_minx") / F.lit(cell)) == F.col("_cx")
     ) & (F.floor(F.greatest("_a_miny", "_b_miny") / F.lit(cell)) == F.col("_cy"))
-    drop = ["_cx", "_cy", "_salt"] + [f"_{s}_{e}" for s in "ab" for e in ("minx", "miny", "maxx", "maxy")]
-    return left.join(right, ["_cx", "_cy", "_salt"]).where(meet & once).drop(*drop)
+    drop = [*on] + [f"_{s}_{e}" for s in "ab" for e in ("minx", "miny", "maxx", "maxy")]
+    return left.join(right, on).where(meet & once).drop(*drop)
 
 
 def intersecting(
-    a: DataFrame, b: DataFrame, cell: float, ring_a: str = "ring", ring_b: str = "ring", salts: int = SALTS
+    a: DataFrame, b: DataFrame, cell: float, ring_a: str = "ring", ring_b: str = "ring", salts: int = 1
 ) -> DataFrame:
     """Pairs of geometries that touch (borders included)."""
     ra, rb = F.col(f"a_{ring_a}"), F.col(f"b_{ring_b}")

@@ -18,17 +18,19 @@ def operations_report(
     low: Any,
     high: Any,
     now: Column,
+    made: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All report tables of a period.
 
     ``optical`` needs the columns of the optical family plus ``tile_id`` and
-    ``product_publication_date``.
+    ``product_publication_date``.  ``made`` (``family, created``) holds the jobs of
+    all families; with it the report has ``bands``, silent days included.
     """
     unique = jb.dedup_jobs(optical)
     monthly = rp.monthly_report(unique, low, high)
     times = rp.turnaround(unique)
     last = jb.last_status(log)
-    return {
+    report = {
         "monthly": monthly,
         "turnaround": times,
         "turnaround_hist": rp.turnaround_hist(times, "hours_total"),
@@ -39,3 +41,6 @@ def operations_report(
         "stuck": jb.stuck_jobs(last, now),
         "publication_failures": jb.publication_failures(log),
     }
+    if made is not None:
+        report["bands"] = rp.production_bands(made)
+    return report

@@ -7,6 +7,7 @@ from firnline.functions.ids import wildcard_match
 from firnline.operators import filters as fl
 from firnline.operators import jobs as jb
 from firnline.operators import reporting as rp
+from firnline.plans import operations as ops
 from firnline.registry.core import CTE, Tables, day_text, query, us
 
 NAMES = "CASE %s " + " ".join(f"WHEN {c} THEN '{n}'" for c, n in codes.JOB_STATUS) + " END"
@@ -375,6 +376,47 @@ def monthly_report(t: Tables):
     return rp.monthly_report(unique, low, high).select("id", "request_selection")
 
 
+@query("operations_report", "opt log parents", f"""CTE:{LAST},
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l1c_id, processing_type ORDER BY id) AS rn FROM opt) WHERE rn = 1),
+tr AS (SELECT * FROM d WHERE source_publication_date >= TIMESTAMP '2024-01-10' AND source_publication_date < TIMESTAMP '2024-01-20' AND processing_type = 'standard'),
+mk AS (SELECT * FROM d WHERE completion_date >= TIMESTAMP '2024-01-10' AND completion_date < TIMESTAMP '2024-01-20'),
+cv AS (SELECT c_custkey, count(id) AS n FROM customer LEFT JOIN opt ON tile_id = c_custkey GROUP BY 1),
+h AS (SELECT fk_parent_job_id, job_status, lag(job_status) OVER (PARTITION BY fk_parent_job_id ORDER BY id) AS p FROM log),
+pf AS (SELECT fk_parent_job_id, count(*) FILTER (WHERE p = 12 AND job_status = 14) >= 3 AS permanent FROM h GROUP BY 1),
+dy AS (SELECT CAST(epoch_us(source_publication_date) // 86400000000 AS INTEGER) AS day, count(*) AS n FROM opt GROUP BY 1),
+ca AS (SELECT unnest(generate_series(min(day), max(day))) AS day FROM dy)
+SELECT 'monthly' AS section, CASE WHEN processing_type = 'standard' AND l1c_id IN (SELECT l1c_id FROM tr) THEN 'both' ELSE 'generated_within_period' END AS item, count(*) AS n FROM mk GROUP BY 2
+UNION ALL SELECT 'monthly', 'l1c_tracking', count(*) FROM tr WHERE l1c_id NOT IN (SELECT l1c_id FROM mk) HAVING count(*) > 0
+UNION ALL SELECT 'turnaround', CASE WHEN made THEN 'made' ELSE 'not made' END, count(*) FROM d WHERE {NOMINAL} GROUP BY 2
+UNION ALL SELECT 'coverage', CAST(n AS VARCHAR), count(*) FROM cv GROUP BY 2
+UNION ALL SELECT 'all_products', CASE WHEN last_status_id IN (11, 12) THEN 'successful' WHEN last_status_id < 11 THEN 'in_progress'
+    WHEN last_status_id = 14 THEN 'system_error' WHEN last_status_id IN (15, 16) THEN 'definitive_error' ELSE 'error' END, count(*)
+  FROM events JOIN parents p ON p.id = user_id GROUP BY 2
+UNION ALL SELECT 'stuck', CAST(status AS VARCHAR), count(*) FROM ls WHERE epoch_us(TIMESTAMP '2024-01-31') - epoch_us(time) >
+  CASE status WHEN 4 THEN 60 WHEN 5 THEN 30 WHEN 6 THEN 30 WHEN 7 THEN 270 END * 60000000::BIGINT GROUP BY 2
+UNION ALL SELECT 'publication_failures', CASE WHEN permanent THEN 'true' ELSE 'false' END, count(*) FROM pf GROUP BY 2
+UNION ALL SELECT 'bands', CASE WHEN coalesce(n, 0) < 400 THEN 'below' WHEN n > 600 THEN 'above' ELSE 'nominal' END, count(*) FROM ca LEFT JOIN dy USING (day) GROUP BY 2""")
+def operations_report(t: Tables):
+    """JOB-10: every table of the report, counted by its verdict or class"""
+    optical = _optical(t).withColumn("nrt", F.col("processing_type") == "standard").withColumn("fk_parent_job_id", F.col("tile_id"))
+    tiles = t.raw("customer").select(F.col("c_custkey").alias("tile_id"))
+    low, high, now = (F.lit(d).cast("timestamp") for d in ("2024-01-10", "2024-01-20", "2024-01-31"))
+    made = optical.select(F.lit("optical").alias("family"), F.col("source_publication_date").alias("created"))
+    report = ops.operations_report(optical, t.parents(), t.log(), tiles, low, high, now, made)
+    item = {
+        "monthly": F.col("request_selection"),
+        "turnaround": F.when(F.col("made"), "made").otherwise("not made"),
+        "all_products": F.col("simple_status_parent"),
+        "stuck": F.col("status").cast("string"),
+        "publication_failures": F.col("permanent").cast("string"),
+    }
+    out = report["coverage"].select(F.lit("coverage").alias("section"), F.col("n_products").cast("string").alias("item"), F.col("n_tiles").alias("n"))
+    for section, column in item.items():
+        out = out.unionByName(report[section].groupBy(column.alias("item")).agg(F.count("*").alias("n")).withColumn("section", F.lit(section)))
+    bands = report["bands"].where("family = 'optical'").groupBy(F.col("verdict").alias("item")).agg(F.count("*").alias("n"))
+    return out.unionByName(bands.withColumn("section", F.lit("bands")))
+
+
 @query("production_bands", "", """
 WITH n AS (SELECT CASE event_type WHEN 'view' THEN 'optical' WHEN 'click' THEN 'radar_ice' WHEN 'purchase' THEN 'paired_ice'
     WHEN 'signup' THEN 'wet_snow' ELSE 'gap_filled' END AS family, CAST(ts AS DATE) AS day, count(*) AS n_jobs FROM events GROUP BY 1, 2),

@@ -56,8 +56,8 @@ def readiness(t: Tables):
 @query("readiness_on_master", "", """
 WITH j AS (SELECT event_id AS id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id - event_id % 3 END AS m, CAST(event_id % 16 + 1 AS INTEGER) AS st,
   CASE event_id % 4 WHEN 0 THEN 'generated' WHEN 1 THEN 'pending' WHEN 2 THEN 'empty' ELSE 'deleted' END AS a FROM events)
-SELECT j.id, CASE WHEN j.m = 0 THEN 'ready' WHEN k.st < 9 THEN 'configured' WHEN k.a = 'generated' THEN 'ready' WHEN k.a IN ('empty', 'deleted') THEN 'cancelled' ELSE 'configured' END AS readiness
-FROM j LEFT JOIN j k ON k.id = j.m AND j.m <> 0 WHERE j.m = 0 OR k.id IS NOT NULL""")
+SELECT j.id, CASE WHEN j.m = 0 THEN 'ready' WHEN k.id IS NULL THEN 'internal_error' WHEN k.st < 9 THEN 'configured' WHEN k.a = 'generated' THEN 'ready' WHEN k.a IN ('empty', 'deleted') THEN 'cancelled' ELSE 'configured' END AS readiness
+FROM j LEFT JOIN j k ON k.id = j.m AND j.m <> 0""")
 def readiness_on_master(t: Tables):
     """W-18, wet-snow family"""
     i = F.col("event_id")
@@ -66,7 +66,7 @@ def readiness_on_master(t: Tables):
         i.alias("id"), F.when(i % 3 == 0, 0).otherwise(i - i % 3).alias("assembly_master_job_id"),
         (i % 16 + 1).cast("int").alias("last_status_id"), status.alias("assembly_status"),
     )
-    return pl.readiness_on_master(jobs).where("readiness <> 'internal_error'").select("id", "readiness")
+    return pl.readiness_on_master(jobs).select("id", "readiness")
 
 
 @query("asof_previous", "", """
@@ -91,14 +91,14 @@ def following(t: Tables):
 
 
 NEXT = """SELECT a.id, CAST(rn - 1 AS INTEGER) AS position, n AS next_id FROM (SELECT q.id, p.id AS n, row_number() OVER (PARTITION BY q.id ORDER BY p.m, p.id) AS rn
-  FROM oj q JOIN oj p ON p.tile_id = q.tile_id AND p.m >= q.m AND p.c > q.c WHERE q.id % 3 = 1 AND p.id % 3 = 0) a WHERE rn <= 3"""
+  FROM oj q JOIN oj p ON p.tile_id = q.tile_id AND p.m >= q.m AND p.c > q.c) a WHERE rn <= 3"""
 
 
 @query("next_n", "oj", NEXT)
 def next_n(t: Tables):
     """J-08 for many jobs at once: first three followers of each"""
     flat = optical_jobs(t).select("tile_id", "id", us("measurement_date", "m"), us("creation_date", "c"))
-    out = se.next_n(flat.where("id % 3 = 1"), flat.where("id % 3 = 0"), 3)
+    out = se.next_n(flat, flat, 3)
     return out.select("id", "position", "next_id")
 
 
@@ -185,6 +185,23 @@ def assign_mode(t: Tables):
     return out.select("id", "run_mode", "previous_id", "n_jobs_run_since_last_init", "n_l2a_produced_since_last_init")
 
 
+_OPTICAL = MODES[MODES.index("op AS"):].replace("mj", "mk").replace("rn <= 3", "rn <= 7").replace("count(*) = 4", "count(*) = 8").replace(
+    "THEN 4", "THEN 8").replace("<= 172800000000", "<= 60 * 86400000000").rsplit("SELECT id, mode", 1)[0]
+
+
+@query("configure_optical", "oj mj", "CTE:" + USABLE.replace("oj ", "mj ") + """,
+rd AS (SELECT q.id, CASE WHEN prev.prev_id IS NULL THEN 'ready' WHEN p.st < 9 THEN 'configured' WHEN p.output_status = 'generated' THEN 'ready' ELSE 'configured' END AS readiness
+  FROM mj q LEFT JOIN prev ON prev.id = q.id LEFT JOIN mj p ON p.id = prev.prev_id WHERE q.run_mode IS NULL),
+mk AS (SELECT * FROM mj WHERE id NOT IN (SELECT id FROM rd WHERE readiness <> 'ready')),
+""" + _OPTICAL + """SELECT rd.id, readiness, mode AS run_mode, CASE WHEN mode = 'nominal' THEN prev_id END AS previous_id,
+  CASE mode WHEN 'nominal' THEN pruns + 1 WHEN 'backward' THEN 8 WHEN 'init' THEN 0 END AS n_jobs_run_since_last_init FROM rd LEFT JOIN rs ON rs.id = rd.id""")
+def configure_optical(t: Tables):
+    """JOB-9: readiness of the open jobs, and mode and counter of the ready ones"""
+    plan = pl.configure_optical(mode_jobs(t))
+    modes = plan["modes"].select("id", "run_mode", "previous_id", "n_jobs_run_since_last_init")
+    return plan["state"].select("id", "readiness").join(modes, "id", "left")
+
+
 @query("backward_plan")
 def backward_plan(t: Tables):
     """W-13: re-issued jobs for the last init job of each tile"""

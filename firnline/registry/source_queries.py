@@ -29,7 +29,7 @@ def _paths(t: Tables):
     name = F.when(kind == "view", optical).when(kind == "click", radar).when(kind == "purchase", product).otherwise(
         F.concat(F.lit("junk_"), start)
     )
-    return t.spread("events").select("event_id", F.concat(F.lit("store/in/"), name).alias("path"))
+    return t.raw("events").select("event_id", F.concat(F.lit("store/in/"), name).alias("path"))
 
 
 TILE = "lpad(CAST(user_id % 60 + 1 AS VARCHAR), 2, '0') || 'ABC'"
@@ -132,7 +132,7 @@ def lineage_edges(t: Tables):
     xml = F.concat(
         F.lit("<gmd:MD_Metadata><gmd:series><gmd:DS_OtherAggregate>"), body, F.lit("</gmd:DS_OtherAggregate></gmd:series></gmd:MD_Metadata>")
     )
-    docs = t.spread("events").select(F.col("event_id").alias("product_id"), xml.alias("xml"))
+    docs = t.raw("events").select(F.col("event_id").alias("product_id"), xml.alias("xml"))
     return ln.lineage_from_metadata(docs).select("product_id", "input_id", us("begin", "begin_us"))
 
 

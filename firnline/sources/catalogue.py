@@ -74,7 +74,9 @@ def catalogue_from_paths(paths: DataFrame, path: str = "path") -> tuple[DataFram
         F.col("kind").isNotNull() & F.col("sensing_start").isNotNull() & ~bad_stop & ~bad_second,
         F.lit(False),
     )
-    return rows.where(ok), rows.where(~ok).select(*paths.columns)
+    # a generator's rows take no filter below them, so each name is parsed once
+    judged = rows.select(F.struct(*rows.columns, ok.alias("_ok")).alias("_r")).select(F.inline_outer(F.array("_r")))
+    return judged.where("_ok").drop("_ok"), judged.where(~F.col("_ok")).select(*paths.columns)
 
 
 def read_feature_pages(

@@ -101,6 +101,22 @@ def test_next_n_brute_force(spark):
     assert got == want
 
 
+def test_next_n_of_jobs_created_years_later(spark):
+    """One tile; all anchors and most rows were created two years after sensing, the
+    rest at once, so thousands of rows lie between an anchor's dates."""
+    us, n = 1_000_000 * 3600, 3000
+    late = 2 * 365 * 24
+    base = spark.range(n).select(F.lit("A").alias("tile_id"), "id", (F.col("id") * us).alias("m"))
+    anchors = base.withColumn("c", F.col("m") + late * us)
+    rows = base.withColumn("c", F.when(F.col("id") % 100 == 7, F.col("m") + (late + 50) * us).otherwise(F.col("m")))
+    got = {}
+    for x in se.next_n(anchors, rows, 3).orderBy("id", "position").collect():
+        got.setdefault(x.id, []).append(x.next_id)
+    created = {i: i + late + 50 if i % 100 == 7 else i for i in range(n)}
+    want = {i: [j for j in range(i, n) if created[j] > i + late][:3] for i in range(n)}
+    assert got == {i: w for i, w in want.items() if w}
+
+
 def test_mode_nominal_init_wait(spark):
     open_ = dict(mode=None, output="pending", status=1)
     rows = [
