@@ -490,3 +490,24 @@ def pixels_per_day(t: Tables):
     write_pixels(t.pixels().withColumn("tile_group", F.col("tile_id")).withColumn("tile_id", F.lit("all")), root)
     px_back = read_pixels(t.spark, root, layers=("value", "tile_group"))
     return px_back.groupBy(F.col("tile_group").alias("tile_id"), day_text("day")).agg(F.count("*").alias("n"))
+
+
+@query("pixel_store", "px", """
+SELECT 't' || (tile_id % 4) AS tile_id, strftime(day, '%Y-%m-%d') AS day, count(*) AS n, CAST(sum(value + CASE WHEN day >= DATE '2024-01-15' THEN 1 ELSE 0 END) AS BIGINT) AS total
+FROM px WHERE tile_id % 4 IN (1, 2) AND day BETWEEN DATE '2024-01-08' AND DATE '2024-01-20' AND product_id % 2 = 0 GROUP BY 1, 2""")
+def pixel_store(t: Tables):
+    """SRC-04 and SNK-01: written in two runs of which the second replaces a day of
+    the first; read for two tiles, some days and half of the products"""
+    import datetime as dt
+
+    from firnline.session import shared_folder
+    from firnline.sinks.tables import write_pixels
+    from firnline.sources.store import read_pixels
+
+    root = shared_folder(t.spark, "pixels")
+    px = t.pixels().withColumn("tile_id", F.concat(F.lit("t"), (F.col("tile_id") % 4).cast("string")))
+    write_pixels(px.where("day <= DATE '2024-01-15'"), root)
+    write_pixels(px.where("day >= DATE '2024-01-15'").withColumn("value", F.col("value") + 1), root)
+    half = t.products().where("product_id % 2 = 0")
+    back = read_pixels(t.spark, root, ("value",), half, ["t1", "t2"], dt.date(2024, 1, 8), dt.date(2024, 1, 20))
+    return back.groupBy("tile_id", day_text("day")).agg(F.count("*").alias("n"), F.sum("value").alias("total"))

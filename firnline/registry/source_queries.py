@@ -110,6 +110,54 @@ def tile_dims(t: Tables):
     return store.tile_tracks_long(tracks).groupBy("tile_id", "track").agg(F.count("*").alias("n_lines"))
 
 
+NAME = "lpad(CAST(s_suppkey % 60 + 1 AS VARCHAR), 2, '0') || chr(CAST(65 + s_suppkey // 60 % 26 AS INTEGER)) || 'BC'"
+
+
+def _names():
+    n = F.col("s_suppkey")
+    return F.concat(F.lpad((n % 60 + 1).cast("string"), 2, "0"), F.chr(65 + F.floor(n / 60) % 26), F.lit("BC"))
+
+
+@query("tile_grid", "", f"""
+SELECT {NAME} AS tile_id, CAST(32601 + s_suppkey % 60 AS INTEGER) AS epsg, s_suppkey * 100.0::DOUBLE AS ulx, s_suppkey * -10.5::DOUBLE AS uly,
+  s_suppkey * 100.0::DOUBLE + 60 AS lrx, s_suppkey * -10.5::DOUBLE - 60 AS lry FROM supplier""")
+def tile_grid(t: Tables):
+    """SRC-06: grid lines parsed, kept as JSON lines, read back with their schema"""
+    n = F.col("s_suppkey")
+    x, y = n * 100.0, n * -10.5
+    corners = F.format_string(": {epsg: %d, ulx: %.1f, uly: %.1f, lrx: %.1f, lry: %.1f}", n % 60 + 32601, x, y, x + 60, y - 60)
+    lines = t.raw("supplier").select(F.concat(_names(), corners).alias("value"))
+    root = shared_folder(t.spark, "grid")
+    store.parse_tile_grid(lines).write.json(root)
+    return store.read_tile_grid(t.spark, root)
+
+
+@query("tile_list", "", f"SELECT DISTINCT {NAME} AS tile_id FROM supplier")
+def tile_list(t: Tables):
+    """SRC-06: tile names from a text file, with and without the leading letter"""
+    root = shared_folder(t.spark, "tiles")
+    lead = F.when(F.col("s_suppkey") % 2 == 0, "T").otherwise("")
+    t.raw("supplier").select(F.explode(F.array(F.concat(lead, _names()), F.lit(""))).alias("value")).write.text(root)
+    return store.parse_tile_list(t.spark.read.text(root))
+
+
+@query("own_period", "", "SELECT event_id AS product_id, event_id AS input_id, epoch_us(date_trunc('second', ts)) AS begin_us, epoch_us(date_trunc('second', ts)) + 60000000 AS end_us FROM events")
+def own_period(t: Tables):
+    """SRC-07: each product's own time span"""
+    def at(time):
+        return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss")
+
+    xml = F.concat(
+        F.lit("<gmd:MD_Metadata><gmd:identificationInfo><gmd:MD_DataIdentification><gmd:extent><gmd:EX_Extent><gmd:temporalElement>"
+              "<gmd:EX_TemporalExtent><gmd:extent><gml:TimePeriod><gml:beginPosition>"), at("ts"),
+        F.lit("</gml:beginPosition><gml:endPosition>"), at(F.timestamp_micros(F.unix_micros("ts") + 60_000_000)),
+        F.lit("</gml:endPosition></gml:TimePeriod></gmd:extent></gmd:EX_TemporalExtent></gmd:temporalElement></gmd:EX_Extent></gmd:extent>"
+              "</gmd:MD_DataIdentification></gmd:identificationInfo></gmd:MD_Metadata>"),
+    )
+    docs = t.events().select(F.col("event_id").alias("product_id"), xml.alias("xml"))
+    return ln.own_period(docs).select("product_id", "input_id", us("begin", "begin_us"), us("end", "end_us"))
+
+
 @query("lineage_edges", "", """
 SELECT event_id AS product_id, CASE k WHEN 0 THEN 'a' ELSE 'b' END || event_id AS input_id, CASE k WHEN 0 THEN epoch_us(date_trunc('second', ts)) ELSE epoch_us(date_trunc('millisecond', ts)) END AS begin_us
 FROM events, (SELECT unnest([0, 1]) AS k) WHERE k <= event_id % 2""")
@@ -144,6 +192,19 @@ def class_codes(t: Tables):
     return t.pixels().join(dim, "value").groupBy("meaning").agg(F.count("*").alias("n"))
 
 
+@query("value_ranges", "px", """
+SELECT 'snow_fraction' AS layer, count(*) AS n, count(*) FILTER (WHERE value BETWEEN 0 AND 100) AS n_inside FROM px
+UNION ALL SELECT 'quality', count(*), count(*) FILTER (WHERE qc BETWEEN 0 AND 3) FROM px""")
+def value_ranges(t: Tables):
+    """SRC-08: pixels inside the measured range of their layer"""
+    layers = F.array(
+        F.struct(F.lit("snow_fraction").alias("layer"), F.col("value").alias("v")), F.struct(F.lit("quality").alias("layer"), F.col("qc").alias("v"))
+    )
+    px = t.pixels().select(F.inline(layers))
+    inside = F.count_if(F.col("v").between(F.col("low"), F.col("high")))
+    return px.join(store.value_ranges(t.spark), "layer").groupBy("layer").agg(F.count("*").alias("n"), inside.alias("n_inside"))
+
+
 # --- sinks ---------------------------------------------------------------------------
 @query("publication_feed", "", """
 SELECT event_id AS product_id, (event_id % 900 + 1) * 1024 AS size, 'p/' || event_id || '/thumbnail.png' AS thumbnail, 'POLYGON ((0.0 0.0, 1.0 0.0, 1.0 1.0, 0.0 0.0))' AS wkt
@@ -412,22 +473,45 @@ def pair_radar_optical(t: Tables):
     return out.select("tile_id", day_text("day"), "satellite", "n_radar", "n_optical")
 
 
-@query("match_products", "", """
+BEST = """
 WITH p AS (SELECT event_id, event_type, lpad(CAST(user_id % 60 + 1 AS VARCHAR), 2, '0') || 'ABC' AS tile_id, CAST(ts AS DATE) AS day, 100 + event_id % 3 AS v, event_id % 2 AS mode, date_trunc('second', ts) AS s,
   'RLIE_' || strftime(ts, '%Y%m%dT%H%M%S') || CASE event_type WHEN 'view' THEN '_S1A_T' ELSE '_S2A_T' END || lpad(CAST(user_id % 60 + 1 AS VARCHAR), 2, '0') || 'ABC_V' || (100 + event_id % 3) || '_' || (event_id % 2) AS pid FROM events),
 b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type, tile_id, day ORDER BY v DESC, mode DESC, s DESC, pid DESC) AS rn FROM p WHERE event_type IN ('view', 'click')) WHERE rn = 1)
-SELECT a.tile_id, strftime(a.day, '%Y-%m-%d') AS day, a.pid AS ref_id, c.pid AS search_id FROM b a JOIN b c ON a.tile_id = c.tile_id AND a.day = c.day AND a.event_type = 'view' AND c.event_type = 'click'""")
-def match_products(t: Tables):
-    """JOB-11"""
+"""
+BOTH = "FROM b a JOIN b c ON a.tile_id = c.tile_id AND a.day = c.day AND a.event_type = 'view' AND c.event_type = 'click'"
+
+
+def _river_ice_products(t: Tables):
     i = F.col("event_id")
     tile = F.concat(F.lpad((F.col("user_id") % 60 + 1).cast("string"), 2, "0"), F.lit("ABC"))
     sat = F.when(F.col("event_type") == "view", "_S1A_T").otherwise("_S2A_T")
     pid = F.concat(F.lit("RLIE_"), F.date_format("ts", "yyyyMMdd'T'HHmmss"), sat, tile, F.lit("_V"), (i % 3 + 100).cast("string"), F.lit("_"), (i % 2).cast("string"))
-    p = t.events().select("event_type", pid.alias("product_id"))
+    return t.events().select("event_type", pid.alias("product_id"), tile.alias("tile_id"), F.col("ts").alias("measurement_date"))
+
+
+@query("match_products", "", BEST + "SELECT a.tile_id, strftime(a.day, '%Y-%m-%d') AS day, a.pid AS ref_id, c.pid AS search_id " + BOTH)
+def match_products(t: Tables):
+    """JOB-11"""
+    p = _river_ice_products(t)
     out = ice.match_products(p.where("event_type = 'view'").select("product_id"), p.where("event_type = 'click'").select("product_id"))
     return out.select("tile_id", day_text("day"), "ref_id", "search_id")
 
 
+@query("match_stores", "", BEST + """SELECT '{"' || a.tile_id || '_' || strftime(a.day, '%Y%m%d') || '":{"ref_id":"' || a.pid || '","search_id":"' || c.pid || '"}}' AS value """
+       + BOTH + " WHERE a.day BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'")
+def match_stores(t: Tables):
+    """JOB-11, SNK-03: two day-partitioned stores matched, written as documents, read back"""
+    import datetime as dt
+
+    p = _river_ice_products(t)
+    roots = [shared_folder(t.spark, kind) for kind in ("view", "click")]
+    for kind, root in zip(("view", "click"), roots):
+        st.write_products(p.where(F.col("event_type") == kind).drop("event_type"), root)
+    out = shared_folder(t.spark, "matches")
+    st.write_matches(ice.match_stores(t.spark, *roots, dt.date(2024, 1, 10), dt.date(2024, 1, 20)), out, "ref_id", "search_id")
+    return t.spark.read.text(out)
+
+
 def _gap_products(t: Tables):
     kind = F.when(F.col("event_type") == "view", "FSC").when(F.col("event_type") == "click", "WDS").otherwise("SWS")
     pid = F.concat(kind, F.lit("_"), F.date_format("ts", "yyyyMMdd'T'HHmmss"), F.lit("_S2A_T"), F.col("user_id").cast("string"), F.lit("_V100_"), F.col("event_id").cast("string"))

@@ -59,8 +59,7 @@ def read_jobs(spark: SparkSession, root: str, family: str) -> DataFrame:
 
 
 def read_tile_grid(spark: SparkSession, path: str) -> DataFrame:
-    """Tile grid written by :func:`firnline.sinks.tables.write_tile_grid` or any
-    JSON-lines file of the same columns."""
+    """Tile grid from JSON lines of its columns."""
     return spark.read.schema(TILE_GRID).json(path)
 
 
