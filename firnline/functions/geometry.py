@@ -110,6 +110,44 @@ def ring_area(ring: np.ndarray) -> np.ndarray:
     return np.abs(np.sum(x * np.roll(y, -1, axis=-1) - np.roll(x, -1, axis=-1) * y, axis=-1)) / 2
 
 
+def union_area(rings: list[np.ndarray], window: np.ndarray, low: float = -np.inf, high: float = np.inf) -> float:
+    """Area that simple rings, overlapping or not, cover of a convex window between
+    two x: cut at every corner and crossing, so that in each strip the middle
+    height of what is covered is exact and counts once."""
+    low, high = max(low, window[:, 0].min()), min(high, window[:, 0].max())
+    if not rings or low >= high:
+        return 0.0
+    a = np.concatenate([window, *rings])
+    b = np.concatenate([np.roll(r, -1, axis=0) for r in (window, *rings)])
+    owner = np.repeat(np.arange(len(rings) + 1), [len(window), *map(len, rings)])
+    stands = a[:, 0] == b[:, 0]
+    at = [a[:, 0]]
+    a, b, owner = a[~stands], b[~stands], owner[~stands]
+    turned = a[:, 0] > b[:, 0]
+    a[turned], b[turned] = b[turned], a[turned]
+    slope = (b[:, 1] - a[:, 1]) / (b[:, 0] - a[:, 0])
+    base = a[:, 1] - slope * a[:, 0]
+    for i in np.flatnonzero(slope):
+        others = slope != slope[i]
+        x = (base[others] - base[i]) / (slope[i] - slope[others])
+        at.append(x[(x > a[i, 0]) & (x < b[i, 0]) & (x > a[others, 0]) & (x < b[others, 0])])
+    xs = np.unique(np.concatenate([*at, [low, high]]))
+    xs = xs[(xs >= low) & (xs <= high)]
+    total = 0.0
+    for x0, x1 in zip(xs[:-1], xs[1:]):
+        mid = (x0 + x1) / 2
+        on = (a[:, 0] <= mid) & (mid < b[:, 0])
+        y, who = a[on, 1] + slope[on] * (mid - a[on, 0]), owner[on]
+        y = y[np.lexsort((y, who))]
+        (bottom, top), begins, ends = y[:2], y[2::2], y[3::2]
+        begins, ends = np.clip(begins, bottom, top), np.clip(ends, bottom, top)
+        order = np.argsort(begins)
+        begins, ends = begins[order], np.maximum.accumulate(ends[order])
+        reached = np.concatenate([[bottom], ends[:-1]])
+        total += (x1 - x0) * np.maximum(ends - np.maximum(begins, reached), 0).sum()
+    return float(total)
+
+
 def convex_hull(points: np.ndarray) -> np.ndarray:
     """Counter-clockwise hull without collinear points."""
     pts = np.unique(points, axis=0)

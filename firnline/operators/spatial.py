@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 from firnline import codes
 from firnline.functions import projections as P
 from firnline.functions.geometry import (
+    clip_convex,
     clipped_ring,
     convex_hull,
     inside,
     overlap_with_convex,
     rings_intersect,
+    union_area,
     utm_box_ring,
 )
-from firnline.scale import python_partitions
+from firnline.scale import python_partitions, stream_groups
 
 
 def box_ring(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
@@ -214,21 +216,18 @@ def border_lines(acqs: DataFrame, ring: str = "ring", direction: str = "orbit_di
 def clip_to_tiles(polys: DataFrame, tiles: DataFrame, cell: float, outside: bool = False) -> DataFrame:
     """Parts of polygons inside each convex tile, or the tile area left over.
 
-    The outside form gives, per tile, the area not covered by (disjoint)
-    polygons, since a general difference needs holes.
+    The outside form gives, per tile, the area not covered by any polygon;
+    polygons may overlap, what several of them cover counts once.  Its shape is
+    not given, since a general difference needs holes.
     """
-    pairs = box_candidates(polys, tiles, cell)
-    ra, rb = F.col("a_ring"), F.col("b_ring")
     if not outside:
+        pairs = box_candidates(polys, tiles, cell)
+        ra, rb = F.col("a_ring"), F.col("b_ring")
         clipped = pairs.withColumn("ring", clipped_ring(ra["x"], ra["y"], rb["x"], rb["y"]))
         return clipped.where(F.size("ring") >= 3).select(
             F.col("a_id").alias("id"), F.col("b_tile_id").alias("tile_id"), "ring"
         )
-    covered = (
-        pairs.withColumn("area", overlap_with_convex(ra["x"], ra["y"], rb["x"], rb["y"]))
-        .groupBy(F.col("b_tile_id").alias("tile_id"))
-        .agg(F.sum("area").alias("_covered"))
-    )
+    covered = _covered_blocks(polys, tiles, cell).groupBy("tile_id").agg(F.sum("area").alias("_covered"))
     rt = F.col("ring")
     whole = overlap_with_convex(rt["x"], rt["y"], rt["x"], rt["y"])
     return (
@@ -238,6 +237,47 @@ def clip_to_tiles(polys: DataFrame, tiles: DataFrame, cell: float, outside: bool
     )
 
 
+#: Rings that a block takes in before the strip behind them is summed.
+STRIP_RINGS = 500
+
+
+def _covered_blocks(polys: DataFrame, tiles: DataFrame, cell: float) -> DataFrame:
+    """Rows ``(tile_id, area)``: what all polygons together cover of each block, the
+    part of a tile in one cell.  Equal rings are merged first; a block's rings
+    arrive by their left end and leave behind the strip that is summed."""
+    left = _cells(with_bounds(polys.select(F.col("ring").alias("a")), "a", "_a_"), "_a_", cell)
+    right = _cells(with_bounds(tiles.select("tile_id", F.col("ring").alias("b")), "b", "_b_"), "_b_", cell)
+    meet = (
+        (F.col("_a_minx") < F.col("_b_maxx"))
+        & (F.col("_b_minx") < F.col("_a_maxx"))
+        & (F.col("_a_miny") < F.col("_b_maxy"))
+        & (F.col("_b_miny") < F.col("_a_maxy"))
+    )
+    rows = left.join(right, ["_cx", "_cy"]).where(meet).select(
+        "tile_id", "_cx", "_cy", F.col("_a_minx").alias("minx"), F.col("_a_maxx").alias("maxx"),
+        F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"),
+    ).distinct()
+
+    def area(key: tuple, found):
+        tile, cx, cy = key
+        box = np.array([[cx, cy], [cx + 1, cy], [cx + 1, cy + 1], [cx, cy + 1]], float) * cell
+        window, held, fresh, done, total = None, [], 0, -np.inf, 0.0
+        for _, _, _, minx, maxx, ax, ay, bx, by in found:
+            if window is None:
+                window = clip_convex(np.column_stack([bx, by]), box)
+                if len(window) < 3:
+                    return
+            if fresh >= STRIP_RINGS and minx > done:
+                total += union_area([r for _, r in held], window, done, minx)
+                held, fresh, done = [h for h in held if h[0] > minx], 0, minx
+            held.append((maxx, np.column_stack([ax, ay])))
+            fresh += 1
+        yield tile, total + union_area([r for _, r in held], window, done)
+
+    kind = tiles.schema["tile_id"].dataType.simpleString()
+    return stream_groups(rows, ["tile_id", "_cx", "_cy"], ["minx"], f"tile_id {kind}, area double", area)
+
+
 # --- grids -------------------------------------------------------------------------
 BLOCK = 256
 

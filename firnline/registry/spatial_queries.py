@@ -74,10 +74,26 @@ def clip_inside(t: Tables):
 
 @query("clip_outside", "squares tiles", f"""SELECT t.tile_id, round(100 - coalesce((SELECT sum({AREA}) FROM squares s WHERE s.id < 20), 0), 6) AS area_outside FROM tiles t""")
 def clip_outside(t: Tables):
-    """J-29: area left outside the polygons (a part of them that is disjoint is
-    not needed for the sum to be checked)"""
-    few = t.squares().where("id < 20").select("id", "ring")
-    out = sp.clip_to_tiles(few, t.grid_tiles().select("tile_id", "ring"), 5.0, outside=True)
+    """J-29: tile area less the sum of the parts inside, over a few polygons; the
+    SQL counts what two of them share twice, ``clip_outside_all`` does not"""
+    from firnline.functions.geometry import overlap_with_convex
+
+    few, tiles = t.squares().where("id < 20").select("id", "ring"), t.grid_tiles().select("tile_id", "ring")
+    r = F.col("ring")
+    parts = sp.clip_to_tiles(few, tiles, 5.0).select("tile_id", overlap_with_convex(r["x"], r["y"], r["x"], r["y"]).alias("area"))
+    inside = parts.groupBy("tile_id").agg(F.sum("area").alias("inside"))
+    return tiles.join(inside, "tile_id", "left").select(
+        "tile_id", F.round(100 - F.coalesce("inside", F.lit(0.0)), 6).alias("area_outside")
+    )
+
+
+@query("clip_outside_all", "squares tiles", """
+WITH_U""".replace("WITH_U", """SELECT t.tile_id, CAST(100 - count(u.cx) AS DOUBLE) AS area_outside FROM tiles t
+LEFT JOIN (SELECT DISTINCT cx, cy FROM squares s, (SELECT unnest(range(-1, 60)) AS cx), (SELECT unnest(range(-1, 60)) AS cy) WHERE cx >= x0 AND cx < x0 + side AND cy >= y0 AND cy < y0 + side) u
+  ON u.cx >= t.x0 AND u.cx < t.x0 + 10 AND u.cy >= t.y0 AND u.cy < t.y0 + 10 GROUP BY 1"""))
+def clip_outside_all(t: Tables):
+    """J-29: area left outside all polygons, which overlap; corners are whole numbers"""
+    out = sp.clip_to_tiles(t.squares().select("id", "ring"), t.grid_tiles().select("tile_id", "ring"), 5.0, outside=True)
     return out.withColumn("area_outside", F.round("area_outside", 6))
 
 

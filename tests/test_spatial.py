@@ -125,3 +125,17 @@ def test_regrid_nearest(spark):
     assert {(r.row, r.col): r.value for r in out.collect()} == want
     away = targets.withColumn("ulx", F.col("ulx") - 100000)
     assert snow.season_mosaic(pix, src, away).where("value = 255 and qc = 255").count() == 400
+
+
+def test_outside_counts_overlaps_once(spark, monkeypatch):
+    tiles = rings(spark, [("t", SQ * 5), ("far", SQ + 100)], "tile_id")
+    polys = [("a", SQ * 2), ("b", SQ * 2 + 2), ("b2", SQ * 2 + 2), ("d", DIAMOND * 2 + 1), ("out", SQ * 3 + [8, -3])]
+    monkeypatch.setattr(sp, "STRIP_RINGS", 1)
+    for cell in (3.0, 50.0):
+        got = {r.tile_id: r.area_outside for r in sp.clip_to_tiles(rings(spark, polys), tiles, cell, outside=True).collect()}
+        y, x = np.mgrid[0.01:10:0.02, 0.01:10:0.02]
+        pts = np.column_stack([x.ravel(), y.ravel()])
+        hit = np.any([g.inside(pts, p) for _, p in polys], axis=0)
+        assert got["t"] == pytest.approx(100 * (1 - hit.mean()), abs=0.1) and got["far"] == pytest.approx(4.0)
+    same = rings(spark, [("a", SQ), ("b", SQ + 1)])
+    assert sp.clip_to_tiles(same, tiles, 3.0, outside=True).where("tile_id = 't'").collect()[0].area_outside == pytest.approx(93.0)
