@@ -220,7 +220,9 @@ class Generator:
             return f"<p>{t}"
         if form < 0.88:
             return f"<div>{t}</div>"
-        return f"<blockquote>{t}</blockquote>" if form < 0.94 else f"<p><em>{t}</em></p>"
+        if form < 0.94:
+            return f"<blockquote>{t}</blockquote>"
+        return f"<p><em>{t}</em></p>" if form < 0.97 else f'<object data="{self.word()}">{t}</object>'
 
     def aside(self) -> str:
         """A block that is not main, of any kind."""
@@ -236,6 +238,8 @@ class Generator:
             lambda: f'<div class="{r.choice(["sidebar", "related", "widget", "rail", "side", "recommended"])}"><h3>{prose(1, 4)}</h3>{self.listing(False)}<p>{prose(3, 30)}</p></div>',
             lambda: f"<form{n('search', 'subscribe', 'login')}><label>{prose(1, 4)}</label><input name=q><p>{prose(2, 15)}</p></form>",
             lambda: f'<div class="{r.choice(["share", "social", "tags", "meta"])}"><a href="/s">{prose(1, 2)}</a> <a href="/t">{prose(1, 2)}</a></div>',
+            lambda: f'<button{n("btn", "share", "more")}>{prose(1, 5)}</button>',
+            lambda: "<select name=s>" + "".join(f"<option>{prose(1, 3)}</option>" for _ in range(r.randint(1, 6))) + "</select>",
         ])()
 
     def comments(self) -> str:

@@ -74,3 +74,48 @@ def test_nulls_repeats_and_empty_table(spark):
 @pytest.mark.parametrize("page", ["<" * 3000, "<p " + 'a="' * 2000, "&" * 5000, "<!--" * 500])
 def test_hostile_pages_end(page):
     blocks_of(page)
+
+
+ARTICLE = "<article><h1>Snow line</h1><p>First, a line of plain prose about snow.</p><p>Then a second line, about ice.</p></article>"
+
+
+@pytest.mark.parametrize("before", [
+    "<svg viewBox='0 0 1 1'/>", "<svg class=x />", "<svg><path d='M0 0'/><title>Icon</svg>", "<div><svg><g></div>", "<svg><path d=''>",
+    "<svg/><math/>", "<math>", "<div><button>", "<button>Go", "<select><option>One<option>Two", "<div><object data='a.pdf'></div>",
+])
+def test_article_after_drawings_and_controls(before):
+    for page in (f"<html><head><title>t</title></head><body>{before}{ARTICLE}</body></html>", f"<body>{before}<p>lead</p>{ARTICLE}"):
+        texts = [b.text for b in blocks_of(page)]
+        assert texts[-3:] == ["Snow line", "First, a line of plain prose about snow.", "Then a second line, about ice."]
+        assert hx.main_texts(hx.trained(), [page])[0].endswith(" ".join(texts[-3:]))
+
+
+def test_formulas_objects_and_controls_keep_their_text():
+    page = """<article><p>so <math><mi>x</mi><mo>=</mo><mspace width="1"/><mn>2</mn></math> holds<svg width="1"/> x<svg><text>no</text></svg>y</p>
+      <object data="f.swf"><p>in its place</p></object><p>a <button type="button">Share</button></p></article>"""
+    got = [(b.text, [t for t, _ in b.path]) for b in blocks_of(page)]
+    assert got == [
+        ("so x=2 holds xy", ["article", "p"]), ("in its place", ["article", "object", "p"]),
+        ("a", ["article", "p"]), ("Share", ["article", "p", "button"]),
+    ]
+
+
+@pytest.mark.parametrize("head", [
+    "<head><title>t</title><meta charset=utf-8><link rel=x href=y>", "<html><head><style>p{}</style><script>1</script>", "<head>",
+])
+def test_head_ends_without_its_tag(head):
+    assert [b.text for b in blocks_of(head + ARTICLE)] == ["Snow line", "First, a line of plain prose about snow.", "Then a second line, about ice."]
+    assert [b.text for b in blocks_of(head + "bare text")] == ["bare text"]
+    assert hx.main_texts(hx.trained(), [head + ARTICLE])[0] == "Snow line First, a line of plain prose about snow. Then a second line, about ice."
+
+
+@pytest.mark.parametrize("page", ["<svg>" * 5000, "<svg><a>" * 3000 + "</b>" * 3000, "<svg " + "=" * 5000 + "/>" * 2, "<title>" * 3000, "<button>" * 3000])
+def test_hostile_drawings_end(page):
+    blocks_of(page)
+
+
+@pytest.mark.parametrize("control", ["<button>Share</button>", "<select><option>One</option><option>Two</option></select>"])
+def test_controls_in_an_article_are_not_its_text(control):
+    p = "<p>First, a line of plain prose about snow and the long winter, told in full.</p>"
+    got = hx.main_texts(hx.trained(), [f"<body><article><h1>Head</h1>{p}{control}{p}{p}</article></body>"])[0]
+    assert got == " ".join(["Head"] + [p[3:-4]] * 3)
