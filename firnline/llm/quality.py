@@ -85,7 +85,7 @@ class Counts:
         is spelt as a lambda over a one-element array, so nothing is evaluated
         twice.
         """
-        return F.when(F.length(self.text) > 10, F.transform(F.array(self.words()), _repeats)[0]).otherwise(0).cast("long")
+        return _let(self.words(), _repeats).cast("long")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
