@@ -4,11 +4,12 @@ Strong parts (assignments, access identifiers, long hex) are reported always.
 Weak parts (account names, short or random values, endpoints) are reported only
 where complementary parts stand in the same scope: a secret beside an identifier
 or an endpoint.  A scope is a stretch of text without a blank line; parts link
-when their starts are at most ``reach`` code points apart.
+when at most ``reach`` code points lie between the end of the earlier and the
+start of the later, however long they are.
 
-Parts become rows (text fingerprint, kind, start, end).  The interval join is a
-range frame over the starts of one scope: it sees exactly the parts within reach
-and emits no pairs, and since parts have a least length a frame is bounded.
+Parts become rows (text fingerprint, kind, start, end).  The interval join is two
+running values per scope and role, the furthest end before a part and the next
+start after it, so it emits no pairs.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ BREAK = Kind("break", r"\n[\x20\x09\r]*\n", "break")
 BASE = ("assign", "access", "hex")
 NAMES = (*BASE, "identifier", "secret", "endpoint")
 KINDS = (ASSIGN, ACCESS, HEX, *WEAK)
-#: Distance of linked parts, in code points between their starts.
+#: Most code points between linked parts.
 REACH = 200
 
 
@@ -132,10 +133,18 @@ def linked_spans(docs: DataFrame, text: str = "text", reach: int = REACH) -> Dat
         F.min(F.when(F.col("strong"), F.col("start"))).over(down).alias("next_strong"),
     )
     free = (F.col("ended") <= F.col("start")) & (F.col("next_strong").isNull() | (F.col("next_strong") >= F.col("end")))
-    near = Window.partitionBy("fp", "scope").orderBy("start").rangeBetween(-reach, reach)
+    scope = Window.partitionBy("fp", "scope")
+    earlier = scope.orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    later = scope.orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
     secret = F.col("role") == "secret"
+
+    def near(role: Column) -> Column:
+        """Whether a part of the role before or after is within reach."""
+        ended, starts = F.max(F.when(role, F.col("end"))).over(earlier), F.min(F.when(role, F.col("start"))).over(later)
+        return F.coalesce(F.col("start") - ended <= reach, F.lit(False)) | F.coalesce(starts - F.col("end") <= reach, F.lit(False))
+
     usable = placed.where(~is_break & (F.col("strong") | free)).select(
-        "*", F.max(secret).over(near).alias("near_secret"), F.max(~secret).over(near).alias("near_other")
+        "*", near(secret).alias("near_secret"), near(~secret).alias("near_other")
     )
     return usable.where(F.col("strong") | F.when(secret, F.col("near_other")).otherwise(F.col("near_secret"))).select(
         "fp", F.when(F.col("strong"), F.col("name")).otherwise(F.col("weak_name")).alias("name"), "start", "end"

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -63,3 +64,35 @@ def test_redaction_keeps_all_else(spark):
 @pytest.mark.parametrize("op", [secrets.secret_report, secrets.redact_secrets])
 def test_empty_table(spark, op):
     assert op(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_long_parts_reach_their_neighbours(spark):
+    token, host = "token=" + "eyJ0-" * 60, "https://" + "sub." * 70 + "example.com"
+    texts = [
+        token + " user=bob", "user=bob " + token + " login=eve", host + " pwd=hunter", "pwd=hunter " + host + " passphrase=abcd",
+        host + " " * 200 + "pwd=hunter", host + " " * 201 + "pwd=hunter", token + "\n\nuser=bob", "user=bob" + " " * 200 + "pwd=hunter",
+        "user=bob" + " " * 201 + "pwd=hunter", token + " user=" + "z" * 300 + " login=eve",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [x.split(":")[0] for x in r.spans.split(",") if x] for r in secrets.secret_report(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == [
+        ["assign", "identifier"], ["identifier", "assign", "identifier"], ["endpoint", "secret"], ["secret", "endpoint", "secret"],
+        ["endpoint", "secret"], [], ["assign"], ["identifier", "secret"], [], ["assign", "identifier"],
+    ]
+    clean = {r.doc_id: r.text for r in secrets.redact_secrets(docs).collect()}
+    assert clean[0] == "[secret] [secret]" and clean[5] == texts[5]
+
+
+def test_links_against_brute_force(spark):
+    rng = random.Random(3)
+    words = ["user=" + "z" * 40, "pwd=hunter", "token=" + "t" * 150, "https://a.example.com", "\n\n", "x" * 90, "y" * 30, "login=bob"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 12))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: {tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x} for r in secrets.secret_report(docs).collect()}
+    for i, t in enumerate(texts):
+        parts = [(m.start(), m.end(), m[0][0] in "pt", m[0][0] == "t", t.count("\n\n", 0, m.start()))
+                 for m in re.finditer(r"(?:user|pwd|token|login)=[a-z]+|https://[a-z.]+", t) if not m[0].startswith("https")]
+        parts += [(m.start(), m.end(), False, False, t.count("\n\n", 0, m.start())) for m in re.finditer(r"https://[a-z.]+", t)]
+        want = {(s, e) for s, e, secret, strong, scope in parts
+                if strong or any(o != secret and k == scope and max(s, a) - min(e, b) <= 200 for a, b, o, _, k in parts)}
+        assert got[i] == want, t
