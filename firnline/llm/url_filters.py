@@ -14,19 +14,23 @@ from pyspark.sql import functions as F
 HOST, LONGEST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/?#:@]+)", 253
 
 
+def name_of(name: Column) -> Column:
+    """A host or domain as names compare: lower case, no dots at the end."""
+    return F.regexp_replace(F.lower(name), r"\.+$", "")
+
+
 def host_of(url: Column) -> Column:
     """Lower-case host name; empty if there is none."""
-    host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 2))
-    host = F.regexp_replace(host, r"\.+$", "")
+    host = name_of(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 2))
     return F.when(F.length(host) <= LONGEST, host).otherwise("")
 
 
-def domains_of(host: Column) -> Column:
-    """The host and the domains above it, down to two labels."""
+def domains_of(host: Column, least: int = 1) -> Column:
+    """The host and the domains above it, down to ``least`` labels."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
     return F.when(
-        n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
+        n >= least, F.transform(F.sequence(F.lit(1), n - (least - 1)), lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
     ).otherwise(F.array(host))
 
 
@@ -35,10 +39,11 @@ def validity(entries: DataFrame) -> DataFrame:
 
     ``entries`` has ``list, pattern, day, action`` (``add`` or ``remove``).  Of
     several actions on one day adding wins; repeats of an action change nothing;
-    the last interval has no end.  Rows with a null in any of these are void.
+    the last interval has no end.  Patterns compare as hosts do (``name_of``).
+    Rows with a null in any of these are void.
     """
     daily = (
-        entries.select("list", "pattern", F.col("day").cast("date").alias("day"), "action").na.drop()
+        entries.select("list", name_of(F.col("pattern")).alias("pattern"), F.col("day").cast("date").alias("day"), "action").na.drop()
         .groupBy("list", "pattern", "day").agg(F.max(F.col("action") == "add").alias("on"))
     )
     w = Window.partitionBy("list", "pattern").orderBy("day")
@@ -86,7 +91,7 @@ def entries_from_pages(pages: DataFrame) -> DataFrame:
     are on a second list from the start.
     """
     names = pages.select(host_of(F.col("url")).alias("host")).distinct().where("host <> ''")
-    patterns = names.select(F.explode(domains_of(F.col("host"))).alias("pattern")).distinct()
+    patterns = names.select(F.explode(domains_of(F.col("host"), least=2)).alias("pattern")).distinct()
     x = F.conv(F.substring(F.md5("pattern"), 1, 4), 16, 10).cast("int")
     day = F.date_add(F.lit("2024-01-01").cast("date"), x % 300)
 

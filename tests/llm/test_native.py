@@ -29,6 +29,19 @@ def test_captures_meet_the_entries_active_then(spark):
     assert url_filters.url_verdicts(captures, entries.where("false")).where("blocked").collect() == []
 
 
+def test_entries_of_any_length_and_spelling_cover_what_is_below(spark):
+    entries = spark.createDataFrame([
+        ("top", "zip", "2024-01-01", "add"), ("mixed", "Bad.COM.", "2024-01-01", "add"), ("mixed", "bad.com", "2024-02-01", "remove"),
+        ("inner", "intranet", "2024-01-01", "add"),
+    ], "list string, pattern string, day string, action string")
+    captures = spark.createDataFrame([
+        (1, "http://a.b.zip/", "2024-01-05"), (2, "http://zip", "2024-01-05"), (3, "http://x.bad.com", "2024-01-05"), (4, "http://bad.com.", "2024-01-05"),
+        (5, "http://bad.com", "2024-02-05"), (6, "http://intranet/", "2024-01-05"), (7, "http://notzip", "2024-01-05"), (8, "http://zip.org", "2024-01-05"),
+    ], "page_id long, url string, fetched string")
+    got = {r.page_id: r.lists for r in url_filters.url_verdicts(captures, entries).collect()}
+    assert got == {1: "top", 2: "top", 3: "mixed", 4: "mixed", 5: "", 6: "inner", 7: "", 8: ""}
+
+
 def test_licences_need_their_sentences_in_order(spark):
     s = licenses.SENTENCES
     wrapped = (s["mit_grant"].replace(" to deal", "\nto deal") + ":\n\n" + s["mit_notice"] + ".")
