@@ -9,7 +9,9 @@ target recall needs, which is measured on edited items when the job is planned.
 What shares a bucket with an item is verified by exact edit distance.
 
 Windows come from the count filter for 3-grams (a window within ``d`` edits of
-``w`` words shares at least ``w - 2 - 3d`` of them), which loses nothing.
+``w`` words shares at least ``w - 2 - 3d`` of them), which loses nothing and
+leaves little for the buckets to reject.  Items under four words are looked up as
+whole word sequences.
 The benchmark is read in blocks of bounded size; texts never move.
 """
 
@@ -62,6 +64,15 @@ def grams(words: np.ndarray) -> np.ndarray:
     return x * np.uint64(0x165667B19E3779F9)
 
 
+def runs(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each ``n`` words running, for items too short for grams."""
+    out = np.zeros(max(0, len(words) - n + 1), np.uint64)
+    for k in range(n):
+        out = (out ^ words[k : k + len(out)]) * _ODD
+        out ^= out >> np.uint64(29)
+    return out
+
+
 class Walks:
     """Random walks for ``repeats`` repetitions over ``3 * width`` steps."""
 
@@ -146,6 +157,7 @@ class Matcher:
         self.words = Words()
         self.items: list[Item] = []
         walks: dict[int, Walks] = {}
+        short: dict[int, list] = {}
         with np.errstate(over="ignore"):
             for key, text in items:
                 w = self.words.of(text)
@@ -154,7 +166,11 @@ class Matcher:
                     edits = limit_of(n, similarity)
                     walk = walks.setdefault(n, Walks(n, repeats.get(n, 4)))
                     self.items.append(Item(key, w, edits, max(1, n - 2 - 3 * edits), walk, walk.buckets(w[None, :])[0]))
+                elif n:
+                    short.setdefault(n, []).append((int(runs(w, n)[0]), key, w))
             pairs = [(g, k) for k, it in enumerate(self.items) for g in np.unique(grams(it.words))]
+        #: Items under ``MIN_WORDS`` by length: sorted hashes, and (hash, key, words).
+        self.short = {n: (np.array(sorted(x[0] for x in its), np.uint64), sorted(its, key=lambda x: x[0])) for n, its in short.items()}
         order = sorted(range(len(pairs)), key=lambda i: pairs[i][0])
         self.keys = np.array([pairs[i][0] for i in order], np.uint64)
         self.owner = np.array([pairs[i][1] for i in order], np.int64)
@@ -168,23 +184,40 @@ class Matcher:
             self.words.clear()
         words = self.words.of(text)
         with np.errstate(over="ignore"):
+            exact = self._exact(words)
             g = grams(words)
             at = np.flatnonzero(self.sieve[g & np.uint64((1 << 20) - 1)])
             if not len(at) or not len(self.keys):
-                return []
+                return exact
             lo, hi = np.searchsorted(self.keys, g[at], "left"), np.searchsorted(self.keys, g[at], "right")
             count = hi - lo
             if not count.any():
-                return []
+                return exact
             place = np.repeat(at, count)
             owner = self.owner[np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
-            found = []
+            found = exact
             for k in np.flatnonzero(np.bincount(owner, minlength=len(self.items)) >= self.needs):
                 best = self._verify(self.items[k], words, place[owner == k])
                 if best:
                     found.append(best)
             return found
 
+    def _exact(self, words: np.ndarray) -> list[tuple[object, int, int, int]]:
+        """The items too short for edits whose words the text holds, at their first place."""
+        found = []
+        for n, (keys, items) in self.short.items():
+            h = runs(words, n)
+            lo, hi = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
+            done: set[int] = set()
+            for p in np.flatnonzero(lo < hi):
+                for k in range(lo[p], hi[p]):
+                    if k not in done and (words[p : p + n] == items[k][2]).all():
+                        done.add(k)
+                        found.append((items[k][1], 0, n, int(p) + n))
+                if len(done) == len(items):
+                    break
+        return found
+
     def _verify(self, item: Item, words: np.ndarray, hits: np.ndarray) -> tuple | None:
         w, d, need = len(item.words), item.edits, item.need
         first, last = hits[: len(hits) - need + 1], hits[need - 1 :]
@@ -241,9 +274,9 @@ def find_leaks(
     """Rows ``(doc_id, item_id, edits, item_words, last_word)``: an item found in a
     text within its edit limit, at its best place.
 
-    Words compare without case and punctuation.  Null or empty texts and items,
-    and items under four words, match nothing; items under six words match without
-    edits.  Ids may be null or repeated: each document row and each item row is
+    Words compare without case and punctuation.  Null or empty texts and items
+    match nothing; items under six words match without edits, those under four by
+    their word sequence alone.  Ids may be null or repeated: each document row and each item row is
     answered.  Empty tables give no rows; other columns are not read.
     """
     spark = docs.sparkSession

@@ -77,3 +77,14 @@ def test_nulls_ties_and_empty_tables(spark):
     assert dc.find_leaks(docs.where("false"), bench).collect() == []
     assert dc.find_leaks(docs, bench.where("false")).collect() == []
     assert dc.drop_leaks(docs, bench.where("false")).count() == 6
+
+
+def test_items_under_four_words_match_by_sequence(spark):
+    bench = spark.createDataFrame([(1, "Glacier"), (2, "snow line"), (3, "ice on lakes"), (3, "ice on lakes"), (4, ""), (5, "?!"), (6, "one two three four five")], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "a glacier, a GLACIER!"), (2, "the Snow-line is no snow, line"), (3, "on lakes ice"), (4, "no ice on lakes"), (5, "line snow"), (6, ""),
+        (7, "ice on lakes snow line one two three four five"), (8, None), (9, "glaciers"),
+    ], "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.edits, r.item_words, r.last_word) for r in dc.find_leaks(docs, bench).collect())
+    assert got == [(1, 1, 0, 1, 2), (2, 2, 0, 2, 6), (4, 3, 0, 3, 4), (4, 3, 0, 3, 4), (7, 2, 0, 2, 5), (7, 3, 0, 3, 3), (7, 3, 0, 3, 3), (7, 6, 0, 5, 10)]
+    assert sorted(r.doc_id for r in dc.drop_leaks(docs, bench).collect()) == [3, 5, 6, 8, 9]
