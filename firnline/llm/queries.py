@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firnline.llm import (
-    bpe, decontaminate, html_extract, jaccard, licenses, oracles, pii, quality, secrets, suffix_dedup, url_filters,
+    bpe, decontaminate, html_extract, importance, jaccard, licenses, oracles, pii, quality, secrets, suffix_dedup, url_filters,
 )
 from firnline.llm.common import table
 
@@ -72,3 +72,8 @@ def op9_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resampling_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
