@@ -30,3 +30,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR n_dup_lines * 100 > n_lines * 40 OR word_chars * 10 < n_words * 20 OR word_chars * 10 > n_words * 140) AS kept
 FROM f
 """
+
+ORACLE["op12_line_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), c AS (
+  SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT rid) >= 3
+), m AS (
+  SELECT rid, k.doc_id, line, pos, coalesce(top IS NOT NULL AND (k.doc_id IS NULL OR k.doc_id < top), false) AS gone
+  FROM k LEFT JOIN c USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid, doc_id
+"""

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firnline.llm import (
-    bpe, decontaminate, html_extract, importance, jaccard, licenses, oracles, pii, quality, secrets, suffix_dedup, url_filters,
+    bpe, decontaminate, html_extract, importance, jaccard, licenses, line_dedup, oracles, pii, quality, secrets, suffix_dedup,
+    url_filters,
 )
 from firnline.llm.common import table
 
@@ -77,3 +78,8 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resampling_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_report(table(spark, folder, "documents"))
