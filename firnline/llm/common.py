@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from firnline.session import configure, shared_folder
@@ -52,6 +52,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def numbered(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """``df`` as a table sorted over the cluster, with each row's number from 0.
+
+    A row's number is its place in its partition plus the rows of the partitions
+    before; only one row per partition meets in one task.
+    """
+    rows = written(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "sorted").withColumn("_part", F.shiftright("_at", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("_part").count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
+    return rows.join(parts, "_part").select(*df.columns, (F.col("_base") + F.col("_at").bitwiseAND((1 << 33) - 1)).alias(name))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected edges ``(a, b)``: rows ``(node, label)``
     with the smallest node of the component as its label.

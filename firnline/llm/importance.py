@@ -21,10 +21,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firnline.llm.common import prepare, written
+from firnline.llm.common import numbered, prepare, written
 
 BUCKETS = 10_000
 RUN = 3
@@ -146,22 +146,15 @@ def ranked(scored: DataFrame, keep: int, percent: int) -> DataFrame:
     ties to the smaller id; the others have none.
 
     Rows that cannot be drawn are set aside by a quantile whose error is bounded;
-    the others are sorted over the cluster, and a row's rank is its place in its
-    partition plus the rows of the partitions before.
+    the others are sorted and numbered over the cluster.
     """
     # the quantile is off by a ten-thousandth of the rows at most; a hundredth is left
     share = max(0.0, 1 - percent / 100 - 0.01)
     eligible = F.col("drawable") & (F.col("score") >= F.lit(
         scored.where("drawable").agg(F.percentile_approx("score", share, 10_000)).first()[0]
     ))
-    best = written(
-        scored.where(eligible).orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-        .withColumn("place", F.monotonically_increasing_id()), "ranked"
-    ).withColumn("part", F.shiftright("place", 33))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = best.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    place = F.col("base") + F.col("place").bitwiseAND((1 << 33) - 1) + 1
-    top = best.join(parts, "part").select(*scored.columns, F.when(place <= keep, place).alias("rank"))
+    best = numbered(scored.where(eligible), [F.col("score").desc(), F.col("doc_id").asc_nulls_last()])
+    top = best.select(*scored.columns, F.when(F.col("place") < keep, F.col("place") + 1).alias("rank"))
     rest = scored.where(~F.coalesce(eligible, F.lit(False)))
     return top.unionByName(rest.withColumn("rank", F.lit(None).cast("long")))
 

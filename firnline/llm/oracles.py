@@ -49,3 +49,43 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY rid, doc_id
 """
+
+ORACLE["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), w AS (
+  SELECT rid, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 10
+), v AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), n AS (
+  SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term
+), tot AS (
+  SELECT lang, source, sum(n)::HUGEINT AS tot FROM n GROUP BY lang, source
+), p AS (
+  SELECT g.lang, g.source, term, coalesce(n.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n.n, 0) + 2)) // (coalesce(tot, 0) + 2 * v) AS p
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source, term) LEFT JOIN tot USING (lang, source)
+), lt AS (
+  SELECT lang, sum(tot) AS tot FROM tot GROUP BY lang
+), q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 2)) // (any_value(tot) + 2 * any_value(v)) AS q
+  FROM n JOIN lt USING (lang) JOIN v USING (lang) GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), res AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM res
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 10
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firnline.llm import (
-    bpe, decontaminate, html_extract, importance, jaccard, licenses, line_dedup, oracles, pii, quality, secrets, suffix_dedup,
+    bpe, decontaminate, divergence, html_extract, importance, jaccard, licenses, line_dedup, oracles, pii, quality, secrets, suffix_dedup,
     url_filters,
 )
 from firnline.llm.common import table
@@ -83,3 +83,8 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_report(table(spark, folder, "documents"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
