@@ -13,6 +13,7 @@ All arithmetic is exact, in integers.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import accumulate
@@ -28,7 +29,7 @@ from firnline.llm.common import numbered, prepare, written
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 MIN_DOCS, TOP = 10, 10
 #: Terms of one transducer, and distinct terms a task counts before it sends them on.
-BLOCK, HELD = 1 << 18, 1 << 18
+BLOCK, HELD = 1 << 18, 1 << 19
 #: Texts up to so many bytes are taken apart in one step.
 LONG = 1 << 20
 #: Bytes of transducers that travel to all tasks; beyond, terms travel to them.
@@ -148,7 +149,8 @@ def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
 
     counted = docs.select("lang", "text").mapInArrow(run, "lang string, term binary, n long").groupBy("lang", "term").agg(F.sum("n").alias("n"))
     kept = numbered(counted.where(F.col("n") >= min_docs).select("lang", "term"), [F.col("lang"), F.col("term")])
-    first = kept.groupBy("lang").agg(F.min("place").alias("_first"))
+    # a row per language: as a table its size is known, so what is joined to it need not move
+    first = written(kept.groupBy("lang").agg(F.min("place").alias("_first")), "first")
     return written(kept.join(first, "lang").select("lang", "term", (F.col("place") - F.col("_first")).alias("ordinal")), "kept")
 
 
@@ -166,20 +168,20 @@ def transducers(kept: DataFrame, block: int) -> DataFrame:
     return blocks.groupBy("lang", "block").applyInArrow(build, "lang string, block long, start binary, packed binary")
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, list[bytes], np.ndarray]]:
-    """Texts as distinct terms with their number, per language and source, in portions."""
-    held: dict[tuple[str, str], Counter] = {}
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[str, Counter]]]:
+    """Texts as distinct terms with their number per source, a language at a time, in portions."""
+    held: dict[str, dict[str, Counter]] = {}
     size = 0
     for batch in batches:
         for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
-            counted = held.setdefault((lang, source), Counter())
+            counted = held.setdefault(lang, {}).setdefault(source, Counter())
             size -= len(counted)
             counted.update(terms_of(text.as_py()))
             size += len(counted)
             if size >= HELD:
-                yield from ((*k, list(c), np.fromiter(c.values(), np.int64, len(c))) for k, c in held.items())
+                yield from held.items()
                 held, size = {}, 0
-    yield from ((*k, list(c), np.fromiter(c.values(), np.int64, len(c))) for k, c in held.items())
+    yield from held.items()
 
 
 COUNTS = "lang string, source string, ordinal long, n long"
@@ -209,10 +211,17 @@ def recount(docs: DataFrame, built: DataFrame, block: int, sent: int) -> DataFra
             by_lang: dict[str, list] = {}
             for lang, number, packed in copy.value:
                 by_lang.setdefault(lang, []).append((number * block, Transducer.of(packed)))
-            for lang, source, terms, n in _words(batches):
+            for lang, sources in _portions(batches):
+                # a term of several sources goes through once
+                terms = list(set().union(*sources.values()))
+                ordinal = np.full(len(terms), -1)
                 for base, one in by_lang.get(lang, ()):
                     found = one.ordinals(terms)
-                    yield _counted(lang, source, np.where(found >= 0, found + base, -1), n)
+                    ordinal = np.where(found >= 0, found + base, ordinal)
+                known = dict(zip(terms, ordinal.tolist()))
+                for source, counted in sources.items():
+                    size = len(counted)
+                    yield _counted(lang, source, np.fromiter(map(known.__getitem__, counted), np.int64, size), np.fromiter(counted.values(), np.int64, size))
 
         return texts.mapInArrow(here, COUNTS).groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
 
@@ -221,13 +230,14 @@ def recount(docs: DataFrame, built: DataFrame, block: int, sent: int) -> DataFra
         starts.setdefault(r.lang, []).append(bytes(r.start))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, source, terms, n in _words(batches):
-            first = np.array(starts.get(lang, []), object)
-            where = np.searchsorted(first, np.array(terms, object), side="right") - 1 if len(first) else np.full(len(terms), -1)
-            some = np.flatnonzero(where >= 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(some), pa.string()), pa.array(where[some].astype(np.int64)), pa.array([source] * len(some), pa.string()),
-                 pa.array([terms[i] for i in some], pa.binary()), pa.array(n[some])], names=["lang", "block", "source", "term", "n"])
+        for lang, sources in _portions(batches):
+            first = starts.get(lang, [])
+            for source, counted in sources.items():
+                rows = [(at, term, n) for term, n in counted.items() if (at := bisect_right(first, term) - 1) >= 0]
+                where, terms, n = zip(*rows) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(rows), pa.string()), pa.array(where, pa.int64()), pa.array([source] * len(rows), pa.string()),
+                     pa.array(terms, pa.binary()), pa.array(n, pa.int64())], names=["lang", "block", "source", "term", "n"])
 
     def there(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, one = None, None
@@ -324,7 +334,7 @@ def divergence(
     kept = kept_terms(rows, min_docs)
     built = written(transducers(kept, block), "transducers")
     counts = written(recount(rows, built, block, sent), "recount")
-    vocabulary = kept.groupBy("lang").agg(F.count("*").alias("terms"))
+    vocabulary = written(kept.groupBy("lang").agg(F.count("*").alias("terms")), "vocabulary")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = written(
         rows.select("lang", "source").distinct().join(vocabulary, "lang", "left").join(totals, ["lang", "source"], "left")
@@ -332,7 +342,7 @@ def divergence(
         .withColumn("number", F.row_number().over(Window.partitionBy("lang").orderBy("source")).cast("long"))
         .withColumn("empty", F.when(F.col("terms") > 0, share(F.lit(0), F.col("total"), F.col("terms")))), "groups"
     )
-    whole = groups.groupBy("lang").agg(F.sum("total").alias("all"))
+    whole = written(groups.groupBy("lang").agg(F.any_value("terms").alias("terms"), F.sum("total").alias("all")), "languages")
     shares = written(
         counts.join(groups, ["lang", "source"]).select("lang", "source", "number", "terms", "ordinal", "n", share(F.col("n"), F.col("total"), F.col("terms")).alias("p")),
         "shares"
@@ -348,7 +358,7 @@ def divergence(
         .withColumn("rank", F.row_number().over(ranked))
     )
 
-    usual = counts.groupBy("lang", "ordinal").agg(F.sum("n").alias("n")).join(whole, "lang").join(vocabulary, "lang").select(
+    usual = counts.groupBy("lang", "ordinal").agg(F.sum("n").alias("n")).join(whole, "lang").select(
         "lang", "ordinal", share(F.col("n"), F.col("all"), F.col("terms")).alias("q"))
     by_ordinal = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), F.col("ordinal"))
     marked = (
