@@ -30,6 +30,8 @@ TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 MIN_DOCS, TOP = 10, 10
 #: Terms of one transducer, and distinct terms a task counts before it sends them on.
 BLOCK, HELD = 1 << 18, 1 << 19
+#: Ordinals added up at once.
+RANGE = 1 << 12
 #: Texts up to so many bytes are taken apart in one step.
 LONG = 1 << 20
 #: Bytes of transducers that travel to all tasks; beyond, terms travel to them.
@@ -184,14 +186,48 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[str
     yield from held.items()
 
 
-COUNTS = "lang string, source string, ordinal long, n long"
+PACKED = "lang string, source string, range long, at binary, n binary"
 
 
-def _counted(lang: str, source: str, ordinal: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    hit = np.flatnonzero(ordinal >= 0)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(hit), pa.string()), pa.array([source] * len(hit), pa.string()), pa.array(ordinal[hit]), pa.array(n[hit])],
-        names=["lang", "source", "ordinal", "n"])
+def _packed(lang: str, source: str, ordinal: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Counts of kept terms (ordinal not negative), packed by range of ordinals."""
+    order = np.argsort(ordinal)
+    order = order[np.searchsorted(ordinal[order], 0) :]
+    ordinal, n = ordinal[order], n[order]
+    ranges = ordinal // RANGE
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(ranges)) + 1, [len(ranges)]]) if len(ranges) else [0]
+    at = (ordinal % RANGE).astype(np.uint16)
+    parts = list(zip(cuts[:-1], cuts[1:]))
+    return pa.RecordBatch.from_arrays([
+        pa.array([lang] * len(parts), pa.string()), pa.array([source] * len(parts), pa.string()), pa.array([ranges[i] for i, _ in parts], pa.int64()),
+        pa.array([at[i:j].tobytes() for i, j in parts], pa.binary()), pa.array([n[i:j].tobytes() for i, j in parts], pa.binary()),
+    ], names=["lang", "source", "range", "at", "n"])
+
+
+def _merged(packed: DataFrame) -> DataFrame:
+    """Rows ``(lang, source, ordinal, n)``: packed counts added up, one range at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(RANGE, np.int64)
+
+        def out() -> pa.RecordBatch:
+            hit = np.flatnonzero(total)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([now[0]] * len(hit), pa.string()), pa.array([now[1]] * len(hit), pa.string()), pa.array(hit + now[2] * RANGE), pa.array(total[hit])],
+                names=["lang", "source", "ordinal", "n"])
+
+        for batch in batches:
+            for *key, at, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != now:
+                    if now is not None:
+                        yield out()
+                    now, total = key, np.zeros(RANGE, np.int64)
+                total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int64)
+        if now is not None:
+            yield out()
+
+    key = ["lang", "source", "range"]
+    return packed.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "lang string, source string, ordinal long, n long")
 
 
 def recount(docs: DataFrame, built: DataFrame, block: int, sent: int) -> DataFrame:
@@ -221,9 +257,9 @@ def recount(docs: DataFrame, built: DataFrame, block: int, sent: int) -> DataFra
                 known = dict(zip(terms, ordinal.tolist()))
                 for source, counted in sources.items():
                     size = len(counted)
-                    yield _counted(lang, source, np.fromiter(map(known.__getitem__, counted), np.int64, size), np.fromiter(counted.values(), np.int64, size))
+                    yield _packed(lang, source, np.fromiter(map(known.__getitem__, counted), np.int64, size), np.fromiter(counted.values(), np.int64, size))
 
-        return texts.mapInArrow(here, COUNTS).groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
+        return _merged(texts.mapInArrow(here, PACKED))
 
     starts: dict[str, list[bytes]] = {}
     for r in sorted(index, key=lambda r: (r.lang, r.block)):
@@ -258,13 +294,13 @@ def recount(docs: DataFrame, built: DataFrame, block: int, sent: int) -> DataFra
         texts.mapInArrow(send, "lang string, block long, source string, term binary, n long").withColumn("packed", none.cast("binary"))
     )
     spread = stream.repartition("lang", "block").sortWithinPartitions("lang", "block", F.col("packed").isNull())
-    return spread.mapInArrow(there, COUNTS).groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
+    return _merged(spread.mapInArrow(there, PACKED))
 
 
 def _through(one: Transducer, block: int, key: tuple, found: list) -> pa.RecordBatch:
     lang, number, source = key
     ordinal = one.ordinals([t for t, _ in found])
-    return _counted(lang, source, np.where(ordinal >= 0, ordinal + number * block, -1), np.array([n for _, n in found], np.int64))
+    return _packed(lang, source, np.where(ordinal >= 0, ordinal + number * block, -1), np.array([n for _, n in found], np.int64))
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:

@@ -32,6 +32,7 @@ SETTINGS = [{}, {"block": 3, "cells": 7}, {"block": 3, "cells": 1, "sent": 0}, {
 @pytest.mark.parametrize("settings", SETTINGS)
 def test_against_sql(spark, monkeypatch, settings):
     monkeypatch.setattr(dv, "HELD", 50 if settings else dv.HELD)
+    monkeypatch.setattr(dv, "RANGE", 4 if settings else dv.RANGE)
     rows = corpus(300)
     docs = spark.createDataFrame(rows, "text string, lang string, source string").withColumn("ordinal", F.lit("clash")).withColumn("n", F.lit(1)).repartition(5)
     got = sorted(map(tuple, dv.divergence(docs, **settings).collect()), key=str)
