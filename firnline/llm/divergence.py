@@ -222,7 +222,7 @@ def _merged(packed: DataFrame) -> DataFrame:
                     if now is not None:
                         yield out()
                     now, total = key, np.zeros(RANGE, np.int64)
-                total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int64)
+                np.add.at(total, np.frombuffer(at, np.uint16), np.frombuffer(n, np.int64))
         if now is not None:
             yield out()
 
