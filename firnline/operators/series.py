@@ -6,7 +6,9 @@ crowded tile is spread over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable
+from functools import reduce
+from itertools import accumulate
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from firnline import codes
 from firnline.operators.filters import in_range
-from firnline.scale import carry, epoch_us, latest_by, running_sum, running_sums, stream_groups, time_chunk
+from firnline.scale import carry, epoch_us, latest_by, running_sum, running_sums, time_chunk
 from firnline.session import cut_lineage
 
 # An hour keeps the rows of one crowded tile and chunk few, and the chunks of a
@@ -24,86 +26,26 @@ US = 1_000_000
 
 
 # --- previous usable job ---------------------------------------------------------
-# Rows of one ordered pass: candidates (side 0) and asking rows (side 1).
-_LINE = ["tile_id", "rule", "chunk", "m", "side", "c", "chg", "id", "source"]
-_FOUND = (
-    "tile_id string, rule int, chunk long, kind int, id long, m long, c long, source string, prev_id long, prev_m long"
-)
-_MOVED = "tile_id string, rule int, chunk long, id long, m long, c long, source string"
-_FAR = (1 << 63) - 1
-
-
-def _look_back(created: int, source: str, low: list, source_of: list, link: list, second: list | None) -> int:
-    """Last position whose creation time is before ``created`` and whose source
-    differs; -1 when there is none.
-
-    ``link[j]`` is the last earlier position with a smaller time than ``j``, so
-    everything between may be skipped once ``j`` is too late.  ``second`` holds
-    the smallest time of any other source where positions stand for many rows.
-    """
-    j = len(low) - 1
-    while j >= 0:
-        if low[j] >= created:
-            j = link[j]
-        elif source_of[j] != source or (second is not None and second[j] < created):
-            return j
-        else:
-            j -= 1
-    return -1
-
-
-def _append(low: list, link: list, created: int) -> None:
-    j = len(low) - 1
-    while j >= 0 and low[j] >= created:
-        j = link[j]
-    low.append(created)
-    link.append(j)
-
-
-def _within_chunk(key: tuple, rows: Iterable[tuple]) -> Iterator[tuple]:
-    """Answers asking rows (kind 0) from the candidates read so far, and closes
-    with the chunk's two smallest creation times of different sources (kind 1)."""
-    low: list = []
-    link: list = []
-    source_of: list = []
-    seen: list = []
-    first, first_source, second = _FAR, None, _FAR
-    for _, _, _, m, side, c, _, rid, source in rows:
-        if side == 0:
-            _append(low, link, c)
-            source_of.append(source)
-            seen.append((rid, m))
-            if source == first_source:
-                first = min(first, c)
-            elif c < first:
-                first, first_source, second = c, source, first
-            else:
-                second = min(second, c)
-        else:
-            j = _look_back(c, source, low, source_of, link, None)
-            yield (*key, 0, rid, m, c, source, *(seen[j] if j >= 0 else (None, None)))
-    if low:
-        yield (*key, 1, 0, 0, first, first_source, second, None)
-
-
-def _across_chunks(key: tuple, rows: Iterable[tuple]) -> Iterator[tuple]:
-    """Sends open questions to the last earlier chunk able to answer; a chunk row
-    carries its two smallest creation times of different sources."""
-    low: list = []
-    link: list = []
-    source_of: list = []
-    second: list = []
-    chunks: list = []
-    for _, _, chunk, _, side, c, other, rid, source in rows:
-        if side == 1:
-            _append(low, link, c)
-            source_of.append(source)
-            second.append(other)
-            chunks.append(chunk)
-        else:
-            j = _look_back(c, source, low, source_of, link, second)
-            if j >= 0:
-                yield (*key, chunks[j], rid, _FAR, c, source)
+#: Rows of a block, and children of a block of the level above.
+PREVIOUS_FANOUT = 32
+
+
+def _able(least: Column, created: Column, source: Column) -> Column:
+    """A block holds a row created before ``created`` by another source: ``least``
+    has its first creation, that row's source, and the first by any other source."""
+    same = least["source"].eqNullSafe(source)
+    return F.coalesce(F.when(same, least["other"] < created).otherwise(least["first"] < created), F.lit(False))
+
+
+def _least(children: Column, first: Callable, source: Callable, other: Callable) -> Column:
+    """Summary of a block from its children, see :func:`_able`."""
+    best = F.array_min(F.transform(children, lambda x: F.struct(first(x).alias("first"), source(x).alias("source"))))
+
+    def summary(one: Column) -> Column:
+        second = F.array_min(F.transform(children, lambda x: F.when(source(x).eqNullSafe(one["source"]), other(x)).otherwise(first(x))))
+        return F.struct(one["first"].alias("first"), one["source"].alias("source"), second.alias("other"))
+
+    return F.transform(F.array(best), summary)[0]
 
 
 def latest_created_before(candidates: DataFrame, asking: DataFrame) -> DataFrame:
@@ -112,36 +54,88 @@ def latest_created_before(candidates: DataFrame, asking: DataFrame) -> DataFrame
     source.
 
     Both inputs: ``tile_id, rule, id, m, c, chg, source`` (times in
-    microseconds); rows meet within a tile and rule.  First answered inside the
-    row's own time chunk; what stays open is sent to the one earlier chunk whose
-    summary says it can answer.
+    microseconds); rows meet within a tile and rule.  All rows are sorted over the
+    cluster and cut into blocks of a fixed number of rows, so neither a crowded
+    tile nor a crowded hour makes a large task.  A block answers its own rows.  What
+    stays open meets, in one join, the blocks before its own under each of its
+    ancestors; the nearest that can answer is descended, one join a level.
     """
+    keys, fan = ["tile_id", "rule"], PREVIOUS_FANOUT
+    none = F.lit(None)
 
     def rows(df: DataFrame, side: int) -> DataFrame:
-        chunk = F.floor(F.col("m") / F.lit(CHUNK_SECONDS * US))
-        return df.withColumn("chunk", chunk).withColumn("side", F.lit(side)).select(*_LINE)
+        return df.select(*keys, "m", F.lit(side).alias("side"), "c", "chg", "id", "source")
+
+    line = rows(candidates.where("m is not null and c is not null"), 0).unionByName(rows(asking, 1))
+    at = F.monotonically_increasing_id()
+    row = F.struct("at", "id", "m", "c", "source")
+    blocks = (
+        line.orderBy(*keys, "m", "side", "c", "chg", "id").withColumn("at", at)
+        .groupBy(*keys, F.floor(F.col("at") / fan).alias("block"))
+        .agg(F.collect_list(F.when(F.col("side") == 0, row)).alias("rows"), F.collect_list(F.when(F.col("side") == 1, row)).alias("asks"))
+    )
 
-    def answer(line: DataFrame) -> DataFrame:
-        return stream_groups(
-            line, ["tile_id", "rule", "chunk"], ["m", "side", "c", "chg", "id"], _FOUND, _within_chunk
-        )
+    def last_before(ask: Column) -> Column:
+        return F.array_max(F.filter("rows", lambda x: (x["at"] < ask["at"]) & (x["c"] < ask["c"]) & ~x["source"].eqNullSafe(ask["source"])))
 
-    zero = F.lit(0).cast("long")
-    cand = rows(candidates, 0)
-    own = answer(cand.unionByName(rows(asking, 1)))
-    is_end = F.col("kind") == 1
-    line = own.where(is_end | F.col("prev_id").isNull()).select(
-        "tile_id", "rule", "chunk", "m", F.col("kind").alias("side"), "c",
-        F.when(is_end, F.col("prev_id")).otherwise(zero).alias("chg"), "id", "source",
+    asks = F.transform("asks", lambda q: F.struct(q["id"].alias("id"), q["c"].alias("c"), q["source"].alias("source"), last_before(q).alias("found")))
+    # partition in the high bits of a block's number, its place there in the low ones
+    bits = 33 - (fan.bit_length() - 1)
+    blocks = cut_lineage(blocks.select(*keys, "block", "rows", asks.alias("asks")))
+    sizes = dict(
+        blocks.groupBy(F.shiftright("block", bits).alias("part")).agg(F.max(F.col("block").bitwiseAND((1 << bits) - 1))).collect()
     )
-    moved = stream_groups(line, ["tile_id", "rule"], ["chunk", "side", "m", "id"], _MOVED, _across_chunks)
-    later = answer(
-        cand.unionByName(
-            moved.withColumn("side", F.lit(1)).withColumn("chg", zero).select(*_LINE)
-        )
+    parts = sorted(sizes)
+    starts = dict(zip(parts, accumulate((sizes[p] + 1 for p in parts), initial=0)))
+    total = sum(sizes[p] + 1 for p in parts)
+    depth = 1
+    while fan**depth < total:
+        depth += 1
+    part = blocks.sparkSession.createDataFrame([(p, n) for p, n in starts.items()], "part long, start long")
+    blocks = blocks.withColumn("part", F.shiftright("block", bits)).join(part, "part").select(
+        *keys, (F.col("start") + F.col("block").bitwiseAND((1 << bits) - 1)).alias("block"), "rows", "asks"
+    )
+    asked = blocks.select(*keys, "block", F.explode("asks").alias("q")).select(*keys, "block", "q.*")
+    answered = asked.where("found is not null").select("id", F.col("found.id").alias("prev_id"), F.col("found.m").alias("prev_m"))
+
+    # nodes of all levels: a node's children are the blocks of the level below
+    below = blocks.where(F.size("rows") > 0).select(
+        *keys, "block", _least(F.col("rows"), lambda x: x["c"], lambda x: x["source"], lambda x: none.cast("long")).alias("least"))
+    levels = []
+    for level in range(1, depth + 1):
+        node = below.groupBy(*keys, F.floor(F.col("block") / fan).alias("block")).agg(F.collect_list(F.struct("block", "least")).alias("children"))
+        levels.append(node.withColumn("level", F.lit(level)))
+        below = node.select(*keys, "block", _least(
+            F.col("children"), lambda x: x["least"]["first"], lambda x: x["least"]["source"], lambda x: x["least"]["other"]).alias("least"))
+    nodes = reduce(DataFrame.unionByName, levels)
+
+    def last_able(before: Column) -> Column:
+        able = F.filter("children", lambda x: (x["block"] < before) & _able(x["least"], F.col("c"), F.col("source")))
+        return F.array_max(F.transform(able, lambda x: x["block"]))
+
+    up = asked.where("found is null").select(
+        *keys, "id", "c", "source", "block", F.explode(F.sequence(F.lit(1), F.lit(depth))).alias("level")
+    ).withColumns({
+        "child": F.floor(F.col("block") / F.pow(F.lit(fan), F.col("level") - 1)).cast("long"),
+        "block": F.floor(F.col("block") / F.pow(F.lit(fan), F.col("level"))).cast("long"),
+    })
+    front = (
+        up.join(nodes, [*keys, "level", "block"]).withColumn("hit", last_able(F.col("child"))).where("hit is not null")
+        .groupBy(*keys, "id", "c", "source").agg(F.min(F.struct((F.col("level") - 1).alias("level"), "hit")).alias("_at"))
+        .select(*keys, "id", "c", "source", F.col("_at.level").alias("level"), F.col("_at.hit").alias("block"))
     )
-    answers = own.unionByName(later).where((F.col("kind") == 0) & F.col("prev_id").isNotNull())
-    return answers.select("id", "prev_id", "prev_m")
+    for level in range(depth - 1, 0, -1):
+        # questions that stand on a lower level find no node and stay there
+        here = levels[level - 1].select(*keys, "level", "block", "children")
+        front = front.join(here, [*keys, "level", "block"], "left").select(
+            *keys, "id", "c", "source",
+            F.when(F.col("children").isNull(), F.col("level")).otherwise(F.col("level") - 1).alias("level"),
+            F.coalesce(last_able(F.lit(total)), "block").alias("block"),
+        )
+    leaves = blocks.where(F.size("rows") > 0).select(*keys, "block", "rows")
+    found = front.join(leaves, [*keys, "block"]).select(
+        "id", last_before(F.struct(F.lit((1 << 63) - 1).alias("at"), "c", "source")).alias("found"))
+    return answered.unionByName(found.select("id", F.col("found.id").alias("prev_id"), F.col("found.m").alias("prev_m")))
 
 
 def previous_usable(jobs: DataFrame, allow_codated: bool = False, asking: Column | None = None) -> DataFrame:

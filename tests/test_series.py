@@ -83,6 +83,30 @@ def test_previous_usable_brute_force(spark, seed, hot):
     assert got == brute_previous(rows)
 
 
+@pytest.mark.parametrize("fan", [2, 32])
+def test_previous_over_many_levels(spark, monkeypatch, fan):
+    """One tile with all rows; most are created long after their measurement, a few
+    at once, so answers lie thousands of rows back; one source holds half of them."""
+    monkeypatch.setattr(se, "PREVIOUS_FANOUT", fan)
+    rng = np.random.default_rng(11)
+    n = 1500
+    rows = []
+    for i in range(n):
+        created = i + (2 * n if i % 97 else int(rng.integers(0, 3)))
+        rows.append(("A", 0, i, i // 3, created, i, f"s{rng.integers(0, 40)}" if rng.random() < 0.5 else "hot"))
+    schema = "tile_id string, rule int, id long, m long, c long, chg long, source string"
+    extra = [("A", 0, n, None, 5, 0, "x"), ("A", 0, n + 1, 5, None, 0, "x"), ("A", 1, n + 2, 9999, 9999, 0, "x"), ("A", 0, n + 3, 9999, 1, 0, None)]
+    got = {r.id: r.prev_id for r in se.latest_created_before(*[spark.createDataFrame(rows + extra, schema)] * 2).collect()}
+    want = {}
+    both = sorted((r for r in rows + extra if r[3] is not None and r[4] is not None), key=lambda r: (r[3], r[4], r[5], r[2]))
+    for q in both:
+        for p in reversed(both):
+            if p[1] == q[1] and p[3] <= q[3] and p[4] < q[4] and p[6] != q[6]:
+                want[q[2]] = p[2]
+                break
+    assert got == want and sum(q - p > 90 for q, p in want.items()) > 10
+
+
 def test_next_n_brute_force(spark):
     rng = np.random.default_rng(5)
     a = [(("A" if rng.random() < 0.9 else "B"), i, int(m), int(m + rng.integers(1, 4000))) for i, m in enumerate(rng.integers(0, 20000, 120))]
