@@ -18,6 +18,7 @@ from firnline.functions import radar
 from firnline.functions.bits import get_bit, set_bit
 from firnline.functions.quality import support_quality
 from firnline.operators.filters import above_noise, is_clear, is_gap, is_snow
+from firnline.scale import Payload, fold_order
 
 PIXEL = ("tile_id", "row", "col")
 
@@ -35,9 +36,10 @@ def daily_fill(
 
     Validity leads the composite order, so a single ``max_by`` does both steps.
     """
-    valid = (~is_gap(F.col("value"), gap_codes)).cast("int")
-    best = F.max_by(F.struct(*payload), F.struct(valid, *[F.col(c) for c in order]))
-    return px.groupBy(*keys).agg(best.alias("_p")).select(*keys, "_p.*")
+    valid = ~is_gap(F.col("value"), gap_codes)
+    rows = Payload(px, {c: F.col(c) for c in payload})
+    best = F.max_by(rows.packed(), fold_order(px, [valid, *order]))
+    return px.groupBy(*keys).agg(best.alias("_p")).select(*keys, rows.struct(F.col("_p")).alias("_p")).select(*keys, "_p.*")
 
 
 def fill_from_wet(snow: DataFrame, wet: DataFrame, keys: Sequence[str] = PIXEL) -> DataFrame:
@@ -76,32 +78,30 @@ def temporal_fill(
     the newest product itself when it lies in the window, else nodata.
     """
     cutoff = F.unix_seconds(F.date_add(day, 1).cast("timestamp")) - F.lit(1 + span * 86400)
-    payload = F.struct(
-        F.col("value").cast("int").alias("value"),
-        F.col("qc").cast("int").alias("qc"),
-        F.col("flags").cast("int").alias("flags"),
-        F.col("acq_epoch").cast("long").alias("acq_epoch"),
-    )
-    pos = F.struct(*[F.col(c) for c in order])
+    rows = Payload(px, {
+        "value": F.col("value").cast("int"), "qc": F.col("qc").cast("int"),
+        "flags": F.col("flags").cast("int"), "acq_epoch": F.col("acq_epoch").cast("long"),
+    })
+    payload, pos = rows.packed(), fold_order(px, order)
     inside = F.col("acq_epoch") > cutoff
     grouped = px.groupBy(*keys).agg(
         F.max_by(payload, pos).alias("_first"),
-        F.max_by(F.col("acq_epoch") >= cutoff, pos).alias("_first_in"),
         F.max_by(payload, F.when(inside & ~is_gap(F.col("value")), pos)).alias("_valid"),
         F.min_by(payload, F.when(inside & (F.col("value") == codes.CLOUD), pos)).alias("_cloud"),
-    )
+    ).select(*keys, *[rows.struct(F.col(c)).alias(c) for c in ("_first", "_valid", "_cloud")])
     empty = F.struct(
         F.lit(codes.NODATA).alias("value"),
         F.lit(codes.NODATA).alias("qc"),
         F.lit(0).alias("flags"),
         F.lit(0).cast("long").alias("acq_epoch"),
     )
-    first_valid = F.col("_first_in") & ~is_gap(F.col("_first.value"))
+    first_in = F.col("_first.acq_epoch") >= cutoff
+    first_valid = first_in & ~is_gap(F.col("_first.value"))
     best = (
         F.when(first_valid, F.col("_first"))
         .when(F.col("_valid").isNotNull(), F.col("_valid"))
         .when(F.col("_cloud").isNotNull(), F.col("_cloud"))
-        .when(F.col("_first_in"), F.col("_first"))
+        .when(first_in, F.col("_first"))
         .otherwise(empty)
     )
     return grouped.select(*keys, best.alias("_b")).select(*keys, "_b.*")
@@ -114,8 +114,9 @@ def mosaic(
     value, except all-255, which keeps the last."""
     rank = F.when(F.col("value") == 1, 0).when(F.col("value") == 0, 1).otherwise(2)
     position = F.when(F.col("value") == codes.NODATA, -F.col(order)).otherwise(F.col(order))
-    best = F.min_by(F.struct("value", "qc"), F.struct(rank, position))
-    return px.groupBy(*keys).agg(best.alias("_p")).select(*keys, "_p.*")
+    rows = Payload(px, {"value": F.col("value"), "qc": F.col("qc")})
+    best = F.min_by(rows.packed(), fold_order(px, [rank.cast("tinyint"), position]))
+    return px.groupBy(*keys).agg(best.alias("_p")).select(*keys, rows.struct(F.col("_p")).alias("_p")).select(*keys, "_p.*")
 
 
 def fill_report(before: DataFrame, after: DataFrame, keys: Sequence[str] = PIXEL) -> DataFrame:

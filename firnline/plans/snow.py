@@ -13,6 +13,7 @@ from firnline.functions.quality import expert_flags, snow_quality
 from firnline.operators import pixels as px
 from firnline.operators import spatial
 from firnline.operators.products import check_support, drop_obsolete, product_span
+from firnline.scale import Payload, fold_order
 
 
 # --- gap-filled snow cover -----------------------------------------------------
@@ -50,15 +51,17 @@ def gap_filled_day(
     # pixel once, the daily fill, the water join and the window fill move nothing.
     daily = fill_days(snow, in_window(wet))
     flagged = px.flag_water(daily, water.repartition(*px.PIXEL))
-    # a day's own result is stamped at midnight, an earlier gap-filled product at its date
-    stack = flagged.select(
-        *px.PIXEL, F.col("day").cast("timestamp").alias("product_ts"),
-        F.concat(F.lit("day-"), F.col("day").cast("string")).alias("product_id"),
-        "value", "qc", "flags", "acq_epoch",
+    # a day's own result is stamped at midnight, an earlier gap-filled product at its
+    # date; of the same date the day's own result is the newer one
+    own = flagged.select(
+        *px.PIXEL, F.col("day").cast("timestamp").alias("product_ts"), F.lit(1).alias("own"), "value", "qc", "flags", "acq_epoch"
     )
-    if previous is not None:
-        stack = stack.unionByName(previous.select(*stack.columns))
-    result = px.temporal_fill(stack, day_col, span)
+    if previous is None:
+        result = px.temporal_fill(own, day_col, span, order=("product_ts",))
+    else:
+        earlier = previous.select(*px.PIXEL, "product_ts", F.lit(0).alias("own"), "value", "qc", "flags", "acq_epoch", "product_id")
+        stack = own.withColumn("product_id", F.lit(None).cast(dict(previous.dtypes)["product_id"])).unionByName(earlier)
+        result = px.temporal_fill(stack, day_col, span, order=("product_ts", "own", "product_id"))
     return {
         "pixels": result.withColumn("day", day_col),
         "cloud": px.cloud_percent(result),
@@ -74,24 +77,27 @@ def fill_days(snow: DataFrame, wet: DataFrame) -> DataFrame:
     """
     keys = ["tile_id", "day", "row", "col"]
 
+    ids = {dict(df.dtypes)["product_id"] for df in (snow, wet)}
+    id_kind = "bigint" if ids <= {"tinyint", "smallint", "int", "bigint"} else "string"
+
     def tagged(df: DataFrame, radar: bool, flags: Column) -> DataFrame:
         return df.select(
-            *keys, F.lit(radar).alias("radar"), "product_ts", F.col("product_id").cast("string").alias("product_id"),
+            *keys, F.lit(radar).alias("radar"), "product_ts", F.col("product_id").cast(id_kind).alias("product_id"),
             F.col("value").cast("int").alias("value"), F.col("qc").cast("int").alias("qc"),
             flags.cast("int").alias("flags"), F.col("acq_epoch").cast("long").alias("acq_epoch"),
         )
 
     rows = tagged(snow, False, F.col("flags")).unionByName(tagged(wet, True, F.lit(0)))
-    payload = F.struct("value", "qc", "flags", "acq_epoch")
+    payload = Payload(rows, {c: F.col(c) for c in ("value", "qc", "flags", "acq_epoch")})
 
     def newest(radar: bool, gaps: tuple[int, ...]) -> Column:
-        valid = (~px.is_gap(F.col("value"), gaps)).cast("int")
+        valid = ~px.is_gap(F.col("value"), gaps)
         mine = F.col("radar") if radar else ~F.col("radar")
-        return F.max_by(payload, F.when(mine, F.struct(valid, "product_ts", "product_id")))
+        return F.max_by(payload.packed(), F.when(mine, fold_order(rows, [valid, "product_ts", "product_id"])))
 
     both = rows.repartition(*px.PIXEL).groupBy(*keys).agg(
         newest(False, codes.SNOW_GAPS).alias("_s"), newest(True, codes.WET_SNOW_GAPS).alias("_w")
-    )
+    ).select(*keys, *[payload.struct(F.col(c)).alias(c) for c in ("_s", "_w")])
     empty = F.struct(
         F.lit(codes.NODATA).alias("value"), F.lit(codes.NODATA).alias("qc"), F.lit(0).alias("flags"),
         F.lit(0).cast("long").alias("acq_epoch"),
@@ -135,13 +141,16 @@ def wet_dry_snow(radar: DataFrame, snow: DataFrame, scale: int = 3) -> DataFrame
         value.isNotNull(), codes.MASKED
     )
     seen = F.when(state.isin("snow", "free"), 1).when(state == "cloud", 2)
-    order = F.struct("scene_order", "product_id")
+    # the place of a scene in its tile's stack, so an int holds it
+    place = F.col("scene_order").cast("int") if dict(joined.dtypes)["scene_order"] == "bigint" else F.col("scene_order")
+    order = fold_order(joined, [place, "product_id"])
+    seen_value = Payload(joined, {"value": value.cast("int"), "qc": qc.cast("int")})
     folded = joined.groupBy(*keys).agg(
-        F.max_by(F.struct(value.alias("value"), qc.alias("qc")), F.when(value.isNotNull(), order)).alias("_p"),
+        F.max_by(seen_value.packed(), F.when(value.isNotNull(), order)).alias("_p"),
         F.max_by(seen, F.when(seen.isNotNull(), order)).alias("_seen"),
         F.max(px.merged_mask(F.col("mask"), F.col("shadow"))).alias("_mask"),
         F.bool_and("valid").alias("_valid"),
-    )
+    ).withColumn("_p", seen_value.struct(F.col("_p")))
     masked = (F.col("_seen") == 1) & (F.col("_mask") != 0)
     out_value = F.when(masked, F.col("_mask")).otherwise(F.coalesce("_p.value", F.lit(codes.NODATA)))
     out_qc = F.when(masked, F.lit(codes.MASKED)).otherwise(F.coalesce("_p.qc", F.lit(codes.NODATA)))

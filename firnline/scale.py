@@ -66,6 +66,80 @@ def earliest_by(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike])
     )
 
 
+#: Bits of a signed number of each type in a composite order; a timestamp counts
+#: microseconds between the years 1 and 9999.
+ORDER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64, "timestamp": 59, "timestamp_ntz": 59, "date": 32, "boolean": 2}
+
+
+def fold_order(df: DataFrame, order: Sequence[ColumnLike]) -> Column:
+    """Composite order as one number, nulls first, where the types allow it.
+
+    ``max_by`` over primitive values and numbers is a hash aggregate, over structs
+    or strings a sort before and after the exchange.  Strings, and more than a
+    decimal's 126 bits, keep the struct.
+    """
+    columns = [_col(c) for c in order]
+    kinds = [kind for _, kind in df.select(*[c.alias(f"_{i}") for i, c in enumerate(columns)]).dtypes]
+    bits = [ORDER_BITS.get(kind, 127) for kind in kinds]
+    if sum(bits) > 125:
+        return F.struct(*columns)
+    number, used = None, 0
+    for column, kind, width in zip(columns, kinds, bits):
+        whole = F.unix_micros(column.cast("timestamp")) if kind.startswith("timestamp") else F.unix_date(column) if kind == "date" else column
+        value = F.coalesce(whole.cast("long"), F.lit(-(1 << (width - 1))).cast("long"))
+        if number is None:
+            number = value
+        elif used + width <= 63:
+            number = number * F.lit(1 << width) + value
+        else:
+            number = (number.cast("decimal(38,0)") * F.lit(str(1 << width)).cast("decimal(20,0)")).cast("decimal(38,0)") + value.cast("decimal(19,0)")
+        used += width
+    return number.cast("decimal(38,0)") if used > 63 else number
+
+
+#: Bits of the columns of a pixel that travel together: raster bytes, and seconds
+#: for a thousand years.
+PIXEL_BITS = {"value": 8, "qc": 8, "flags": 8, "acq_epoch": 35}
+
+
+class Payload:
+    """Columns of a row that an ordered fold takes along, as one number where they
+    are the integer columns of a pixel, else as a struct.
+
+    A pixel column outside its range (``PIXEL_BITS``, from 0) is an error.
+    """
+
+    def __init__(self, df: DataFrame, columns: dict[str, Column]):
+        kinds = dict(df.select(*[c.alias(n) for n, c in columns.items()]).dtypes)
+        self.kinds, self.columns = kinds, columns
+        self.packs = all(n in PIXEL_BITS and kinds[n] in ("tinyint", "smallint", "int", "bigint") for n in columns)
+
+    def packed(self) -> Column:
+        if not self.packs:
+            return F.struct(*[c.alias(n) for n, c in self.columns.items()])
+        number = F.lit(0).cast("long")
+        for name, column in self.columns.items():
+            bits = PIXEL_BITS[name]
+            fits = (
+                F.when(column.isNull(), F.lit(1 << bits)).when(column.between(0, (1 << bits) - 1), column.cast("long"))
+                .otherwise(F.raise_error(F.concat(F.lit(f"{name} out of range: "), column.cast("string"))).cast("long"))
+            )
+            number = F.shiftleft(number, bits + 1).bitwiseOR(fits)
+        return number
+
+    def struct(self, packed: Column) -> Column:
+        """The columns again; null where ``packed`` is."""
+        if not self.packs:
+            return packed
+        parts, shift = [], 0
+        for name in reversed(self.columns):
+            bits = PIXEL_BITS[name]
+            part = F.shiftright(packed, shift).bitwiseAND(F.lit((2 << bits) - 1).cast("long"))
+            parts.append(F.when(part < 1 << bits, part).cast(self.kinds[name]).alias(name))
+            shift += bits + 1
+        return F.when(packed.isNotNull(), F.struct(*reversed(parts)))
+
+
 def carry(
     df: DataFrame,
     keys: Sequence[str],

@@ -9,6 +9,8 @@ from firnline.functions import quality as fq
 from firnline.functions import radar as fr
 from firnline.operators import pixels as px
 from firnline.plans import snow as sn
+from firnline.registry import load
+from firnline.scale import Payload, fold_order
 
 DAY = 86400
 BASE = 1_700_000_000 - 1_700_000_000 % DAY  # midnight
@@ -172,3 +174,33 @@ def test_radar_only_day_is_filled(spark):
 def test_codes_are_consistent():
     assert set(codes.SNOW_GAPS) <= set(codes.WET_SNOW_GAPS)
     assert sorted(codes.ALLOWED_NEXT) == list(range(17))
+
+
+@pytest.mark.parametrize("name", ["daily_fill", "temporal_fill", "mosaic", "gap_filled_day", "gap_filled_clouds", "wet_dry_snow"])
+def test_folds_are_hash_aggregates(spark, data, name):
+    plan = load()[0][name](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_fold_order_follows_the_struct_order(spark):
+    us = [None, "0001-01-01 00:00:00", "1969-12-31 23:59:59.999999", "2024-01-25 10:00:00", "2024-01-25 10:00:00.000001", "9999-12-31 00:00:00"]
+    ids = [None, -(2**63) + 1, -1, 0, 1, 2**63 - 1]
+    rows = [(v, t, i) for v in (None, False, True) for t in us for i in ids]
+    df = spark.createDataFrame(rows, "v boolean, t string, i long").withColumn("t", F.col("t").cast("timestamp"))
+    order = ["t", "i"]
+    for lead in (["v"], []):
+        one = fold_order(df, [*lead, *order])
+        got = [r[0] for r in df.select(one.alias("n"), F.struct(*lead, *order).alias("s")).orderBy("s").select("n").collect()]
+        assert got == sorted(got) and len(set(got)) == (len(rows) if lead else len(rows) // 3)
+    assert "struct" in df.select(fold_order(df, ["v", F.col("i").cast("string")])).dtypes[0][1]
+
+
+def test_payload_round_trip_and_range(spark):
+    rows = [(0, 255, None, 2**35 - 1), (None, 0, 7, 0), (255, None, 255, None), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "value int, qc int, flags int, acq_epoch long")
+    p = Payload(df, {c: F.col(c) for c in df.columns})
+    out = df.select(p.struct(p.packed()).alias("p")).select("p.*")
+    assert out.dtypes == df.dtypes and sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+    bad = spark.createDataFrame([(256, 0)], "value int, qc int")
+    with pytest.raises(Exception, match="value out of range: 256"):
+        bad.select(Payload(bad, {c: F.col(c) for c in bad.columns}).packed()).collect()
