@@ -20,13 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firnline.llm.common import worker_cache
+from firnline.llm.common import worker_slot
 
 #: Code points of a leaf, of the first window on either side of a cut, and of a
 #: text whose leaves become rows.
 LEAF, WINDOW, SPREAD = 4096, 32, 1 << 20
-#: Words kept in a task's memory.
-MEMO = 500_000
+#: Bytes of words kept in a worker's memory, by estimate: an entry's objects take
+#: some 300 bytes besides its characters and ids.
+MEMO, ENTRY = 32 << 20, 300
 #: Punctuation that ends a word often; behind a letter it is a piece of its own.
 TAIL = ".,;:!?%#*$&"
 
@@ -70,6 +71,7 @@ class Codec:
         self.tokenizer.no_padding()
         self.leaf, self.window = leaf, window
         self.memo: dict[str, tuple[bytes, str]] = {}
+        self.held = 0
 
     def plain(self, text: str) -> Encoded:
         e = self.tokenizer.encode(text, add_special_tokens=False)
@@ -125,8 +127,10 @@ class Codec:
                 parts = leaves_of(word, self.leaf)
                 known = self.packed((self.plain(word) if len(parts) == 1 else self.tree([self.plain(p) for p in parts])).ids)
             if len(word) <= 64:
-                if len(self.memo) >= MEMO:
+                self.held += ENTRY + 2 * len(word) + len(known[0]) + 2 * len(known[1])
+                if self.held > MEMO:
                     self.memo.clear()
+                    self.held = 0
                 self.memo[word] = known
         return known
 
@@ -142,11 +146,8 @@ class Codec:
 
 def codec_for(source: str, leaf: int, window: int) -> Codec:
     """One codec per worker and vocabulary."""
-    key = (hashlib.sha256(source.encode()).digest(), leaf, window)
-    kept = worker_cache()
-    if kept.get("codec", (None,))[0] != key:
-        kept["codec"] = (key, Codec(source, leaf, window))
-    return kept["codec"][1]
+    key = ("codec", hashlib.sha256(source.encode()).digest(), leaf, window)
+    return worker_slot(key, lambda: Codec(source, leaf, window))
 
 
 def _units(text: str, leaf: int) -> list[tuple[int, str]]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,8 +15,12 @@ from firnline.session import configure, shared_folder
 #: A word, for every rule that counts words: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Shuffle files of a finished query are of no use once its result is written.
-SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+SETTINGS = {
+    # Shuffle files of a finished query are of no use once its result is written.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # Whole texts travel in batches; a batch stands several times in memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -42,10 +48,20 @@ def discard(*frames: DataFrame) -> None:
             path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def worker_cache() -> dict:
-    """What a Python worker keeps between its tasks.  Functions reach tasks by value,
-    so variables of their modules would start anew with each task."""
-    return sys.modules.setdefault("_firnline_cache", types.ModuleType("_firnline_cache")).__dict__
+def worker_slot(key: Hashable, build: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between its tasks: one object, made by ``build``
+    when the key is not that of the object kept.  A worker serves the stages of many
+    queries, so the next stage's object takes the last one's place.
+
+    Functions reach tasks by value, so variables of their modules would start anew
+    with each task.
+    """
+    slot = sys.modules.setdefault("_firnline_slot", types.ModuleType("_firnline_slot")).__dict__
+    if slot.get("key") != key:
+        slot.pop("kept", None)  # before the new one is built
+        slot["kept"] = build()
+        slot["key"] = key
+    return slot["kept"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

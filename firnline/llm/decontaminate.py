@@ -27,14 +27,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from firnline.llm.common import worker_cache
+from firnline.llm.common import worker_slot
 
 #: Least edit similarity, least words of an item that is searched with edits.
 SIMILARITY, EDIT_WORDS, MIN_WORDS = 0.8, 6, 4
 #: Sampled steps of a repetition, recall to reach, most repetitions, and bytes of
 #: benchmark text in a block.
 SAMPLED, RECALL, MOST, BLOCK_BYTES = 2, 0.9999, 64, 4 << 20
+#: Hashes of words kept in a worker's memory, about 150 bytes each.
+KNOWN_WORDS = 200_000
 #: Windows embedded at once.
 PIECE = 2048
 
@@ -180,7 +184,7 @@ class Matcher:
 
     def matches(self, text: str | None) -> list[tuple[object, int, int, int]]:
         """``(item, edits, words of the item, last word matched)`` of each item found."""
-        if len(self.words) > 1_000_000:
+        if len(self.words) > KNOWN_WORDS:
             self.words.clear()
         words = self.words.of(text)
         with np.errstate(over="ignore"):
@@ -244,10 +248,7 @@ class Matcher:
 def _matcher(block, similarity: float) -> Matcher:
     """The matcher of a broadcast block, built once per worker."""
     items, repeats = block.value
-    kept, key = worker_cache(), (hash(tuple(items)), similarity)
-    if kept.get("leaks", (None,))[0] != key or kept["leaks"][1] != items:
-        kept["leaks"] = (key, items, Matcher(items, repeats, similarity))
-    return kept["leaks"][2]
+    return worker_slot(("leaks", tuple(items), similarity), lambda: Matcher(items, repeats, similarity))
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, similarity: float, recall: float):
@@ -282,6 +283,7 @@ def find_leaks(
     spark = docs.sparkSession
     kinds = dict(docs.dtypes)[doc_id], dict(benchmark.dtypes)[item_id]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, edits long, item_words long, last_word long"
+    id_type = to_arrow_schema(StructType([benchmark.schema[item_id]])).field(0).type
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     out = None
     for items, repeats in _blocks(benchmark, item_id, item_text, similarity, recall):
@@ -289,7 +291,6 @@ def find_leaks(
 
         def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             matcher = _matcher(block, similarity)
-            id_type = pa.int64() if kinds[1] == "bigint" else pa.int32() if kinds[1] == "int" else pa.string()
             for batch in batches:
                 at, found = [], []
                 for k, t in enumerate(batch.column(1)):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firnline.llm.common import prepare, written
+from firnline.llm.common import discard, prepare, written
 
 WIDTH = 200
 # A perfect difference set modulo 133.
@@ -236,8 +236,9 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             at = np.flatnonzero(cover[base % PERIOD :][: max(0, len(piece) - short + 1)])
             yield tid.as_py(), at + base, string_hashes(piece, short)[at]
 
-    ranked = _repeated(_entries(texts, ["tid", "text"], parts_for(total * len(COVER) / PERIOD), marks))
-    ranked = written(_places(written(ranked, "ranks")), "marks")
+    ranks = written(_repeated(_entries(texts, ["tid", "text"], parts_for(total * len(COVER) / PERIOD), marks)), "ranks")
+    ranked = written(_places(ranks), "marks")
+    discard(ranks)
 
     def open_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,9 +255,10 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                              names=["tid", "text", "open", "n"])
 
     tied = written(texts.select("tid", "text").join(ranked, "tid").mapInArrow(open_suffixes, "tid long, text string, open binary, n long").where("n > 0"), "tied")
+    discard(ranked)
     n_open = tied.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-int(n_open) // max(1, int(total * SHARE))))
-    found = None
+    found, ties = None, []
     for block in range(blocks):
         def suffixes(tid: pa.Scalar, t: pa.Scalar, runs: pa.Scalar, block: int = block) -> Iterator[tuple]:
             data = t.as_py().encode("utf-8", "surrogatepass")
@@ -269,6 +271,8 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
         one = written(_repeated(_entries(tied, ["tid", "text", "open"], parts_for(n_open / blocks), suffixes)), "ties")
         found = one if found is None else found.unionByName(one)
+        ties.append(one)
+    discard(tied)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,6 +299,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     judged = texts.join(_places(found), "tid", "left").select("key", "text", "copies", "pos").mapInArrow(
         judge, "key binary, n_bytes long, n_removed long, spans binary, kept binary")
     judged = written(judged.where("n_removed > 0"), "judged")
+    discard(texts, *ties)
     return rows.select("doc_id", key, "text").join(judged, "key", "left").select(
         F.col("doc_id").cast(kind), F.coalesce("n_bytes", F.octet_length("text").cast("long")).alias("n_bytes"),
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),

@@ -88,3 +88,14 @@ def test_items_under_four_words_match_by_sequence(spark):
     got = sorted((r.doc_id, r.item_id, r.edits, r.item_words, r.last_word) for r in dc.find_leaks(docs, bench).collect())
     assert got == [(1, 1, 0, 1, 2), (2, 2, 0, 2, 6), (4, 3, 0, 3, 4), (4, 3, 0, 3, 4), (7, 2, 0, 2, 5), (7, 3, 0, 3, 3), (7, 3, 0, 3, 3), (7, 6, 0, 5, 10)]
     assert sorted(r.doc_id for r in dc.drop_leaks(docs, bench).collect()) == [3, 5, 6, 8, 9]
+
+
+@pytest.mark.parametrize("kind", ["smallint", "date", "decimal(10,2)", "string", "double"])
+def test_item_ids_of_any_type(spark, kind):
+    item = "the river ice broke up late in the spring of that year"
+    docs = spark.createDataFrame([(1, "so " + item), (2, "nothing")], "doc_id long, text string")
+    number = F.lit(7) if kind != "date" else F.lit("2024-01-25")
+    bench = spark.createDataFrame([(item,)], "text string").select(number.cast(kind).alias("item_id"), "text")
+    found = dc.find_leaks(docs, bench)
+    assert dict(found.dtypes)["item_id"] == kind
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, bench.first().item_id)]
