@@ -94,14 +94,19 @@ def _by_bucket(tids: np.ndarray, pos: np.ndarray) -> tuple[list[int], list[bytes
     return names, out
 
 
-def _places(found: DataFrame) -> DataFrame:
-    """Rows ``(tid, pos)``: all packed positions found in each text."""
+def _places(found: DataFrame, as_runs: bool = False) -> DataFrame:
+    """Rows ``(tid, pos)``: all packed positions found in each text, or the starts
+    and ends (exclusive) of their runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blobs in batch.column(0):
                 tids, pos = (np.concatenate(x) for x in list(zip(*(unpack(b.as_py()) for b in blobs)))[:2])
-                order = np.argsort(tids, kind="stable")
+                order = np.lexsort((pos, tids)) if as_runs else np.argsort(tids, kind="stable")
                 tids, pos = tids[order], pos[order].astype(np.uint32)
+                if as_runs:
+                    new = np.concatenate([[True], (np.diff(tids) != 0) | (np.diff(pos.astype(np.int64)) > 1)])
+                    last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(pos) - 1]])
+                    tids, pos = tids[new], np.stack([pos[new], pos[last] + np.uint32(1)], axis=1)
                 cut = np.flatnonzero(np.diff(tids)) + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tids[np.concatenate([[0], cut])]), pa.array([p.tobytes() for p in np.split(pos, cut)], pa.binary())], names=["tid", "pos"])
@@ -283,9 +288,9 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 if copies.as_py() < 2:
                     step = np.zeros(len(data) + 1, np.int32)
                     if pos.is_valid:
-                        at = np.frombuffer(pos.as_buffer(), np.uint32)
-                        np.add.at(step, at, 1)
-                        np.add.at(step, at + width, -1)
+                        runs = np.frombuffer(pos.as_buffer(), np.uint32).reshape(-1, 2)
+                        np.add.at(step, runs[:, 0], 1)
+                        np.add.at(step, runs[:, 1] + np.uint32(width - 1), -1)
                     gone = np.cumsum(step)[:-1] > 0
                 runs = runs_of(gone)
                 size.append(len(data))
@@ -296,7 +301,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.binary()), pa.array(kept, pa.binary())],
                 names=["key", "n_bytes", "n_removed", "spans", "kept"])
 
-    judged = texts.join(_places(found), "tid", "left").select("key", "text", "copies", "pos").mapInArrow(
+    judged = texts.join(_places(found, as_runs=True), "tid", "left").select("key", "text", "copies", "pos").mapInArrow(
         judge, "key binary, n_bytes long, n_removed long, spans binary, kept binary")
     judged = written(judged.where("n_removed > 0"), "judged")
     discard(texts, *ties)
