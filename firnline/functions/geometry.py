@@ -71,15 +71,63 @@ def touches(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return crossing | inside(p[..., :1, :], q)[..., 0] | inside(q[..., :1, :], p)[..., 0]
 
 
+#: Pairs of corners or edges compared at once.
+COMPARED = 1 << 20
+
+
+def touch_of_large(p: np.ndarray, q: np.ndarray) -> bool:
+    """:func:`touches` for two rings whose edge pairs are too many for one array:
+    only edges inside the other's box are compared, in portions along x."""
+    def edges(r: np.ndarray, other: np.ndarray) -> np.ndarray:
+        e = np.stack([r, np.roll(r, -1, axis=0)], axis=1)[: len(r) if len(r) > 2 else len(r) - 1]
+        low, high = other.min(axis=0), other.max(axis=0)
+        e = e[((e.min(axis=1) <= high) & (e.max(axis=1) >= low)).all(axis=1)]
+        return e[np.argsort(e[:, :, 0].min(axis=1))]
+
+    a, b = edges(p, q), edges(q, p)
+    begins, ends = b[:, :, 0].min(axis=1), np.maximum.accumulate(b[:, :, 0].max(axis=1)) if len(b) else b[:, 0, 0]
+    step = max(1, COMPARED // max(1, min(len(b), COMPARED)))
+    for i in range(0, len(a), step):
+        part = a[i : i + step]
+        lo = np.searchsorted(ends, part[:, :, 0].min(), "left")
+        hi = np.searchsorted(begins, part[:, :, 0].max(), "right")
+        for j in range(lo, hi, COMPARED):
+            other = b[j : min(hi, j + COMPARED)]
+            if segments_cross(np.repeat(part, len(other), axis=0), np.tile(other, (len(part), 1, 1)), False, False).any():
+                return True
+    return any(
+        len(r) > 2 and _in_portions(one, r)
+        for one, r in ((p[0], q), (q[0], p))
+    )
+
+
+def _in_portions(point: np.ndarray, ring: np.ndarray) -> bool:
+    """:func:`inside` for one point; a ring's edges are counted in portions."""
+    a, b = ring, np.roll(ring, -1, axis=0)
+    odd = False
+    for i in range(0, len(ring), COMPARED):
+        (ax, ay), (bx, by) = a[i : i + COMPARED].T, b[i : i + COMPARED].T
+        cross = (bx - ax) * (point[1] - ay) - (by - ay) * (point[0] - ax)
+        within = (np.minimum(ax, bx) <= point[0]) & (point[0] <= np.maximum(ax, bx)) & (np.minimum(ay, by) <= point[1]) & (point[1] <= np.maximum(ay, by))
+        if ((cross == 0) & within).any():
+            return True
+        odd ^= bool((((ay > point[1]) != (by > point[1])) & np.where(by > ay, cross > 0, cross < 0)).sum() % 2)
+    return odd
+
+
 def _batches(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series):
-    """Row numbers and stacked rings of rows with equal vertex counts."""
+    """Row numbers and stacked rings of rows with equal vertex counts; together they
+    have at most ``COMPARED`` pairs of corners, or there is one row."""
     rings_a = [_points(x, y) for x, y in zip(ax, ay)]
     rings_b = [_points(x, y) for x, y in zip(bx, by)]
     groups: dict[tuple[int, int], list[int]] = {}
     for i, (a, b) in enumerate(zip(rings_a, rings_b)):
         groups.setdefault((len(a), len(b)), []).append(i)
-    for rows in groups.values():
-        yield np.array(rows), np.stack([rings_a[i] for i in rows]), np.stack([rings_b[i] for i in rows])
+    for (n, m), rows in groups.items():
+        step = max(1, COMPARED // max(1, n * m))
+        for at in range(0, len(rows), step):
+            some = rows[at : at + step]
+            yield np.array(some), np.stack([rings_a[i] for i in some]), np.stack([rings_b[i] for i in some])
 
 
 def clip_convex(subject: np.ndarray, window: np.ndarray) -> np.ndarray:
@@ -173,7 +221,7 @@ def convex_hull(points: np.ndarray) -> np.ndarray:
 def rings_intersect(ax: pd.Series, ay: pd.Series, bx: pd.Series, by: pd.Series) -> pd.Series:
     out = np.zeros(len(ax), bool)
     for rows, p, q in _batches(ax, ay, bx, by):
-        out[rows] = touches(p, q)
+        out[rows] = touches(p, q) if p.shape[-2] * q.shape[-2] <= COMPARED else touch_of_large(p[0], q[0])
     return pd.Series(out)
 
 
@@ -183,7 +231,7 @@ def overlap_with_convex(ax: pd.Series, ay: pd.Series, wx: pd.Series, wy: pd.Seri
     out = np.zeros(len(ax), float)
     for rows, p, w in _batches(ax, ay, wx, wy):
         out[rows] = ring_area(p)
-        leaves = ~inside(p, w).all(axis=-1)
+        leaves = ~inside(p, w).all(axis=-1) if p.shape[-2] * w.shape[-2] <= COMPARED else np.ones(len(p), bool)
         for k in np.flatnonzero(leaves):
             out[rows[k]] = ring_area(clip_convex(p[k], w[k]))
     return pd.Series(out)

@@ -22,7 +22,6 @@ from firnline.functions.geometry import (
     clip_convex,
     clipped_ring,
     convex_hull,
-    inside,
     overlap_with_convex,
     rings_intersect,
     union_area,
@@ -128,6 +127,8 @@ def overlap_area(
     Tiles are convex, so the overlap is the ring clipped by the tile.
     """
     pairs = box_candidates(a, tiles, cell)
+    # small in bytes, heavy per row: one input split must not become one task
+    pairs = pairs.repartition(python_partitions(pairs), *[f"a_{k}" for k in keys_a], "b_tile_id", "a_ring")
     ra, rb = F.col("a_ring"), F.col("b_ring")
     return (
         pairs.withColumn("area", overlap_with_convex(ra["x"], ra["y"], rb["x"], rb["y"]))
@@ -279,14 +280,14 @@ def _covered_blocks(polys: DataFrame, tiles: DataFrame, cell: float) -> DataFram
 
 
 # --- grids -------------------------------------------------------------------------
-BLOCK = 256
-
-
 def burn(polys: DataFrame, grid: DataFrame, cell: float) -> DataFrame:
-    """Pixels (centres) covered by any polygon, as rows with value 1.
+    """Pixels (centres) covered by any polygon, as rows with value 1; a centre on
+    a border counts as covered.
 
-    ``grid``: ``tile_id, ulx, uly, size, nrows, ncols``.  A polygon is cut into
-    blocks of 256 x 256 pixels first, so the work of one row is bounded.
+    ``grid``: ``tile_id, ulx, uly, size, nrows, ncols``.  Rings become edges, edges
+    their crossings with the lines of pixel centres; the sorted crossings of one
+    polygon and line are its even-odd spans.  Memory goes with the crossings of one
+    line, however many corners a ring has.
     """
     g = grid.withColumn(
         "ring",
@@ -295,57 +296,52 @@ def burn(polys: DataFrame, grid: DataFrame, cell: float) -> DataFrame:
             F.col("ulx") + F.col("ncols") * F.col("size"), F.col("uly"),
         ),
     )
-    pairs = with_bounds(box_candidates(polys, g, cell), "a_ring", "p_")
-
-    def clamp(v: Column, n: str) -> Column:
-        return F.greatest(F.lit(0), F.least(v, F.col(n) - 1)).cast("int")
-
-    size = F.col("b_size")
-    r0 = clamp(F.floor((F.col("b_uly") - F.col("p_maxy")) / size), "b_nrows")
-    r1 = clamp(F.floor((F.col("b_uly") - F.col("p_miny")) / size), "b_nrows")
-    c0 = clamp(F.floor((F.col("p_minx") - F.col("b_ulx")) / size), "b_ncols")
-    c1 = clamp(F.floor((F.col("p_maxx") - F.col("b_ulx")) / size), "b_ncols")
-    blocks = (
-        pairs.withColumn("_r0", r0).withColumn("_r1", r1).withColumn("_c0", c0).withColumn("_c1", c1)
-        .withColumn("_br", F.explode(F.sequence(F.floor(F.col("_r0") / BLOCK), F.floor(F.col("_r1") / BLOCK))))
-        .withColumn("_bc", F.explode(F.sequence(F.floor(F.col("_c0") / BLOCK), F.floor(F.col("_c1") / BLOCK))))
-        .select(
-            F.col("b_tile_id").alias("tile_id"), F.col("a_ring")["x"].alias("xs"), F.col("a_ring")["y"].alias("ys"),
-            F.col("b_ulx").cast("double").alias("ulx"), F.col("b_uly").cast("double").alias("uly"),
-            size.cast("double").alias("size"),
-            F.greatest("_r0", F.col("_br") * BLOCK).cast("int").alias("r0"),
-            F.least("_r1", F.col("_br") * BLOCK + BLOCK - 1).cast("int").alias("r1"),
-            F.greatest("_c0", F.col("_bc") * BLOCK).cast("int").alias("c0"),
-            F.least("_c1", F.col("_bc") * BLOCK + BLOCK - 1).cast("int").alias("c1"),
-        )
-        .where((F.col("r0") <= F.col("r1")) & (F.col("c0") <= F.col("c1")))
+    pairs = box_candidates(polys.select("ring"), g, cell).select(
+        F.monotonically_increasing_id().alias("pair"), F.col("a_ring").alias("ring"),
+        *[F.col(f"b_{c}").alias(c) for c in ("tile_id", "nrows", "ncols")],
+        *[F.col(f"b_{c}").cast("double").alias(c) for c in ("ulx", "uly", "size")],
+    )
+    ring = F.col("ring")
+    edges = F.arrays_zip(ring.alias("a"), F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)).alias("b"))
+    edge = pairs.where(F.size("ring") > 2).withColumn("e", F.explode(edges)).select(
+        "*", *[F.col(f"e.{p}.{c}").alias(f"{p}{c}") for p in "ab" for c in "xy"]
+    ).drop("ring", "e")
+    low, high = F.least("ay", "by"), F.greatest("ay", "by")
+
+    def line(y: Column) -> Column:
+        """Line of centres at a height, with fractions."""
+        return (F.col("uly") - y) / F.col("size") - F.lit(0.5)
+
+    first, last = F.greatest(F.lit(0), F.ceil(line(high))), F.least(F.col("nrows") - 1, F.floor(line(low)))
+    crossed = (
+        edge.withColumns({"low": low, "high": high, "first": first, "last": last}).where("first <= last")
+        .repartition("pair", "ax", "ay", "bx", "by")  # a ring's edges leave its task before they become lines
+        .withColumn("row", F.explode(F.sequence("first", "last")))
+        .withColumn("y", F.col("uly") - (F.col("row") + F.lit(0.5)) * F.col("size"))
+    )
+    x = F.col("ax") + (F.col("y") - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))
+    flat, top = F.col("low") == F.col("high"), F.col("y") == F.col("high")
+    # borders that no span holds: flat edges, and ends of edges on a line from below
+    touch = F.when(flat, F.struct(F.least("ax", "bx").alias("from"), F.greatest("ax", "bx").alias("to"))).when(
+        top, F.struct(F.when(F.col("ay") == F.col("high"), F.col("ax")).otherwise(F.col("bx")).alias("from"),
+                      F.when(F.col("ay") == F.col("high"), F.col("ax")).otherwise(F.col("bx")).alias("to")))
+    lines = crossed.groupBy("pair", "tile_id", "ulx", "size", "ncols", "row").agg(
+        F.sort_array(F.collect_list(F.when(~flat & ~top, x))).alias("x"), F.collect_set(touch).alias("touch")
+    )
+    spans = F.transform(
+        F.filter("x", lambda _, i: i % 2 == 0),
+        lambda v, i: F.struct(v.alias("from"), F.get("x", 2 * i + 1).alias("to")),
     )
 
-    def rasterise(batches):
-        for pdf in batches:
-            tiles, rows, cols, held = [], [], [], 0
-            for t in pdf.itertuples(index=False):
-                rr, cc = np.meshgrid(np.arange(t.r0, t.r1 + 1), np.arange(t.c0, t.c1 + 1), indexing="ij")
-                centres = np.column_stack(
-                    [t.ulx + (cc.ravel() + 0.5) * t.size, t.uly - (rr.ravel() + 0.5) * t.size]
-                )
-                hit = inside(centres, np.column_stack([t.xs, t.ys]))
-                rows.append(rr.ravel()[hit])
-                cols.append(cc.ravel()[hit])
-                tiles.append(np.full(len(rows[-1]), t.tile_id))
-                held += len(rows[-1])
-                if held > 500_000:
-                    yield pd.DataFrame({"tile_id": np.concatenate(tiles), "row": np.concatenate(rows), "col": np.concatenate(cols)})
-                    tiles, rows, cols, held = [], [], [], 0
-            if rows:
-                yield pd.DataFrame({"tile_id": np.concatenate(tiles), "row": np.concatenate(rows), "col": np.concatenate(cols)})
-
-    tile_type = grid.schema["tile_id"].dataType.simpleString()
-    spread = blocks.repartition(python_partitions(blocks), "tile_id", "r0", "c0", "xs")
+    def column(v: Column) -> Column:
+        return (v - F.col("ulx")) / F.col("size") - F.lit(0.5)
+
+    covered = lines.withColumn("s", F.explode(F.concat(spans, "touch"))).withColumns({
+        "c0": F.greatest(F.lit(0), F.ceil(column(F.col("s.from")))), "c1": F.least(F.col("ncols") - 1, F.floor(column(F.col("s.to")))),
+    })
     return (
-        spread.mapInPandas(rasterise, f"tile_id {tile_type}, row int, col int")
-        .distinct()
-        .withColumn("value", F.lit(1))
+        covered.where("c0 <= c1").select("tile_id", F.col("row").cast("int").alias("row"), F.explode(F.sequence(F.col("c0").cast("int"), F.col("c1").cast("int"))).alias("col"))
+        .distinct().withColumn("value", F.lit(1))
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firnline.functions.times import parse_time
+from firnline.scale import python_partitions
 
 # fixed values: element names of the metadata documents
 _INNER = (
@@ -29,12 +30,19 @@ _PERIOD = (
 )
 
 
+def _parsed(docs: DataFrame, product: str, xml: str) -> DataFrame:
+    """Documents parsed; spread first, because a file of one row group would be one
+    task for work that is heavy per row."""
+    spread = docs.select(product, xml).repartition(python_partitions(docs), product)
+    return spread.select(product, F.from_xml(F.col(xml), _SCHEMA).alias("d"))
+
+
 def lineage_from_metadata(docs: DataFrame, product: str = "product_id", xml: str = "xml") -> DataFrame:
     """Edges ``product, input_id, begin, end`` for aggregated products.
 
     The series is declared as an array, so one or many inputs read alike.
     """
-    parsed = docs.select(product, F.from_xml(F.col(xml), _SCHEMA).alias("d"))
+    parsed = _parsed(docs, product, xml)
     # the outer form infers no filter, which would parse every document again
     item = parsed.select(
         product, F.explode_outer("d.`gmd:series`.`gmd:DS_OtherAggregate`.`gmd:seriesMetadata`").alias("s")
@@ -49,7 +57,7 @@ def lineage_from_metadata(docs: DataFrame, product: str = "product_id", xml: str
 
 def own_period(docs: DataFrame, product: str = "product_id", xml: str = "xml") -> DataFrame:
     """Each product's own time span, as an edge to itself."""
-    parsed = docs.select(product, F.from_xml(F.col(xml), _SCHEMA).alias("d"))
+    parsed = _parsed(docs, product, xml)
     return parsed.select(
         product,
         F.col(product).alias("input_id"),

@@ -139,3 +139,58 @@ def test_outside_counts_overlaps_once(spark, monkeypatch):
         assert got["t"] == pytest.approx(100 * (1 - hit.mean()), abs=0.1) and got["far"] == pytest.approx(4.0)
     same = rings(spark, [("a", SQ), ("b", SQ + 1)])
     assert sp.clip_to_tiles(same, tiles, 3.0, outside=True).where("tile_id = 't'").collect()[0].area_outside == pytest.approx(93.0)
+
+
+def star(n, seed, cx=50.0, cy=50.0):
+    """A ring of n corners around a centre, with radius between 20 and 45."""
+    rng = np.random.default_rng(seed)
+    at = np.sort(rng.uniform(0, 2 * np.pi, n))
+    r = 32 + 8 * np.sin(7 * at) + rng.uniform(-5, 5, n)
+    return np.column_stack([cx + r * np.cos(at), cy + r * np.sin(at)])
+
+
+def ring_rows(rings):
+    return [(i, [(float(x), float(y)) for x, y in r]) for i, r in enumerate(rings)]
+
+
+RING = "id long, ring array<struct<x:double,y:double>>"
+
+
+def burned(spark, rings, size, n):
+    grid = spark.createDataFrame([(1, 0.0, 100.0, size, n, n)], "tile_id int, ulx double, uly double, size double, nrows int, ncols int")
+    out = sp.burn(spark.createDataFrame(ring_rows(rings), RING), grid, 60.0)
+    return {(r.row, r.col) for r in out.collect()}
+
+
+def test_burn_of_turned_polygons(spark):
+    """Against the test of every centre, with borders, repeated rings and holes by
+    self-crossing rings."""
+    rings = [star(40, 1), star(40, 1), star(9, 2, 20, 80), np.array([[10, 10], [30, 30], [30, 10], [10, 30.0]]),
+             np.array([[60.5, 5.5], [80.5, 5.5], [80.5, 20.5], [60.5, 20.5]]), np.array([[0, 0], [7, 7], [14, 0.0]])]
+    got = burned(spark, rings, 1.0, 100)
+    rr, cc = np.meshgrid(np.arange(100), np.arange(100), indexing="ij")
+    centres = np.column_stack([cc.ravel() + 0.5, 100 - (rr.ravel() + 0.5)])
+    hit = np.zeros(len(centres), bool)
+    for r in rings:
+        hit |= g.inside(centres, r)
+    want = {(int(a), int(b)) for a, b in zip(rr.ravel()[hit], cc.ravel()[hit])}
+    assert got == want
+
+
+def test_burn_of_a_hundred_thousand_corners(spark):
+    ring = star(100_000, 3)
+    got = burned(spark, [ring], 0.5, 200)
+    rng = np.random.default_rng(4)
+    for r, c in rng.integers(0, 200, (60, 2)):
+        assert g._in_portions(np.array([(c + 0.5) * 0.5, 100 - (r + 0.5) * 0.5]), ring) == ((r, c) in got)
+    assert len(got) > 10_000
+
+
+def test_large_rings_touch_as_small_ones_do(monkeypatch):
+    rng = np.random.default_rng(6)
+    pairs = [(star(60, i, *rng.uniform(0, 200, 2)), star(30, 100 + i, 50, 50)) for i in range(40)]
+    want = [bool(g.touches(p[None], q[None])[0]) for p, q in pairs]
+    assert 5 < sum(want) < 35
+    for limit in (7, 100, 1 << 20):
+        monkeypatch.setattr(g, "COMPARED", limit)
+        assert [g.touch_of_large(p, q) for p, q in pairs] == want
