@@ -158,42 +158,156 @@ def ring_area(ring: np.ndarray) -> np.ndarray:
     return np.abs(np.sum(x * np.roll(y, -1, axis=-1) - np.roll(x, -1, axis=-1) * y, axis=-1)) / 2
 
 
+class Sweep:
+    """Rings, overlapping or not, over a convex window: cut at every corner and
+    crossing into strips in which no two edges cross.
+
+    Edges enter a list by their left end and leave it by their right one; an edge
+    is compared with those in the list, a strip looks at those alone.
+    """
+
+    def __init__(self, rings: list[np.ndarray], window: np.ndarray, low: float = -np.inf, high: float = np.inf):
+        self.low, self.high = max(low, window[:, 0].min()), min(high, window[:, 0].max())
+        every = [window, *rings]
+        a, b = np.concatenate(every), np.concatenate([np.roll(r, -1, axis=0) for r in every])
+        owner = np.repeat(np.arange(len(every)), [len(r) for r in every])
+        self.corners = a[:, 0]
+        slanted = a[:, 0] != b[:, 0]
+        a, b, owner = a[slanted], b[slanted], owner[slanted]
+        back = a[:, 0] > b[:, 0]
+        a[back], b[back] = b[back], a[back].copy()
+        order = np.argsort(a[:, 0], kind="stable")
+        self.a, self.b, self.owner = a[order], b[order], owner[order]
+        self.slope = (self.b[:, 1] - self.a[:, 1]) / (self.b[:, 0] - self.a[:, 0])
+
+    def y(self, edge: np.ndarray, x: float) -> np.ndarray:
+        """Height of edges at ``x``, exact at their ends."""
+        (ax, ay), (bx, by) = self.a[edge].T, self.b[edge].T
+        return np.where(x == bx, by, np.where(x == ax, ay, ay + self.slope[edge] * (x - ax)))
+
+    def cuts(self) -> np.ndarray:
+        base = self.a[:, 1] - self.slope * self.a[:, 0]
+        active, found = np.zeros(0, int), [self.corners, [self.low, self.high]]
+        for i in range(len(self.a)):
+            active = active[self.b[active, 0] > self.a[i, 0]]
+            others = active[self.slope[active] != self.slope[i]]
+            x = (base[others] - base[i]) / (self.slope[i] - self.slope[others])
+            found.append(x[(x > self.a[i, 0]) & (x < self.b[i, 0]) & (x > self.a[others, 0]) & (x < self.b[others, 0])])
+            active = np.append(active, i)
+        xs = np.unique(np.concatenate(found))
+        return xs[(xs >= self.low) & (xs <= self.high)]
+
+    def strips(self, outside: bool):
+        """``(x0, x1, lower edges, upper edges)`` of each strip: the spans of the
+        window that some ring covers, or that none does."""
+        if self.low >= self.high:
+            return
+        xs = self.cuts()
+        active, entered = np.zeros(0, int), 0
+        for x0, x1 in zip(xs[:-1], xs[1:]):
+            upto = int(np.searchsorted(self.a[:, 0], x0, side="right"))
+            active = np.concatenate([active, np.arange(entered, upto)])
+            entered = upto
+            active = active[self.b[active, 0] > x0]
+            mid = (x0 + x1) / 2
+            y = self.y(active, mid)
+            order = np.lexsort((y, self.owner[active]))
+            edge, y = active[order], y[order]
+            (floor, roof), (y_floor, y_roof) = edge[:2], y[:2]
+            begin, end, y_begin, y_end = edge[2::2], edge[3::2], y[2::2], y[3::2]
+            some = (y_end > y_floor) & (y_begin < y_roof)
+            begin, end, y_begin, y_end = begin[some], end[some], y_begin[some], y_end[some]
+            under, over = y_begin <= y_floor, y_end >= y_roof
+            begin, end = np.where(under, floor, begin), np.where(over, roof, end)
+            y_begin, y_end = np.maximum(y_begin, y_floor), np.minimum(y_end, y_roof)
+            order = np.argsort(y_begin, kind="stable")
+            lower, upper, reached = [], [], -np.inf
+            for k in order:
+                if y_begin[k] > reached:
+                    lower.append(begin[k])
+                    upper.append(end[k])
+                    reached = y_end[k]
+                elif y_end[k] > reached:
+                    upper[-1], reached = end[k], y_end[k]
+            if outside:
+                lower, upper = [floor, *upper], [*lower, roof]
+                gap = self.y(np.array(upper), mid) > self.y(np.array(lower), mid)
+                lower, upper = np.array(lower)[gap], np.array(upper)[gap]
+            yield x0, x1, np.array(lower, int), np.array(upper, int)
+
+    def area(self, outside: bool = False) -> float:
+        return float(sum(
+            (x1 - x0) * (self.y(upper, (x0 + x1) / 2) - self.y(lower, (x0 + x1) / 2)).sum() for x0, x1, lower, upper in self.strips(outside)
+        ))
+
+    def rings(self, outside: bool = False) -> list[np.ndarray]:
+        """Borders of what is covered (or not): outer rings run against the clock,
+        holes with it.  The upright sides of neighbouring strips cancel out."""
+        strips = [s for s in self.strips(outside) if len(s[2])]
+        size = max(np.abs(self.a).max(), np.abs(self.b).max()) if len(self.a) else 1.0
+        near = 1e-12 * size * 16
+        sides: dict[float, list] = {}  # x: spans that end there, spans that begin there
+        for x0, x1, lower, upper in strips:
+            sides.setdefault(x0, [[], []])[1] += list(zip(self.y(lower, x0), self.y(upper, x0)))
+            sides.setdefault(x1, [[], []])[0] += list(zip(self.y(lower, x1), self.y(upper, x1)))
+        heights = {}  # heights at an x that differ by rounding alone are one
+        for x, both in sides.items():
+            ys = np.unique([v for spans in both for span in spans for v in span])
+            first = np.concatenate([[True], np.diff(ys) > near])
+            heights[x] = (ys, ys[first][np.cumsum(first) - 1])
+
+        def at(x: float, y: float) -> tuple[float, float]:
+            ys, same = heights[x]
+            return x, float(same[np.searchsorted(ys, y)])
+
+        ways: dict[tuple, list] = {}
+
+        def way(p: tuple, q: tuple) -> None:
+            if p != q:
+                ways.setdefault(p, []).append(q)
+
+        for x0, x1, lower, upper in strips:
+            for lo0, lo1, up0, up1 in zip(self.y(lower, x0), self.y(lower, x1), self.y(upper, x0), self.y(upper, x1)):
+                way(at(x0, lo0), at(x1, lo1))
+                way(at(x1, up1), at(x0, up0))
+        for x, (ends, begins) in sides.items():
+            marks = sorted({v for spans in (ends, begins) for span in spans for v in (at(x, span[0])[1], at(x, span[1])[1])})
+            for y0, y1 in zip(marks[:-1], marks[1:]):
+                held = [any(at(x, s)[1] <= y0 and y1 <= at(x, e)[1] for s, e in spans) for spans in (ends, begins)]
+                if held[0] and not held[1]:
+                    way((x, y0), (x, y1))
+                elif held[1] and not held[0]:
+                    way((x, y1), (x, y0))
+        out = []
+        while ways:
+            start = next(iter(ways))
+            ring, here = [], start
+            while True:
+                ring.append(here)
+                after = ways[here].pop()
+                if not ways[here]:
+                    del ways[here]
+                here = after
+                if here == start:
+                    break
+            r = np.array(ring)
+            before, behind = r - np.roll(r, 1, axis=0), np.roll(r, -1, axis=0) - r
+            bend = np.abs(before[:, 0] * behind[:, 1] - before[:, 1] * behind[:, 0])
+            r = r[bend > 1e-12 * np.hypot(*before.T) * np.hypot(*behind.T)]
+            if len(r) > 2:
+                out.append(r)
+        return out
+
+
+def signed_area(ring: np.ndarray) -> float:
+    """Area, positive if the ring runs against the clock."""
+    x, y = ring[:, 0] - ring[0, 0], ring[:, 1] - ring[0, 1]
+    return float(np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y) / 2)
+
+
 def union_area(rings: list[np.ndarray], window: np.ndarray, low: float = -np.inf, high: float = np.inf) -> float:
-    """Area that simple rings, overlapping or not, cover of a convex window between
-    two x: cut at every corner and crossing, so that in each strip the middle
-    height of what is covered is exact and counts once."""
-    low, high = max(low, window[:, 0].min()), min(high, window[:, 0].max())
-    if not rings or low >= high:
-        return 0.0
-    a = np.concatenate([window, *rings])
-    b = np.concatenate([np.roll(r, -1, axis=0) for r in (window, *rings)])
-    owner = np.repeat(np.arange(len(rings) + 1), [len(window), *map(len, rings)])
-    stands = a[:, 0] == b[:, 0]
-    at = [a[:, 0]]
-    a, b, owner = a[~stands], b[~stands], owner[~stands]
-    turned = a[:, 0] > b[:, 0]
-    a[turned], b[turned] = b[turned], a[turned]
-    slope = (b[:, 1] - a[:, 1]) / (b[:, 0] - a[:, 0])
-    base = a[:, 1] - slope * a[:, 0]
-    for i in np.flatnonzero(slope):
-        others = slope != slope[i]
-        x = (base[others] - base[i]) / (slope[i] - slope[others])
-        at.append(x[(x > a[i, 0]) & (x < b[i, 0]) & (x > a[others, 0]) & (x < b[others, 0])])
-    xs = np.unique(np.concatenate([*at, [low, high]]))
-    xs = xs[(xs >= low) & (xs <= high)]
-    total = 0.0
-    for x0, x1 in zip(xs[:-1], xs[1:]):
-        mid = (x0 + x1) / 2
-        on = (a[:, 0] <= mid) & (mid < b[:, 0])
-        y, who = a[on, 1] + slope[on] * (mid - a[on, 0]), owner[on]
-        y = y[np.lexsort((y, who))]
-        (bottom, top), begins, ends = y[:2], y[2::2], y[3::2]
-        begins, ends = np.clip(begins, bottom, top), np.clip(ends, bottom, top)
-        order = np.argsort(begins)
-        begins, ends = begins[order], np.maximum.accumulate(ends[order])
-        reached = np.concatenate([[bottom], ends[:-1]])
-        total += (x1 - x0) * np.maximum(ends - np.maximum(begins, reached), 0).sum()
-    return float(total)
+    """Area that rings, overlapping or not, cover of a convex window between two x."""
+    return Sweep(rings, window, low, high).area() if rings else 0.0
 
 
 def convex_hull(points: np.ndarray) -> np.ndarray:

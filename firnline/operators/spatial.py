@@ -19,15 +19,18 @@ from pyspark.sql import functions as F
 from firnline import codes
 from firnline.functions import projections as P
 from firnline.functions.geometry import (
+    Sweep,
     clip_convex,
     clipped_ring,
     convex_hull,
     overlap_with_convex,
     rings_intersect,
+    signed_area,
     union_area,
     utm_box_ring,
 )
-from firnline.scale import python_partitions, stream_groups
+from firnline.scale import components, python_partitions, stream_groups
+from firnline.session import cut_lineage
 
 
 def box_ring(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
@@ -218,8 +221,8 @@ def clip_to_tiles(polys: DataFrame, tiles: DataFrame, cell: float, outside: bool
     """Parts of polygons inside each convex tile, or the tile area left over.
 
     The outside form gives, per tile, the area not covered by any polygon;
-    polygons may overlap, what several of them cover counts once.  Its shape is
-    not given, since a general difference needs holes.
+    polygons may overlap, what several of them cover counts once.  Its shape comes
+    from :func:`shapes_of`.
     """
     if not outside:
         pairs = box_candidates(polys, tiles, cell)
@@ -279,6 +282,67 @@ def _covered_blocks(polys: DataFrame, tiles: DataFrame, cell: float) -> DataFram
     return stream_groups(rows, ["tile_id", "_cx", "_cy"], ["minx"], f"tile_id {kind}, area double", area)
 
 
+def shapes_of(
+    polys: DataFrame, tiles: DataFrame, cell: float, outside: bool = False
+) -> DataFrame:
+    """What all polygons together cover of each convex tile, or leave uncovered, as
+    rings: ``tile_id, cx, cy, hole, ring``.
+
+    Shapes are cut at the cells, so a task takes in the polygons of one cell and
+    tile; equal rings are merged first.  Outer rings run against the clock, holes
+    with it, and a point is inside a shape if it is inside an odd number of its
+    block's rings.  A cell larger than a tile keeps the tile in one piece.
+    """
+    left = _cells(with_bounds(polys.select(F.col("ring").alias("a")), "a", "_a_"), "_a_", cell)
+    blocks = _cells(with_bounds(tiles.select("tile_id", F.col("ring").alias("b")), "b", "_b_"), "_b_", cell)
+    kind = tiles.schema["tile_id"].dataType.simpleString()
+    key = ["tile_id", "_cx", "_cy"]
+    near = left.select("_cx", "_cy", F.col("a.x").alias("x"), F.col("a.y").alias("y"), "_a_minx", "_a_maxx", "_a_miny", "_a_maxy")
+    meet = (
+        (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))
+        & (F.col("_a_minx") < F.col("_b_maxx")) & (F.col("_b_minx") < F.col("_a_maxx"))
+        & (F.col("_a_miny") < F.col("_b_maxy")) & (F.col("_b_miny") < F.col("_a_maxy"))
+    )
+    pairs = (
+        blocks.withColumnRenamed("_cx", "cx").withColumnRenamed("_cy", "cy").join(near, meet, "left")
+        .select("tile_id", F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "x", "y", F.col("b.x").alias("bx"), F.col("b.y").alias("by")).distinct()
+    )
+
+    def rings(group, found):
+        tile, cx, cy = group
+        window, held = None, []
+        for _, _, _, x, y, bx, by in found:
+            if window is None:
+                box = np.array([[cx, cy], [cx + 1, cy], [cx + 1, cy + 1], [cx, cy + 1]], float) * cell
+                window = clip_convex(np.column_stack([bx, by]), box)
+                if len(window) < 3 or abs(signed_area(window)) == 0:
+                    return
+            if x is not None:
+                held.append(np.column_stack([x, y]))
+        for r in Sweep(held, window).rings(outside):
+            yield tile, cx, cy, signed_area(r) < 0, [{"x": float(u), "y": float(v)} for u, v in r]
+
+    return stream_groups(pairs, key, ["x"], f"tile_id {kind}, cx long, cy long, hole boolean, ring array<struct<x:double,y:double>>", rings)
+
+
+def points_in_shapes(points: DataFrame, shapes: DataFrame, cell: float) -> DataFrame:
+    """``points`` (``id, x, y``) with ``inside``: whether some block of
+    :func:`shapes_of` made with the same ``cell`` holds the point (borders aside)."""
+    at = points.withColumns({"cx": F.floor(F.col("x") / F.lit(cell)), "cy": F.floor(F.col("y") / F.lit(cell))})
+    r, x, y = F.col("ring"), F.col("x"), F.col("y")
+    edges = F.arrays_zip(r.alias("a"), F.concat(F.slice(r, 2, F.size(r)), F.slice(r, 1, 1)).alias("b"))
+
+    def crosses(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        return ((a["y"] > y) != (b["y"] > y)) & (x < a["x"] + (y - a["y"]) * (b["x"] - a["x"]) / (b["y"] - a["y"]))
+
+    hits = (
+        at.join(shapes, ["cx", "cy"]).groupBy("id", "tile_id")
+        .agg((F.sum(F.size(F.filter(edges, crosses))) % 2 == 1).alias("_in")).where("_in").select("id", F.lit(True).alias("_in")).distinct()
+    )
+    return points.join(hits, "id", "left").select(*points.columns, F.coalesce("_in", F.lit(False)).alias("inside"))
+
+
 # --- grids -------------------------------------------------------------------------
 def burn(polys: DataFrame, grid: DataFrame, cell: float) -> DataFrame:
     """Pixels (centres) covered by any polygon, as rows with value 1; a centre on
@@ -399,11 +463,14 @@ def valid_footprint(
 
 
 def aoi_cover(tiles: DataFrame, step: float = 1.0, split: float = 5.0) -> DataFrame:
-    """Cover of the area: grid cells met by any tile, merged into one convex
-    hull per coarse cell (the hull contains every met cell, so every tile).
-
-    Cells are distinct, so a coarse cell gathers ``(split/step)**2`` of them at
-    most.
+    """Cover of the area: grid cells met by any tile; cells that share a side form
+    a part, and each part is replaced by its convex hull inside each coarse cell
+    (the hull contains every met cell, so every tile).
+
+    Rows ``part, sx, sy, n_cells, ring``.  ``part`` numbers a part by its least
+    cell; the coarse grid starts at the lower left corner of the area's box, which
+    is rounded to whole cells.  Cells are distinct, so a coarse cell gathers
+    ``(split/step)**2`` of them at most.
     """
     cells = with_bounds(tiles, "ring", "_")
     grid = (
@@ -412,13 +479,19 @@ def aoi_cover(tiles: DataFrame, step: float = 1.0, split: float = 5.0) -> DataFr
     )
     box = box_ring(F.col("cx") * step, F.col("cy") * step, (F.col("cx") + 1) * step, (F.col("cy") + 1) * step)
     grid = grid.withColumn("_box", box)
-    met = (
+    # a cell's name orders cells by column, then by row
+    name = F.col("cx") * F.lit(1 << 31) + F.col("cy")
+    met = cut_lineage(
         grid.where(rings_intersect(F.col("ring")["x"], F.col("ring")["y"], F.col("_box")["x"], F.col("_box")["y"]))
-        .select("cx", "cy")
-        .distinct()
+        .select("cx", "cy").distinct().withColumn("cell", name)
     )
-    coarse = met.withColumn("sx", F.floor(F.col("cx") * step / split)).withColumn(
-        "sy", F.floor(F.col("cy") * step / split)
+    ways = met.select(F.col("cell").alias("a"), F.explode(F.array(F.col("cell") + 1, F.col("cell") + F.lit(1 << 31))).alias("b"))
+    sides = ways.join(met.select(F.col("cell").alias("b")), "b").select("a", "b")
+    part = components(met.select(F.col("cell").alias("node")), sides).select(F.col("node").alias("cell"), F.col("label").alias("part"))
+    corner = met.agg(F.min("cx").alias("x0"), F.min("cy").alias("y0"))
+    coarse = met.join(part, "cell").join(F.broadcast(corner)).select(
+        "part", "cx", "cy",
+        F.floor((F.col("cx") - F.col("x0")) * step / split).alias("sx"), F.floor((F.col("cy") - F.col("y0")) * step / split).alias("sy"),
     )
 
     def hull(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -427,13 +500,13 @@ def aoi_cover(tiles: DataFrame, step: float = 1.0, split: float = 5.0) -> DataFr
         ring = convex_hull(pts)
         return pd.DataFrame(
             {
-                "sx": [int(pdf.sx.iloc[0])], "sy": [int(pdf.sy.iloc[0])], "n_cells": [len(pdf)],
+                "part": [int(pdf.part.iloc[0])], "sx": [int(pdf.sx.iloc[0])], "sy": [int(pdf.sy.iloc[0])], "n_cells": [len(pdf)],
                 "ring": [[{"x": float(a), "y": float(b)} for a, b in ring]],
             }
         )
 
-    return coarse.groupBy("sx", "sy").applyInPandas(
-        hull, "sx long, sy long, n_cells long, ring array<struct<x:double,y:double>>"
+    return coarse.groupBy("part", "sx", "sy").applyInPandas(
+        hull, "part long, sx long, sy long, n_cells long, ring array<struct<x:double,y:double>>"
     )
 
 

@@ -72,25 +72,41 @@ def clip_inside(t: Tables):
     return out.withColumn("area", area).where("area > 0").select("id", "tile_id", F.round("area", 6).alias("area"))
 
 
-@query("clip_outside", "squares tiles", f"""SELECT t.tile_id, round(100 - coalesce((SELECT sum({AREA}) FROM squares s WHERE s.id < 20), 0), 6) AS area_outside FROM tiles t""")
-def clip_outside(t: Tables):
-    """J-29: tile area less the sum of the parts inside, over a few polygons; the
-    SQL counts what two of them share twice, ``clip_outside_all`` does not"""
-    from firnline.functions.geometry import overlap_with_convex
+UNCOVERED = """SELECT t.tile_id, CAST(100 - count(u.cx) AS DOUBLE) AS area_outside FROM tiles t
+LEFT JOIN (SELECT DISTINCT cx, cy FROM squares s, (SELECT unnest(range(-1, 60)) AS cx), (SELECT unnest(range(-1, 60)) AS cy) WHERE cx >= x0 AND cx < x0 + side AND cy >= y0 AND cy < y0 + side) u
+  ON u.cx >= t.x0 AND u.cx < t.x0 + 10 AND u.cy >= t.y0 AND u.cy < t.y0 + 10 GROUP BY 1"""
 
-    few, tiles = t.squares().where("id < 20").select("id", "ring"), t.grid_tiles().select("tile_id", "ring")
+
+@query("clip_outside", "squares tiles", UNCOVERED)
+def clip_outside(t: Tables):
+    """J-29: what all polygons leave of each tile, as rings with holes; the area of
+    the rings"""
+    shapes = sp.shapes_of(t.squares().select("ring"), t.grid_tiles().select("tile_id", "ring"), 10.0, outside=True)
     r = F.col("ring")
-    parts = sp.clip_to_tiles(few, tiles, 5.0).select("tile_id", overlap_with_convex(r["x"], r["y"], r["x"], r["y"]).alias("area"))
-    inside = parts.groupBy("tile_id").agg(F.sum("area").alias("inside"))
-    return tiles.join(inside, "tile_id", "left").select(
-        "tile_id", F.round(100 - F.coalesce("inside", F.lit(0.0)), 6).alias("area_outside")
-    )
+    one = F.aggregate(
+        F.sequence(F.lit(0), F.size(r) - 1), F.lit(0.0),
+        lambda s, i: s + F.get(r, i)["x"] * F.get(r, (i + 1) % F.size(r))["y"] - F.get(r, (i + 1) % F.size(r))["x"] * F.get(r, i)["y"],
+    ) / 2
+    area = shapes.groupBy("tile_id").agg(F.sum(one).alias("a"))
+    return t.grid_tiles().select("tile_id").join(area, "tile_id", "left").select("tile_id", F.round(F.coalesce("a", F.lit(0.0)), 6).alias("area_outside"))
+
+
+@query("outside_points", "squares tiles", """
+SELECT c_custkey AS id, EXISTS (SELECT 1 FROM tiles t WHERE px > t.x0 AND px < t.x0 + 10 AND py > t.y0 AND py < t.y0 + 10)
+  AND NOT EXISTS (SELECT 1 FROM squares s WHERE abs(px - s.x0) + abs(py - s.y0) < s.side) AS inside
+FROM (SELECT c_custkey, c_custkey % 59 + 0.3 AS px, c_custkey * 7 % 61 + 0.11 AS py FROM customer)""")
+def outside_points(t: Tables):
+    """J-29: points in what turned polygons (diamonds) leave of the tiles"""
+    x, y, d = F.col("x0"), F.col("y0"), F.col("side")
+    corner = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    diamonds = t.squares().select(F.array(corner(x - d, y), corner(x, y - d), corner(x + d, y), corner(x, y + d)).alias("ring"))
+    shapes = sp.shapes_of(diamonds, t.grid_tiles().select("tile_id", "ring"), 5.0, outside=True)
+    k = F.col("c_custkey")
+    pts = t.raw("customer").select(k.alias("id"), (k % 59 + 0.3).cast("double").alias("x"), (k * 7 % 61 + 0.11).cast("double").alias("y"))
+    return sp.points_in_shapes(pts, shapes, 5.0).select("id", "inside")
 
 
-@query("clip_outside_all", "squares tiles", """
-WITH_U""".replace("WITH_U", """SELECT t.tile_id, CAST(100 - count(u.cx) AS DOUBLE) AS area_outside FROM tiles t
-LEFT JOIN (SELECT DISTINCT cx, cy FROM squares s, (SELECT unnest(range(-1, 60)) AS cx), (SELECT unnest(range(-1, 60)) AS cy) WHERE cx >= x0 AND cx < x0 + side AND cy >= y0 AND cy < y0 + side) u
-  ON u.cx >= t.x0 AND u.cx < t.x0 + 10 AND u.cy >= t.y0 AND u.cy < t.y0 + 10 GROUP BY 1"""))
+@query("clip_outside_all", "squares tiles", UNCOVERED)
 def clip_outside_all(t: Tables):
     """J-29: area left outside all polygons, which overlap; corners are whole numbers"""
     out = sp.clip_to_tiles(t.squares().select("id", "ring"), t.grid_tiles().select("tile_id", "ring"), 5.0, outside=True)
@@ -134,12 +150,31 @@ def valid_footprint(t: Tables):
     return sp.bounds_of(hull, ["tile_id"])
 
 
-@query("aoi_cover", "squares", """
-WITH_C""".replace("WITH_C", """SELECT CAST(floor(cx / 5.0) AS BIGINT) AS sx, CAST(floor(cy / 5.0) AS BIGINT) AS sy, count(*) AS n_cells FROM (SELECT DISTINCT cx, cy FROM squares s,
-  (SELECT unnest(range(-1, 60)) AS cx), (SELECT unnest(range(-1, 60)) AS cy) WHERE cx >= x0 AND cx < x0 + side AND cy >= y0 AND cy < y0 + side) GROUP BY 1, 2"""))
+@query("aoi_cover", "", """WITH RECURSIVE sq AS (SELECT p_partkey * 37 % 400 AS x0, p_size AS y0, 1 + p_partkey % 2 AS side FROM part),
+met AS (SELECT DISTINCT x0 + i AS cx, y0 + j AS cy FROM sq, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j) WHERE i < side AND j < side),
+reach(cx, cy, lx, ly) AS (SELECT cx, cy, cx, cy FROM met UNION SELECT m.cx, m.cy, r.lx, r.ly FROM reach r JOIN met m
+  ON abs(m.cx - r.cx) + abs(m.cy - r.cy) = 1 AND (m.cx > r.lx OR (m.cx = r.lx AND m.cy >= r.ly))),
+low AS (SELECT cx, cy, min(lx * 2147483648 + ly) AS l FROM reach GROUP BY 1, 2),
+link AS (SELECT a.l AS a, b.l AS b FROM low a JOIN low b ON abs(a.cx - b.cx) + abs(a.cy - b.cy) = 1 AND a.l <> b.l),
+full_part(l, m) AS (SELECT l, l FROM low UNION SELECT f.l, k.b FROM full_part f JOIN link k ON k.a = f.m),
+part_of AS (SELECT cx, cy, (SELECT min(m) FROM full_part f WHERE f.l = low.l) AS part FROM low),
+o AS (SELECT min(cx) AS ox, min(cy) AS oy FROM met),
+c AS (SELECT part, (cx - ox) // 5 AS sx, (cy - oy) // 5 AS sy, cx, cy FROM part_of, o),
+n AS (SELECT part, sx, sy, count(*) AS n_cells FROM c GROUP BY ALL),
+rows AS (SELECT part, sx, sy, cy + j AS y, min(cx) AS a, max(cx) + 1 AS b FROM c, (SELECT unnest([0, 1]) AS j) GROUP BY ALL),
+pt AS (SELECT part, sx, sy, y, a AS x FROM rows UNION SELECT part, sx, sy, y, b FROM rows),
+edge AS (SELECT p.part, p.sx, p.sy, p.x, p.y, q.x AS qx, q.y AS qy FROM pt p JOIN pt q ON p.part = q.part AND p.sx = q.sx AND p.sy = q.sy AND (p.x <> q.x OR p.y <> q.y)),
+hull AS (SELECT DISTINCT part, sx, sy, x, y FROM edge e WHERE NOT EXISTS (SELECT 1 FROM pt r WHERE r.part = e.part AND r.sx = e.sx AND r.sy = e.sy AND
+  ((qx - e.x) * (r.y - e.y) - (qy - e.y) * (r.x - e.x) < 0 OR ((qx - e.x) * (r.y - e.y) - (qy - e.y) * (r.x - e.x) = 0
+   AND ((r.x - e.x) * (qx - e.x) + (r.y - e.y) * (qy - e.y) < 0 OR (r.x - qx) * (e.x - qx) + (r.y - qy) * (e.y - qy) < 0)))))
+SELECT part, CAST(sx AS BIGINT) AS sx, CAST(sy AS BIGINT) AS sy, n_cells, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM hull JOIN n USING (part, sx, sy)""")
 def aoi_cover(t: Tables):
-    """A-35"""
-    return sp.aoi_cover(t.squares().select("ring")).select("sx", "sy", "n_cells")
+    """A-35: corners of every hull, over scattered squares that form many parts; a
+    square reaches a little less than its side, so it meets its own cells alone"""
+    k = F.col("p_partkey")
+    x, y, side = (k * 37 % 400).cast("double"), F.col("p_size").cast("double"), (1 + k % 2).cast("double")
+    squares = t.raw("part").select(sp.box_ring(x + 0.25, y + 0.25, x + side - 0.25, y + side - 0.25).alias("ring"))
+    return sp.aoi_cover(squares).select("part", "sx", "sy", "n_cells", F.explode("ring").alias("p")).select("part", "sx", "sy", "n_cells", "p.x", "p.y")
 
 
 @query("border_lines", "squares", """

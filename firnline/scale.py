@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from firnline.session import cut_lineage
+
 ColumnLike = Column | str
 
 
@@ -223,6 +225,26 @@ def running_sum(
     return running_sums(df, keys, chunk, order, {name: value})
 
 
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``node, label``: each node with the least node it is linked with, itself
+    included.  ``nodes``: ``node``; ``edges``: ``a, b``, undirected.
+
+    A round takes the least label among a node and its neighbours, then the label
+    of that label, so the rounds grow slowly with the longest path.  Each round is
+    a checkpoint; only whether it changed anything comes to the driver.
+    """
+    both = cut_lineage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = nodes.select("node", F.col("node").alias("label"))
+    while True:
+        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
+        step = labels.join(near, "node", "left").select("node", "label", F.coalesce(F.least("label", "_near"), "label").alias("_to"))
+        far = step.select(F.col("node").alias("_to"), F.col("_to").alias("_far"))
+        new = cut_lineage(step.join(far, "_to").select("node", "label", F.least("_to", "_far").alias("_new")))
+        if new.where("_new <> label").isEmpty():
+            return new.select("node", "label")
+        labels = new.select("node", F.col("_new").alias("label"))
+
+
 def distinct_days(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     """One row per key and calendar day, so a key holds at most one row a day."""
     return df.select(*keys, day).distinct()

@@ -194,3 +194,34 @@ def test_large_rings_touch_as_small_ones_do(monkeypatch):
     for limit in (7, 100, 1 << 20):
         monkeypatch.setattr(g, "COMPARED", limit)
         assert [g.touch_of_large(p, q) for p, q in pairs] == want
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_union_and_difference_as_rings(seed):
+    """Turned and self-crossing polygons over a convex window: points, area, and
+    each ring's sense."""
+    rng = np.random.default_rng(seed)
+    window = np.array([[0, 10], [60, 0], [100, 50], [70, 100], [5, 90]], float)
+    polys = [star(int(rng.integers(3, 12)), 10 * seed + k, *rng.uniform(0, 100, 2)) * rng.uniform(0.4, 1) for k in range(6)]
+    polys += [polys[0], SQ * 10 + 30, np.array([[30, 30], [70, 70], [70, 30], [30, 70.0]])]
+    sweep = g.Sweep(polys, window)
+    pts = rng.uniform(0, 100, (4000, 2))
+    within = g.inside(pts, window)
+    covered = np.any([g.inside(pts, p) for p in polys], axis=0) & within
+    for outside, want in ((False, covered), (True, within & ~covered)):
+        rings = sweep.rings(outside)
+        odd = np.sum([g.inside(pts, r) for r in rings], axis=0) % 2 == 1
+        assert (odd == want).all()
+        assert sum(g.signed_area(r) for r in rings) == pytest.approx(sweep.area(outside), rel=1e-9)
+        assert rings and max(g.signed_area(r) for r in rings) > 0
+    assert sweep.area() + sweep.area(True) == pytest.approx(g.signed_area(window))
+
+
+def test_hole_runs_with_the_clock():
+    window = SQ * 50
+    frame = [np.array(r, float) for r in ([[10, 10], [90, 10], [90, 20], [10, 20]], [[10, 80], [90, 80], [90, 90], [10, 90]],
+                                          [[10, 10], [20, 10], [20, 90], [10, 90]], [[80, 10], [90, 10], [90, 90], [80, 90]])]
+    got = {(round(g.signed_area(r)), len(r)) for r in g.Sweep(frame, window).rings()}
+    assert got == {(6400, 4), (-3600, 4)}
+    assert {round(g.signed_area(r)) for r in g.Sweep(frame, window).rings(True)} == {10000, -6400, 3600}
+    assert [round(g.signed_area(r)) for r in g.Sweep([], window).rings(True)] == [10000] and g.Sweep([], window).rings() == []
