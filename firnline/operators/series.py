@@ -1,27 +1,24 @@
 """Time series of optical jobs per tile: predecessors, modes, backward plans.
 
-A tile's series is cut into time chunks wherever rows must be ordered, so one
-crowded tile is spread over many tasks.
+A tile's series is cut into chunks of a bounded number of rows wherever rows must
+be ordered, so one crowded tile or hour is spread over many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import accumulate
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from firnline import codes
 from firnline.operators.filters import in_range
-from firnline.scale import carry, epoch_us, latest_by, running_sum, running_sums, time_chunk
+from firnline.scale import carry, epoch_us, latest_by, placed, running_sum
 from firnline.session import cut_lineage
 
-# An hour keeps the rows of one crowded tile and chunk few, and the chunks of a
-# tile below a few hundred thousand over decades.
-CHUNK_SECONDS = 3600
 US = 1_000_000
 
 
@@ -212,9 +209,9 @@ def next_n(anchors: DataFrame, rows: DataFrame, n: int, keys: tuple[str, ...] =
         )
 
     line = marks(anchors, -1, 0).unionByName(marks(rows, 0, 1))
-    chunk = F.floor(F.col("t") / F.lit(CHUNK_SECONDS * US))
+    order_of = ["t", "side", "id"]
     # read by every step below, so kept once in the shared folder
-    numbered = cut_lineage(running_sum(line, keys, chunk, ["t", "side", "id"], F.col("weight"), "number"))
+    numbered = cut_lineage(running_sum(placed(line, keys, order_of), keys, F.col("_chunk"), order_of, F.col("weight"), "number").drop("_chunk"))
     leaves = numbered.where("side = 0").select(
         *keys, "number", F.col("id").alias("next_id"), F.col("m").alias("next_m"), F.col("c").alias("latest")
     )
@@ -265,7 +262,7 @@ def next_n(anchors: DataFrame, rows: DataFrame, n: int, keys: tuple[str, ...] =
 
 
 def asof_previous(
-    left: DataFrame, right: DataFrame, keys: list[str], time: str, value: list[str], chunk_seconds: int = CHUNK_SECONDS
+    left: DataFrame, right: DataFrame, keys: list[str], time: str, value: list[str]
 ) -> DataFrame:
     """Latest ``right`` row at or before each ``left`` row of the key.
 
@@ -279,8 +276,9 @@ def asof_previous(
         *keys, F.col(time).alias("_t"), F.lit(1).alias("_side"), F.col("id").alias("_id"),
         F.lit(None).cast(r.schema["_payload"].dataType).alias("_payload"), F.col("id").cast("long").alias("_left"),
     )
-    line = r.unionByName(l)
-    out = carry(line, keys, time_chunk("_t", chunk_seconds), ["_t", "_side", "_id"], F.col("_payload"), "_found")
+    order = ["_t", "_side", "_id"]
+    line = placed(r.unionByName(l), keys, order)
+    out = carry(line, keys, F.col("_chunk"), order, F.col("_payload"), "_found")
     return out.where("_side = 1").select(
         *keys, F.col("_left").alias("id"), *[F.col(f"_found.{c}").alias(f"previous_{c}") for c in value]
     )
@@ -289,8 +287,8 @@ def asof_previous(
 # --- runs and counters ------------------------------------------------------------------
 def consecutive(jobs: DataFrame, days: int = codes.CONSECUTIVE_DAYS, keys: tuple[str, ...] = ("tile_id",)) -> DataFrame:
     """Whether every gap between neighbours of a key is at most ``days``."""
-    line = jobs.select(*keys, "id", F.col("measurement_date").alias("_t"), epoch_us("measurement_date").alias("_us"))
-    prev = carry(line, list(keys), time_chunk("_t", CHUNK_SECONDS), ["_us", "id"], F.col("_us"), "_before")
+    line = placed(jobs.select(*keys, "id", epoch_us("measurement_date").alias("_us")), keys, ["_us", "id"])
+    prev = carry(line, list(keys), F.col("_chunk"), ["_us", "id"], F.col("_us"), "_before")
     gap = F.col("_us") - F.col("_before")
     return prev.groupBy(*keys).agg(
         F.count("*").alias("n_jobs"),
@@ -306,23 +304,45 @@ def chain_quality(jobs: DataFrame, n: int = codes.BACKWARD_JOBS) -> DataFrame:
     chain adds one run, and one product when it made one.  Quality is "0" below
     ``n`` products.
     """
-    start = F.col("run_mode").isin("init", "backward")
+    start = F.coalesce(F.col("run_mode").isin("init", "backward"), F.lit(False))
     base = F.when(F.col("run_mode") == "backward", F.lit(n)).otherwise(F.lit(0))
-    line = jobs.withColumn("_us", epoch_us("measurement_date"))
-    chunk = time_chunk("measurement_date", CHUNK_SECONDS)
-    order = ["_us", "id"]
-    run = F.when(start, F.lit(0)).otherwise(F.lit(1))
-    made = F.when(~start & F.coalesce("produced", F.lit(False)), F.lit(1)).otherwise(F.lit(0))
-    line = running_sums(line, ["tile_id"], chunk, order, {"_runs": run, "_made": made})
-    mark = F.when(start, F.struct(F.col("_runs").alias("r"), F.col("_made").alias("p"), base.alias("b")))
-    line = carry(line, ["tile_id"], chunk, order, mark, "_mark", inclusive=True)
-    runs = F.col("_runs") - F.coalesce("_mark.r", F.lit(0)) + F.coalesce("_mark.b", F.lit(0))
-    produced = F.col("_made") - F.coalesce("_mark.p", F.lit(0)) + F.coalesce("_mark.b", F.lit(0))
-    return line.select(
+    made = F.coalesce("produced", F.lit(False)) & ~start
+    order, tile = ["_us", "id"], ["tile_id"]
+    line = placed(jobs.withColumn("_us", epoch_us("measurement_date")), tile, order)
+
+    def upto(*keys: str, by: Sequence[str]) -> WindowSpec:
+        return Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+
+    # the state after each row, as far as its chunk tells: starts met, and since the
+    # last one the runs, the products and what the start counted from
+    chunk = [*tile, "_chunk"]
+    line = line.withColumn("_starts", F.sum(start.cast("int")).over(upto(*chunk, by=order)))
+    own = upto(*chunk, "_starts", by=order)
+    line = line.withColumns({
+        "_runs": F.sum((~start).cast("long")).over(own), "_made": F.sum(made.cast("long")).over(own),
+        "_base": F.when(F.col("_starts") > 0, F.first(base).over(own)).otherwise(0).cast("long"),
+    })
+    state = F.struct("_starts", "_runs", "_made", "_base")
+    ends = line.groupBy(*chunk).agg(F.max_by(state, F.struct(*order)).alias("_e")).select(*chunk, "_e.*")
+    # states of the chunks put together along the tile: one row a chunk
+    ends = ends.withColumn("_since", F.sum((F.col("_starts") > 0).cast("int")).over(upto(*tile, by=["_chunk"])))
+    along = upto(*tile, "_since", by=["_chunk"])
+    ends = ends.select(*chunk, *[F.sum(c).over(along).alias(c) for c in ("_runs", "_made")], F.first("_base").over(along).alias("_base"))
+    before = Window.partitionBy(*tile).orderBy("_chunk")
+    came = ends.select(
+        F.col("tile_id").alias("_tile"), F.col("_chunk").alias("_at"), *[F.lag(c, 1, 0).over(before).alias(f"{c}_in") for c in ("_runs", "_made", "_base")]
+    )
+    joined = line.join(came, F.col("tile_id").eqNullSafe(F.col("_tile")) & (F.col("_chunk") == F.col("_at")))
+
+    def total(c: str) -> Column:
+        carried = F.when(F.col("_starts") > 0, F.lit(0)).otherwise(F.col(f"{c}_in") + F.col("_base_in"))
+        return F.col(c) + F.col("_base") + carried
+
+    return joined.select(
         *jobs.columns,
-        runs.alias("n_jobs_run_since_last_init"),
-        produced.alias("n_l2a_produced_since_last_init"),
-        F.when(produced < n, "0").otherwise("1").alias("quality_flag"),
+        total("_runs").alias("n_jobs_run_since_last_init"),
+        total("_made").alias("n_l2a_produced_since_last_init"),
+        F.when(total("_made") < n, "0").otherwise("1").alias("quality_flag"),
     )
 
 

@@ -6,7 +6,8 @@ whole key in one task:
 * ``latest_by`` / ``earliest_by`` are aggregates with map-side combine, used in
   place of ``row_number() = 1``;
 * ``carry`` and ``running_sum`` cut each key into ordered chunks, run the window
-  inside a chunk, and pass only one summary row per chunk across chunks.
+  inside a chunk, and pass only one summary row per chunk across chunks;
+  ``placed`` makes chunks of a bounded number of rows.
 """
 
 from __future__ import annotations
@@ -43,9 +44,20 @@ def id_chunk(c: ColumnLike, bits: int = 20) -> Column:
     return F.shiftright(_col(c).cast("long"), bits)
 
 
-def time_chunk(c: ColumnLike, seconds: int = 3600) -> Column:
-    """Chunk of a timestamp, ``seconds`` wide."""
-    return F.floor(epoch_s(c) / F.lit(seconds))
+#: Rows of a chunk made by :func:`placed`: ``2 ** CHUNK_BITS``.
+CHUNK_BITS = 16
+
+
+def placed(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with a column ``_chunk`` that does not decrease along the order of a
+    key, and of which no value has more than ``2 ** CHUNK_BITS`` rows.
+
+    The rows are sorted over the cluster, so neither a crowded key nor a crowded
+    hour makes a large chunk, and kept once in the shared folder, because chunks
+    counted twice could differ.
+    """
+    at = F.monotonically_increasing_id()
+    return cut_lineage(df.orderBy(*keys, *order).withColumn("_chunk", F.shiftright(at, CHUNK_BITS)))
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from firnline.functions.ids import preview_path
 from firnline.functions.times import packed_day
-from firnline.scale import carry, epoch_us, time_chunk
+from firnline.scale import carry, epoch_us, placed
 from firnline.sources.catalogue import ring_wkt
 
 
@@ -162,9 +162,9 @@ def clear_family(tables: dict[str, DataFrame], family: str) -> dict[str, DataFra
 
 def param_history(changes: DataFrame, key: Sequence[str] = (), time: str = "time") -> DataFrame:
     """Parameter versions with the time each stopped being valid."""
-    line = changes.withColumn("_us", epoch_us(time))
-    out = carry(line, list(key), time_chunk(time), ["_us"], F.col(time), "valid_to", backward=True)
-    return out.drop("_us").withColumnRenamed(time, "valid_from")
+    line = placed(changes.withColumn("_us", epoch_us(time)), key, ["_us"])
+    out = carry(line, list(key), F.col("_chunk"), ["_us"], F.col(time), "valid_to", backward=True)
+    return out.drop("_us", "_chunk").withColumnRenamed(time, "valid_from")
 
 
 def params_at(history: DataFrame, at: Column) -> DataFrame:

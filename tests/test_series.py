@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from firnline import codes
+from firnline import codes, scale
 from firnline.operators import jobs as jb
 from firnline.operators import products as pr
 from firnline.operators import series as se
@@ -351,3 +351,44 @@ def test_silent_days_are_below_their_band(spark):
     got = sorted((r.family, r.day.day, r.n_jobs, r.verdict) for r in rp.production_bands(jobs, bands).collect())
     assert got == [("a", 1, 2, "above"), ("a", 2, 0, "below"), ("a", 3, 1, "nominal"), ("b", 1, 0, "below"), ("b", 2, 0, "below"),
                    ("b", 3, 0, "below"), ("x", 2, 1, "nominal")]
+
+
+def brute_chain(rows, n):
+    """Counters row by row; rows are (id, tile, measured, mode, produced)."""
+    state, out = {}, {}
+    for i, tile, m, mode, made in sorted(rows, key=lambda r: (r[2], r[0])):
+        runs, prods = state.get(tile, (0, 0))
+        if mode == "init":
+            runs = prods = 0
+        elif mode == "backward":
+            runs = prods = n
+        else:
+            runs, prods = runs + 1, prods + bool(made)
+        state[tile] = runs, prods
+        out[i] = (runs, prods, "0" if prods < n else "1")
+    return out
+
+
+@pytest.mark.parametrize("bits", [0, 2, 16])
+def test_chain_quality_over_chunks(spark, monkeypatch, bits):
+    """One tile with nearly all rows, all measured within one hour, in chunks of one
+    row, four rows, or all."""
+    monkeypatch.setattr(scale, "CHUNK_BITS", bits)
+    rng = np.random.default_rng(bits)
+    rows = []
+    for i in range(240):
+        tile = [None, "B", "A", "A", "A", "A"][int(rng.integers(0, 6))]
+        mode = str(rng.choice(["init", "backward", "nominal", "none"], p=[0.05, 0.05, 0.8, 0.1]))
+        rows.append((i, tile, T0 + dt.timedelta(seconds=int(rng.integers(0, 900))), None if mode == "none" else mode, [True, False, None][int(rng.integers(0, 3))]))
+    df = spark.createDataFrame(rows, "id long, tile_id string, measurement_date timestamp, run_mode string, produced boolean")
+    got = {r.id: tuple(r)[-3:] for r in se.chain_quality(df, 4).collect()}
+    assert got == brute_chain(rows, 4)
+
+
+def test_chunks_of_one_key_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(scale, "CHUNK_BITS", 5)
+    line = scale.placed(spark.range(5000).select(F.lit("A").alias("k"), F.lit(1).alias("t"), "id"), ["k"], ["t", "id"])
+    sizes = line.groupBy("_chunk").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).orderBy("_chunk").collect()
+    assert max(r.n for r in sizes) <= 32 and all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
+    total = running_sum(line, ["k"], F.col("_chunk"), ["t", "id"], F.lit(1), "number")
+    assert total.where("number <> id + 1").isEmpty()
