@@ -429,7 +429,8 @@ def assign_mode(
         F.col("n_jobs_run_since_last_init").alias("_pruns"),
         F.col("n_l2a_produced_since_last_init").alias("_pmade"),
     )
-    base = open_jobs.join(previous, "id", "left").join(prev, "prev_id", "left")
+    # asked twice below, and the search for predecessors is many joins
+    base = cut_lineage(open_jobs.join(previous, "id", "left").join(prev, "prev_id", "left"))
     near = F.abs(epoch_us("measurement_date") - epoch_us("_pm")) <= F.lit(days * 86400 * US)
     nominal = F.coalesce(near & ~F.coalesce("_pdel", F.lit(False)), F.lit(False))
     if allow_backward:
