@@ -25,9 +25,9 @@ from firnline.llm.common import worker_slot
 #: Code points of a leaf, of the first window on either side of a cut, and of a
 #: text whose leaves become rows.
 LEAF, WINDOW, SPREAD = 4096, 32, 1 << 20
-#: Bytes of words kept in a worker's memory, by estimate: an entry's objects take
-#: some 300 bytes besides its characters and ids.
-MEMO, ENTRY = 32 << 20, 300
+#: Bytes of words kept in each of a worker's two generations, by estimate: an
+#: entry's objects take some 300 bytes besides its characters and ids.
+MEMO, ENTRY = 48 << 20, 300
 #: Punctuation that ends a word often; behind a letter it is a piece of its own.
 TAIL = ".,;:!?%#*$&"
 
@@ -70,7 +70,9 @@ class Codec:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.leaf, self.window = leaf, window
+        # words met since the memory was full last, and those of the time before
         self.memo: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
         self.held = 0
 
     def plain(self, text: str) -> Encoded:
@@ -118,6 +120,8 @@ class Codec:
     def word(self, word: str) -> tuple[bytes, str]:
         """Packed ids of a word and its decoded text."""
         known = self.memo.get(word)
+        if known is None and (known := self.old.get(word)) is not None:
+            self.keep(word, known)
         if known is None:
             core = word.rstrip(TAIL)
             if core and len(core) < len(word) and len(core[-1].lower()) == 1 and core[-1].isalpha() and core[-1].lower().isalpha():
@@ -127,13 +131,17 @@ class Codec:
                 parts = leaves_of(word, self.leaf)
                 known = self.packed((self.plain(word) if len(parts) == 1 else self.tree([self.plain(p) for p in parts])).ids)
             if len(word) <= 64:
-                self.held += ENTRY + 2 * len(word) + len(known[0]) + 2 * len(known[1])
-                if self.held > MEMO:
-                    self.memo.clear()
-                    self.held = 0
-                self.memo[word] = known
+                self.keep(word, known)
         return known
 
+    def keep(self, word: str, known: tuple[bytes, str]) -> None:
+        """Remember a word; a full memory becomes the old one, so words that come
+        often stay and the others go."""
+        self.held += ENTRY + 2 * len(word) + len(known[0]) + 2 * len(known[1])
+        if self.held > MEMO:
+            self.old, self.memo, self.held = self.memo, {}, 0
+        self.memo[word] = known
+
     def packed(self, ids: list[int]) -> tuple[bytes, str]:
         return struct.pack(f"<{len(ids)}I", *ids), self.tokenizer.decode(ids, skip_special_tokens=False)
 

@@ -63,3 +63,17 @@ def test_round_trip_of_full_rows(spark, library):
 
 def test_empty_table(spark):
     assert bpe.encode_texts(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_words_that_come_often_stay_in_memory(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 20_000)
+    codec = bpe.Codec(open(PATH, encoding="utf-8").read())
+    plain = codec.tokenizer
+    for k in range(400):
+        text = f"the common word{k} of snow, and word{k + 1}!"
+        ids, decoded = codec.text(text)
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert ids == struct.pack(f"<{len(want)}I", *want)
+        assert decoded == plain.decode(want, skip_special_tokens=False)
+    assert "common" in codec.memo or "common" in codec.old
+    assert len(codec.memo) + len(codec.old) < 200
