@@ -27,7 +27,7 @@ from firnline.llm.common import worker_slot
 LEAF, WINDOW, SPREAD = 4096, 32, 1 << 20
 #: Bytes of words kept in each of a worker's two generations, by estimate: an
 #: entry's objects take some 300 bytes besides its characters and ids.
-MEMO, ENTRY = 48 << 20, 300
+MEMO, ENTRY = 96 << 20, 300
 #: Punctuation that ends a word often; behind a letter it is a piece of its own.
 TAIL = ".,;:!?%#*$&"
 
