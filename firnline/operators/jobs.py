@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firnline import codes
+from firnline.folds import OrderedRule, State, ordered_fold
 from firnline.functions.rules import simple_status, status_name
-from firnline.scale import carry, earliest_by, id_chunk
+from firnline.scale import CHUNK_BITS, carry, earliest_by, id_chunk
 
 
 # --- views and lookups ------------------------------------------------------
@@ -161,6 +162,53 @@ def bad_transitions(log: DataFrame) -> DataFrame:
     )
 
 
+class _Verdicts(OrderedRule):
+    """Accepts a change allowed from the job's status; others leave it as it was.
+
+    State: the status.
+    """
+
+    def summary(self, rows: list[tuple]) -> list[int]:
+        # statuses that paths from several starts share are stepped once
+        reached = {status: [status] for status in codes.ALLOWED_NEXT}
+        for *_, status in rows:
+            after: dict[int, list[int]] = {}
+            for before, starts in reached.items():
+                after.setdefault(status if status in codes.ALLOWED_NEXT[before] else before, []).extend(starts)
+            reached = after
+        out = [0] * (max(codes.ALLOWED_NEXT) + 1)
+        for end, starts in reached.items():
+            for start in starts:
+                out[start] = end
+        return out
+
+    def advance(self, state: State, summary: list[int]) -> State:
+        return [summary[state[0] if state else 0]]
+
+    def run(self, key: tuple, state: State, rows: Iterable[tuple]) -> Iterator[tuple]:
+        previous = state[0] if state else 0
+        for _, change, status in rows:
+            accepted = status in codes.ALLOWED_NEXT[previous]
+            yield (*key, change, previous, status, accepted)
+            if accepted:
+                previous = status
+
+
+def validate_log(log: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFrame:
+    """Every change with its verdict, as the validation on arrival gives it: a
+    refused change leaves the job's status as it was.
+
+    Jobs with any number of changes (see :func:`firnline.folds.ordered_fold`); a
+    change without status is refused, one without job stands with the others without.
+    """
+    narrow = log.select(
+        F.col("fk_parent_job_id").cast("long").alias("parent_job_id"), F.col("id").cast("long").alias("change_id"),
+        F.col("job_status").cast("int").alias("job_status"),
+    )
+    schema = "parent_job_id long, change_id long, previous_status int, job_status int, accepted boolean"
+    return ordered_fold(narrow, ["parent_job_id"], ["change_id"], schema, _Verdicts(), chunk_bits)
+
+
 def publication_failures(log: DataFrame, limit: int = codes.PUBLICATION_RETRIES) -> DataFrame:
     """Times a job went from done to external error; ``limit`` makes it permanent."""
     failed = (F.col("previous_status") == 12) & (F.col("job_status") == 14)

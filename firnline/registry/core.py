@@ -176,7 +176,8 @@ def query(name: str, ctes: str = "", oracle: str | None = None):
             text = oracle.strip()
             if text.upper().startswith(("CTE:",)):
                 text = text[4:].strip()
-                ORACLE[name] = "WITH " + ",\n".join([CTE[n] for n in ctes.split()] + [""]) + text
+                recursive = text.startswith("RECURSIVE ")
+                ORACLE[name] = "WITH " + "RECURSIVE " * recursive + ",\n".join([CTE[n] for n in ctes.split()] + [""]) + text[10 * recursive:]
             else:
                 ORACLE[name] = sql(ctes, text)
         return fn

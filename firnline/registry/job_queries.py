@@ -188,6 +188,20 @@ SELECT fk_parent_job_id AS parent_job_id, count(*) FILTER (WHERE p = 12 AND job_
   count(*) FILTER (WHERE p = 12 AND job_status = 14) >= 3 AS permanent FROM h GROUP BY 1"""
 
 
+# One round per change of the longest job; the accepted status goes on.
+VERDICTS = f"""CTE:RECURSIVE n AS (SELECT *, row_number() OVER (PARTITION BY fk_parent_job_id ORDER BY id) AS rn FROM log),
+f AS (SELECT fk_parent_job_id, rn, id, 0 AS p, job_status FROM n WHERE rn = 1
+  UNION ALL SELECT n.fk_parent_job_id, n.rn, n.id, CASE WHEN {ALLOWED.replace("job_status", "f.job_status")} THEN f.job_status ELSE p END, n.job_status
+  FROM f JOIN n ON n.fk_parent_job_id = f.fk_parent_job_id AND n.rn = f.rn + 1)
+SELECT fk_parent_job_id AS parent_job_id, id AS change_id, p AS previous_status, job_status, coalesce({ALLOWED}, false) AS accepted FROM f"""
+
+
+@query("validate_log", "log", VERDICTS)
+def validate_log(t: Tables):
+    """ST-06, batch twin"""
+    return jb.validate_log(t.log())
+
+
 @query("publication_failures", "log", FAILED)
 def publication_failures(t: Tables):
     """W-06"""

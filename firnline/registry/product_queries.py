@@ -6,7 +6,7 @@ from firnline.functions import ids as fid
 from firnline.operators import filters as fl
 from firnline.operators import products as pr
 from firnline.operators import slices as sl
-from firnline.registry.core import Tables, day_text, query, us
+from firnline.registry.core import CTE, Tables, day_text, query, us
 
 
 # --- one product per group --------------------------------------------------------
@@ -363,9 +363,33 @@ def duplicate_slices(t: Tables):
     return pr.duplicate_slices(acq).select("seq")
 
 
-@query("assemble_slices")
+# Slices of a stripe, one round per slice of the longest; kinds: 0 left out, 1 added,
+# 2 alone in a new assembly, 3 closes an assembly and opens the next.
+CTE["acq_stripes"] = """acq AS (SELECT event_type || '_' || user_id AS stripe_id, CAST(event_id AS VARCHAR) AS product_id,
+  epoch_us(ts) AS a, epoch_us(ts) AS b, 0 AS slice, 0 AS total FROM events)"""
+CTE["acq_take"] = """acq AS (SELECT 'T' || event_id // 97 AS stripe_id, CAST(event_id AS VARCHAR) AS product_id,
+  1704067200000000 + event_id % 97 * 25000000 - CASE WHEN event_id % 11 = 0 THEN 24400000 ELSE 0 END AS a,
+  1704067225000000 + event_id % 97 * 25000000 - CASE WHEN event_id % 13 = 0 THEN 3000000 ELSE 0 END AS b,
+  CAST(CASE WHEN event_id % 17 = 5 THEN 0 WHEN event_id % 19 = 7 THEN 1 ELSE event_id % 97 % 24 + 1 END AS INTEGER) AS slice, 24 AS total FROM events)"""
+ASSEMBLIES = """CTE:RECURSIVE n AS (SELECT *, row_number() OVER (PARTITION BY stripe_id ORDER BY a, product_id) AS rn FROM acq),
+f AS (SELECT stripe_id, rn, product_id, a, b, slice, 1 AS cnt, 1 AS num, 0 AS pos, 1 AS kind, slice <> 1 AS ef, NOT (slice <> 0 AND slice = total) AS el FROM n WHERE rn = 1
+  UNION ALL SELECT stripe_id, rn, product_id, CASE kind WHEN 0 THEN oa ELSE a END, CASE kind WHEN 0 THEN ob ELSE b END, CASE kind WHEN 0 THEN oslice ELSE slice END,
+    CASE kind WHEN 0 THEN cnt WHEN 1 THEN cnt + 1 ELSE 1 END, num + CASE WHEN kind >= 2 THEN 1 ELSE 0 END, cnt, kind, kind = 2, NOT (slice <> 0 AND slice = total)
+  FROM (SELECT n.*, f.a AS oa, f.b AS ob, f.slice AS oslice, f.cnt, f.num,
+      CASE WHEN (n.a - f.a) % 86400000000 // 1000000 <= 1 THEN 0
+        WHEN (n.slice <> 0 AND f.slice <> 0 AND n.slice - f.slice <> 1)
+          OR ((n.a - f.b) % 86400000000 + 86400000000) % 86400000000 // 1000000 > 1 THEN 2
+        WHEN f.cnt + 1 >= 2 THEN 3 ELSE 1 END AS kind
+    FROM f JOIN n ON n.stripe_id = f.stripe_id AND n.rn = f.rn + 1))
+SELECT stripe_id, CAST(num AS INTEGER) AS assembly_no, CAST(CASE kind WHEN 1 THEN pos ELSE 0 END AS INTEGER) AS position, product_id, ef AS exclude_first, el AS exclude_last
+FROM f WHERE kind IN (1, 2)
+UNION ALL SELECT stripe_id, CAST(num - 1 AS INTEGER), CAST(pos AS INTEGER), product_id, false, el FROM f WHERE kind = 3
+UNION ALL SELECT stripe_id, CAST(num AS INTEGER), 0, product_id, true, el FROM f WHERE kind = 3"""
+
+
+@query("assemble_slices", "acq_stripes", ASSEMBLIES)
 def assemble_slices(t: Tables):
-    """W-04: slices of a stripe numbered by event id (rows checked in tests)."""
+    """W-04: slices without numbers, in order of time"""
     acq = t.events().select(
         F.concat_ws("_", "event_type", "user_id").alias("stripe_id"),
         F.col("event_id").cast("string").alias("product_id"),
@@ -375,6 +399,20 @@ def assemble_slices(t: Tables):
     return sl.assemble_slices(acq)
 
 
+@query("assemble_take", "acq_take", ASSEMBLIES)
+def assemble_take(t: Tables):
+    """W-04: numbered slices 25 seconds apart, some repeated, missing or cut short"""
+    i = F.col("event_id")
+    base = 1704067200000000 + i % 97 * 25_000_000
+    acq = t.events().select(
+        F.concat(F.lit("T"), F.floor(i / 97)).alias("stripe_id"), i.cast("string").alias("product_id"),
+        F.timestamp_micros(base - F.when(i % 11 == 0, 24_400_000).otherwise(0)).alias("start_ts"),
+        F.timestamp_micros(base + 25_000_000 - F.when(i % 13 == 0, 3_000_000).otherwise(0)).alias("stop_ts"),
+        F.when(i % 17 == 5, 0).when(i % 19 == 7, 1).otherwise(i % 97 % 24 + 1).cast("int").alias("slice"), F.lit(24).alias("total_slices"),
+    )
+    return sl.assemble_slices(acq)
+
+
 @query("filter_products", "", """
 SELECT event_id AS product_id FROM events WHERE user_id = 3 AND ts > TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-29'
   AND ts >= TIMESTAMP '2024-01-03' AND ts <= TIMESTAMP '2024-01-25'""")
