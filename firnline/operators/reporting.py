@@ -68,8 +68,14 @@ def production_bands(jobs: DataFrame, bands: DataFrame | None = None, family: st
     of ``jobs``, so a day on which it made nothing is reported too.  Families
     without a band have rows for their own days.
     """
-    daily = jobs.groupBy(family, F.to_date(time).alias("day")).agg(F.count("*").alias("n_jobs"))
-    days = daily.agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
+    return days_in_bands(jobs.groupBy(family, F.to_date(time).alias("day")).agg(F.count("*").alias("n_jobs")), bands, family)
+
+
+def days_in_bands(daily: DataFrame, bands: DataFrame | None = None, family: str = "family", since: Any = None) -> DataFrame:
+    """Counts per family and day (``day, n_jobs``) against the bands, see
+    :func:`production_bands`; days are reported from the one behind ``since`` on."""
+    start = F.min("day") if since is None else F.date_add(F.lit(since).cast("date"), 1)
+    days = daily.agg(start.alias("d0"), F.max("day").alias("d1")).where("d0 <= d1")
     if bands is None:
         rows = [F.struct(F.lit(n).alias("family"), F.lit(lo).alias("lower"), F.lit(hi).alias("upper")) for n, lo, hi in codes.PRODUCTION_BANDS]
         listed = days.select("d0", "d1", F.explode(F.array(*rows)).alias("b"))

@@ -146,6 +146,31 @@ def stream_daily_counts(t: Tables):
     return run(t, si.daily_counts(s)).select(day_text("day"), "family", "n_jobs")
 
 
+# Families reported on and their nominal counts of a day; nothing is ever of family "none".
+STREAM_BANDS = (("view", 50, 150), ("purchase", 60, 70), ("none", 1, 5))
+
+
+@query("stream_production_days", "", f"""
+WITH c AS (SELECT event_type AS family, CAST(ts AS DATE) AS day, count(*) AS n FROM events
+  WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2),
+b(family, lower, upper) AS (VALUES {", ".join(map(str, STREAM_BANDS))}),
+cal AS (SELECT b.*, CAST(unnest(generate_series((SELECT min(day) FROM c), (SELECT max(day) FROM c), INTERVAL 1 DAY)) AS DATE) AS day FROM b)
+SELECT coalesce(c.family, cal.family) AS family, strftime(coalesce(c.day, cal.day), '%Y-%m-%d') AS day, coalesce(n, 0) AS n_jobs,
+  CASE WHEN coalesce(n, 0) < lower THEN 'below' WHEN coalesce(n, 0) > upper THEN 'above' ELSE 'nominal' END AS verdict
+FROM c FULL JOIN cal ON c.family = cal.family AND c.day = cal.day""")
+def stream_production_days(t: Tables):
+    """ST-10 with bands: closed days, those without any job included"""
+    out = shared_folder(t.spark, "production")
+    bands = t.spark.createDataFrame(list(STREAM_BANDS), "family string, lower int, upper int")
+    s = si.daily_counts(event_stream(t).select(F.col("ts").alias("created"), F.col("event_type").alias("family")))
+    q = sr.start(s, si.production_days(f"{out}/t", bands), f"{out}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    rows = t.spark.read.schema("family string, day date, n_jobs long, verdict string").option("recursiveFileLookup", True).parquet(f"{out}/t")
+    return rows.select("family", day_text("day"), "n_jobs", "verdict")
+
+
 @query("stream_incremental_days", "", """
 WITH v AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE event_type = 'view'), u AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE event_type = 'view' AND user_id = 3)
 SELECT strftime(day, '%Y-%m-%d') AS day FROM v WHERE day NOT IN (SELECT day FROM u)""")

@@ -13,29 +13,94 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from firnline import codes
 from firnline.operators.filters import split_reprocessed
+from firnline.operators.reporting import days_in_bands
 
 HOUR_MS = 3_600_000
 
 
+#: Runs of stored ids that are merged into one of the next level.
+FAN = 8
+
+
+def runs_before(batch_id: int) -> list[tuple[int, int]]:
+    """(level, first batch) of the runs that hold all batches before this one.
+
+    A run of a level covers ``FAN ** level`` batches, so their number grows with
+    the logarithm of the batches.
+    """
+    out, at, level = [], 0, 0
+    while FAN ** (level + 1) <= batch_id:
+        level += 1
+    for step in range(level, -1, -1):
+        while at + FAN**step <= batch_id:
+            out.append((step, at))
+            at += FAN**step
+    return out
+
+
+def _run(ids: str, level: int, first: int) -> str:
+    return os.path.join(ids, f"level={level}", f"first={first}")
+
+
+def _bucket(level: int):
+    return F.pmod(F.xxhash64("product_id"), F.lit(FAN**level)).cast("int")
+
+
+def stored_ids(wanted: DataFrame, ids: str, batch_id: int) -> DataFrame:
+    """Ids of earlier batches from those files that may hold one of ``wanted``.
+
+    A run of level n has ``FAN ** n`` buckets, each about as large as one batch, and
+    only the buckets of the ids wanted are read, at most one a run and id.  What is
+    read is therefore bounded by the batch (the source's admission limit), not by
+    what was ever stored.  Bucket numbers pass the driver, no ids.
+    """
+    spark, kind = wanted.sparkSession, wanted.schema["product_id"].dataType.simpleString()
+    out = spark.createDataFrame([], f"product_id {kind}")
+    for level, first in runs_before(batch_id):
+        hit = [r[0] for r in wanted.select(_bucket(level)).distinct().collect()] if level else [0]
+        run = spark.read.schema(f"product_id {kind}, bucket int").parquet(_run(ids, level, first))
+        out = out.unionByName(run.where(F.col("bucket").isin(hit)).select("product_id"))
+    return out
+
+
+def _keep_ids(new: DataFrame, ids: str, batch_id: int) -> None:
+    """Run of this batch, and the runs that end with it from those below."""
+
+    def write(df: DataFrame, level: int, first: int) -> None:
+        placed = df.withColumn("bucket", _bucket(level)).repartition("bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(_run(ids, level, first))
+
+    spark, kind = new.sparkSession, new.schema["product_id"].dataType.simpleString()
+    write(new, 0, batch_id)
+    level = 1
+    while (batch_id + 1) % FAN**level == 0:
+        first, step = batch_id + 1 - FAN**level, FAN ** (level - 1)
+        parts = [_run(ids, level - 1, first + i * step) for i in range(FAN)]
+        write(spark.read.schema(f"product_id {kind}").option("basePath", ids).parquet(*parts), level, first)
+        level += 1
+
+
 def intake(out: str, published: str = "publication_date") -> Callable[[DataFrame, int], None]:
     """Batch writer adding each new product to ``out`` once, whenever it arrives.
 
     Sources are polled with an overlap, so products come again, also much later or
     behind newer ones; those stored by an earlier batch are left out, and of repeats
-    within a batch the first published counts.  No row is dropped for its age.  A
-    replayed batch replaces itself.  Only stored ids are read, and only those of the
-    batch meet it.
+    within a batch the first published counts.  No row is dropped for its age.  Ids
+    are kept beside the products in ``out + "_ids"``, see :func:`stored_ids`; a
+    replayed batch reads earlier batches only and replaces its own folders.  Merged
+    runs stay, so the ids take one copy a level.  Rows without id count as one product.
     """
+    ids = out.rstrip("/") + "_ids"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        names = batch.columns
+        names, spark = batch.columns, batch.sparkSession
         first = batch.groupBy("product_id").agg(F.min_by(F.struct(*names), F.struct(published, *[c for c in names if c != published])).alias("_row"))
         if batch_id:
-            stored = batch.sparkSession.read.schema(batch.schema.add("batch_id", "long")).parquet(out)
-            stored = stored.where(F.col("batch_id") < batch_id).select("product_id")
-            known = stored.join(batch.select("product_id").distinct(), "product_id", "left_semi")
-            first = first.join(known, "product_id", "left_anti")
-        first.select("_row.*").write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+            known = stored_ids(batch.select("product_id"), ids, batch_id).select(F.col("product_id").alias("_known"))
+            first = first.join(known, F.col("product_id").eqNullSafe(F.col("_known")), "left_anti")
+        folder = os.path.join(out, f"batch_id={batch_id}")
+        first.select("_row.*").write.mode("overwrite").parquet(folder)
+        _keep_ids(spark.read.schema(batch.schema).parquet(folder).select("product_id"), ids, batch_id)
 
     return write
 
@@ -221,3 +286,24 @@ def daily_counts(stream: DataFrame, time: str = "created", family: str = "family
         .agg(F.count("*").alias("n_jobs"))
         .select(F.to_date("window.start").alias("day"), family, "n_jobs")
     )
+
+
+def production_days(out: str, bands: DataFrame | None = None, family: str = "family") -> Callable[[DataFrame, int], None]:
+    """Batch writer of closed days (:func:`daily_counts`) against the nominal bands.
+
+    Days close in order and all families of a day at once, so each batch gives every
+    family with a band a row for each day behind the last reported one up to the
+    newest closed day, silent days included; a family without band has rows for its
+    own days.  A replayed batch looks at earlier batches only and replaces itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        since = None
+        if batch_id:
+            # one row per family and day was ever written here
+            earlier = batch.sparkSession.read.schema("day date, batch_id long").parquet(out).where(F.col("batch_id") < batch_id)
+            since = earlier.agg(F.max("day")).first()[0]
+        banded = days_in_bands(batch, bands, family, since)
+        banded.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+
+    return write

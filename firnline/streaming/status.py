@@ -21,11 +21,20 @@ def status_state(stream: DataFrame) -> DataFrame:
     )
 
 
+#: Only an internal error may follow a cancelled job; a done one may still fail.
+ENDED = (codes.STATUS["cancelled"],)
+DAY_MS = 86_400_000
+
+
 class _PerJob(StatefulProcessor):
-    """Common state: last status of the job."""
+    """Common state: last status of the job, dropped ``keep_days`` of event time
+    after the job ended."""
 
     columns: list[str] = []
 
+    def __init__(self, keep_days: float = 365.0):
+        self.keep_ms = int(keep_days * DAY_MS)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "status int, time_ms long, failures int")
@@ -33,10 +42,22 @@ class _PerJob(StatefulProcessor):
     def _get(self) -> tuple[int, int, int]:
         return tuple(self.last.get()) if self.last.exists() else (0, 0, 0)
 
+    def _put(self, status: int, time_ms: int, failures: int, needed: bool = True) -> None:
+        """Keeps the state with its end, or nothing where nothing depends on it."""
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if not needed:
+            self.last.clear()
+            return
+        self.last.update((status, time_ms, failures))
+        if status in ENDED:
+            self.handle.registerTimer(time_ms + self.keep_ms)
+
     def _frame(self, rows: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(rows, columns=self.columns)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
         yield self._frame([])
 
     def close(self) -> None:
@@ -52,13 +73,17 @@ class _Validate(_PerJob):
         for r in _sorted(rows, ["id"]).itertuples(index=False):
             accepted = int(r.job_status) in codes.ALLOWED_NEXT.get(previous, ())
             out.append((key[0], r.id, previous, int(r.job_status), accepted))
+            # a refused change, too, shows that the job is not silent
+            time_ms = _ms(r.time)
             if accepted:
-                previous, time_ms = int(r.job_status), _ms(r.time)
-        self.last.update((previous, time_ms, fails))
+                previous = int(r.job_status)
+        self._put(previous, time_ms, fails, needed=previous != 0)
         yield self._frame(out)
 
 
 class _Retry(_PerJob):
+    """Only a done job and one that failed before have anything to keep."""
+
     columns = ["parent_job_id", "change_id", "failures", "permanent"]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -70,11 +95,13 @@ class _Retry(_PerJob):
                 fails += 1
                 out.append((key[0], r.id, fails, fails >= codes.PUBLICATION_RETRIES))
             previous, time_ms = status, _ms(r.time)
-        self.last.update((previous, time_ms, fails))
+        self._put(previous, time_ms, fails, needed=fails > 0 or previous == 12)
         yield self._frame(out)
 
 
 class _Stuck(_PerJob):
+    """Only a job in a status with a limit has anything to keep."""
+
     columns = ["parent_job_id", "status", "since_ms", "alarm_ms"]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -86,22 +113,21 @@ class _Stuck(_PerJob):
             if last_status in codes.STUCK_MINUTES and now > due:
                 out.append((key[0], last_status, last_ms, due))
             last_status, last_ms = int(r.job_status), now
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if last_status in codes.STUCK_MINUTES:
+        limited = last_status in codes.STUCK_MINUTES
+        self._put(last_status, last_ms, fails, needed=limited)
+        if limited:
             self.handle.registerTimer(last_ms + codes.STUCK_MINUTES[last_status] * 60_000)
-        self.last.update((last_status, last_ms, fails))
         yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        status, since, fails = self._get()
+        status, since, _ = self._get()
         out = []
         if status in codes.STUCK_MINUTES:
             due = since + codes.STUCK_MINUTES[status] * 60_000
             if expiredTimerInfo.getExpiryTimeInMs() >= due:
                 out.append((key[0], status, since, due))
                 # the alarm is raised once
-                self.last.update((0, since, fails))
+                self.last.clear()
         yield self._frame(out)
 
 
@@ -113,17 +139,24 @@ def _apply(stream: DataFrame, processor: StatefulProcessor, schema: str, waterma
     )
 
 
-def validate_stream(stream: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Every change with its verdict; a refused change leaves the status as it was."""
+def validate_stream(stream: DataFrame, watermark: str = "10 minutes", keep_days: float = 365.0) -> DataFrame:
+    """Every change with its verdict; a refused change leaves the status as it was.
+
+    A cancelled job silent for ``keep_days`` of event time is forgotten, so a still
+    later change of it is judged as that of a new job.
+    """
     return _apply(
-        stream, _Validate(),
+        stream, _Validate(keep_days),
         "parent_job_id long, change_id long, previous_status int, job_status int, accepted boolean", watermark,
     )
 
 
-def retry_stream(stream: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Running count of failed publications; the third is permanent."""
-    return _apply(stream, _Retry(), "parent_job_id long, change_id long, failures int, permanent boolean", watermark)
+def retry_stream(stream: DataFrame, watermark: str = "10 minutes", keep_days: float = 365.0) -> DataFrame:
+    """Running count of failed publications; the third is permanent.
+
+    The count ends ``keep_days`` of event time after the job was cancelled.
+    """
+    return _apply(stream, _Retry(keep_days), "parent_job_id long, change_id long, failures int, permanent boolean", watermark)
 
 
 def stuck_alarm(stream: DataFrame, watermark: str = "0 seconds") -> DataFrame:

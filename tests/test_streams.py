@@ -102,3 +102,79 @@ def test_late_version_is_no_second_reference(spark, tmp_path):
         write(spark, tmp_path / "in", str(k), rows, schema)
         out = run(spark, si.replace_codated(stream(spark, tmp_path / "in", schema)), tmp_path)
     assert sorted((r.product_id, r.replaces) for r in out.collect()) == [("a", None), ("b", "a"), ("x", None), ("y", "x")]
+
+
+def test_intake_reads_only_buckets_of_its_ids(spark, tmp_path):
+    assert si.runs_before(0) == [] and si.runs_before(7) == [(0, i) for i in range(7)]
+    assert si.runs_before(74) == [(2, 0), (1, 64), (0, 72), (0, 73)]
+    schema = "product_id long, publication_date timestamp"
+    add = si.intake(str(tmp_path / "out"))
+    for k in range(17):
+        # fifty new ids, some of the batch before, one of the first batch, one without id
+        ids = [*range(k * 50, k * 50 + 50), *range(max(k * 50 - 5, 0), k * 50), 3, None]
+        add(spark.createDataFrame([(i, T0) for i in ids], schema), k)
+    kept = spark.read.schema(schema).parquet(str(tmp_path / "out"))
+    assert sorted(r[0] for r in kept.collect() if r[0] is not None) == list(range(17 * 50))
+    assert kept.where("product_id IS NULL").count() == 1
+    # a replayed batch sees the batches before it only
+    add(spark.createDataFrame([(i, T0) for i in (800, 801, 7)], schema), 16)
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out" / "batch_id=16")).collect()) == [800, 801]
+    read = lambda ids: si.stored_ids(spark.createDataFrame([(i,) for i in ids], "product_id long"), str(tmp_path / "out_ids"), 17)
+    from pyspark.sql import functions as F
+
+    for ids in ([3], [3, 4, 900]):
+        found = read(ids)
+        assert found.select(F.input_file_name()).distinct().count() <= len(ids) * len(si.runs_before(17))
+        assert set(ids) & set(range(800)) <= {r.product_id for r in found.collect()}
+
+
+def test_state_of_ended_jobs_goes(spark, tmp_path):
+    """Job 1 is cancelled, job 2 done; after a silence only job 1 begins anew."""
+    d = lambda x: T0 + dt.timedelta(days=x)
+    files = [
+        [(1, 1, d(0), 1), (2, 1, d(0), 16), (3, 2, d(0), 5), (4, 2, d(0), 6)], [(5, 3, d(9), 1)], [(6, 3, d(41), 2)], [(7, 3, d(42), 3)],
+        [(8, 1, d(50), 1), (9, 2, d(50), 7)],
+    ]
+    for k, rows in enumerate(files):
+        write(spark, tmp_path / "in", str(k), rows, LOG)
+        out = run(spark, ss.validate_stream(stream(spark, tmp_path / "in", LOG), keep_days=30), tmp_path)
+    got = {r.change_id: (r.previous_status, r.accepted) for r in out.collect()}
+    assert got[8] == (0, True) and got[9] == (6, True) and got[7] == (2, True)
+
+
+def test_cancelled_job_is_kept_through_the_silence(spark, tmp_path):
+    d = lambda x: T0 + dt.timedelta(days=x)
+    files = [[(1, 1, d(0), 16)], [(2, 2, d(29), 1)], [(3, 2, d(29), 2)], [(4, 1, d(29), 1), (5, 1, d(29), 13)]]
+    for k, rows in enumerate(files):
+        write(spark, tmp_path / "in", str(k), rows, LOG)
+        out = run(spark, ss.validate_stream(stream(spark, tmp_path / "in", LOG), keep_days=30), tmp_path)
+    got = {r.change_id: (r.previous_status, r.accepted) for r in out.collect()}
+    assert got[4] == (16, False) and got[5] == (16, True)
+
+
+def test_retry_counts_over_restarts(spark, tmp_path):
+    m = lambda x: T0 + dt.timedelta(minutes=x)
+    changes = [9, 12, 14, 5, 12, 14, 5, 9, 12, 14]
+    for i, s in enumerate(changes):
+        if i % 3 == 0:
+            write(spark, tmp_path / "in", str(i), [(j, 1, m(j), changes[j]) for j in range(i, min(i + 3, len(changes)))], LOG)
+            out = run(spark, ss.retry_stream(stream(spark, tmp_path / "in", LOG)), tmp_path)
+    assert sorted((r.change_id, r.failures, r.permanent) for r in out.collect()) == [(2, 1, False), (5, 2, False), (9, 3, True)]
+
+
+def test_production_days_with_silence(spark, tmp_path):
+    schema = "family string, created timestamp"
+    d = lambda x: T0 + dt.timedelta(days=x, hours=3)
+    bands = spark.createDataFrame([("a", 1, 2), ("b", 1, 2)], "family string, lower int, upper int")
+    files = [[("a", d(0))] * 3 + [("c", d(1))], [("b", d(5))], [("a", d(9))], [("a", d(14))]]
+    for k, rows in enumerate(files):
+        write(spark, tmp_path / "in", str(k), rows, schema)
+        q = sr.start(si.daily_counts(stream(spark, tmp_path / "in", schema)), si.production_days(str(tmp_path / "out"), bands), str(tmp_path / "cp"))
+        q.awaitTermination()
+        assert q.exception() is None
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    got = {(r.family, (r.day - T0.date()).days): (r.n_jobs, r.verdict) for r in rows}
+    assert len(rows) == len(got)
+    want = {(f, k): (0, "below") for f in "ab" for k in range(10)}
+    want |= {("a", 0): (3, "above"), ("b", 5): (1, "nominal"), ("a", 9): (1, "nominal"), ("c", 1): (1, "nominal")}
+    assert got == want
