@@ -292,11 +292,13 @@ def latest_with_date(jobs: DataFrame, date: str) -> DataFrame:
     return jobs.orderBy(F.col(date).desc_nulls_last(), F.col("id").asc()).limit(1)
 
 
-def high_water_mark(jobs: DataFrame, date: str, now: Column, default_days: int) -> DataFrame:
-    """Start of the next search: last publication less a second, else some days back."""
+def high_water_mark(jobs: DataFrame, date: str, now: Column, default_days: int, whole_days: bool = False) -> DataFrame:
+    """Start of the next search: last publication less a second, else some days
+    back, with ``whole_days`` from midnight on."""
+    back = F.date_trunc("day", now.cast("timestamp")) if whole_days else now.cast("timestamp")
     start = F.coalesce(
         F.max(date).cast("timestamp") - F.expr("INTERVAL 1 SECOND"),
-        now.cast("timestamp") - F.make_dt_interval(F.lit(default_days)),
+        back - F.make_dt_interval(F.lit(default_days)),
     )
     return jobs.agg(start.alias("date_min")).withColumn("date_max", now.cast("timestamp"))
 

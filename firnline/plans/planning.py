@@ -11,6 +11,7 @@ from firnline import codes
 from firnline.functions.geometry import overlap_in_utm
 from firnline.functions.ids import id_token
 from firnline.functions.rules import priority
+from firnline.operators import jobs as jobs_ops
 from firnline.operators import products as pr
 from firnline.operators import series, slices, spatial
 from firnline.operators.filters import split_reprocessed
@@ -18,6 +19,8 @@ from firnline.scale import earliest_by, epoch_us
 from firnline.session import cut_lineage
 
 OPTICAL_TYPE = "FSC"  # fixed value: product type of the optical snow product
+GAP_FILLED_TYPE = "GFSC"  # fixed value: product type of the gap-filled product
+OPEN = (1, 2, 3)  # initialized, configured, ready
 
 
 # --- gap-fill planning ------------------------------------------------------------
@@ -63,7 +66,7 @@ def plan_gap_filling(
 
 
 def configure_gap_filling(
-    jobs: DataFrame, inputs: DataFrame, now: Column, early_release: bool = False
+    jobs: DataFrame, inputs: DataFrame, now: Column, early_release: bool = False, job: str = "triggering_product_id"
 ) -> DataFrame:
     """State of each planned job.
 
@@ -71,25 +74,26 @@ def configure_gap_filling(
     job of the tile and date is curated later; ready: not optical, or held for
     three hours; waiting: otherwise.  The published rule lets an optical trigger
     wait the full time even when a radar product of the day is there;
-    ``early_release`` releases it then.
+    ``early_release`` releases it then.  ``job`` is the column that tells jobs apart
+    where one product triggers several.
     """
     trigger = F.col("triggering_product_id")
     twin = F.when(
         F.element_at(F.split(trigger, "_"), -1) == "1", F.regexp_replace(trigger, "1$", "0")
     )
-    used = inputs.select(F.col("triggering_product_id"), F.col("product_id").alias("_twin")).distinct()
+    used = inputs.select(job, F.col("product_id").alias("_twin")).distinct()
     doomed = (
         jobs.withColumn("_twin", twin)
-        .join(used, ["triggering_product_id", "_twin"], "left_semi")
-        .select("triggering_product_id")
+        .join(used, [job, "_twin"], "left_semi")
+        .select(job)
         .distinct()
         .withColumn("twin_used", F.lit(True))
     )
-    ranked = pr.supersede(jobs, ["tile_id", "product_date"], "curation_timestamp", "triggering_product_id")
+    ranked = pr.supersede(jobs, ["tile_id", "product_date"], "curation_timestamp", job)
     optical = id_token(trigger, 0) == OPTICAL_TYPE
     same_day_radar = (
         inputs.where((id_token(F.col("product_id"), 0) != OPTICAL_TYPE) & (F.to_date("measurement_date") == F.col("product_date")))
-        .select("triggering_product_id")
+        .select(job)
         .distinct()
         .withColumn("partner", F.lit(True))
     )
@@ -103,13 +107,114 @@ def configure_gap_filling(
         .otherwise("waiting")
     )
     return (
-        ranked.join(doomed, "triggering_product_id", "left")
-        .join(same_day_radar, "triggering_product_id", "left")
+        ranked.join(doomed, job, "left")
+        .join(same_day_radar, job, "left")
         .withColumn("state", state)
         .drop("twin_used", "partner")
     )
 
 
+def daily_gap_jobs(
+    tiles: DataFrame, catalogue: DataFrame, gap_filled: DataFrame, day: Any, now: Column, published: Column, span: int = 7
+) -> DataFrame:
+    """One job per tile that got no product on ``day``, made from its newest
+    gap-filled product; none at all when no tile got any (an interruption)."""
+    date = F.lit(day).cast("date")
+    of_day = catalogue.where(F.to_date("measurement_date") == date)
+    recent = gap_filled.where(
+        (F.to_date("measurement_date") >= F.date_sub(date, 2 * span)) & (F.to_date("measurement_date") <= date)
+    )
+    running = of_day.agg((F.count("*") > 0).alias("any")).scalar()
+    return pr.idle_tiles(tiles, of_day, recent, day, span).where(running).select(
+        F.col("product_id").alias("triggering_product_id"), "tile_id", "product_date",
+        published.alias("triggering_product_publication_date"), now.cast("timestamp").alias("curation_timestamp"),
+    )
+
+
+def gap_filling_round(
+    catalogue: DataFrame,
+    gap_filled: DataFrame,
+    contents: DataFrame,
+    known: DataFrame,
+    tiles: DataFrame,
+    now: Any,
+    start: Any,
+    day: Any = None,
+    span: int = 7,
+    early_release: bool = False,
+) -> dict[str, DataFrame]:
+    """One round of gap-fill planning: search, new and daily jobs, states, inputs.
+
+    ``catalogue``: optical and radar snow products (``product_id, tile_id,
+    measurement_date, publication_date``); ``gap_filled``: ``product_id, tile_id,
+    measurement_date``; ``contents``: ``product_id, input_id`` of the products inside a
+    gap-filled one; ``known``: jobs made before (``triggering_product_id, tile_id,
+    product_date, curation_timestamp, triggering_product_publication_date,
+    last_status_id``); ``tiles``: ``tile_id``.  ``day``: day to make daily jobs for,
+    None for a round without.
+
+    The search goes on where the last job's product was published, a second
+    earlier, or at midnight a day before ``now`` when no job was ever made.  Jobs not
+    yet started are judged again together with the new ones.  A ready job takes the
+    newest gap-filled product of its tile along, and a date whose products are all
+    inside that one leaves its inputs.
+
+    Gives ``jobs`` (``origin`` new, open or daily; ``state``; ``gap_filled_id``),
+    ``inputs`` in long form with ``used``, and ``reprocessed`` jobs.
+    """
+    at = F.lit(now).cast("timestamp")
+    mark = jobs_ops.high_water_mark(known, "triggering_product_publication_date", at, 1, whole_days=True)
+    since = mark.select("date_min").scalar()
+    optical = id_token(F.col("product_id"), 0) == OPTICAL_TYPE
+    fresh = catalogue.where(
+        (F.col("publication_date") > since) & (F.col("publication_date") < at)
+        & (~optical | (epoch_us("measurement_date") >= epoch_us(since) - F.lit(span * 86_400_000_000)))
+    ).join(tiles.select("tile_id").distinct(), "tile_id", "left_semi")
+    planned = plan_gap_filling(fresh, catalogue, known, at, start, span)
+    columns = ["triggering_product_id", "tile_id", "product_date", "triggering_product_publication_date", "curation_timestamp"]
+    jobs = planned["jobs"].select(*columns, F.lit("new").alias("origin")).unionByName(
+        known.where(F.col("last_status_id").isin(*OPEN)).select(*columns, F.lit("open").alias("origin"))
+    )
+    if day is not None:
+        last = known.agg(F.max("triggering_product_publication_date").cast("timestamp").alias("t")).scalar()
+        daily = daily_gap_jobs(tiles, catalogue, gap_filled, day, at, F.coalesce(last, since), span)
+        unknown = daily.join(known.select("triggering_product_id", "product_date"), ["triggering_product_id", "product_date"], "left_anti")
+        jobs = jobs.unionByName(unknown.select(*columns, F.lit("daily").alias("origin")))
+    # one gap-filled product may trigger jobs of several days
+    jobs = jobs.withColumn("job_id", F.concat_ws("@", "triggering_product_id", F.date_format("product_date", "yyyyMMdd")))
+    from_gaps = id_token(F.col("triggering_product_id"), 0) == GAP_FILLED_TYPE
+    inputs = cut_lineage(
+        pr.inputs_in_window(
+            jobs.where(~from_gaps), catalogue, span, ("product_id", "measurement_date")
+        ).select("job_id", "triggering_product_id", "product_date", "product_id", "measurement_date", F.to_date("measurement_date").alias("day"))
+    )
+    judged = configure_gap_filling(jobs, inputs, at, early_release, "job_id")
+    counts = inputs.groupBy("job_id").agg(F.count("*").alias("n_inputs"))
+    judged = judged.join(counts, "job_id", "left").withColumn("n_inputs", F.coalesce("n_inputs", F.lit(0).cast("long")))
+    # without inputs the job is looked at again in a later round
+    empty = (F.col("state") == "ready") & (F.col("n_inputs") == 0) & ~from_gaps
+    judged = cut_lineage(judged.withColumn("state", F.when(empty, "waiting").otherwise(F.col("state"))))
+    ready = judged.where("state = 'ready'")
+    searched = pr.inputs_in_window(
+        ready.where(~from_gaps).select("job_id", "tile_id", "product_date", "curation_timestamp"), gap_filled, 2 * span + 1,
+        ("product_id", "measurement_date"),
+    )
+    newest = pr.newest_by_curation(searched, ["job_id"]).select("job_id", F.col("product_id").alias("gap_filled_id"))
+    own = ready.where(from_gaps).select("job_id", F.col("triggering_product_id").alias("gap_filled_id"))
+    taken = newest.unionByName(own)
+    inside = taken.join(contents.select(F.col("product_id").alias("gap_filled_id"), "input_id"), "gap_filled_id").select(
+        "job_id", F.col("input_id").alias("product_id")
+    )
+    gone = pr.obsolete_inputs(inputs, inside, "job_id").select("job_id", "product_id").distinct().withColumn("_gone", F.lit(True))
+    return {
+        "jobs": judged.join(taken, "job_id", "left").select("job_id", *columns, "origin", "state", "gap_filled_id", "n_inputs"),
+        "inputs": inputs.join(gone, ["job_id", "product_id"], "left").select(
+            "job_id", "product_id", "measurement_date", "day", F.col("_gone").isNull().alias("used")
+        ),
+        "reprocessed": planned["reprocessed"],
+    }
+
+
 # --- radar assemblies and wet-snow planning ---------------------------------------------
 def plan_wet_snow(
     acquisitions: DataFrame,

@@ -1,5 +1,7 @@
 """Sources, sinks and scalar functions."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from firnline.functions import ids as fid
@@ -82,7 +84,6 @@ def feature_pages(t: Tables):
 @query("scan_products", "products", "SELECT product_id, tile_id FROM products WHERE day BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' AND tile_id % 2 = 0")
 def scan_products(t: Tables):
     """SRC-03: day-partitioned store, dates prune the scan"""
-    import datetime as dt
 
     root = shared_folder(t.spark, "store")
     st.write_products(t.products().select("product_id", "tile_id", "measurement_date"), root)
@@ -501,7 +502,6 @@ def match_products(t: Tables):
        + BOTH + " WHERE a.day BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'")
 def match_stores(t: Tables):
     """JOB-11, SNK-03: two day-partitioned stores matched, written as documents, read back"""
-    import datetime as dt
 
     p = _river_ice_products(t)
     roots = [shared_folder(t.spark, kind) for kind in ("view", "click")]
@@ -554,6 +554,76 @@ def configure_gap_filling(t: Tables):
     return pl.configure_gap_filling(out["jobs"], none, F.lit("2024-01-25").cast("timestamp")).select("triggering_product_id", "state")
 
 
+# The whole round on 25 January at noon: every event but an error is a product, every
+# fourth with a provisional version an hour before; errors are gap-filled products;
+# products of odd events published until the 24th have jobs in all statuses.
+ROUND = """p AS (SELECT event_id, k, CASE event_type WHEN 'view' THEN 'FSC' WHEN 'click' THEN 'WDS' ELSE 'SWS' END AS kind,
+  CASE event_type WHEN 'view' THEN 'FSC' WHEN 'click' THEN 'WDS' ELSE 'SWS' END || '_E' || event_id || '_T' || user_id || '_V100_' || k AS pid,
+  user_id AS tile_id, ts, CAST(ts AS DATE) AS day, ts + to_hours(event_id % 5 + k) AS pub FROM events, (SELECT unnest([0, 1]) AS k)
+  WHERE event_type <> 'error' AND (k = 1 OR event_id % 4 = 0)),
+tiles AS (SELECT DISTINCT user_id AS tile_id FROM events WHERE user_id % 7 <> 0),
+g AS (SELECT 'GFSC_E' || event_id || '_T' || user_id || '_V100_' || CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS gid, user_id AS tile_id, ts, CAST(ts AS DATE) AS day,
+  CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS stamp FROM events WHERE event_type = 'error'),
+kn AS (SELECT pid AS trig, tile_id, day AS pd, pub AS tpub, pub + INTERVAL 1 HOUR AS cur, event_id % 16 + 1 AS st FROM p WHERE event_id % 2 = 1 AND pub <= TIMESTAMP '2024-01-24'),
+m AS (SELECT max(tpub) AS last, max(tpub) - INTERVAL 1 SECOND AS lo FROM kn),
+one AS (SELECT * FROM (SELECT p.*, row_number() OVER (PARTITION BY p.tile_id, p.day ORDER BY kind = 'FSC', pub, pid) AS rn FROM p JOIN tiles USING (tile_id), m
+  WHERE pub > lo AND pub < TIMESTAMP '2024-01-25 12:00:00' AND (kind <> 'FSC' OR ts >= lo - INTERVAL 7 DAY) AND pid NOT IN (SELECT trig FROM kn)) WHERE rn = 1),
+idle AS (SELECT gid, tile_id, ts, day FROM (SELECT g.*, row_number() OVER (PARTITION BY tile_id ORDER BY stamp DESC, gid DESC) AS rn FROM g JOIN tiles USING (tile_id)
+  WHERE day >= DATE '2024-01-10' AND day <= DATE '2024-01-24' AND tile_id NOT IN (SELECT tile_id FROM p WHERE day = DATE '2024-01-24')) WHERE rn = 1),
+j AS (SELECT trig || '@' || strftime(pd, '%Y%m%d') AS jid, * FROM (
+  SELECT pid AS trig, tile_id, day AS pd, TIMESTAMP '2024-01-25 12:00:00' AS cur, pub AS tpub, 'new' AS origin FROM one WHERE ts >= TIMESTAMP '2024-01-20'
+  UNION ALL SELECT trig, tile_id, pd, cur, tpub, 'open' FROM kn WHERE st <= 3
+  UNION ALL SELECT gid, tile_id, DATE '2024-01-24', TIMESTAMP '2024-01-25 12:00:00', last, 'daily' FROM idle, m
+    WHERE TIMESTAMP '2024-01-24' < ts + INTERVAL 7 DAY AND day <> DATE '2024-01-24' AND EXISTS (SELECT 1 FROM p WHERE day = DATE '2024-01-24'))),
+w AS (SELECT *, CASE WHEN pd = CAST(cur AS DATE) THEN cur ELSE CAST(pd + 1 AS TIMESTAMP) - INTERVAL 1 MICROSECOND END AS hi FROM j),
+i AS (SELECT jid, pid, p.day FROM w JOIN p ON p.tile_id = w.tile_id AND p.ts <= hi AND p.ts >= CAST(CAST(hi AS DATE) - 6 AS TIMESTAMP) WHERE origin <> 'daily'),
+s AS (SELECT w.*, coalesce(n, 0) AS n_inputs, CASE WHEN row_number() OVER (PARTITION BY tile_id, pd ORDER BY cur DESC, jid DESC) > 1 THEN 'cancelled'
+    WHEN trig LIKE '%!_1' ESCAPE '!' AND (w.jid, substr(trig, 1, length(trig) - 1) || '0') IN (SELECT (jid, pid) FROM i) THEN 'cancelled'
+    WHEN trig LIKE 'FSC%' AND TIMESTAMP '2024-01-25 12:00:00' - tpub < INTERVAL 3 HOUR THEN 'waiting'
+    WHEN n IS NULL AND origin <> 'daily' THEN 'waiting' ELSE 'ready' END AS state FROM w LEFT JOIN (SELECT jid, count(*) AS n FROM i GROUP BY 1) USING (jid)),
+t AS (SELECT jid, gid FROM (SELECT jid, gid, row_number() OVER (PARTITION BY jid ORDER BY stamp DESC, gid DESC) AS rn FROM s JOIN g ON g.tile_id = s.tile_id AND g.ts <= hi AND g.day >= CAST(hi AS DATE) - 14
+  WHERE state = 'ready' AND origin <> 'daily') WHERE rn = 1 UNION ALL SELECT jid, trig FROM s WHERE state = 'ready' AND origin = 'daily'),
+inside AS (SELECT jid, p.pid FROM t JOIN g USING (gid) JOIN p ON p.tile_id = g.tile_id AND p.day BETWEEN g.day - 2 AND g.day - 1 AND p.event_id % 5 <> 0),
+gone AS (SELECT i.jid, i.day FROM i LEFT JOIN inside ON inside.jid = i.jid AND inside.pid = i.pid GROUP BY 1, 2 HAVING count(*) = count(inside.pid)),
+u AS (SELECT i.jid, count(*) AS n_used FROM i LEFT JOIN gone ON gone.jid = i.jid AND gone.day = i.day WHERE gone.jid IS NULL GROUP BY 1)"""
+
+
+@query("gap_filling_round", "", f"""WITH {ROUND}
+SELECT jid AS job_id, s.tile_id, strftime(pd, '%Y-%m-%d') AS day, origin, state, epoch_us(tpub) AS published_us, gid AS gap_filled_id, n_inputs, coalesce(n_used, 0) AS n_used
+FROM s LEFT JOIN t USING (jid) LEFT JOIN u USING (jid)""")
+def gap_filling_round(t: Tables):
+    """JOB-8 end to end: search mark, daily jobs, states, gap-filled input, obsolete dates"""
+    e, i = t.events(), F.col("event_id")
+    kind = F.when(F.col("event_type") == "view", "FSC").when(F.col("event_type") == "click", "WDS").otherwise("SWS")
+    made = e.where("event_type <> 'error'").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).where("k = 1 OR event_id % 4 = 0")
+    p = made.select(
+        i, F.concat(kind, F.lit("_E"), i, F.lit("_T"), F.col("user_id"), F.lit("_V100_"), F.col("k")).alias("product_id"), F.col("user_id").alias("tile_id"),
+        F.col("ts").alias("measurement_date"), F.timestamp_micros(F.unix_micros("ts") + (i % 5 + F.col("k")) * 3_600_000_000).alias("publication_date"),
+    )
+    g = e.where("event_type = 'error'").select(
+        F.concat(F.lit("GFSC_E"), i, F.lit("_T"), F.col("user_id"), F.lit("_V100_"), F.unix_seconds("ts")).alias("product_id"),
+        F.col("user_id").alias("tile_id"), F.col("ts").alias("measurement_date"),
+    )
+    held = g.select("product_id", "tile_id", F.explode(F.array(*[F.date_sub(F.to_date("measurement_date"), d) for d in (1, 2)])).alias("day"))
+    contents = held.join(
+        p.where("event_id % 5 <> 0").select("tile_id", F.to_date("measurement_date").alias("day"), F.col("product_id").alias("input_id")), ["tile_id", "day"]
+    ).select("product_id", "input_id")
+    known = p.where("event_id % 2 = 1 AND publication_date <= TIMESTAMP '2024-01-24'").select(
+        F.col("product_id").alias("triggering_product_id"), "tile_id", F.to_date("measurement_date").alias("product_date"),
+        F.col("publication_date").alias("triggering_product_publication_date"),
+        (F.col("publication_date") + F.expr("INTERVAL 1 HOUR")).alias("curation_timestamp"), (i % 16 + 1).cast("int").alias("last_status_id"),
+    )
+    tiles = e.where("user_id % 7 <> 0").select(F.col("user_id").alias("tile_id")).distinct()
+    out = pl.gap_filling_round(
+        p.drop("event_id"), g, contents, known, tiles, dt.datetime(2024, 1, 25, 12), F.lit("2024-01-20").cast("timestamp"), dt.date(2024, 1, 24)
+    )
+    used = out["inputs"].groupBy("job_id").agg(F.count_if("used").alias("n_used"))
+    return out["jobs"].join(used, "job_id", "left").select(
+        "job_id", "tile_id", day_text("product_date"), "origin", "state", us("triggering_product_publication_date", "published_us"),
+        "gap_filled_id", "n_inputs", F.coalesce("n_used", F.lit(0)).cast("long").alias("n_used"),
+    )
+
+
 @query("plan_optical", "", """
 WITH c AS (SELECT event_id AS seq, 's' || event_id AS source_id, user_id AS tile_id, ts AS m, ts + to_hours(event_id % 30) AS s, ts + to_hours(event_id % 30 + event_id % 5) AS h, event_id FROM events WHERE event_type = 'view')
 SELECT source_id, CASE WHEN event_id % 3 = 0 THEN 'reprocessing' WHEN event_id % 30 < 24 AND event_id % 5 < 3 THEN 'nrt' ELSE 'delayed' END AS priority FROM c WHERE event_id % 10 <> 0 AND m >= TIMESTAMP '2024-01-08'""")

@@ -392,3 +392,55 @@ def test_chunks_of_one_key_are_bounded(spark, monkeypatch):
     assert max(r.n for r in sizes) <= 32 and all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
     total = running_sum(line, ["k"], F.col("_chunk"), ["t", "id"], F.lit(1), "number")
     assert total.where("number <> id + 1").isEmpty()
+
+
+def gap_tables(spark, day):
+    """A tile with products on ``day`` and the day before, a tile with a gap-filled product only."""
+    at = lambda d, h: dt.datetime(2024, 1, d, h)
+    catalogue = spark.createDataFrame(
+        [("FSC_a_V100_1", "A", at(day, 9), at(day, 10)), ("WDS_b_V100_0", "A", at(day, 6), at(day, 8)), ("FSC_c_V100_1", "A", at(day - 1, 9), at(day - 1, 10))],
+        "product_id string, tile_id string, measurement_date timestamp, publication_date timestamp",
+    )
+    gap = spark.createDataFrame(
+        [("GFSC_x_100", "A", at(day - 1, 0)), ("GFSC_y_100", "B", at(day - 1, 0)), ("GFSC_y_090", "B", at(day - 2, 0)), ("GFSC_old_5", "C", at(day - 8, 0))],
+        "product_id string, tile_id string, measurement_date timestamp",
+    )
+    contents = spark.createDataFrame([("GFSC_x_100", "FSC_c_V100_1"), ("GFSC_x_100", "WDS_b_V100_0")], "product_id string, input_id string")
+    known = spark.createDataFrame(
+        [], "triggering_product_id string, tile_id string, product_date date, curation_timestamp timestamp, triggering_product_publication_date timestamp, last_status_id int"
+    )
+    return catalogue, gap, contents, known, spark.createDataFrame([("A",), ("B",), ("C",)], "tile_id string")
+
+
+def test_first_gap_filling_round(spark):
+    now, start, day = dt.datetime(2024, 1, 21, 1), F.lit("2024-01-01").cast("timestamp"), dt.date(2024, 1, 20)
+    tables = gap_tables(spark, 20)
+    out = pl.gap_filling_round(*tables, now, start, day)
+    jobs = {r.tile_id: (r.triggering_product_id, r.origin, r.state, r.gap_filled_id, r.n_inputs) for r in out["jobs"].collect()}
+    # radar goes first; a gap-filled product a week old makes no daily job
+    assert jobs == {"A": ("WDS_b_V100_0", "new", "ready", "GFSC_x_100", 3), "B": ("GFSC_y_100", "daily", "ready", "GFSC_y_100", 0)}
+    # only a date whose products are all inside the gap-filled one goes
+    assert {r.product_id: r.used for r in out["inputs"].collect()} == {"FSC_a_V100_1": True, "WDS_b_V100_0": True, "FSC_c_V100_1": False}
+
+
+def test_gap_filling_round_after_an_interruption(spark):
+    """No product of the day at all: no daily jobs; without any product, no jobs."""
+    now, start = dt.datetime(2024, 1, 21, 1), F.lit("2024-01-01").cast("timestamp")
+    catalogue, *rest = gap_tables(spark, 20)
+    out = pl.gap_filling_round(catalogue.where("product_id = 'FSC_c_V100_1'"), *rest, now, start, dt.date(2024, 1, 20))
+    assert out["jobs"].collect() == []
+    out = pl.gap_filling_round(catalogue.limit(0), *rest, now, start, dt.date(2024, 1, 20))
+    assert [out[k].count() for k in ("jobs", "inputs", "reprocessed")] == [0, 0, 0]
+
+
+def test_gap_filling_round_goes_on_from_known_jobs(spark):
+    """An open job of the tile and date is overridden by the newer one."""
+    now, start = dt.datetime(2024, 1, 20, 12), F.lit("2024-01-01").cast("timestamp")
+    catalogue, gap, contents, known, tiles = gap_tables(spark, 20)
+    known = spark.createDataFrame(
+        [("WDS_b_V100_0", "A", dt.date(2024, 1, 20), dt.datetime(2024, 1, 20, 8, 30), dt.datetime(2024, 1, 20, 8), 2)], known.schema
+    )
+    out = pl.gap_filling_round(catalogue, gap, contents, known, tiles, now, start)
+    assert {(r.triggering_product_id, r.origin, r.state) for r in out["jobs"].collect()} == {
+        ("WDS_b_V100_0", "open", "cancelled"), ("FSC_a_V100_1", "new", "waiting")
+    }
