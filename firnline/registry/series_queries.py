@@ -202,7 +202,19 @@ def configure_optical(t: Tables):
     return plan["state"].select("id", "readiness").join(modes, "id", "left")
 
 
-@query("backward_plan")
+MEMBERS = """CTE:j AS (SELECT *, id % 6 = 0 AS init, id % 9 = 0 AS rerun FROM oj),
+tg AS (SELECT tile_id, max(m) AS t FROM j WHERE m < TIMESTAMP '2024-01-15' GROUP BY 1),
+ini AS (SELECT * FROM (SELECT j.*, row_number() OVER (PARTITION BY j.tile_id ORDER BY m DESC, id DESC) AS rn FROM j JOIN tg ON tg.tile_id = j.tile_id AND m < t WHERE init AND NOT rerun AND output_status = 'generated') WHERE rn = 1),
+fo AS (SELECT n.id AS init_id, d.id, d.m, row_number() OVER (PARTITION BY n.id ORDER BY d.m, d.id) AS pos FROM ini n JOIN j d ON d.tile_id = n.tile_id AND d.m >= n.m AND d.c > n.c
+  WHERE d.output_status = 'generated' AND NOT d.rerun AND d.ref AND d.id % 2 = 0),
+al AS (SELECT id AS init_id, id, m, 0 AS pos FROM ini UNION ALL SELECT init_id, id, m, pos FROM fo WHERE pos <= 2),
+ok AS (SELECT init_id FROM al GROUP BY 1 HAVING count(*) = 3)
+"""
+
+
+@query("backward_plan", "oj", MEMBERS + """SELECT al.init_id, oj.tile_id, oj.source_id, CAST(pos AS INTEGER) AS position,
+  CASE WHEN pos = 0 THEN 'backward' END AS run_mode, CASE WHEN pos = 0 THEN 3::BIGINT END AS n_jobs_run_since_last_init
+FROM al JOIN ok USING (init_id) JOIN oj ON oj.id = al.id""")
 def backward_plan(t: Tables):
     """W-13: re-issued jobs for the last init job of each tile"""
     i = F.col("id")
@@ -213,14 +225,7 @@ def backward_plan(t: Tables):
     return issued.select("init_id", "tile_id", "source_id", "position", "run_mode", "n_jobs_run_since_last_init")
 
 
-@query("backward_plan_members", "oj", """CTE:j AS (SELECT *, id % 6 = 0 AS init, id % 9 = 0 AS rerun FROM oj),
-tg AS (SELECT tile_id, max(m) AS t FROM j WHERE m < TIMESTAMP '2024-01-15' GROUP BY 1),
-ini AS (SELECT * FROM (SELECT j.*, row_number() OVER (PARTITION BY j.tile_id ORDER BY m DESC, id DESC) AS rn FROM j JOIN tg ON tg.tile_id = j.tile_id AND m < t WHERE init AND NOT rerun AND output_status = 'generated') WHERE rn = 1),
-fo AS (SELECT n.id AS init_id, d.id, d.m, row_number() OVER (PARTITION BY n.id ORDER BY d.m, d.id) AS pos FROM ini n JOIN j d ON d.tile_id = n.tile_id AND d.m >= n.m AND d.c > n.c
-  WHERE d.output_status = 'generated' AND NOT d.rerun AND d.ref AND d.id % 2 = 0),
-al AS (SELECT id AS init_id, id, m, 0 AS pos FROM ini UNION ALL SELECT init_id, id, m, pos FROM fo WHERE pos <= 2),
-ok AS (SELECT init_id FROM al GROUP BY 1 HAVING count(*) = 3)
-SELECT al.init_id, al.id, CAST(pos AS INTEGER) AS position FROM al JOIN ok USING (init_id)""")
+@query("backward_plan_members", "oj", MEMBERS + "SELECT al.init_id, al.id, CAST(pos AS INTEGER) AS position FROM al JOIN ok USING (init_id)")
 def backward_plan_members(t: Tables):
     """W-13: members of each backward list (all gaps are within thirty days here)"""
     i = F.col("id")

@@ -6,6 +6,8 @@ from oracle import compare, connect
 from firnline.registry import load
 
 QUERIES, ORACLE = load()
+# map projections: rows are checked in test_spatial
+NO_SQL = {"target_sources", "season_mosaic", "plan_wet_snow"}
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,7 @@ def con(data):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, data, name):
     state, n, note = compare(spark, con, data, name, QUERIES[name], ORACLE.get(name))
-    assert state in ("ok", "rows-only"), note
+    assert state == ("rows-only" if name in NO_SQL else "ok"), note
 
 
 def test_entry_contract(spark):
