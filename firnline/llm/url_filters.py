@@ -10,8 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Host of a URL; longer names cannot exist in the name system.
-HOST, LONGEST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/?#:@]+)", 253
+#: Schemes whose URLs always have a host and take a backslash for a slash (fixed values).
+SPECIAL = ("http", "https", "ftp", "ws", "wss")
+#: Authority of such a URL, or of one without scheme, and of any other URL.
+WEB = rf"(?i)^(?:(?:{'|'.join(SPECIAL)}):[/\\]*|[/\\]{{2}}[/\\]*)([^/\\?#]*)"
+OTHER = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
+#: What no host may hold, decoded or not; longer names cannot exist in the name system.
+FORBIDDEN, LONGEST = r"[\x00-\x20\x7F#%/:<>?@\[\\\]^|]", 253
+ADDRESS = r"^(\[.*\]|[0-9]+(\.[0-9]+){3})$"
 
 
 def name_of(name: Column) -> Column:
@@ -20,17 +26,32 @@ def name_of(name: Column) -> Column:
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host name; empty if there is none."""
-    host = name_of(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 2))
-    return F.when(F.length(host) <= LONGEST, host).otherwise("")
+    """Lower-case host name as a browser reads it; empty if there is none.
+
+    White space and controls around the URL, and line breaks and tabs in it, do not
+    count.  What stands before the last ``@`` of the authority is no part of the host,
+    a backslash ends the authority of a web URL as a slash does, an address in
+    brackets is a host, ``%xx`` is decoded, and the wide full stops are full stops.  A
+    host that holds a character no host may hold, or of more than 253 characters, is
+    none.  Other writings of one name (``xn--`` beside Unicode, an address as one
+    number) are different names.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.coalesce(url, F.lit("")), r"^[\x00-\x20]+|[\x00-\x20]+$", ""), r"[\t\n\r]", "")
+    authority = F.when(bare.rlike(WEB), F.regexp_extract(bare, WEB, 1)).otherwise(F.regexp_extract(bare, OTHER, 1))
+    raw = F.regexp_extract(F.regexp_replace(authority, "(?s)^.*@", ""), r"^(\[[^\]]*\]|[^:]*)", 1)
+    decoded = F.when(raw.contains("%"), F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))).otherwise(raw)
+    host = name_of(F.translate(decoded, "\u3002\uff0e\uff61", "..."))
+    bracketed = host.rlike(r"^\[[0-9a-f:.]+\]$")
+    return F.when((F.length(host) <= LONGEST) & (bracketed | ~host.rlike(FORBIDDEN)), host).otherwise("")
 
 
 def domains_of(host: Column, least: int = 1) -> Column:
-    """The host and the domains above it, down to ``least`` labels."""
+    """The host and the domains above it, down to ``least`` labels; an address has none."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
     return F.when(
-        n >= least, F.transform(F.sequence(F.lit(1), n - (least - 1)), lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
+        (n >= least) & ~host.rlike(ADDRESS),
+        F.transform(F.sequence(F.lit(1), n - (least - 1)), lambda i: F.array_join(F.slice(labels, i, n - i + 1), ".")),
     ).otherwise(F.array(host))
 
 
