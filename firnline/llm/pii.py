@@ -14,14 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: A number is a whole run of digits, not a piece of one.
+_BEFORE, _AFTER = r"(?<![0-9])", r"(?![0-9])"
 #: Kinds, first match wins.  Runs are bounded or start at a rare character.
 PATTERNS: dict[str, str] = {
     "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(\.[A-Za-z0-9-]{1,63}){1,8}",
-    "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
-    "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    "phone": r"(\+[0-9]{1,3}[\x20.-]?)?(\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[\x20.-][0-9]{4}",
-    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    "card": r"[0-9]{4}([\x20-][0-9]{4}){3}|[0-9]{13,}",
+    "ip": r"(?<![0-9])(?<![0-9]\.)[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9])",
+    "date": _BEFORE + r"[0-9]{4}-[0-9]{2}-[0-9]{2}" + _AFTER,
+    "phone": r"(\+[0-9]{1,3}[\x20.-]?|" + _BEFORE + r")(\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[\x20.-][0-9]{4}" + _AFTER,
+    "ssn": _BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _AFTER,
+    "card": _BEFORE + r"([0-9]{4}([\x20-][0-9]{4}){3}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5}|[0-9]{13,}+)" + _AFTER,
 }
 ANY = "|".join(PATTERNS.values())
 KINDS = tuple(PATTERNS)
@@ -129,8 +131,9 @@ def _date(key: Column, x: Column) -> Column:
 
 
 def _email(key: Column, x: Column) -> Column:
+    # 96 bits, so that two names do not meet
     name = F.sha2(F.concat(key, F.lit("email:"), F.lower(x)), 256)
-    return F.concat(F.lit("u"), F.substring(name, 1, 12), F.lit("@"), F.substring_index(x, "@", -1))
+    return F.concat(F.lit("u"), F.substring(name, 1, 24), F.lit("@"), F.substring_index(x, "@", -1))
 
 
 def kind_of(x: Column) -> Column:

@@ -111,3 +111,67 @@ def test_permutation_has_no_collisions(spark):
     frame = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     out = [r.p for r in frame.select(pii.permuted_digits(F.lit("k"), F.col("d")).alias("p")).collect()]
     assert len(set(out)) == 1000 and all(len(p) == 3 for p in out)
+
+
+def test_numbers_are_whole_runs_of_digits(spark):
+    """Pieces of longer runs are no values, wherever they are cut; whole ones beside letters and signs are."""
+    pieces = [
+        "1234.1.2.3", "1.2.3.4.5", "10.20.30.400", "20240115-2024-01-155", "12024-01-15", "99999212.555.12345", "1123-45-6789", "123-45-67890",
+        "4918 1871 2863 52711", "14918 1871 2863 5271", "0" * 12,
+    ]
+    whole = {
+        "10.20.30.40.": "ip", "v:10.20.30.40": "ip", "2024-01-15T10": "date", "2024-01-15-2024-01-16": "date", "1-386-555-1832": "phone", "x123-45-6789y": "ssn",
+        "3782 822463 10005": "card", "378282246310005": "card",
+    }
+    rows = [(i, f"a {t} b") for i, t in enumerate([*pieces, *whole])]
+    got = {r.doc_id: r for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    for i, text in rows[:len(pieces)]:
+        assert (got[i].text, got[i].found) == (text, ""), text
+    for (i, text), kind in zip(rows[len(pieces):], whole.values()):
+        r = got[i]
+        assert r[f"n_{kind}"] >= 1 and sum(r[f"n_{k}"] for k in pii.KINDS) == r[f"n_{kind}"], text
+        assert r.text != text and re.sub("[0-9]", "0", r.text).count("0") >= 4, text
+    amex = got[len(rows) - 2].found
+    assert re.fullmatch(r"\d{4} \d{6} \d{5}", amex) and luhn(amex.replace(" ", "")) and amex.replace(" ", "") == got[len(rows) - 1].found
+
+
+def test_hosts_as_browsers_read_them(spark):
+    want = {
+        "http://a@b@bad.com/": "bad.com", "http://bad.com\\@good.org/": "bad.com", "http://[2001:DB8::1]:80/x": "[2001:db8::1]",
+        "http://ex%61mple.com": "example.com", "//bad.com/x": "bad.com", "https:bad.com": "bad.com", "HTTP:\\\\bad.com\\x": "bad.com", "http:///bad.com": "bad.com",
+        " \x01http://bad.com ": "bad.com", "ht\ntp://b\tad.com": "bad.com", "http://u:p@bad.com:8080?q@x": "bad.com", "http://bad.com#@good.org": "bad.com",
+        "http://bad\u3002com/": "bad.com", "http://bad%2Ecom.": "bad.com", "http://bad%2Fgood.com": "", "http://b%zzad.com": "", "http://a b.com/": "",
+        "http://[bad.com]/": "", "http://[bad.com": "", "mailto:a@bad.com": "", "foo://Bad.com\\x": "", "foo://bad.com/x": "bad.com", "bad.com/x": "", "/bad.com": "", "": "",
+        "http://": "", "http://@": "", "http://a+b.com": "a+b.com", "http://1.2.3.4/": "1.2.3.4", "http://" + "a" * 254: "",
+    }
+    rows = spark.createDataFrame([(u,) for u in want], "u string").select("u", url_filters.host_of(F.col("u")).alias("h")).collect()
+    assert {r.u: r.h for r in rows} == want
+
+
+def test_verdicts_against_all_entries_by_hand(spark):
+    """Random entries and captures against a loop over all entries."""
+    import random
+
+    rng = random.Random(3)
+    names = ["com", "bad.com", "x.bad.com", "y.x.bad.com", "ok.org", "1.2.3.4", "3.4", "[::1]", "zip"]
+    day = lambda: f"2024-01-{rng.randint(1, 9):02}"
+    entries = [(rng.choice("ab"), rng.choice(names), day(), rng.choice(["add", "remove"])) for _ in range(60)]
+    captures = [(i, f"http://{rng.choice(names)}/p", day()) for i in range(200)]
+
+    def active(entry_list, pattern, on):
+        seen = {d: [a for l, p, d2, a in entries if (l, p, d2) == (entry_list, pattern, d)] for _, _, d, _ in entries if d <= on}
+        last = max((d for d, acts in seen.items() if acts), default=None)
+        return last is not None and "add" in seen[last]
+
+    def covers(pattern, host):
+        return pattern == host or (host[0] not in "[1" and host.endswith("." + pattern))
+
+    want = {}
+    for i, url, on in captures:
+        host = url[7:-2]
+        hits = {(l, p) for l, p, _, _ in entries if covers(p, host) and active(l, p, on)}
+        want[i] = (len(hits), ",".join(sorted({l for l, _ in hits})))
+    got = url_filters.url_verdicts(
+        spark.createDataFrame(captures, "page_id long, url string, fetched string"), spark.createDataFrame(entries, "list string, pattern string, day string, action string")
+    ).collect()
+    assert {r.page_id: (r.n_active, r.lists) for r in got} == want
