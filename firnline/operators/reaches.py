@@ -18,13 +18,34 @@ class TooManyReaches(ValueError):
     """The query covers more reaches than one answer may hold."""
 
 
+def over_size(ids: DataFrame, limit: int = codes.REACH_LIMIT) -> bool:
+    """Whether ``ids`` has more than ``limit`` rows; counts ``limit + 1`` at most."""
+    return ids.limit(limit + 1).count() > limit
+
+
 def guard_size(ids: DataFrame, limit: int = codes.REACH_LIMIT) -> DataFrame:
-    """Fail when ``ids`` has more than ``limit`` rows; counts ``limit + 1`` at most."""
-    if ids.limit(limit + 1).count() > limit:
+    """Fail when ``ids`` has more than ``limit`` rows."""
+    if over_size(ids, limit):
         raise TooManyReaches(f"more than {limit} reaches requested, ask for a smaller area")
     return ids
 
 
+def in_answers(reaches: DataFrame, limit: int = codes.REACH_LIMIT) -> DataFrame:
+    """``reaches`` with ``answer``, the number of the answer each comes with: one
+    answer (0) within the limit, else as many as hold all reaches, none of them with
+    more than ``limit`` rows.
+
+    Rows are numbered inside their partition, so nothing is sorted or gathered.
+    """
+    if not over_size(reaches.select("id"), limit):
+        return reaches.withColumn("answer", F.lit(0).cast("long"))
+    at = F.monotonically_increasing_id()
+    row = at.bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
+    first = at - row  # of the partition
+    spread = reaches.repartition("id")
+    return spread.withColumn("answer", first + F.floor(row / F.lit(limit)))
+
+
 def reaches_by_id(reaches: DataFrame, ids: Sequence[int] | str) -> DataFrame:
     """Reaches by explicit ids (list, or comma-separated text)."""
     wanted = [int(i) for i in ids.split(",")] if isinstance(ids, str) else list(ids)
@@ -38,12 +59,15 @@ def reaches_by_hydro_id(reaches: DataFrame, hydro_id: str) -> DataFrame:
 def measurements(
     values: DataFrame, reaches: DataFrame, start: Any, end: Any, cloud_max: int = 100
 ) -> DataFrame:
-    """Ice measurements of the selected reaches with packed date and time."""
-    wanted = reaches.select(F.col("id").alias("river_km_id"))
+    """Ice measurements of the selected reaches with packed date and time; ids with
+    ``answer`` (:func:`in_answers`, each id once) pass it on."""
+    found = reach_filter(values, start, end, cloud_max)
+    numbered = ["answer"] if "answer" in reaches.columns else []
+    wanted = reaches.select(F.col("id").alias("river_km_id"), *numbered)
     return (
-        reach_filter(values, start, end, cloud_max)
-        .join(wanted, "river_km_id", "left_semi")
+        found.join(wanted, "river_km_id", "inner" if numbered else "left_semi")
         .select(
+            *numbered,
             "river_km_id",
             packed_day(F.col("datetime")).alias("day"),
             packed_time(F.col("datetime")).alias("time"),

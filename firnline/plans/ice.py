@@ -120,11 +120,13 @@ def river_ice(
     cloud_max: int = 100,
     only_size: bool = False,
     limit: int = codes.REACH_LIMIT,
+    split: bool = False,
 ) -> DataFrame:
     """Ice measurements of the reaches meeting a polygon or of one river.
 
-    Exactly one of ``polygon`` and ``hydro_id`` must be given.  A polygon over
-    ``limit`` reaches is refused unless only the size is asked.
+    Exactly one of ``polygon`` and ``hydro_id`` must be given.  A request over
+    ``limit`` reaches is refused unless only the size is asked; with ``split`` it is
+    given whole in several answers (column ``answer``) of at most ``limit`` reaches.
     """
     if (polygon is None) == (hydro_id is None):
         raise ValueError("give either a polygon or a hydrological id")
@@ -135,18 +137,25 @@ def river_ice(
     )
     if only_size:
         return rc.measurement_count(values, wanted, start, end, cloud_max)
+    if split:
+        return rc.measurements(values, rc.in_answers(wanted.select("id").distinct(), limit), start, end, cloud_max)
     rc.guard_size(wanted.select("id"), limit)
     return rc.measurements(values, wanted, start, end, cloud_max)
 
 
 def river_geometries(
-    reaches: DataFrame, polygon: Sequence[tuple[float, float]], ids_only: bool = False, limit: int = codes.REACH_LIMIT
+    reaches: DataFrame, polygon: Sequence[tuple[float, float]], ids_only: bool = False, limit: int = codes.REACH_LIMIT,
+    split: bool = False,
 ) -> DataFrame:
-    """Reaches meeting a polygon: ids only, or all attributes (size-checked)."""
+    """Reaches meeting a polygon: ids only, or all attributes (size-checked; with
+    ``split`` as in :func:`river_ice`)."""
     wanted = spatial.intersecting_query(reaches, polygon, "geometry")
     if ids_only:
         return wanted.select("id")
-    rc.guard_size(wanted.select("id"), limit)
+    if split:
+        wanted = rc.in_answers(wanted, limit)
+    else:
+        rc.guard_size(wanted.select("id"), limit)
     return wanted.withColumn("area", F.expr("floor(area * 100) / 100"))
 
 

@@ -225,3 +225,23 @@ def test_hole_runs_with_the_clock():
     assert got == {(6400, 4), (-3600, 4)}
     assert {round(g.signed_area(r)) for r in g.Sweep(frame, window).rings(True)} == {10000, -6400, 3600}
     assert [round(g.signed_area(r)) for r in g.Sweep([], window).rings(True)] == [10000] and g.Sweep([], window).rings() == []
+
+
+def test_answers_over_the_limit_hold_every_reach(spark):
+    """A request over the limit is split: all rows, no answer over the limit."""
+    reaches = rings(spark, [(str(i % 9), SQ + i) for i in range(10)]).select(F.col("id"), F.col("ring").alias("geometry"), F.lit(1.239).alias("area"), F.lit("r").alias("eu_hydro_id"))
+    box = [(0, 0), (19, 0), (19, 19), (0, 19)]
+    for limit, answers in ((10, 1), (4, 3)):
+        got = ice.river_geometries(reaches, box, limit=limit, split=True).collect()
+        sizes = [sum(r.answer == a for r in got) for a in {r.answer for r in got}]
+        assert sorted(r.id for r in got) == sorted(str(i % 9) for i in range(10))
+        assert max(sizes) <= limit and len(sizes) >= answers and all(r.area == pytest.approx(1.23) for r in got)
+    values = spark.range(30).selectExpr(
+        "string(id % 10) river_km_id", "timestamp'2024-01-02' datetime", "1 water_perc", "2 ice_perc", "0 other_perc", "0 cloud_perc", "0 nd_perc", "0 qc", "'Sentinel-1' type"
+    )
+    asked = dict(hydro_id="r", limit=4)
+    with pytest.raises(TooManyReaches):
+        ice.river_ice(reaches, values, "2024-01-01", "2024-01-03", **asked)
+    got = ice.river_ice(reaches, values, "2024-01-01", "2024-01-03", split=True, **asked).collect()
+    assert sorted(r.river_km_id for r in got) == sorted(str(i % 10) for i in range(30) if i % 10 < 9)
+    assert all(len({r.river_km_id for r in got if r.answer == a}) <= 4 for a in {r.answer for r in got})
