@@ -414,9 +414,9 @@ SELECT user_id AS river_km_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS day, C
   CAST(event_id % 7 AS INTEGER) AS ice_perc, 0 AS other_perc, CAST(event_id % 97 AS INTEGER) AS cloud_perc, 0 AS nd_perc, CAST(event_id % 4 AS INTEGER) AS qc, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END AS sensor
 FROM {RIVER}""")
 def river_ice(t: Tables):
-    """JOB-6, J-15, PF-14"""
+    """JOB-6, J-15, PF-14: the whole river, in answers within the size limit"""
     start, end = (F.lit(d).cast("timestamp") for d in ("2024-01-05", "2024-01-20"))
-    return ice.river_ice(*_river(t), start, end, hydro_id="BUILDING", cloud_max=40)
+    return ice.river_ice(*_river(t), start, end, hydro_id="BUILDING", cloud_max=40, split=True).drop("answer")
 
 
 @query("river_ice_size", "", f"SELECT count(*) AS n_rows FROM {RIVER}")
