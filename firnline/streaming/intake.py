@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -145,40 +145,106 @@ def _ms(ts: pd.Timestamp) -> int:
     return pd.Timestamp(ts).value // 1_000_000
 
 
-class _Replace(StatefulProcessor):
+#: Groups that the tiles of a day are dealt into.  A call of a stateful processor
+#: costs as much as thousands of rows, so one call takes all tiles of a group.
+TILE_GROUPS = 64
+
+
+def _grouped(stream: DataFrame, day: Column, processor: StatefulProcessor, schema: str) -> DataFrame:
+    group = F.pmod(F.xxhash64("tile_id"), F.lit(TILE_GROUPS)).cast("int")
+    return (
+        stream.withColumns({"_group": group, "_day": day}).groupBy("_group", "_day")
+        .transformWithStateInPandas(processor, schema, "Append", "EventTime")
+    )
+
+
+def _all_ms(times: pd.Series) -> list[int]:
+    """:func:`_ms` of a whole column."""
+    return (times.to_numpy("datetime64[ns]").astype("int64") // 1_000_000).tolist()
+
+
+def _text(values: pd.Series) -> list[str | None]:
+    return [None if v is None or v != v else v for v in values]
+
+
+class _Grouped(StatefulProcessor):
+    """Entries of all tiles of a group and day as columns of one value, read and
+    written once a batch, with one timer: that of the entry that ends first.
+
+    ``entries`` names and types the columns; the last one is the time of the end.
+    """
+
+    entries: dict[str, str] = {}
+    columns: list[str] = []
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        held = ", ".join(f"{name} array<{kind}>" for name, kind in self.entries.items())
+        self.held = handle.getValueState("entries", f"{held}, timer long")
+
+    def _get(self) -> tuple[list[tuple], int | None]:
+        state = self.held.get() if self.held.exists() else None
+        return (list(zip(*state[:-1])), state[-1]) if state else ([], None)
+
+    def _put(self, entries: list[tuple], timer: int | None, timerValues) -> None:
+        """Keeps the entries; ``timer`` is the one registered before."""
+        if not entries:
+            self.held.clear()
+            return
+        # a timer at the watermark itself may never be seen
+        now = timerValues.getCurrentWatermarkInMs()
+        first = max(min(e[-1] for e in entries), now + 1)
+        if timer is None or timer <= now or first < timer:
+            self.handle.registerTimer(first)
+            timer = first
+        self.held.update((*map(list, zip(*entries)), timer))
+
+    def _due(self, timerValues) -> list[tuple]:
+        """Takes out the entries that ended before the watermark."""
+        entries, _ = self._get()
+        now = timerValues.getCurrentWatermarkInMs()
+        self._put([e for e in entries if e[-1] >= now], None, timerValues)
+        return [e for e in entries if e[-1] < now]
+
+    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+class _Replace(_Grouped):
     """Keeps the reference product of a (tile, measurement), also after the valid
     time, so that a version published too late does not become a second one."""
 
+    entries = {"tiles": "string", "measured": "long", "products": "string", "created": "long", "ends": "long"}
+    columns = ["tile_id", "measured_ms", "product_id", "replaces"]
+
     def __init__(self, valid_hours: float, remember_hours: float):
         self.valid_ms = int(valid_hours * HOUR_MS)
         self.forget_ms = self.valid_ms + int(remember_hours * HOUR_MS)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.ref = handle.getValueState("reference", "product_id string, creation long")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         out = []
-        for r in _sorted(rows, ["publication_date", "product_id"]).itertuples(index=False):
-            created = _ms(r.creation_date)
-            if not self.ref.exists():
-                self.ref.update((r.product_id, created))
-                self.handle.registerTimer(max(_ms(r.measurement_date), _ms(r.publication_date)) + self.forget_ms)
-                out.append((key[0], _ms(r.measurement_date), r.product_id, None))
+        entries, timer = self._get()
+        refs = {(tile, measured): (product, created, end) for tile, measured, product, created, end in entries}
+        r = _sorted(rows, ["publication_date", "product_id"])
+        columns = _text(r.tile_id), _all_ms(r.measurement_date), _text(r.product_id), _all_ms(r.creation_date), _all_ms(r.publication_date)
+        for tile, measured, product, created, published in zip(*columns):
+            if (tile, measured) not in refs:
+                refs[tile, measured] = (product, created, max(measured, published) + self.forget_ms)
+                out.append((tile, measured, product, None))
                 continue
-            known, known_created = self.ref.get()
-            late = _ms(r.publication_date) - _ms(r.measurement_date) <= self.valid_ms
-            if known != r.product_id and created != known_created and late:
-                self.ref.update((r.product_id, created))
-                out.append((key[0], _ms(r.measurement_date), r.product_id, known))
-        yield pd.DataFrame(out, columns=["tile_id", "measured_ms", "product_id", "replaces"])
+            known, known_created, end = refs[tile, measured]
+            if known != product and created != known_created and published - measured <= self.valid_ms:
+                refs[tile, measured] = (product, created, end)
+                out.append((tile, measured, product, known))
+        self._put([(*k, *v) for k, v in refs.items()], timer, timerValues)
+        yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.ref.clear()
-        yield pd.DataFrame([], columns=["tile_id", "measured_ms", "product_id", "replaces"])
-
-    def close(self) -> None:
-        pass
+        self._due(timerValues)
+        yield self._frame([])
 
 
 def replace_codated(
@@ -192,69 +258,53 @@ def replace_codated(
     ``stream``: ``product_id, tile_id string, measurement_date, creation_date,
     publication_date``.
     """
-    return (
-        stream.withWatermark("publication_date", watermark)
-        .groupBy("tile_id", "measurement_date")
-        .transformWithStateInPandas(
-            _Replace(valid_hours, remember_hours),
-            "tile_id string, measured_ms long, product_id string, replaces string",
-            "Append",
-            "EventTime",
-        )
-        .select("tile_id", F.timestamp_millis("measured_ms").alias("measurement_date"), "product_id", "replaces")
-    )
+    return _grouped(
+        stream.withWatermark("publication_date", watermark), F.to_date("measurement_date"), _Replace(valid_hours, remember_hours),
+        "tile_id string, measured_ms long, product_id string, replaces string",
+    ).select("tile_id", F.timestamp_millis("measured_ms").alias("measurement_date"), "product_id", "replaces")
 
 
-class _Hold(StatefulProcessor):
+class _Hold(_Grouped):
     """Optical triggers wait; others pass at once."""
 
+    entries = {"tiles": "string", "products": "string", "ends": "long"}
+    columns = ["tile_id", "product_date", "product_id", "fired_at_ms", "reason"]
+
     def __init__(self, hold_ms: int, early_release: bool):
         self.hold_ms = hold_ms
         self.early = early_release
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getMapState("waiting", "product_id string", "published long")
-        self.partner = handle.getValueState("partner", "seen boolean")
-
-    @staticmethod
-    def _frame(key, rows) -> pd.DataFrame:
-        return pd.DataFrame(
-            [(str(key[0]), key[1], *r) for r in rows],
-            columns=["tile_id", "product_date", "product_id", "fired_at_ms", "reason"],
-        )
-
-    def _release(self, key, now: int, reason: str):
-        ready = [(k[0], v[0]) for k, v in self.waiting.iterator()]
-        for product, _ in ready:
-            self.waiting.removeKey((product,))
-        return [(p, now, reason) for p, _ in sorted(ready)]
+        super().init(handle)
+        self.partners = handle.getValueState("partners", "tiles array<string>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         out = []
-        for r in _sorted(rows, ["publication_date", "product_id"]).itertuples(index=False):
-            published = _ms(r.publication_date)
-            if not r.optical:
-                out.append((r.product_id, published, "immediate"))
+        entries, timer = self._get()
+        waiting: dict[str | None, dict] = {}
+        for tile, product, end in entries:
+            waiting.setdefault(tile, {})[product] = end
+        seen = set(self.partners.get()[0]) if self.early and self.partners.exists() else set()
+        known = len(seen)
+        r = _sorted(rows, ["publication_date", "product_id"])
+        for tile, product, published, optical in zip(_text(r.tile_id), _text(r.product_id), _all_ms(r.publication_date), r.optical):
+            if not optical:
+                out.append((str(tile), key[1], product, published, "immediate"))
                 if self.early:
-                    self.partner.update((True,))
-                    out += self._release(key, published, "partner")
-            elif self.early and self.partner.exists():
-                out.append((r.product_id, published, "partner"))
+                    seen.add(tile)
+                    out += [(str(tile), key[1], p, published, "partner") for p in sorted(waiting.pop(tile, {}))]
+            elif tile in seen:
+                out.append((str(tile), key[1], product, published, "partner"))
             else:
-                self.waiting.updateValue((r.product_id,), (published,))
-                self.handle.registerTimer(published + self.hold_ms)
-        yield self._frame(key, out)
+                waiting.setdefault(tile, {})[product] = published + self.hold_ms
+        if len(seen) > known:
+            self.partners.update((list(seen),))
+        self._put([(tile, p, end) for tile, some in waiting.items() for p, end in some.items()], timer, timerValues)
+        yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        due = sorted(k[0] for k, v in self.waiting.iterator() if v[0] + self.hold_ms <= now)
-        for product in due:
-            self.waiting.removeKey((product,))
-        yield self._frame(key, [(p, now, "held") for p in due])
-
-    def close(self) -> None:
-        pass
+        due = sorted(self._due(timerValues), key=lambda e: (e[2], str(e[0]), str(e[1])))
+        yield self._frame([(str(tile), key[1], product, end, "held") for tile, product, end in due])
 
 
 def hold_trigger(
@@ -266,15 +316,9 @@ def hold_trigger(
     ``early_release`` makes it do so.  ``stream``: ``product_id, tile_id,
     product_date date, publication_date, optical boolean``.
     """
-    return (
-        stream.withWatermark("publication_date", watermark)
-        .groupBy("tile_id", "product_date")
-        .transformWithStateInPandas(
-            _Hold(int(hours * HOUR_MS), early_release),
-            "tile_id string, product_date date, product_id string, fired_at_ms long, reason string",
-            "Append",
-            "EventTime",
-        )
+    return _grouped(
+        stream.withWatermark("publication_date", watermark), F.col("product_date"), _Hold(int(hours * HOUR_MS), early_release),
+        "tile_id string, product_date date, product_id string, fired_at_ms long, reason string",
     )
 
 
