@@ -178,3 +178,33 @@ def test_production_days_with_silence(spark, tmp_path):
     want = {(f, k): (0, "below") for f in "ab" for k in range(10)}
     want |= {("a", 0): (3, "above"), ("b", 5): (1, "nominal"), ("a", 9): (1, "nominal"), ("c", 1): (1, "nominal")}
     assert got == want
+
+
+def test_tiles_of_a_day_share_a_call(spark, tmp_path, monkeypatch):
+    """Many tile-days: as few processor calls as groups, every tile-day on its own,
+    over a restart and through the end of the wait."""
+    monkeypatch.setattr(si, "TILE_GROUPS", 2)
+    calls = spark.sparkContext.accumulator(0)
+    for processor in (si._Replace, si._Hold):
+        def counted(self, key, rows, timerValues, inner=processor.handleInputRows):
+            calls.add(1)
+            return inner(self, key, rows, timerValues)
+
+        monkeypatch.setattr(processor, "handleInputRows", counted)
+    schema = "product_id string, tile_id string, measurement_date timestamp, creation_date timestamp, publication_date timestamp"
+    m = lambda x: T0 + dt.timedelta(minutes=x)
+    for k in range(2):
+        write(spark, tmp_path / "r", str(k), [(f"{i}.{k}", f"t{i}", m(i % 3), m(5 + k), m(10 + k)) for i in range(60)], schema)
+        out = run(spark, si.replace_codated(stream(spark, tmp_path / "r", schema)), tmp_path / "a")
+    assert sorted((r.tile_id, r.product_id, r.replaces) for r in out.collect()) == sorted(
+        (f"t{i}", f"{i}.{k}", f"{i}.0" if k else None) for i in range(60) for k in range(2))
+    schema = "product_id string, tile_id string, product_date date, publication_date timestamp, optical boolean"
+    files = [[(f"o{i}", f"t{i}", T0.date(), m(i), True) for i in range(60)], [("x", "far", T0.date(), m(209), False)], [("y", "far", T0.date(), m(400), False)]]
+    held = []
+    for k, rows in enumerate(files):
+        write(spark, tmp_path / "h", str(k), rows, schema)
+        out = run(spark, si.hold_trigger(stream(spark, tmp_path / "h", schema)), tmp_path / "b").where("reason = 'held'").collect()
+        held.append(sorted(int(r.product_id[1:]) for r in out))
+        assert all(r.tile_id == "t" + r.product_id[1:] and r.fired_at_ms == int((m(180 + int(r.product_id[1:])) - dt.datetime(1970, 1, 1)).total_seconds()) * 1000 for r in out)
+    assert held == [[], list(range(29)), list(range(60))]
+    assert calls.value <= 12
