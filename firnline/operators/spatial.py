@@ -282,38 +282,142 @@ def _covered_blocks(polys: DataFrame, tiles: DataFrame, cell: float) -> DataFram
     return stream_groups(rows, ["tile_id", "_cx", "_cy"], ["minx"], f"tile_id {kind}, area double", area)
 
 
+#: Rows of a cell that may meet in pairs; a cell with more on both sides is halved.
+CELL_ROWS = 32
+#: Times a cell is halved at most (what is still crowded then is met whole).
+HALVINGS = 16
+
+
+def _edges(ring: Column) -> Column:
+    return F.arrays_zip(ring.alias("a"), F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)).alias("b"))
+
+
+def _cross(e: Column, x: Column, y: Column) -> Column:
+    a, b = e["a"], e["b"]
+    return (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"])
+
+
+def _odd(ring: Column, x: Column, y: Column) -> Column:
+    """Even-odd rule, borders aside."""
+    def crosses(e: Column) -> Column:
+        up = e["b"]["y"] > e["a"]["y"]
+        return ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & F.when(up, _cross(e, x, y) > 0).otherwise(_cross(e, x, y) < 0)
+
+    return F.size(F.filter(_edges(ring), crosses)) % 2 == 1
+
+
+def _holds(ring: Column, x: Column, y: Column) -> Column:
+    """:func:`firnline.functions.geometry.inside` of one point, border included."""
+    def on(e: Column) -> Column:
+        (ax, bx), (ay, by) = ((e["a"][c], e["b"][c]) for c in "xy")
+        return (x >= F.least(ax, bx)) & (x <= F.greatest(ax, bx)) & (y >= F.least(ay, by)) & (y <= F.greatest(ay, by)) & (_cross(e, x, y) == 0)
+
+    return (F.size(ring) >= 3) & (F.exists(_edges(ring), on) | _odd(ring, x, y))
+
+
+def _covers(ring: Column, bounds: str, cx: str, cy: str, size: float) -> Column:
+    """Whether the ring covers a whole cell: no edge passes its inside, and its centre
+    is in the ring."""
+    x0, y0, x1, y1 = (((F.col(c) + d) * F.lit(size)) for c, d in ((cx, 0), (cy, 0), (cx, 1), (cy, 1)))
+    spans = (F.col(f"{bounds}minx") <= x0) & (F.col(f"{bounds}maxx") >= x1) & (F.col(f"{bounds}miny") <= y0) & (F.col(f"{bounds}maxy") >= y1)
+
+    def clear(e: Column) -> Column:
+        (ax, bx), (ay, by) = ((e["a"][c], e["b"][c]) for c in "xy")
+        away = (F.greatest(ax, bx) <= x0) | (F.least(ax, bx) >= x1) | (F.greatest(ay, by) <= y0) | (F.least(ay, by) >= y1)
+        corners = [_cross(e, x, y) for x in (x0, x1) for y in (y0, y1)]
+        return away | (F.least(*corners) >= 0) | (F.greatest(*corners) <= 0)
+
+    return F.coalesce(
+        spans & (F.size(ring) >= 3) & F.forall(_edges(ring), clear) & _odd(ring, (x0 + x1) / 2, (y0 + y1) / 2), F.lit(False)
+    )
+
+
+def _halved(near: DataFrame, bounds: str, cx: str, cy: str, size: float) -> DataFrame:
+    """Rows of cells dealt to the cells of half the size, ``size``, that they meet."""
+    for c, axis in ((cx, "x"), (cy, "y")):
+        low = F.greatest(F.col(c) * 2, F.floor(F.col(f"{bounds}min{axis}") / F.lit(size)))
+        high = F.least(F.col(c) * 2 + 1, F.floor(F.col(f"{bounds}max{axis}") / F.lit(size)))
+        near = near.withColumns({"_low": low, "_high": high}).where("_low <= _high").withColumn(c, F.explode(F.sequence("_low", "_high")))
+    return near.drop("_low", "_high")
+
+
+def _leaves(near: DataFrame, cell: float) -> tuple[DataFrame | None, DataFrame]:
+    """Cells halved until each has ``STRIP_RINGS`` rings or is covered by one.
+
+    ``near``: ``_cx, _cy``, ring ``a`` and its bounds.  Gives the small cells of those
+    that were halved (``_cx, _cy, lx, ly, size``, with or without rings) and the rings
+    of all cells (``lx, ly, size``, ring and bounds); a covered cell has its own border
+    as only ring.
+    """
+    key = ["_cx", "_cy", "lx", "ly"]
+    at = cut_lineage(near.withColumns({"lx": F.col("_cx"), "ly": F.col("_cy")}))
+    size, kids, leaves, rings = float(cell), None, [], []
+    for depth in range(HALVINGS + 1):
+        load = cut_lineage(at.groupBy(*key).agg(F.count("*").alias("n"), F.bool_or(_covers(F.col("a"), "_a_", "lx", "ly", size)).alias("full")))
+        crowded = load.where((F.col("n") > STRIP_RINGS) & ~F.col("full") if depth < HALVINGS else F.lit(False)).select(*key)
+        x, y = F.col("lx") * F.lit(size), F.col("ly") * F.lit(size)
+        x1, y1 = (F.col("lx") + 1) * F.lit(size), (F.col("ly") + 1) * F.lit(size)
+        border = with_bounds(load.where("full").select(*key, box_ring(x, y, x1, y1).alias("a")), "a", "_a_").select(*at.columns)
+        some = at.join(load.where("not full").select(*key), key, "left_semi").join(crowded, key, "left_anti").select(*at.columns)
+        rings.append(border.unionByName(some).withColumn("size", F.lit(size)))
+        if kids is not None:
+            leaves.append(kids.join(crowded, key, "left_anti").select(*key, F.lit(size).alias("size")))
+        if crowded.isEmpty():
+            break
+        size /= 2
+        two = lambda c: F.explode(F.array(F.col(c) * 2, F.col(c) * 2 + 1))
+        kids = crowded.withColumn("lx", two("lx")).withColumn("ly", two("ly")).select(*key)
+        at = cut_lineage(_halved(at.join(crowded, key, "left_semi").select(*at.columns), "_a_", "lx", "ly", size))
+    every = rings[0]
+    for r in rings[1:]:
+        every = every.unionByName(r)
+    halved = None
+    for r in leaves:
+        halved = r if halved is None else halved.unionByName(r)
+    return halved, every.drop("_cx", "_cy")
+
+
 def shapes_of(
     polys: DataFrame, tiles: DataFrame, cell: float, outside: bool = False
 ) -> DataFrame:
     """What all polygons together cover of each convex tile, or leave uncovered, as
     rings: ``tile_id, cx, cy, hole, ring``.
 
-    Shapes are cut at the cells, so a task takes in the polygons of one cell and
-    tile; equal rings are merged first.  Outer rings run against the clock, holes
-    with it, and a point is inside a shape if it is inside an odd number of its
-    block's rings.  A cell larger than a tile keeps the tile in one piece.
+    Shapes are cut at the cells, and at smaller ones where a cell is crowded, so a
+    task takes in ``STRIP_RINGS`` polygons at once; equal rings are merged first.
+    Outer rings run against the clock, holes with it, and a point is inside a shape
+    if it is inside an odd number of its block's rings.  A cell larger than a tile
+    keeps the tile in one piece unless it is crowded.
     """
-    left = _cells(with_bounds(polys.select(F.col("ring").alias("a")), "a", "_a_"), "_a_", cell)
-    blocks = _cells(with_bounds(tiles.select("tile_id", F.col("ring").alias("b")), "b", "_b_"), "_b_", cell)
+    near = _cells(with_bounds(polys.select(F.col("ring").alias("a")).distinct(), "a", "_a_"), "_a_", cell)
+    blocks = _cells(with_bounds(tiles.select("tile_id", F.col("ring").alias("b")).distinct(), "b", "_b_"), "_b_", cell)
     kind = tiles.schema["tile_id"].dataType.simpleString()
-    key = ["tile_id", "_cx", "_cy"]
-    near = left.select("_cx", "_cy", F.col("a.x").alias("x"), F.col("a.y").alias("y"), "_a_minx", "_a_maxx", "_a_miny", "_a_maxy")
+    # polygons away from all tiles are not looked at
+    halved, rings = _leaves(near.join(blocks.select("_cx", "_cy").distinct(), ["_cx", "_cy"], "left_semi").select(*near.columns), cell)
+    if halved is None:
+        own = blocks.withColumns({"lx": F.col("_cx"), "ly": F.col("_cy"), "size": F.lit(float(cell))})
+    else:
+        own = blocks.join(halved, ["_cx", "_cy"], "left").withColumns(
+            {"lx": F.coalesce("lx", "_cx"), "ly": F.coalesce("ly", "_cy"), "size": F.coalesce("size", F.lit(float(cell)))}
+        )
+    found = rings.select(
+        F.col("lx").alias("_lx"), F.col("ly").alias("_ly"), F.col("size").alias("_size"),
+        F.col("a.x").alias("x"), F.col("a.y").alias("y"), "_a_minx", "_a_maxx", "_a_miny", "_a_maxy",
+    )
     meet = (
-        (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy"))
+        (F.col("_lx") == F.col("lx")) & (F.col("_ly") == F.col("ly")) & (F.col("_size") == F.col("size"))
         & (F.col("_a_minx") < F.col("_b_maxx")) & (F.col("_b_minx") < F.col("_a_maxx"))
         & (F.col("_a_miny") < F.col("_b_maxy")) & (F.col("_b_miny") < F.col("_a_maxy"))
     )
-    pairs = (
-        blocks.withColumnRenamed("_cx", "cx").withColumnRenamed("_cy", "cy").join(near, meet, "left")
-        .select("tile_id", F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "x", "y", F.col("b.x").alias("bx"), F.col("b.y").alias("by")).distinct()
-    )
+    key = ["tile_id", "_cx", "_cy", "lx", "ly", "size"]
+    pairs = own.join(found, meet, "left").select(*key, "x", "y", F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
 
-    def rings(group, found):
-        tile, cx, cy = group
+    def rings_of(group, found):
+        tile, cx, cy, lx, ly, size = group
         window, held = None, []
-        for _, _, _, x, y, bx, by in found:
+        for *_, x, y, bx, by in found:
             if window is None:
-                box = np.array([[cx, cy], [cx + 1, cy], [cx + 1, cy + 1], [cx, cy + 1]], float) * cell
+                box = np.array([[lx, ly], [lx + 1, ly], [lx + 1, ly + 1], [lx, ly + 1]], float) * size
                 window = clip_convex(np.column_stack([bx, by]), box)
                 if len(window) < 3 or abs(signed_area(window)) == 0:
                     return
@@ -322,7 +426,7 @@ def shapes_of(
         for r in Sweep(held, window).rings(outside):
             yield tile, cx, cy, signed_area(r) < 0, [{"x": float(u), "y": float(v)} for u, v in r]
 
-    return stream_groups(pairs, key, ["x"], f"tile_id {kind}, cx long, cy long, hole boolean, ring array<struct<x:double,y:double>>", rings)
+    return stream_groups(pairs, key, ["x"], f"tile_id {kind}, cx long, cy long, hole boolean, ring array<struct<x:double,y:double>>", rings_of)
 
 
 def points_in_shapes(points: DataFrame, shapes: DataFrame, cell: float) -> DataFrame:
@@ -410,10 +514,45 @@ def burn(polys: DataFrame, grid: DataFrame, cell: float) -> DataFrame:
 
 
 def points_in_polygons(points: DataFrame, polys: DataFrame, cell: float) -> DataFrame:
-    """Whether each point lies in any polygon (land test)."""
-    as_ring = points.withColumn("ring", F.array(F.struct(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))))
-    hits = intersecting(as_ring, polys, cell).select(F.col("a_id").alias("id")).distinct()
-    return points.join(hits.withColumn("_hit", F.lit(True)), "id", "left").select(
+    """Whether each point lies in any polygon (land test).
+
+    A cell that some polygon covers decides all its points; one with few points or
+    few polygons tests them in pairs; the others are halved.  So the pairs grow with
+    the rows, not with their product.
+    """
+    spots = points.select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL").distinct()
+    size, found, key = float(cell), [], ["_cx", "_cy"]
+
+    def placed(some: DataFrame) -> DataFrame:
+        return cut_lineage(some.withColumns({"_cx": F.floor(F.col("x") / F.lit(size)), "_cy": F.floor(F.col("y") / F.lit(size))}))
+
+    spots = placed(spots)
+    near = _cells(with_bounds(polys.select(F.col("ring").alias("a")).distinct(), "a", "_a_"), "_a_", cell)
+    near = cut_lineage(near.join(spots.select(*key).distinct(), key, "left_semi").select(*near.columns))
+    for depth in range(HALVINGS + 1):
+        load = cut_lineage(
+            near.groupBy(*key).agg(F.count("*").alias("n"), F.bool_or(_covers(F.col("a"), "_a_", "_cx", "_cy", size)).alias("full"))
+            .join(spots.groupBy(*key).agg(F.count("*").alias("m")), key)
+        )
+        few = F.least("n", "m") <= CELL_ROWS if depth < HALVINGS else F.lit(True)
+        found.append(spots.join(load.where("full").select(*key), key, "left_semi").select("x", "y"))
+        pairs = spots.join(load.where(~F.col("full") & few).select(*key), key, "left_semi").join(near, key)
+        x, y = F.col("x"), F.col("y")
+        boxed = x.between(F.col("_a_minx"), F.col("_a_maxx")) & y.between(F.col("_a_miny"), F.col("_a_maxy"))
+        found.append(pairs.where(boxed & _holds(F.col("a"), x, y)).select("x", "y").distinct())
+        crowded = load.where(~F.col("full") & ~few).select(*key)
+        if crowded.isEmpty():
+            break
+        size /= 2
+        near = cut_lineage(_halved(near.join(crowded, key, "left_semi").select(*near.columns), "_a_", "_cx", "_cy", size))
+        spots = placed(spots.join(crowded, key, "left_semi").select("x", "y"))
+    hits = found[0]
+    for f in found[1:]:
+        hits = hits.unionByName(f)
+    # a repeated id is inside with any of its points
+    at = points.select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    ids = at.join(hits, ["x", "y"], "left_semi").select("id").distinct()
+    return points.join(ids.withColumn("_hit", F.lit(True)), "id", "left").select(
         *points.columns, F.coalesce("_hit", F.lit(False)).alias("inside")
     )
 
