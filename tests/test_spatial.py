@@ -245,3 +245,36 @@ def test_answers_over_the_limit_hold_every_reach(spark):
     got = ice.river_ice(reaches, values, "2024-01-01", "2024-01-03", split=True, **asked).collect()
     assert sorted(r.river_km_id for r in got) == sorted(str(i % 10) for i in range(30) if i % 10 < 9)
     assert all(len({r.river_km_id for r in got if r.answer == a}) <= 4 for a in {r.answer for r in got})
+
+
+def test_crowded_cells_are_halved(spark, monkeypatch):
+    """Many polygons and points in one cell against brute force, with few pairs."""
+    rng = np.random.default_rng(8)
+    polys = [star(int(rng.integers(3, 9)), i, *rng.uniform(0, 100, 2)) * 0.2 + rng.uniform(0, 70, 2) for i in range(150)]
+    polys += [SQ * 10 + 40, polys[0], np.array([[30, 30], [50, 50], [50, 30], [30, 50.0]])]
+    pts = np.concatenate([rng.uniform(0, 100, (700, 2)), [[40, 45], [60, 60], [61, 61], [30, 30]]])
+    hit = np.any([g.inside(pts, p) for p in polys], axis=0)
+    assert 100 < hit.sum() < 650
+    rows = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "id long, x double, y double")
+    held, holds = [], sp._holds
+    monkeypatch.setattr(sp, "_holds", lambda ring, x, y: held.append(1) or holds(ring, x, y))
+    monkeypatch.setattr(sp, "CELL_ROWS", 4)
+    monkeypatch.setattr(sp, "STRIP_RINGS", 12)
+    got = {r.id: r.inside for r in sp.points_in_polygons(rows, spark.createDataFrame(ring_rows(polys), RING), 128.0).collect()}
+    assert [got[i] for i in range(len(pts))] == hit.tolist()
+    assert len(held) > 3  # several sizes of cells
+
+    class Counted(g.Sweep):
+        def __init__(self, rings, window, *a):
+            if len(rings) > 40:
+                raise AssertionError(f"{len(rings)} rings at once")
+            super().__init__(rings, window, *a)
+
+    monkeypatch.setattr(sp, "Sweep", Counted)
+    tiles = rings(spark, [("a", SQ * 25), ("b", SQ * 25 + [50, 0]), ("c", SQ * 50 + [0, 50])], "tile_id")
+    within = np.any([g.inside(pts, t) for t in (SQ * 25, SQ * 25 + [50, 0], SQ * 50 + [0, 50])], axis=0)
+    some = np.arange(700)
+    for outside, want in ((True, within & ~hit), (False, within & hit)):
+        shapes = sp.shapes_of(spark.createDataFrame(ring_rows(polys), RING), tiles, 128.0, outside=outside)
+        got = {r.id: r.inside for r in sp.points_in_shapes(rows, shapes, 128.0).collect()}
+        assert [got[i] for i in some] == want[some].tolist()
