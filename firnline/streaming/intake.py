@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -145,17 +146,17 @@ def _ms(ts: pd.Timestamp) -> int:
     return pd.Timestamp(ts).value // 1_000_000
 
 
-#: Groups that the tiles of a day are dealt into.  A call of a stateful processor
-#: costs as much as thousands of rows, so one call takes all tiles of a group.
-TILE_GROUPS = 64
+#: Groups that the tile-days are dealt into.  A call of a stateful processor costs as
+#: much as thousands of rows, so one call takes all tile-days of a group, and the
+#: number of calls does not grow with tiles or days.
+TILE_GROUPS = 256
+#: Days whose entries are one value of a group's state.
+SPAN_DAYS = 32
 
 
 def _grouped(stream: DataFrame, day: Column, processor: StatefulProcessor, schema: str) -> DataFrame:
-    group = F.pmod(F.xxhash64("tile_id"), F.lit(TILE_GROUPS)).cast("int")
-    return (
-        stream.withColumns({"_group": group, "_day": day}).groupBy("_group", "_day")
-        .transformWithStateInPandas(processor, schema, "Append", "EventTime")
-    )
+    group = F.pmod(F.xxhash64(F.col("tile_id"), day), F.lit(TILE_GROUPS)).cast("int")
+    return stream.withColumn("_group", group).groupBy("_group").transformWithStateInPandas(processor, schema, "Append", "EventTime")
 
 
 def _all_ms(times: pd.Series) -> list[int]:
@@ -167,9 +168,15 @@ def _text(values: pd.Series) -> list[str | None]:
     return [None if v is None or v != v else v for v in values]
 
 
+def _days(values: pd.Series) -> list[int | None]:
+    """Dates as ordinals."""
+    return [None if v is None or v != v else v.toordinal() for v in values]
+
+
 class _Grouped(StatefulProcessor):
-    """Entries of all tiles of a group and day as columns of one value, read and
-    written once a batch, with one timer: that of the entry that ends first.
+    """Entries of all tile-days of a group, as columns of one value per span of days,
+    and a list of the spans with their first end.  A batch reads and writes the spans
+    it meets; a group has one timer, that of the entry that ends first.
 
     ``entries`` names and types the columns; the last one is the time of the end.
     """
@@ -180,31 +187,48 @@ class _Grouped(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         held = ", ".join(f"{name} array<{kind}>" for name, kind in self.entries.items())
-        self.held = handle.getValueState("entries", f"{held}, timer long")
-
-    def _get(self) -> tuple[list[tuple], int | None]:
-        state = self.held.get() if self.held.exists() else None
-        return (list(zip(*state[:-1])), state[-1]) if state else ([], None)
-
-    def _put(self, entries: list[tuple], timer: int | None, timerValues) -> None:
-        """Keeps the entries; ``timer`` is the one registered before."""
-        if not entries:
-            self.held.clear()
+        self.held = handle.getMapState("entries", "span long", held)
+        self.index = handle.getValueState("spans", "spans array<long>, ends array<long>, timer long")
+
+    def _spans(self) -> tuple[dict[int, int], int | None]:
+        """First end of each span held, and the timer registered before."""
+        state = self.index.get() if self.index.exists() else None
+        return (dict(zip(state[0], state[1])), state[2]) if state else ({}, None)
+
+    def _get(self, span: int, spans: dict[int, int]) -> list[tuple]:
+        return list(zip(*self.held.getValue((span,)))) if span in spans else []
+
+    def _put(self, span: int, entries: list[tuple], spans: dict[int, int]) -> None:
+        if entries:
+            self.held.updateValue((span,), tuple(map(list, zip(*entries))))
+            spans[span] = min(e[-1] for e in entries)
+        elif span in spans:
+            self.held.removeKey((span,))
+            del spans[span]
+
+    def _keep(self, spans: dict[int, int], timer: int | None, timerValues) -> None:
+        """Keeps the list of spans; ``timer`` is the one registered before."""
+        if not spans:
+            self.index.clear()
             return
         # a timer at the watermark itself may never be seen
         now = timerValues.getCurrentWatermarkInMs()
-        first = max(min(e[-1] for e in entries), now + 1)
+        first = max(min(spans.values()), now + 1)
         if timer is None or timer <= now or first < timer:
             self.handle.registerTimer(first)
             timer = first
-        self.held.update((*map(list, zip(*entries)), timer))
+        self.index.update((list(spans), list(spans.values()), timer))
 
     def _due(self, timerValues) -> list[tuple]:
         """Takes out the entries that ended before the watermark."""
-        entries, _ = self._get()
-        now = timerValues.getCurrentWatermarkInMs()
-        self._put([e for e in entries if e[-1] >= now], None, timerValues)
-        return [e for e in entries if e[-1] < now]
+        spans, _ = self._spans()
+        now, due = timerValues.getCurrentWatermarkInMs(), []
+        for span in [s for s, end in spans.items() if end < now]:
+            entries = self._get(span, spans)
+            due += [e for e in entries if e[-1] < now]
+            self._put(span, [e for e in entries if e[-1] >= now], spans)
+        self._keep(spans, None, timerValues)
+        return due
 
     def _frame(self, rows: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(rows, columns=self.columns)
@@ -226,11 +250,15 @@ class _Replace(_Grouped):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         out = []
-        entries, timer = self._get()
-        refs = {(tile, measured): (product, created, end) for tile, measured, product, created, end in entries}
+        spans, timer = self._spans()
+        met: dict[int, dict] = {}
         r = _sorted(rows, ["publication_date", "product_id"])
         columns = _text(r.tile_id), _all_ms(r.measurement_date), _text(r.product_id), _all_ms(r.creation_date), _all_ms(r.publication_date)
         for tile, measured, product, created, published in zip(*columns):
+            span = measured // (SPAN_DAYS * 24 * HOUR_MS)
+            if span not in met:
+                met[span] = {(t, m): (p, c, end) for t, m, p, c, end in self._get(span, spans)}
+            refs = met[span]
             if (tile, measured) not in refs:
                 refs[tile, measured] = (product, created, max(measured, published) + self.forget_ms)
                 out.append((tile, measured, product, None))
@@ -239,7 +267,9 @@ class _Replace(_Grouped):
             if known != product and created != known_created and published - measured <= self.valid_ms:
                 refs[tile, measured] = (product, created, end)
                 out.append((tile, measured, product, known))
-        self._put([(*k, *v) for k, v in refs.items()], timer, timerValues)
+        for span, refs in met.items():
+            self._put(span, [(*k, *v) for k, v in refs.items()], spans)
+        self._keep(spans, timer, timerValues)
         yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -267,7 +297,7 @@ def replace_codated(
 class _Hold(_Grouped):
     """Optical triggers wait; others pass at once."""
 
-    entries = {"tiles": "string", "products": "string", "ends": "long"}
+    entries = {"tiles": "string", "days": "int", "products": "string", "ends": "long"}
     columns = ["tile_id", "product_date", "product_id", "fired_at_ms", "reason"]
 
     def __init__(self, hold_ms: int, early_release: bool):
@@ -276,35 +306,47 @@ class _Hold(_Grouped):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.partners = handle.getValueState("partners", "tiles array<string>")
+        self.partners = handle.getMapState("partners", "span long", "tiles array<string>, days array<int>")
+
+    def _partners(self, span: int) -> set[tuple]:
+        """Tile-days that had a partner."""
+        state = self.partners.getValue((span,)) if self.early and self.partners.containsKey((span,)) else None
+        return set(zip(*state)) if state else set()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         out = []
-        entries, timer = self._get()
-        waiting: dict[str | None, dict] = {}
-        for tile, product, end in entries:
-            waiting.setdefault(tile, {})[product] = end
-        seen = set(self.partners.get()[0]) if self.early and self.partners.exists() else set()
-        known = len(seen)
+        spans, timer = self._spans()
+        met: dict[int, tuple[dict, set, int]] = {}
         r = _sorted(rows, ["publication_date", "product_id"])
-        for tile, product, published, optical in zip(_text(r.tile_id), _text(r.product_id), _all_ms(r.publication_date), r.optical):
+        columns = _text(r.tile_id), _days(r.product_date), r.product_date, _text(r.product_id), _all_ms(r.publication_date), r.optical
+        for tile, day, date, product, published, optical in zip(*columns):
+            span = (day or 0) // SPAN_DAYS
+            if span not in met:
+                held: dict[tuple, dict] = {}
+                for t, d, p, end in self._get(span, spans):
+                    held.setdefault((t, d), {})[p] = end
+                seen = self._partners(span)
+                met[span] = held, seen, len(seen)
+            waiting, seen, _ = met[span]
             if not optical:
-                out.append((str(tile), key[1], product, published, "immediate"))
+                out.append((str(tile), date, product, published, "immediate"))
                 if self.early:
-                    seen.add(tile)
-                    out += [(str(tile), key[1], p, published, "partner") for p in sorted(waiting.pop(tile, {}))]
-            elif tile in seen:
-                out.append((str(tile), key[1], product, published, "partner"))
+                    seen.add((tile, day))
+                    out += [(str(tile), date, p, published, "partner") for p in sorted(waiting.pop((tile, day), {}))]
+            elif (tile, day) in seen:
+                out.append((str(tile), date, product, published, "partner"))
             else:
-                waiting.setdefault(tile, {})[product] = published + self.hold_ms
-        if len(seen) > known:
-            self.partners.update((list(seen),))
-        self._put([(tile, p, end) for tile, some in waiting.items() for p, end in some.items()], timer, timerValues)
+                waiting.setdefault((tile, day), {})[product] = published + self.hold_ms
+        for span, (waiting, seen, known) in met.items():
+            if len(seen) > known:
+                self.partners.updateValue((span,), tuple(map(list, zip(*seen))))
+            self._put(span, [(*k, p, end) for k, some in waiting.items() for p, end in some.items()], spans)
+        self._keep(spans, timer, timerValues)
         yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = sorted(self._due(timerValues), key=lambda e: (e[2], str(e[0]), str(e[1])))
-        yield self._frame([(str(tile), key[1], product, end, "held") for tile, product, end in due])
+        due = sorted(self._due(timerValues), key=lambda e: (e[3], str(e[0]), str(e[2])))
+        yield self._frame([(str(t), None if d is None else dt.date.fromordinal(d), p, end, "held") for t, d, p, end in due])
 
 
 def hold_trigger(

@@ -208,3 +208,40 @@ def test_tiles_of_a_day_share_a_call(spark, tmp_path, monkeypatch):
         assert all(r.tile_id == "t" + r.product_id[1:] and r.fired_at_ms == int((m(180 + int(r.product_id[1:])) - dt.datetime(1970, 1, 1)).total_seconds()) * 1000 for r in out)
     assert held == [[], list(range(29)), list(range(60))]
     assert calls.value <= 12
+
+
+def test_days_of_a_group_share_a_call(spark, tmp_path, monkeypatch):
+    """Tiles on many days: calls do not grow with the days, each tile-day stays on its
+    own, over spans of state, a restart, partners and the end of the wait."""
+    monkeypatch.setattr(si, "TILE_GROUPS", 2)
+    calls = spark.sparkContext.accumulator(0)
+    for processor in (si._Replace, si._Hold):
+        for name in ("handleInputRows", "handleExpiredTimer"):
+            def counted(self, *a, inner=getattr(processor, name), **named):
+                calls.add(1)
+                return inner(self, *a, **named)
+
+            monkeypatch.setattr(processor, name, counted)
+    at = lambda day, h: T0 + dt.timedelta(days=day, hours=h)
+    schema = "product_id string, tile_id string, product_date date, publication_date timestamp, optical boolean"
+    days = [*range(0, 80, 2), None]
+    optical = [(f"o{d}", t, d if d is None else at(d, 0).date(), at(90, d or 1), True) for d in days for t in ("t", None)]
+    # a partner on day 4 alone, before the wait of any but day 0 ends
+    files = [optical, [("x", "t", at(4, 0).date(), at(90, 3), False), ("late", "t", at(4, 0).date(), at(90, 85), True)], [("y", "far", at(0, 0).date(), at(200, 0), False)]]
+    for early in (False, True):
+        for k, rows in enumerate(files):
+            write(spark, tmp_path / f"h{early}", str(k), rows, schema)
+            out = run(spark, si.hold_trigger(stream(spark, tmp_path / f"h{early}", schema), early_release=early, watermark="4 days"), tmp_path / f"a{early}")
+        got = {(r.product_id, r.tile_id, r.product_date): r.reason for r in out.collect() if r.product_id not in "xy"}
+        want = {(p, str(t), d): "held" for p, t, d, *_ in optical} | {("late", "t", at(4, 0).date()): "held"}
+        if early:
+            want |= {("o4", "t", at(4, 0).date()): "partner", ("late", "t", at(4, 0).date()): "partner"}
+        assert got == want
+    schema = "product_id string, tile_id string, measurement_date timestamp, creation_date timestamp, publication_date timestamp"
+    for k in range(2):
+        rows = [(f"{d}.{k}", "t", at(d, 0), at(d, 1 + k), at(d, 2 + k)) for d in range(0, 80, 2)]
+        write(spark, tmp_path / "r", str(k), rows, schema)
+        out = run(spark, si.replace_codated(stream(spark, tmp_path / "r", schema), watermark="100 days"), tmp_path / "b")
+    assert sorted((r.product_id, r.replaces) for r in out.collect()) == sorted(
+        (f"{d}.{k}", f"{d}.0" if k else None) for d in range(0, 80, 2) for k in range(2))
+    assert calls.value <= 40
