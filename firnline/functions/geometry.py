@@ -290,15 +290,24 @@ class Sweep:
                 here = after
                 if here == start:
                     break
-            r = np.array(ring)
-            before, behind = r - np.roll(r, 1, axis=0), np.roll(r, -1, axis=0) - r
-            bend = np.abs(before[:, 0] * behind[:, 1] - before[:, 1] * behind[:, 0])
-            r = r[bend > 1e-12 * np.hypot(*before.T) * np.hypot(*behind.T)]
+            r = bent(np.array(ring))
             if len(r) > 2:
                 out.append(r)
         return out
 
 
+def bent(ring: np.ndarray) -> np.ndarray:
+    """The ring without corners at which it goes straight on."""
+    before, behind = ring - np.roll(ring, 1, axis=0), np.roll(ring, -1, axis=0) - ring
+    bend = np.abs(before[:, 0] * behind[:, 1] - before[:, 1] * behind[:, 0])
+    return ring[bend > 1e-12 * np.hypot(*before.T) * np.hypot(*behind.T)]
+
+
+def against_clock(ring: np.ndarray) -> np.ndarray:
+    """The same ring, turned against the clock, with its bent corners alone."""
+    return bent(ring if signed_area(ring) > 0 else ring[::-1])
+
+
 def signed_area(ring: np.ndarray) -> float:
     """Area, positive if the ring runs against the clock."""
     x, y = ring[:, 0] - ring[0, 0], ring[:, 1] - ring[0, 1]

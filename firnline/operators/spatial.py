@@ -20,6 +20,7 @@ from firnline import codes
 from firnline.functions import projections as P
 from firnline.functions.geometry import (
     Sweep,
+    against_clock,
     clip_convex,
     clipped_ring,
     convex_hull,
@@ -358,16 +359,16 @@ def _leaves(near: DataFrame, cell: float) -> tuple[DataFrame | None, DataFrame]:
         x, y = F.col("lx") * F.lit(size), F.col("ly") * F.lit(size)
         x1, y1 = (F.col("lx") + 1) * F.lit(size), (F.col("ly") + 1) * F.lit(size)
         border = with_bounds(load.where("full").select(*key, box_ring(x, y, x1, y1).alias("a")), "a", "_a_").select(*at.columns)
-        some = at.join(load.where("not full").select(*key), key, "left_semi").join(crowded, key, "left_anti").select(*at.columns)
+        some = at.join(load.where("not full").select(*key).hint("merge"), key, "left_semi").join(crowded.hint("merge"), key, "left_anti").select(*at.columns)
         rings.append(border.unionByName(some).withColumn("size", F.lit(size)))
         if kids is not None:
-            leaves.append(kids.join(crowded, key, "left_anti").select(*key, F.lit(size).alias("size")))
+            leaves.append(kids.join(crowded.hint("merge"), key, "left_anti").select(*key, F.lit(size).alias("size")))
         if crowded.isEmpty():
             break
         size /= 2
         two = lambda c: F.explode(F.array(F.col(c) * 2, F.col(c) * 2 + 1))
         kids = crowded.withColumn("lx", two("lx")).withColumn("ly", two("ly")).select(*key)
-        at = cut_lineage(_halved(at.join(crowded, key, "left_semi").select(*at.columns), "_a_", "lx", "ly", size))
+        at = cut_lineage(_halved(at.join(crowded.hint("merge"), key, "left_semi").select(*at.columns), "_a_", "lx", "ly", size))
     every = rings[0]
     for r in rings[1:]:
         every = every.unionByName(r)
@@ -393,13 +394,19 @@ def shapes_of(
     blocks = _cells(with_bounds(tiles.select("tile_id", F.col("ring").alias("b")).distinct(), "b", "_b_"), "_b_", cell)
     kind = tiles.schema["tile_id"].dataType.simpleString()
     # polygons away from all tiles are not looked at
-    halved, rings = _leaves(near.join(blocks.select("_cx", "_cy").distinct(), ["_cx", "_cy"], "left_semi").select(*near.columns), cell)
+    met = blocks.select("_cx", "_cy").distinct().hint("merge")
+    halved, rings = _leaves(near.join(met, ["_cx", "_cy"], "left_semi").select(*near.columns), cell)
     if halved is None:
         own = blocks.withColumns({"lx": F.col("_cx"), "ly": F.col("_cy"), "size": F.lit(float(cell))})
     else:
-        own = blocks.join(halved, ["_cx", "_cy"], "left").withColumns(
+        own = blocks.join(halved.hint("merge"), ["_cx", "_cy"], "left").withColumns(
             {"lx": F.coalesce("lx", "_cx"), "ly": F.coalesce("ly", "_cy"), "size": F.coalesce("size", F.lit(float(cell)))}
         )
+    # a tile only touches a block that it has no area in
+    low, high = (lambda c: F.col(c) * F.col("size")), (lambda c: (F.col(c) + 1) * F.col("size"))
+    own = own.where(
+        (F.col("_b_maxx") > low("lx")) & (F.col("_b_minx") < high("lx")) & (F.col("_b_maxy") > low("ly")) & (F.col("_b_miny") < high("ly"))
+    )
     found = rings.select(
         F.col("lx").alias("_lx"), F.col("ly").alias("_ly"), F.col("size").alias("_size"),
         F.col("a.x").alias("x"), F.col("a.y").alias("y"), "_a_minx", "_a_maxx", "_a_miny", "_a_maxy",
@@ -410,7 +417,7 @@ def shapes_of(
         & (F.col("_a_miny") < F.col("_b_maxy")) & (F.col("_b_miny") < F.col("_a_maxy"))
     )
     key = ["tile_id", "_cx", "_cy", "lx", "ly", "size"]
-    pairs = own.join(found, meet, "left").select(*key, "x", "y", F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
+    pairs = own.join(found.hint("merge"), meet, "left").select(*key, "x", "y", F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
 
     def rings_of(group, found):
         tile, cx, cy, lx, ly, size = group
@@ -423,7 +430,9 @@ def shapes_of(
                     return
             if x is not None:
                 held.append(np.column_stack([x, y]))
-        for r in Sweep(held, window).rings(outside):
+        # most blocks of many tiles meet no polygon: all of the window is left over
+        made = Sweep(held, window).rings(outside) if held else [against_clock(window)] * outside
+        for r in made:
             yield tile, cx, cy, signed_area(r) < 0, [{"x": float(u), "y": float(v)} for u, v in r]
 
     return stream_groups(pairs, key, ["x"], f"tile_id {kind}, cx long, cy long, hole boolean, ring array<struct<x:double,y:double>>", rings_of)
@@ -440,11 +449,13 @@ def points_in_shapes(points: DataFrame, shapes: DataFrame, cell: float) -> DataF
         a, b = e["a"], e["b"]
         return ((a["y"] > y) != (b["y"] > y)) & (x < a["x"] + (y - a["y"]) * (b["x"] - a["x"]) / (b["y"] - a["y"]))
 
+    # by a shuffle: both sides grow with the tables, and what Spark guesses of their size
+    # from the files would let it send all points to every task
     hits = (
-        at.join(shapes, ["cx", "cy"]).groupBy("id", "tile_id")
+        at.join(shapes.hint("merge"), ["cx", "cy"]).groupBy("id", "tile_id")
         .agg((F.sum(F.size(F.filter(edges, crosses))) % 2 == 1).alias("_in")).where("_in").select("id", F.lit(True).alias("_in")).distinct()
     )
-    return points.join(hits, "id", "left").select(*points.columns, F.coalesce("_in", F.lit(False)).alias("inside"))
+    return points.join(hits.hint("merge"), "id", "left").select(*points.columns, F.coalesce("_in", F.lit(False)).alias("inside"))
 
 
 # --- grids -------------------------------------------------------------------------

@@ -278,3 +278,29 @@ def test_crowded_cells_are_halved(spark, monkeypatch):
         shapes = sp.shapes_of(spark.createDataFrame(ring_rows(polys), RING), tiles, 128.0, outside=outside)
         got = {r.id: r.inside for r in sp.points_in_shapes(rows, shapes, 128.0).collect()}
         assert [got[i] for i in some] == want[some].tolist()
+
+
+def test_growing_tables_are_shuffled_and_empty_blocks_not_swept(spark, monkeypatch):
+    """No table goes to every task whole; what no polygon meets is left as it is."""
+    class Held(g.Sweep):
+        def __init__(self, rings, window, *a):
+            if not rings:
+                raise AssertionError("block without polygons swept")
+            super().__init__(rings, window, *a)
+
+    monkeypatch.setattr(sp, "Sweep", Held)
+    polys = spark.createDataFrame(ring_rows([SQ * 2 + 3]), RING)
+    tiles = rings(spark, [("a", SQ * 10), ("far", (SQ * 10 + [96, 0])[::-1]), ("bent", np.array([[200, 0], [206, 0], [207, 0], [203, 5.0]]))], "tile_id")
+    pts = [(1, 4.0, 4.0), (2, 1.0, 1.0), (3, 9.0, 9.5), (4, 97.0, 3.0), (5, 105.5, 9.0), (6, 50.0, 5.0), (7, 203.0, 1.0), (8, 200.5, 3.0)]
+    points = spark.createDataFrame(pts, "id long, x double, y double")
+    for outside, want in ((True, {2, 3, 4, 5, 7}), (False, {1})):
+        shapes = sp.shapes_of(polys, tiles, 8.0, outside=outside)
+        got = sp.points_in_shapes(points, shapes, 8.0)
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {r.id for r in got.collect() if r.inside} == want
+        areas = {}
+        for r in shapes.collect():
+            ring = np.array([[p.x, p.y] for p in r.ring])
+            assert r.hole == (g.signed_area(ring) < 0)
+            areas[r.tile_id] = areas.get(r.tile_id, 0) + g.signed_area(ring)
+        assert areas == pytest.approx({"a": 384, "far": 400, "bent": 17.5} if outside else {"a": 16})
